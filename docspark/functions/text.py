@@ -1,11 +1,14 @@
-"""Text analysis as Column expressions: analysers, token match, wildcard, stemming."""
+"""Text analysis as Column expressions: analysers, token match, wildcard."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, SparkSession, functions as F
 
+from docspark.functions.stemming import stem
+
 # The common English stop list.
 STOP_WORDS = (
     "a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "if", "in",
@@ -34,29 +37,42 @@ def _simple(c: Column) -> Column:
 
 def _english(c: Column) -> Column:
     bare = F.regexp_replace(F.lower(c), r"['’]s(?![\p{L}\p{N}])", "")
-    return stem(_without_stop_words(_pieces(bare, _SEPARATORS)))
+    return _without_stop_words(_pieces(bare, _SEPARATORS))
+
+
+def _same(tokens: Column) -> Column:
+    return tokens
 
 
-_ANALYZERS: dict[str, Callable[[Column], Column]] = {
-    "standard": _standard,
-    "simple": _simple,
-    "whitespace": lambda c: _pieces(c, r"\s+"),
-    "keyword": lambda c: F.array(c),
-    "stop": lambda c: _without_stop_words(_simple(c)),
-    "english": _english,
+# Name -> (tokens of one text, what then happens to a token array).
+_ANALYZERS: dict[str, tuple[Callable[[Column], Column], Callable[[Column], Column]]] = {
+    "standard": (_standard, _same),
+    "simple": (_simple, _same),
+    "whitespace": (lambda c: _pieces(c, r"\s+"), _same),
+    "keyword": (lambda c: F.array_compact(F.array(c)), _same),
+    "stop": (lambda c: _without_stop_words(_simple(c)), _same),
+    "english": (_english, stem),
 }
 
 
-def register_analyzer(name: str, tokens: Callable[[Column], Column]) -> None:
-    """Add an analyser: a function from a string Column to an array<string> Column."""
-    _ANALYZERS[name] = tokens
+def register_analyzer(
+    name: str, tokens: Callable[[Column], Column], finish: Callable[[Column], Column] = _same
+) -> None:
+    """Add an analyser: `tokens` from a string to an array<string> Column, `finish` over the array.
+
+    `tokens` runs inside higher-order functions on array fields, so a UDF goes in `finish`.
+    """
+    _ANALYZERS[name] = (tokens, finish)
 
 
-def analyze(c: Column, analyzer: str = "standard") -> Column:
-    """Tokens of a string column, in order, repeats kept."""
+def analyze(c: Column, analyzer: str = "standard", is_array: bool = False) -> Column:
+    """Tokens of a string column, or of all elements of an array of strings, repeats kept."""
     if analyzer not in _ANALYZERS:
         raise ValueError(f"unknown analyzer {analyzer!r}; known: {sorted(_ANALYZERS)}")
-    return _ANALYZERS[analyzer](c)
+    tokens, finish = _ANALYZERS[analyzer]
+    if is_array:
+        return finish(F.flatten(F.transform(F.array_compact(c), lambda t: tokens(t))))
+    return finish(tokens(c))
 
 
 def query_tokens(text: str, analyzer: str = "standard") -> list[str]:
@@ -66,7 +82,9 @@ def query_tokens(text: str, analyzer: str = "standard") -> list[str]:
     return list(one_row.first()["t"])
 
 
-def has_all_tokens(c: Column, text: str, analyzer: str = "standard", tokenised: bool = False) -> Column:
+def has_all_tokens(
+    c: Column, text: str, analyzer: str = "standard", is_array: bool = False, tokenised: bool = False
+) -> Column:
     """Every token of `text` occurs in the column; no tokens match nothing.
 
     `tokenised` says that the column already holds tokens of `analyzer`.
@@ -74,140 +92,17 @@ def has_all_tokens(c: Column, text: str, analyzer: str = "standard", tokenised:
     wanted = query_tokens(text, analyzer)
     if not wanted:
         return F.lit(False)
-    if not tokenised and analyzer == "standard":
+    if analyzer == "standard" and not tokenised:
         # A token is a maximal run of letters and digits, so a bounded regular
         # expression finds it without building the token array of each row.
-        lowered = F.lower(c)
+        lowered = F.lower(F.array_join(c, " ") if is_array else c)
         hits = [lowered.rlike(rf"(?<![\p{{L}}\p{{N}}]){t}(?![\p{{L}}\p{{N}}])") for t in wanted]
-    else:
-        tokens = c if tokenised else analyze(c, analyzer)
-        if len(wanted) > 1 and not tokenised:
-            return F.size(F.array_except(F.array(*map(F.lit, wanted)), tokens)) == 0
-        hits = [F.array_contains(tokens, t) for t in wanted]
-    result = hits[0]
-    for hit in hits[1:]:
-        result = result & hit
-    return result
+        return reduce(lambda a, b: a & b, hits)
+    tokens = c if tokenised else analyze(c, analyzer, is_array)
+    return F.size(F.array_except(F.array(*map(F.lit, wanted)), tokens)) == 0
 
 
 def like_pattern(wildcard: str) -> str:
     """LIKE pattern of a glob in which `*` stands for any run of characters."""
     escaped = wildcard.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
     return escaped.replace("*", "%")
-
-
-# ---------------------------------------------------------------------------
-# Porter's suffix stripping (M. F. Porter, "An algorithm for suffix stripping",
-# 1980, with the author's later -bli and -logi rules). Each step is one
-# `transform` over the token array, so a token is bound once per step.
-
-_C = "[^aeiou][^aeiouy]*"
-_V = "[aeiouy][aeiou]*"
-_M_OVER_0 = f"^(?:{_C})?{_V}{_C}"
-_M_IS_1 = f"^(?:{_C})?{_V}{_C}(?:{_V})?$"
-_M_OVER_1 = f"^(?:{_C})?{_V}{_C}{_V}{_C}"
-_HAS_VOWEL = f"^(?:{_C})?[aeiouy]"
-_ENDS_CVC = f"^{_C}[aeiouy][^aeiouwxy]$"
-
-# Suffix tables of steps 2, 3 and 4 of the published algorithm.
-_STEP_2 = {
-    "ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize",
-    "bli": "ble", "alli": "al", "entli": "ent", "eli": "e", "ousli": "ous",
-    "ization": "ize", "ation": "ate", "ator": "ate", "alism": "al", "iveness": "ive",
-    "fulness": "ful", "ousness": "ous", "aliti": "al", "iviti": "ive", "biliti": "ble",
-    "logi": "log",
-}
-_STEP_3 = {
-    "icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "",
-    "ness": "",
-}
-_STEP_4 = (
-    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent",
-    "ou", "ism", "ate", "iti", "ous", "ive", "ize",
-)
-
-
-def _chop(t: Column, n: int) -> Column:
-    return F.left(t, F.length(t) - n)
-
-
-def _plural(t: Column) -> Column:
-    return (
-        F.when(t.rlike("^.+?(?:ss|i)es$"), _chop(t, 2))
-        .when(t.rlike("^.+?[^s]s$"), _chop(t, 1))
-        .otherwise(t)
-    )
-
-
-def _past(t: Column) -> Column:
-    eed, bare = F.regexp_extract(t, "^(.+?)eed$", 1), F.regexp_extract(t, "^(.+?)(?:ed|ing)$", 1)
-    return (
-        F.when(t.rlike("^.+eed$"), F.when(eed.rlike(_M_OVER_0), _chop(t, 1)).otherwise(t))
-        # a mark tells the next step that a suffix was removed
-        .when(bare.rlike(_HAS_VOWEL), F.concat(bare, F.lit("+")))
-        .otherwise(t)
-    )
-
-
-def _tidy_past(t: Column) -> Column:
-    bare = F.rtrim(t, F.lit("+"))
-    return (
-        F.when(~t.endswith("+"), t)
-        .when(bare.rlike("(?:at|bl|iz)$"), F.concat(bare, F.lit("e")))
-        .when(bare.rlike(r"([^aeiouylsz])\1$"), _chop(bare, 1))
-        .when(bare.rlike(_ENDS_CVC), F.concat(bare, F.lit("e")))
-        .otherwise(bare)
-    )
-
-
-def _final_y(t: Column) -> Column:
-    bare = F.regexp_extract(t, "^(.+?)y$", 1)
-    return F.when(bare.rlike(_HAS_VOWEL), F.concat(bare, F.lit("i"))).otherwise(t)
-
-
-def _replace_suffix(table: dict[str, str]) -> Callable[[Column], Column]:
-    pattern = f"^(.+?)({'|'.join(table)})$"
-    new_suffix = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-
-    def step(t: Column) -> Column:
-        bare, suffix = F.regexp_extract(t, pattern, 1), F.regexp_extract(t, pattern, 2)
-        return F.when(bare.rlike(_M_OVER_0), F.concat(bare, new_suffix[suffix])).otherwise(t)
-
-    return step
-
-
-def _drop_suffix(t: Column) -> Column:
-    bare = F.regexp_extract(t, f"^(.+?)(?:{'|'.join(_STEP_4)})$", 1)
-    ion = F.regexp_extract(t, "^(.+?[st])ion$", 1)
-    return (
-        F.when(bare != "", F.when(bare.rlike(_M_OVER_1), bare).otherwise(t))
-        .when(ion.rlike(_M_OVER_1), ion)
-        .otherwise(t)
-    )
-
-
-def _final_e(t: Column) -> Column:
-    bare = F.regexp_extract(t, "^(.+?)e$", 1)
-    drop = bare.rlike(_M_OVER_1) | (bare.rlike(_M_IS_1) & ~bare.rlike(_ENDS_CVC))
-    return F.when(drop, bare).otherwise(t)
-
-
-def _double_l(t: Column) -> Column:
-    return F.when(t.endswith("ll") & t.rlike(_M_OVER_1), _chop(t, 1)).otherwise(t)
-
-
-def stem(tokens: Column) -> Column:
-    """English stems of lower-case tokens; words of one or two letters stay as they are."""
-    steps = (
-        _plural, _past, _tidy_past, _final_y, _replace_suffix(_STEP_2),
-        _replace_suffix(_STEP_3), _drop_suffix, _final_e, _double_l,
-    )
-    # A leading y is a consonant: upper case keeps it out of the vowel class.
-    result = F.transform(tokens, lambda t: F.regexp_replace(t, "^y(?=..)", "Y"))
-    for step in steps:
-        result = F.transform(result, _on_long_words(step))
-    return F.transform(result, lambda t: F.lower(t))
-
-
-def _on_long_words(step: Callable[[Column], Column]) -> Callable[[Column], Column]:
-    return lambda t: F.when(F.length(t) > 2, step(t)).otherwise(t)

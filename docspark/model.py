@@ -8,6 +8,7 @@ from dataclasses import dataclass, field as dataclass_field
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docspark.functions import geo, text
+from docspark.operators.predicates import Doc
 
 GEOPOINT = T.StructType([T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())])
 
@@ -215,7 +216,10 @@ class DocModel:
         self._in_use = True
         columns = {}
         for (path, name), analyzer in self._multi.items():
-            columns[f"{path}__{name}"] = (text.analyze(F.col(path).cast("string"), analyzer), {"tokens": analyzer})
+            source = Doc(df)[path]
+            value = source.column if source.is_array else source.column.cast("string")
+            tokens = text.analyze(value, analyzer, source.is_array)
+            columns[f"{path}__{name}"] = (tokens, {"tokens": analyzer})
         for path, f in self._paths.items():
             if f.metadata.get("geohash") and f.metadata.get("index"):
                 point = F.col(path)

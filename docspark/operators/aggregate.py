@@ -21,15 +21,19 @@ class GroupKey:
 
     `many` says that one value can fall in several buckets; `bucket` then gives an
     array. A document falls once in every bucket that one of its values reaches.
+    With an `analyzer` the buckets are the tokens of the field.
     """
 
     path: str
-    bucket: Callable[[Column, T.DataType], Column]
+    bucket: Callable[[Column, T.DataType], Column] = lambda c, _: c
     many: bool = False
+    analyzer: str | None = None
 
     def resolve(self, doc: Doc) -> tuple[Column, bool]:
         """(column, is it an array to explode) for a document schema."""
         source = doc[self.path]
+        if self.analyzer:
+            return F.array_distinct(text.analyze(source.column, self.analyzer, source.is_array)), True
         if not source.is_array:
             value = self.bucket(source.column, source.dtype)
             return (F.array_distinct(value) if self.many else value), self.many
@@ -41,9 +45,7 @@ class GroupKey:
 
 def by_field(path: str, analyzer: str | None = None) -> GroupKey:
     """One group per value; with an analyser, one per token."""
-    if analyzer:
-        return GroupKey(path, lambda c, _: text.analyze(c, analyzer), many=True)
-    return GroupKey(path, lambda c, _: c)
+    return GroupKey(path, analyzer=analyzer)
 
 
 def by_ranges(path: str, ranges: list[tuple]) -> GroupKey:
@@ -76,10 +78,14 @@ def by_interval(path: str, width: float, base: float = 0) -> GroupKey:
     """Numeric buckets, keyed by their lower bound (a double)."""
     if isinstance(width, bool) or not isinstance(width, (int, float)) or width <= 0:
         raise ValueError("the interval must be a positive number")
-    w, b = F.lit(float(width)), F.lit(float(base))
-    if base:
-        return GroupKey(path, lambda c, _: (F.floor((c - b) / w) * w + b).cast("double"))
-    return GroupKey(path, lambda c, _: (F.floor(c / w) * w).cast("double"))
+    width, base = float(width), float(base)
+
+    def lower_bound(c: Column, _: T.DataType) -> Column:
+        shifted = c - F.lit(base) if base else c.cast("double")
+        start = F.floor(shifted / F.lit(width)) * F.lit(width)
+        return (start + F.lit(base) if base else start).cast("double")
+
+    return GroupKey(path, lower_bound)
 
 
 def by_duration(path: str, duration: str, base: datetime | None = None) -> GroupKey:

@@ -192,8 +192,8 @@ class Path:
         if self.is_array:
             return F.coalesce(F.size(F.array_compact(self._column)) > 0, F.lit(False))
         if self._variant_path:
-            return F.coalesce(~F.is_variant_null(
-                F.try_variant_get(self._column, self._variant_path, "variant")), F.lit(False))
+            value = F.try_variant_get(self._column, self._variant_path, "variant")
+            return value.isNotNull() & ~F.is_variant_null(value)
         return self.column.isNotNull()
 
     def missing(self) -> Column:
@@ -208,8 +208,8 @@ class Path:
         stored = self.metadata.get("tokens")
         if self.is_array and stored and analyzer in (None, stored):
             return text.has_all_tokens(self._column, query, stored, tokenised=True)
-        value = F.array_join(self._column, " ") if self.is_array else self.column
-        return text.has_all_tokens(value, query, analyzer or self.metadata.get("analyzer") or "standard")
+        analyzer = analyzer or self.metadata.get("analyzer") or "standard"
+        return text.has_all_tokens(self.column, query, analyzer, self.is_array)
 
     def wildcard(self, pattern: str) -> Column:
         """Glob on the whole value; `*` is any run of characters."""
