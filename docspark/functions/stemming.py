@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import sys
+from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -44,6 +45,8 @@ _STEP_4 = (
 
 def _suffix(word: str, suffixes) -> str | None:
     """The longest suffix of the word among the given ones that leaves a stem."""
+    if not word.endswith(tuple(suffixes)):
+        return None
     found = [s for s in suffixes if word.endswith(s) and len(word) > len(s)]
     return max(found, key=len) if found else None
 
@@ -92,11 +95,17 @@ def stem_word(word: str) -> str:
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
-def stem(tokens: pa.Array) -> pa.Array:
+def stem(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Stems of arrays of lower-case tokens."""
-    words = tokens.flatten().dictionary_encode()
-    stems = pa.array([None if w is None else stem_word(w) for w in words.dictionary.to_pylist()], pa.string())
-    lengths = pc.fill_null(pc.list_value_length(tokens), 0).cast(pa.int64())
-    ends = pc.cumulative_sum(lengths)
-    offsets = pa.concat_arrays([pa.array([0], pa.int64()), ends]).cast(pa.int32())
-    return pa.ListArray.from_arrays(offsets, stems.take(words.indices), mask=tokens.is_null())
+    known: dict[str | None, str | None] = {None: None}
+    for tokens in batches:
+        if len(known) > 500_000:
+            known = {None: None}
+        words = tokens.flatten().dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        known.update((w, stem_word(w)) for w in distinct if w not in known)
+        stems = pa.array([known[w] for w in distinct], pa.string())
+        lengths = pc.fill_null(pc.list_value_length(tokens), 0).cast(pa.int64())
+        offsets = pa.concat_arrays([pa.array([0], pa.int64()), pc.cumulative_sum(lengths)])
+        yield pa.ListArray.from_arrays(
+            offsets.cast(pa.int32()), stems.take(words.indices), mask=tokens.is_null())

@@ -65,20 +65,27 @@ def register_analyzer(
     _ANALYZERS[name] = (tokens, finish)
 
 
-def analyze(c: Column, analyzer: str = "standard", is_array: bool = False) -> Column:
-    """Tokens of a string column, or of all elements of an array of strings, repeats kept."""
+def analyze(
+    c: Column, analyzer: str = "standard", is_array: bool = False, distinct: bool = False
+) -> Column:
+    """Tokens of a string column, or of all elements of an array of strings.
+
+    In order with repeats, or each once with `distinct`.
+    """
     if analyzer not in _ANALYZERS:
         raise ValueError(f"unknown analyzer {analyzer!r}; known: {sorted(_ANALYZERS)}")
     tokens, finish = _ANALYZERS[analyzer]
-    if is_array:
-        return finish(F.flatten(F.transform(F.array_compact(c), lambda t: tokens(t))))
-    return finish(tokens(c))
+    found = F.flatten(F.transform(F.array_compact(c), lambda t: tokens(t))) if is_array else tokens(c)
+    if not distinct:
+        return finish(found)
+    found = F.array_distinct(found)
+    return found if finish is _same else F.array_distinct(finish(found))
 
 
 def query_tokens(text: str, analyzer: str = "standard") -> list[str]:
     """Distinct tokens of one literal, through the same expression the data goes through."""
     spark = SparkSession.active()
-    one_row = spark.sql("SELECT 1").select(F.array_distinct(analyze(F.lit(text), analyzer)).alias("t"))
+    one_row = spark.sql("SELECT 1").select(analyze(F.lit(text), analyzer, distinct=True).alias("t"))
     return list(one_row.first()["t"])
 
 
@@ -98,7 +105,7 @@ def has_all_tokens(
         lowered = F.lower(F.array_join(c, " ") if is_array else c)
         hits = [lowered.rlike(rf"(?<![\p{{L}}\p{{N}}]){t}(?![\p{{L}}\p{{N}}])") for t in wanted]
         return reduce(lambda a, b: a & b, hits)
-    tokens = c if tokenised else analyze(c, analyzer, is_array)
+    tokens = c if tokenised else analyze(c, analyzer, is_array, distinct=True)
     return F.size(F.array_except(F.array(*map(F.lit, wanted)), tokens)) == 0
 
 

@@ -33,7 +33,7 @@ class GroupKey:
         """(column, is it an array to explode) for a document schema."""
         source = doc[self.path]
         if self.analyzer:
-            return F.array_distinct(text.analyze(source.column, self.analyzer, source.is_array)), True
+            return text.analyze(source.column, self.analyzer, source.is_array, distinct=True), True
         if not source.is_array:
             value = self.bucket(source.column, source.dtype)
             return (F.array_distinct(value) if self.many else value), self.many
@@ -186,7 +186,9 @@ def _grouped(frame: DataFrame, spec: Spec) -> DataFrame:
     keyed = frame.select("*", *[c.alias(n) for n, (c, _) in zip(names, resolved)])
     for name, (_, many) in zip(names, resolved):
         if many:
-            keyed = keyed.withColumn(name, F.explode(name))
+            # An inner explode infers a filter on the array's size, and pushing it down
+            # computes the array twice; the null keys of an outer one are dropped below.
+            keyed = keyed.withColumn(name, F.explode_outer(name))
     keyed = keyed.where(reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names]))
     keys = [F.col(n).alias(n[1:]) for n in names]
     return keyed.groupBy(*keys).agg(*measures) if measures else keyed.select(*keys).distinct()
@@ -226,11 +228,16 @@ def aggregate_multi_long(
 
     keys = [f"_k{i}" for i in range(width)]
     pairs = list(dict.fromkeys(p for s in specs.values() for p in s.statistics()))
-    arrays = [
-        _key_rows(name, [(_as_key(c, many, t), many) for (c, many), t in zip(cols, types)], types)
+    cast = {
+        name: [(_as_key(c, many, t), many) for (c, many), t in zip(cols, types)]
         for name, cols in resolved.items()
-    ]
-    rows = matched.select("*", F.inline(F.concat(*arrays)).alias("_name", *keys))
+    }
+    if any(many for cols in cast.values() for _, many in cols):
+        groups = F.inline(F.concat(*[_key_rows(name, cols, types) for name, cols in cast.items()]))
+    else:
+        cells = [v for name, cols in cast.items() for v in _padded(name, [c for c, _ in cols], types)]
+        groups = F.stack(F.lit(len(cast)), *cells)
+    rows = matched.select("*", groups.alias("_name", *keys))
     complete = [
         (F.col("_name") != name)
         | reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys[:len(s.by)]])
@@ -264,13 +271,18 @@ def _as_key(c: Column, many: bool, dtype: T.DataType) -> Column:
     return F.transform(c, lambda v: v.cast(dtype)) if many else c.cast(dtype)
 
 
+def _padded(name: str, values: list[Column], types: list[T.DataType]) -> list[Column]:
+    values = values + [F.lit(None)] * (len(types) - len(values))
+    return [F.lit(name), *[v.cast(t) for v, t in zip(values, types)]]
+
+
 def _key_rows(name: str, columns: list[tuple[Column, bool]], types: list[T.DataType]) -> Column:
     """Array of (name, k0..kn) structs of one document: every combination of its keys."""
     def rows(position: int, bound: list[Column]) -> Column:
         if position == len(columns):
-            padded = bound + [F.lit(None)] * (len(types) - len(bound))
-            fields = [v.cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(padded, types))]
-            return F.array(F.struct(F.lit(name).alias("name"), *fields))
+            first, *rest = _padded(name, bound, types)
+            fields = [v.alias(f"k{i}") for i, v in enumerate(rest)]
+            return F.array(F.struct(first.alias("name"), *fields))
         column, many = columns[position]
         if not many:
             return rows(position + 1, [*bound, column])

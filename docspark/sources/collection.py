@@ -14,6 +14,9 @@ that owns a large share of the documents in many cells. One writer at a time.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from docspark.model import DocModel
@@ -23,7 +26,18 @@ from docspark.operators.predicates import all_of
 _META = [T.StructField(n, T.StringType()) for n in ("_id", "_parent", "_routing", "_index")]
 _CELL = ("_bucket", "_slice")
 _CELL_FIELDS = [T.StructField(n, T.IntegerType()) for n in _CELL]
-_LOG = "version long, bucket int, slice int, replaces boolean, rows long"
+_LOG = "version long, bucket int, slice int, replaces boolean, rows long, cells int"
+
+Cell = tuple[int, int]
+
+
+@dataclass
+class _State:
+    """What the log says: the live versions of each cell, and the last version."""
+
+    cells: dict[Cell, list[int]]
+    written: dict[int, int]  # version -> number of cells it wrote
+    last: int
 
 
 class Collection:
@@ -42,19 +56,14 @@ class Collection:
 
     def read(self, routing: str | None = None, ids: list[str] | None = None) -> DataFrame:
         """All documents, or those of one route or with some ids; only their cells are listed."""
-        cells = self._cells()
-        if routing is not None:
-            bucket = self._hash([routing], self.buckets)[0]
-            cells = {c: v for c, v in cells.items() if c[0] == bucket}
+        state = self._state()
+        cells = self._on_route(state, routing)
+        conditions = [] if routing is None else [F.col("_routing") == routing]
         if ids is not None:
             slices = set(self._hash(ids, self.slices))
-            cells = {c: v for c, v in cells.items() if c[1] in slices}
-        conditions = []
-        if routing is not None:
-            conditions.append(F.col("_routing") == routing)
-        if ids is not None:
+            cells = {c for c in cells if c[1] in slices}
             conditions.append(F.col("_id").isin(ids))
-        return self._load(cells).where(all_of(*conditions)).select(*self.schema.names)
+        return self._load(state, cells).where(all_of(*conditions)).select(*self.schema.names)
 
     def search(self, routing: str | None = None) -> DataFrame:
         """`read` with the model's derived search columns."""
@@ -69,75 +78,72 @@ class Collection:
         A document that changes its id or route names its old place in `_old_id` and
         `_old_routing`, and is removed there. Returns the number of documents written.
         """
-        version = self._next_version()
+        state = self._state()
+        version = state.last + 1
         # the batch is used twice, so it is written once, beside the data
         staged = self._stage(self.model.prepare(batch, index, routing), version, order_by)
-        touched = self._cells_of(staged)
-        if not touched:
+        counts = self._count_by_cell(self._with_cell(staged))
+        if not counts:
             return 0
-        gone = staged.select("_id", "_routing")
+        touched, gone = set(counts), staged.select("_id", "_routing")
         if {"_old_id", "_old_routing"} & set(staged.columns):
             old = {n: F.coalesce(F.col(f"_old{n}") if f"_old{n}" in staged.columns else F.lit(None), F.col(n))
                    for n in ("_id", "_routing")}
             before = staged.select(*[c.alias(n) for n, c in old.items()])
-            touched |= self._cells_of(before)
-            gone = gone.unionByName(before)
-        current = self._cells()
-        kept = self._load({c: current[c] for c in touched if c in current})
-        kept = kept.select(*self.schema.names).join(gone.distinct(), ["_id", "_routing"], "left_anti")
-        self._write(kept.unionByName(staged.select(*self.schema.names)), version, touched, replaces=True)
+            touched |= set(self._count_by_cell(self._with_cell(before)))
+            gone = gone.unionByName(before).distinct()
+        kept = self._load(state, touched & set(state.cells)).select(*self.schema.names)
+        kept = kept.join(gone, ["_id", "_routing"], "left_anti")
+        self._write(kept.unionByName(staged.select(*self.schema.names)), version, touched)
         self.model.run_hooks("post-save", staged)
-        return staged.count()
+        return sum(counts.values())
 
     insert = upsert
 
     def append(self, batch: DataFrame, index: str | None = None, routing: str | None = None) -> int:
         """Save documents whose ids are known to be new, without reading the old ones."""
-        version = self._next_version()
         prepared = self.model.prepare(batch, index, routing).select(*self.schema.names)
-        rows = self._write(prepared, version, None, replaces=False)
-        return sum(rows.values())
+        return self._write(_with_id(prepared), self._state().last + 1, None)
 
     def update(self, where: Column | None, set: dict | None = None, unset: list[str] | None = None,
                replace: dict | None = None, skip: tuple[str, ...] = (), routing: str | None = None) -> int:
         """Rewrite the matching documents; returns their number. See `mutate.update`."""
-        hit = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
-        cells, matched = self._touched_by(hit, routing)
-        if not matched:
-            return 0
-        keys = tuple(p for p in [self.model.id_path] if p)
-        changed = mutate.update(
-            self._load(cells), hit & self._on_route(routing), set, unset, replace, keys, skip)
-        self._write(changed.select(*self.schema.names), self._next_version(), {*cells}, replaces=True)
-        return matched
+        state, hit = self._state(), _matches(where, routing)
+        counts = self._count_by_cell(self._load(state, self._on_route(state, routing)).where(hit))
+        if counts:
+            keys = tuple(p for p in [self.model.id_path] if p)
+            changed = mutate.update(self._load(state, {*counts}), hit, set, unset, replace, keys, skip)
+            self._write(changed.select(*self.schema.names), state.last + 1, {*counts})
+        return sum(counts.values())
 
     def delete(self, where: Column | None = None, routing: str | None = None) -> int:
-        """Remove the matching documents; returns their number."""
-        hit = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
-        cells, matched = self._touched_by(hit, routing)
-        if not matched:
-            return 0
-        loaded = self._load(cells)
-        self.model.run_hooks("pre-remove", loaded.where(hit & self._on_route(routing)))
-        kept = loaded.where(~(hit & self._on_route(routing)))
-        self._write(kept.select(*self.schema.names), self._next_version(), {*cells}, replaces=True)
-        return matched
+        """Remove the matching documents; returns their number.
+
+        The remove hooks are given the documents that go.
+        """
+        state, hit = self._state(), _matches(where, routing)
+        counts = self._count_by_cell(self._load(state, self._on_route(state, routing)).where(hit))
+        if counts:
+            loaded = self._load(state, set(counts)).select(*self.schema.names)
+            self.model.run_hooks("pre-remove", loaded.where(hit))
+            self._write(loaded.where(~hit), state.last + 1, set(counts))
+            self.model.run_hooks("post-remove", loaded.where(hit))
+        return sum(counts.values())
 
     def delete_keys(self, gone: DataFrame) -> tuple[int, DataFrame]:
         """Remove documents by `_id` (and `_routing`, else the id): (number, keys without a document)."""
         if "_routing" not in gone.columns:
             gone = gone.withColumn("_routing", F.col("_id"))
-        keys = ["_id", "_routing"]
-        version = self._next_version()
-        gone = self._spill(gone.select(*keys).where(F.col("_id").isNotNull()).distinct(), version)
-        cells = {c: v for c, v in self._cells().items() if c in self._cells_of(gone)}
-        old = self._load(cells)
-        missing = self._spill(mutate.unmatched_keys(old, gone, keys), version, "missing")
-        removed = gone.count() - missing.count()
-        if removed:
-            kept = mutate.delete_keys(old.select(*self.schema.names), gone, keys)
-            self._write(kept, version, {*cells}, replaces=True)
-        return removed, missing
+        state, keys = self._state(), ["_id", "_routing"]
+        gone = self._spill(gone.select(*keys).where("_id IS NOT NULL").distinct(), state.last + 1, "gone")
+        cells = set(self._count_by_cell(self._with_cell(gone))) & set(state.cells)
+        old = self._load(state, cells)
+        found = self._spill(old.join(gone, keys, "left_semi").select(*keys, *_CELL), state.last + 1, "found")
+        counts = self._count_by_cell(found)
+        if counts:
+            loaded = self._load(state, set(counts)).select(*self.schema.names)
+            self._write(mutate.delete_keys(loaded, found, keys), state.last + 1, set(counts))
+        return sum(counts.values()), gone.join(found, keys, "left_anti")
 
     # -- cells -------------------------------------------------------------
 
@@ -151,56 +157,53 @@ class Collection:
         hashes = [F.pmod(F.xxhash64(F.lit(v)), F.lit(n)).cast("int") for v in values]
         return list(self.spark.sql("SELECT 1").select(F.array(*hashes)).first()[0])
 
-    def _cells_of(self, keyed: DataFrame) -> set[tuple[int, int]]:
-        """Cells of some keys; at most buckets x slices rows reach the driver."""
-        return {(r[0], r[1]) for r in self._with_cell(keyed).select(*_CELL).distinct().collect()}
-
-    def _touched_by(self, hit: Column, routing: str | None):
-        """(cells holding matches, number of matches), from a scan of the filter's columns."""
-        cells = self._cells()
-        if routing is not None:
-            bucket = self._hash([routing], self.buckets)[0]
-            cells = {c: v for c, v in cells.items() if c[0] == bucket}
-        counts = self._load(cells).where(hit & self._on_route(routing)).groupBy(*_CELL).count().collect()
-        found = {(r[0], r[1]): r[2] for r in counts}
-        return {c: v for c, v in cells.items() if c in found}, sum(found.values())
+    def _on_route(self, state: _State, routing: str | None) -> set[Cell]:
+        if routing is None:
+            return set(state.cells)
+        bucket = self._hash([routing], self.buckets)[0]
+        return {c for c in state.cells if c[0] == bucket}
 
     @staticmethod
-    def _on_route(routing: str | None) -> Column:
-        return F.lit(True) if routing is None else F.coalesce(F.col("_routing") == routing, F.lit(False))
+    def _count_by_cell(df: DataFrame) -> dict[Cell, int]:
+        """Rows per cell; at most buckets x slices of them reach the driver."""
+        return {(r[0], r[1]): r[2] for r in df.groupBy(*_CELL).count().collect()}
 
     # -- log and files -----------------------------------------------------
 
-    def _log(self) -> DataFrame:
-        return self.spark.read.schema(_LOG).json(f"{self.path}/_log")
-
-    def _started(self) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_log")
-        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
-
-    def _next_version(self) -> int:
-        if not self._started():
-            return 1
-        return (self._log().agg(F.max("version")).first()[0] or 0) + 1
-
-    def _cells(self) -> dict[tuple[int, int], list[int]]:
-        """Cell -> versions holding its documents: the last rewrite and the appends after it."""
-        if not self._started():
-            return {}
-        log = self._log()
-        base = log.where("replaces").groupBy("bucket", "slice").agg(F.max("version").alias("base"))
-        live = (
-            log.join(base, ["bucket", "slice"], "left")
-            .where("rows > 0 AND (base IS NULL OR version >= base)")
-            .groupBy("bucket", "slice").agg(F.sort_array(F.collect_set("version")).alias("versions"))
-        )
-        return {(r.bucket, r.slice): list(r.versions) for r in live.collect()}
-
-    def _load(self, cells: dict[tuple[int, int], list[int]]) -> DataFrame:
+    def _state(self) -> _State:
+        try:
+            log = self.spark.read.schema(_LOG).json(f"{self.path}/_log")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return _State({}, {}, 0)
+        base = F.max(F.when(F.col("replaces"), F.col("version")))
+        entry = F.when(F.col("rows") > 0, F.struct("version", "cells"))
+        cells = log.groupBy("bucket", "slice").agg(
+            base.alias("base"), F.collect_list(entry).alias("entries"), F.max("version").alias("last"))
+        live = cells.select("bucket", "slice", "last", F.filter(
+            "entries", lambda e: F.col("base").isNull() | (e["version"] >= F.col("base"))).alias("entries"))
+        state = _State({}, {}, 0)
+        for row in live.collect():
+            state.last = max(state.last, row.last)
+            if row.entries:
+                state.cells[(row.bucket, row.slice)] = sorted(e.version for e in row.entries)
+                state.written.update((e.version, e.cells) for e in row.entries)
+        return state
+
+    def _load(self, state: _State, cells: set[Cell]) -> DataFrame:
         schema = T.StructType([*self.schema.fields, *_CELL_FIELDS])
-        if not cells:
+        by_version: dict[int, list[Cell]] = {}
+        for cell in sorted(cells):
+            for version in state.cells[cell]:
+                by_version.setdefault(version, []).append(cell)
+        paths = []
+        for version, wanted in by_version.items():
+            root = f"{self.path}/v={version}"
+            whole = len(wanted) == state.written[version]  # one path instead of one per cell
+            paths += [root] if whole else [f"{root}/_bucket={b}/_slice={s}" for b, s in wanted]
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        paths = [f"{self.path}/v={v}/_bucket={b}/_slice={s}" for (b, s), vs in sorted(cells.items()) for v in vs]
         loaded = self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths)
         return loaded.select(*[F.col(f"`{f.name}`").alias(f.name, metadata=f.metadata) for f in schema.fields])
 
@@ -209,18 +212,18 @@ class Collection:
         if order_by is None and "_seq" in prepared.columns:
             order_by = ["_seq"]
         columns = [*self.schema.names, *moved, *[c for c in order_by or [] if c not in self.schema.names]]
-        keyed = prepared.select(*columns).withColumn(
-            "_id", F.coalesce("_id", F.raise_error(F.lit("a document has no id"))))
-        return self._spill(mutate.latest(keyed, ["_id", "_routing"], order_by), version)
+        newest = mutate.latest(_with_id(prepared.select(*columns)), ["_id", "_routing"], order_by)
+        return self._spill(newest, version, "batch")
 
-    def _spill(self, df: DataFrame, version: int, name: str = "batch") -> DataFrame:
+    def _spill(self, df: DataFrame, version: int, name: str) -> DataFrame:
         path = f"{self.path}/_staged/{version}-{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def _write(self, docs: DataFrame, version: int, touched: set | None, replaces: bool) -> dict:
-        """Write the cells as a version and log it; returns rows per written cell.
+    def _write(self, docs: DataFrame, version: int, touched: set[Cell] | None) -> int:
+        """Write the cells as a version and log it; returns the number of rows.
 
+        The new files replace the `touched` cells, or are added where that is None.
         Rebalancing lets adaptive execution split large cells over several tasks and
         join small ones.
         """
@@ -228,10 +231,20 @@ class Collection:
         placed = self._with_cell(docs).hint("rebalance", *_CELL)
         placed.write.mode("overwrite").partitionBy(*_CELL).parquet(path)
         written = self.spark.read.schema(T.StructType(_CELL_FIELDS)).parquet(path)
-        rows = {(r[0], r[1]): r[2] for r in written.groupBy(*_CELL).count().collect()}
-        entries = [(version, b, s, replaces, rows.get((b, s), 0))
+        rows = self._count_by_cell(written)
+        entries = [(version, b, s, touched is not None, rows.get((b, s), 0), len(rows))
                    for b, s in sorted(rows if touched is None else touched)]
         if entries:
-            frame = self.spark.createDataFrame(entries, _LOG)
-            frame.coalesce(1).write.mode("append").json(f"{self.path}/_log")
-        return rows
+            log = self.spark.createDataFrame(entries, _LOG)
+            log.coalesce(1).write.mode("append").json(f"{self.path}/_log")
+        return sum(rows.values())
+
+
+def _matches(where: Column | None, routing: str | None) -> Column:
+    """The filter as true or false for every document."""
+    hit = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    return hit if routing is None else hit & F.coalesce(F.col("_routing") == routing, F.lit(False))
+
+
+def _with_id(df: DataFrame) -> DataFrame:
+    return df.withColumn("_id", F.coalesce("_id", F.raise_error(F.lit("a document has no id"))))
