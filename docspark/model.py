@@ -41,19 +41,21 @@ def field(
     analyzer: str | None = None,
     default=None,
     enum: list | None = None,
+    format: str | None = None,
     nested: bool = False,
     geohash: bool = True,
     extra: dict | None = None,
 ) -> T.StructField:
     """A schema field. `dtype` is a type name, a Spark type, or one of the helpers below.
 
+    `format` is the pattern of a date given as text; the default reads ISO-8601.
     `extra` is kept in the field's metadata as it is.
     """
     if index == "analyzed" and not analyzer:
         raise ModelError(f"analyzed field {name!r} is missing its analyzer")
     options = {
         "id": id, "key": key, "index": index, "analyzer": analyzer, "default": default,
-        "enum": enum, "nested": nested, "geohash": geohash, **(extra or {}),
+        "enum": enum, "format": format, "nested": nested, "geohash": geohash, **(extra or {}),
     }
     if geohash and dtype != "geopoint":
         del options["geohash"]
@@ -172,11 +174,7 @@ class DocModel:
         columns = []
         for f in self.schema.fields:
             if f.name in df.columns:
-                value = _conform(F.col(f"`{f.name}`"), df.schema[f.name].dataType, f.dataType, strict)
-                if f.metadata.get("enum"):
-                    refused = F.raise_error(F.lit(f"invalid value of {f.name}")) if strict else F.lit(None)
-                    value = F.when(value.isNull() | value.isin(f.metadata["enum"]), value).otherwise(
-                        refused.cast(f.dataType))
+                value = _conform(F.col(f"`{f.name}`"), df.schema[f.name].dataType, f, strict)
             else:
                 value = F.lit(None).cast(f.dataType)
             columns.append(value.alias(f.name, metadata=f.metadata))
@@ -266,27 +264,41 @@ def _metadata_columns(df: DataFrame) -> list[Column]:
             if c in df.columns]
 
 
-def _conform(column: Column, source: T.DataType, target: T.DataType, strict: bool) -> Column:
-    """Cast by field name through structs, arrays and maps."""
-    if source == target:
-        return column
+def _conform(column: Column, source: T.DataType, field: T.StructField, strict: bool) -> Column:
+    """Cast by field name through structs, arrays and maps, then check listed values."""
+    value = _convert(column, source, field.dataType, field.metadata, strict)
+    allowed = field.metadata.get("enum")
+    if not allowed:
+        return value
+    refused = F.raise_error(F.lit(f"invalid value of {field.name}")) if strict else F.lit(None)
+    return F.when(value.isNull() | value.isin(allowed), value).otherwise(refused.cast(field.dataType))
+
+
+def _convert(column: Column, source: T.DataType, target: T.DataType, metadata: dict, strict: bool) -> Column:
     if target == GEOPOINT and isinstance(source, T.ArrayType):
         lon, lat = (F.get(column, i).cast("double") for i in (0, 1))
         return F.when(F.size(column) == 2, F.struct(lon.alias("lon"), lat.alias("lat")))
     if isinstance(target, T.StructType) and isinstance(source, T.StructType):
         have = {f.name: f.dataType for f in source.fields}
         parts = [
-            (_conform(column.getField(f.name), have[f.name], f.dataType, strict)
+            (_conform(column.getField(f.name), have[f.name], f, strict)
              if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in target.fields
         ]
         return F.when(column.isNotNull(), F.struct(*parts))
     if isinstance(target, T.ArrayType) and isinstance(source, T.ArrayType):
-        return F.transform(column, lambda e: _conform(e, source.elementType, target.elementType, strict))
+        return F.transform(
+            column, lambda e: _convert(e, source.elementType, target.elementType, metadata, strict))
     if isinstance(target, T.MapType) and isinstance(source, T.MapType):
-        return F.transform_values(column, lambda _, v: _conform(v, source.valueType, target.valueType, strict))
+        return F.transform_values(
+            column, lambda _, v: _convert(v, source.valueType, target.valueType, metadata, strict))
+    if source == target:
+        return column
     if isinstance(target, T.VariantType) and isinstance(source, T.StringType):
         return F.parse_json(column) if strict else F.try_parse_json(column)
+    if metadata.get("format") and isinstance(source, T.StringType):
+        pattern = metadata["format"]
+        return F.to_timestamp(column, pattern) if strict else F.try_to_timestamp(column, F.lit(pattern))
     return column.cast(target) if strict else column.try_cast(target)
 
 

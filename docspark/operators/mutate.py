@@ -41,12 +41,19 @@ def upsert(
     document replaces the record under its old key.
     """
     extra = [c for c in batch.columns if c not in old.columns]
-    new = latest(batch, keys, [*(order_by or [])])
-    gone = new.select(*keys)
-    if old_keys:
-        previous = [F.coalesce(F.col(old_keys[k]), F.col(k)).alias(k) if k in old_keys else F.col(k) for k in keys]
-        gone = gone.unionByName(new.select(*previous))
-    return old.join(gone, keys, "left_anti").unionByName(new.drop(*extra), allowMissingColumns=True)
+    new = latest(batch, keys, order_by).drop(*extra)
+    gone = replaced_keys(batch, keys, old_keys)
+    return old.join(gone, keys, "left_anti").unionByName(new, allowMissingColumns=True)
+
+
+def replaced_keys(batch: DataFrame, keys: list[str], old_keys: dict[str, str] | None = None) -> DataFrame:
+    """The distinct keys under which the documents of a batch are, or were, stored."""
+    if not old_keys:
+        return batch.select(*keys).distinct()
+    now = F.struct(*[F.col(k) for k in keys])
+    before = F.struct(*[
+        (F.coalesce(F.col(old_keys[k]), F.col(k)) if k in old_keys else F.col(k)).alias(k) for k in keys])
+    return batch.select(F.inline(F.array(now, before))).distinct()
 
 
 def update(

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docspark.operators.predicates import none_of
+from docspark.operators.predicates import all_of, none_of
+
+_KEY, _COUNT, _SALT = "_related_key", "_related_count", "_related_salt"
 
 
 def has_child(
@@ -30,16 +32,16 @@ def has_child(
     if low is not None and high is not None and low > high:
         raise ValueError("min_children must not be greater than max_children")
     matching = children if where is None else children.where(where)
-    fk = F.col(child_fk)
+    keys = matching.select(F.col(child_fk).alias(_KEY))
     if (low is None or low <= 1) and high is None:
-        return F.lit(True) if low == 0 else _exists(matching.select(fk).distinct(), child_fk, parent_id)
-    counts = matching.where(fk.isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("_n"))
+        return F.lit(True) if low == 0 else _exists(keys.distinct(), parent_id)
+    counts = keys.where(F.col(_KEY).isNotNull()).groupBy(_KEY).agg(F.count(F.lit(1)).alias(_COUNT))
     if low == 0:
-        return none_of(_exists(counts.where(F.col("_n") > high), child_fk, parent_id))
-    kept = counts.where(F.col("_n") >= (1 if low is None else low))
+        return none_of(_exists(counts.where(F.col(_COUNT) > high), parent_id))
+    kept = counts.where(F.col(_COUNT) >= (1 if low is None else low))
     if high is not None:
-        kept = kept.where(F.col("_n") <= high)
-    return _exists(kept, child_fk, parent_id)
+        kept = kept.where(F.col(_COUNT) <= high)
+    return _exists(kept, parent_id)
 
 
 def has_parent(
@@ -58,20 +60,20 @@ def has_parent(
     among the children of one parent. The rows of a parent are then spread over
     `salt` tasks and the matching parent ids repeated for each.
     """
-    keys = (parents if where is None else parents.where(where)).select(F.col(parent_id))
+    keys = (parents if where is None else parents.where(where)).select(F.col(parent_id).alias(_KEY))
     if salt <= 1:
-        return _exists(keys, parent_id, child_fk)
+        return _exists(keys, child_fk)
     if salt_by is None:
         raise ValueError("salt needs salt_by")
-    salted = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    row_salt = F.pmod(F.xxhash64(F.col(salt_by).outer()), F.lit(salt)).cast("int")
-    return salted.where(
-        (F.col(parent_id) == F.col(child_fk).outer()) & (F.col("_salt") == row_salt)
-    ).exists()
+    salted = keys.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    row_salt = F.pmod(F.xxhash64(F.col(salt_by)), F.lit(salt)).cast("int")
+    return _exists(salted, child_fk, F.col(_SALT) == row_salt.outer())
 
 
-def _exists(keys: DataFrame, key: str, outer_key: str) -> Column:
-    return keys.where(F.col(key) == F.col(outer_key).outer()).exists()
+def _exists(keys: DataFrame, outer_key: str, *also: Column) -> Column:
+    # A name is looked up in the inner query first, and past a projection too. The
+    # alias ends that search, so only the key columns can be taken for outer ones.
+    return keys.alias("_related").where(all_of(F.col(_KEY) == F.col(outer_key).outer(), *also)).exists()
 
 
 def _bound(name: str, value) -> int | None:

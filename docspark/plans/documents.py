@@ -12,7 +12,7 @@ from docspark.operators.predicates import Doc, none_of
 from docspark.plans.registry import query, table
 from docspark.settings import shared_dir
 from docspark.sources.collection import Collection
-from docspark.sources.indexes import read_indexes
+from docspark.sources.indexes import folder_indexes, read_indexes
 from docspark.streaming.upserts import upsert_stream
 from docspark.streaming.windows import windowed_stats
 
@@ -93,6 +93,12 @@ def index_glob(spark, d):
     return read_indexes(indexes, "cust*,supplier")
 
 
+@query("""
+    SELECT 'nation' AS _index, * FROM nation UNION ALL BY NAME SELECT 'region' AS _index, * FROM region""")
+def index_folder(spark, d):
+    return read_indexes(folder_indexes(spark, d), "nation,reg*")
+
+
 @query("""
     SELECT CAST(event_id AS BIGINT) AS event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
            CAST(value AS BIGINT) AS whole FROM

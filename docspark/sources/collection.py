@@ -78,25 +78,23 @@ class Collection:
         A document that changes its id or route names its old place in `_old_id` and
         `_old_routing`, and is removed there. Returns the number of documents written.
         """
-        state = self._state()
+        state, keys = self._state(), ["_id", "_routing"]
         version = state.last + 1
-        # the batch is used twice, so it is written once, beside the data
+        # the batch is used more than once, so it is written once, beside the data
         staged = self._stage(self.model.prepare(batch, index, routing), version, order_by)
-        counts = self._count_by_cell(self._with_cell(staged))
-        if not counts:
+        if order_by is None and "_seq" in staged.columns:
+            order_by = ["_seq"]
+        moved = {k: f"_old{k}" for k in keys if f"_old{k}" in staged.columns}
+        gone = mutate.replaced_keys(staged, keys, moved)
+        touched = set(self._count_by_cell(self._with_cell(gone)))
+        if not touched:
             return 0
-        touched, gone = set(counts), staged.select("_id", "_routing")
-        if {"_old_id", "_old_routing"} & set(staged.columns):
-            old = {n: F.coalesce(F.col(f"_old{n}") if f"_old{n}" in staged.columns else F.lit(None), F.col(n))
-                   for n in ("_id", "_routing")}
-            before = staged.select(*[c.alias(n) for n, c in old.items()])
-            touched |= set(self._count_by_cell(self._with_cell(before)))
-            gone = gone.unionByName(before).distinct()
         kept = self._load(state, touched & set(state.cells)).select(*self.schema.names)
-        kept = kept.join(gone, ["_id", "_routing"], "left_anti")
-        self._write(kept.unionByName(staged.select(*self.schema.names)), version, touched)
+        newest = mutate.latest(staged, keys, order_by).select(*self.schema.names)
+        merged = kept.join(gone, keys, "left_anti").unionByName(newest)
+        self._write(merged, version, touched)
         self.model.run_hooks("post-save", staged)
-        return sum(counts.values())
+        return staged.select(*keys).distinct().count()
 
     insert = upsert
 
@@ -208,12 +206,9 @@ class Collection:
         return loaded.select(*[F.col(f"`{f.name}`").alias(f.name, metadata=f.metadata) for f in schema.fields])
 
     def _stage(self, prepared: DataFrame, version: int, order_by: list[str] | None) -> DataFrame:
-        moved = [c for c in ("_old_id", "_old_routing") if c in prepared.columns]
-        if order_by is None and "_seq" in prepared.columns:
-            order_by = ["_seq"]
-        columns = [*self.schema.names, *moved, *[c for c in order_by or [] if c not in self.schema.names]]
-        newest = mutate.latest(_with_id(prepared.select(*columns)), ["_id", "_routing"], order_by)
-        return self._spill(newest, version, "batch")
+        extra = [c for c in ("_old_id", "_old_routing", "_seq") if c in prepared.columns]
+        extra += [c for c in order_by or [] if c not in self.schema.names and c not in extra]
+        return self._spill(_with_id(prepared.select(*self.schema.names, *extra)), version, "batch")
 
     def _spill(self, df: DataFrame, version: int, name: str) -> DataFrame:
         path = f"{self.path}/_staged/{version}-{name}"

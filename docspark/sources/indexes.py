@@ -29,6 +29,17 @@ def catalog_indexes(spark: SparkSession, database: str | None = None) -> dict[st
     return {t.name: lambda n=".".join([*(t.namespace or []), t.name]): spark.table(n) for t in tables}
 
 
+def folder_indexes(spark: SparkSession, folder: str) -> dict[str, Callable[[], DataFrame]]:
+    """Name -> loader of every Parquet table in a folder: `name.parquet`, or a folder `name`."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    entries = [s.getPath() for s in files.listStatus(path)]
+    visible = sorted((e.getName(), e.toString()) for e in entries if e.getName()[0] not in "_.")
+    return {
+        name.removesuffix(".parquet"): lambda where=where: spark.read.parquet(where) for name, where in visible
+    }
+
+
 def read_indexes(indexes: Mapping[str, DataFrame | Callable[[], DataFrame]], glob: str) -> DataFrame:
     """Bag union of the matching containers; columns that one of them lacks are null there.
 

@@ -112,6 +112,18 @@ def test_split_castable(spark):
     assert sorted((r.id is None, r.id) for r in good.collect()) == [(False, 1), (True, None)]
 
 
+def test_date_format_and_nested_enum(spark):
+    m = model(field("d", "date", format="dd/MM/yyyy"), field("o", object_of(field("s", enum=["x"]))))
+    raw = spark.createDataFrame([("31/12/2020", ("x",)), ("2020-12-31", ("x",)), (None, ("z",))],
+                                "d string, o struct<s: string>")
+    good, bad = m.split_castable(raw)
+    assert [r.d for r in good.collect()] == [dt.datetime(2020, 12, 31)] and bad.count() == 2
+    with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP"):
+        m.cast(raw.drop("o")).collect()
+    with pytest.raises(Exception, match="invalid value of s"):
+        m.cast(raw.drop("d")).collect()
+
+
 def test_prepare(spark):
     child = DocModel("Sheltered", animal_model().schema, index="shelters", parent="Shelter")
     raw = spark.createDataFrame([("baloo", "farm"), ("stray", None)], "animalId string, _parent string")

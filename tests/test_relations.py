@@ -66,6 +66,20 @@ def test_relative_of_a_relative(spark, shelters, sheltered):
     assert ids(sheltered, siblings, "animal") == "123"
 
 
+def test_same_column_names_on_both_sides(spark):
+    """Parents and children both have `_id` and `_parent`; the names do not mix."""
+    parents = spark.createDataFrame([("a", "z"), ("b", "a"), ("c", None)], "_id string, _parent string")
+    children = spark.createDataFrame([("a", "b"), ("c", "b"), ("9", "c")], "_id string, _parent string")
+    assert ids(parents, has_child(children, "_id", "_parent")) == "bc"
+    assert ids(parents, has_child(children, "_id", "_parent", min_children=2)) == "b"
+    assert ids(parents, has_child(children, "_id", "_parent", max_children=1)) == "c"
+    for salt in ({}, {"salt": 3, "salt_by": "_id"}):
+        rooted = has_parent(parents, "_parent", "_id", where=Doc(parents)["_parent"].exists(), **salt)
+        assert ids(children, rooted) == "ac"
+        assert ids(children, rooted | Doc(children)["_id"].eq("9")) == "9ac"
+        assert ids(parents, has_parent(parents, "_parent", "_id", **salt)) == "b"  # a table with itself
+
+
 def test_plans(spark, shelters, sheltered):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
