@@ -174,14 +174,15 @@ def aggregate(
     return _grouped(frame, spec)
 
 
-def _grouped(frame: DataFrame, spec: Spec) -> DataFrame:
-    doc = Doc(frame)
-    measures = [_stat(doc[p], name).alias(stat_name(p, name)) for p, name in spec.statistics()]
-    if spec.total or not (measures or spec.by):
-        measures.insert(0, F.count(F.lit(1)).alias("total"))
-    if not spec.by:
-        return frame.agg(*measures)
-    resolved = [key.resolve(doc) for key in spec.by]
+def measures(doc: Doc, spec: Spec) -> list[Column]:
+    """The total and statistics of a spec, under their output names."""
+    columns = [_stat(doc[p], name).alias(stat_name(p, name)) for p, name in spec.statistics()]
+    return [F.count(F.lit(1)).alias("total"), *columns] if spec.total else columns
+
+
+def keyed_rows(frame: DataFrame, by: list[GroupKey]) -> tuple[DataFrame, list[str]]:
+    """(rows with key columns `_k0.._kn`, one per group a document falls in; their names)."""
+    resolved = [key.resolve(Doc(frame)) for key in by]
     names = [f"_k{i}" for i in range(len(resolved))]
     keyed = frame.select("*", *[c.alias(n) for n, (c, _) in zip(names, resolved)])
     for name, (_, many) in zip(names, resolved):
@@ -189,9 +190,18 @@ def _grouped(frame: DataFrame, spec: Spec) -> DataFrame:
             # An inner explode infers a filter on the array's size, and pushing it down
             # computes the array twice; the null keys of an outer one are dropped below.
             keyed = keyed.withColumn(name, F.explode_outer(name))
-    keyed = keyed.where(reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names]))
+    for name in names:
+        keyed = keyed.where(F.col(name).isNotNull())
+    return keyed, names
+
+
+def _grouped(frame: DataFrame, spec: Spec) -> DataFrame:
+    columns = measures(Doc(frame), spec)
+    if not spec.by:
+        return frame.agg(*(columns or [F.count(F.lit(1)).alias("total")]))
+    keyed, names = keyed_rows(frame, spec.by)
     keys = [F.col(n).alias(n[1:]) for n in names]
-    return keyed.groupBy(*keys).agg(*measures) if measures else keyed.select(*keys).distinct()
+    return keyed.groupBy(*keys).agg(*columns) if columns else keyed.select(*keys).distinct()
 
 
 def top_groups(groups: DataFrame, k: int) -> DataFrame:
@@ -245,9 +255,9 @@ def aggregate_multi_long(
     ]
     if complete:
         rows = rows.where(reduce(lambda a, b: a & b, complete))
-    measures = [F.count(F.lit(1)).alias("total")]
-    measures += [_stat(doc[p], stat).alias(stat_name(p, stat)) for p, stat in pairs]
-    grouped = rows.groupBy(*[F.col(c).alias(c[1:]) for c in ("_name", *keys)]).agg(*measures)
+    columns = [F.count(F.lit(1)).alias("total")]
+    columns += [_stat(doc[p], stat).alias(stat_name(p, stat)) for p, stat in pairs]
+    grouped = rows.groupBy(*[F.col(c).alias(c[1:]) for c in ("_name", *keys)]).agg(*columns)
 
     def asked(column: str, names: list[str]) -> Column:
         return F.when(F.col("name").isin(names), F.col(column)).alias(column)

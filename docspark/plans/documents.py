@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from docspark.functions.geo import _BASE32, geohash
 from docspark.model import DocModel, field, map_of, object_of
 from docspark.operators import mutate
+from docspark.operators.aggregate import by_field
 from docspark.operators.find import count, find, project
 from docspark.operators.predicates import Doc, none_of
 from docspark.plans.registry import query, table
@@ -285,7 +286,7 @@ def stream_windows(spark, d):
     """Statistics of the closed windows of a stream."""
     source = table(spark, d, "events")
     stream = spark.readStream.schema(source.schema).parquet(f"{d}/events.parquet*")
-    stats = windowed_stats(stream, "ts", "PT6H", late="PT1H", by=["event_type"], stats={"value": ["max"]})
+    stats = windowed_stats(stream, "ts", "PT6H", late="PT1H", by=[by_field("event_type")], stats={"value": ["max"]})
     out = shared_dir(spark)
     writer = stats.writeStream.outputMode("append").option("checkpointLocation", shared_dir(spark))
     writer.trigger(availableNow=True).format("parquet").option("path", out).start().awaitTermination()

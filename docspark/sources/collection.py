@@ -17,11 +17,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from docspark.model import DocModel
+from docspark.functions.geo import geohash
+from docspark.model import GEOPOINT, DocModel
 from docspark.operators import mutate
-from docspark.operators.predicates import all_of
+from docspark.operators.aggregate import aggregate
+from docspark.operators.find import count, find
+from docspark.operators.predicates import Doc, all_of
 
 _META = [T.StructField(n, T.StringType()) for n in ("_id", "_parent", "_routing", "_index")]
 _CELL = ("_bucket", "_slice")
@@ -45,13 +48,21 @@ class Collection:
 
     `buckets` and `slices` are fixed when the collection is created; take enough
     cells that one holds a few files, for example 512 x 8 for tens of terabytes.
+    Files are sorted by the fields in `cluster_by`, points by their geohash, so that
+    a range or distance filter skips most row groups of a cell.
     """
 
-    def __init__(self, spark: SparkSession, path: str, model: DocModel, buckets: int = 16, slices: int = 2):
+    def __init__(self, spark: SparkSession, path: str, model: DocModel, buckets: int = 16, slices: int = 2,
+                 cluster_by: tuple[str, ...] = ()):
         self.spark, self.path, self.model = spark, path.rstrip("/"), model
-        self.buckets, self.slices = buckets, slices
+        self.buckets, self.slices, self.cluster_by = buckets, slices, cluster_by
         self.schema = T.StructType([*model.schema.fields, *_META])
 
+    @property
+    def doc(self) -> Doc:
+        """Paths of the documents, with the model's derived search columns."""
+        return Doc(self.model.searchable(self.spark.createDataFrame([], self.schema)))
+
     # -- reading -----------------------------------------------------------
 
     def read(self, routing: str | None = None, ids: list[str] | None = None) -> DataFrame:
@@ -69,6 +80,18 @@ class Collection:
         """`read` with the model's derived search columns."""
         return self.model.searchable(self.read(routing))
 
+    def find(self, where: Column | None = None, routing: str | None = None, **options) -> DataFrame:
+        """A page of the stored documents; options of `operators.find.find`."""
+        found = find(self.search(routing), where, **options)
+        return found.drop(*[c for c in self.doc.schema.names if c not in self.schema.names])
+
+    def count(self, where: Column | None = None, routing: str | None = None) -> int:
+        return count(self.search(routing), where).first()[0]
+
+    def aggregate(self, *args, routing: str | None = None, **options) -> DataFrame:
+        """Grouped statistics of the stored documents; arguments of `operators.aggregate.aggregate`."""
+        return aggregate(self.search(routing), *args, **options)
+
     # -- writing -----------------------------------------------------------
 
     def upsert(self, batch: DataFrame, order_by: list[str] | None = None, index: str | None = None,
@@ -145,6 +168,10 @@ class Collection:
 
     # -- cells -------------------------------------------------------------
 
+    def _cluster_columns(self) -> list[Column]:
+        paths = [Doc(self.schema)[p] for p in self.cluster_by]
+        return [geohash(p.column["lon"], p.column["lat"]) if p.dtype == GEOPOINT else p.column for p in paths]
+
     def _with_cell(self, df: DataFrame) -> DataFrame:
         return df.withColumns({
             "_bucket": F.pmod(F.xxhash64("_routing"), F.lit(self.buckets)).cast("int"),
@@ -175,18 +202,14 @@ class Collection:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return _State({}, {}, 0)
-        base = F.max(F.when(F.col("replaces"), F.col("version")))
-        entry = F.when(F.col("rows") > 0, F.struct("version", "cells"))
-        cells = log.groupBy("bucket", "slice").agg(
-            base.alias("base"), F.collect_list(entry).alias("entries"), F.max("version").alias("last"))
-        live = cells.select("bucket", "slice", "last", F.filter(
-            "entries", lambda e: F.col("base").isNull() | (e["version"] >= F.col("base"))).alias("entries"))
+        base = F.max(F.when(F.col("replaces"), F.col("version"))).over(Window.partitionBy("bucket", "slice"))
+        live = log.withColumn("base", base).where("base IS NULL OR version >= base")
         state = _State({}, {}, 0)
-        for row in live.collect():
-            state.last = max(state.last, row.last)
-            if row.entries:
-                state.cells[(row.bucket, row.slice)] = sorted(e.version for e in row.entries)
-                state.written.update((e.version, e.cells) for e in row.entries)
+        for row in live.orderBy("version").collect():
+            state.last = row.version
+            if row.rows:
+                state.cells.setdefault((row.bucket, row.slice), []).append(row.version)
+                state.written[row.version] = row.cells
         return state
 
     def _load(self, state: _State, cells: set[Cell]) -> DataFrame:
@@ -224,6 +247,8 @@ class Collection:
         """
         path = f"{self.path}/v={version}"
         placed = self._with_cell(docs).hint("rebalance", *_CELL)
+        if self.cluster_by:
+            placed = placed.sortWithinPartitions(*_CELL, *self._cluster_columns())
         placed.write.mode("overwrite").partitionBy(*_CELL).parquet(path)
         written = self.spark.read.schema(T.StructType(_CELL_FIELDS)).parquet(path)
         rows = self._count_by_cell(written)

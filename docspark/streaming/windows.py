@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from docspark.functions.dates import duration_seconds
-from docspark.operators.aggregate import Spec, _stat, stat_name
+from docspark.operators.aggregate import GroupKey, Spec, keyed_rows, measures
 from docspark.operators.predicates import Doc
 
 
@@ -14,23 +14,19 @@ def windowed_stats(
     time: str,
     duration: str,
     late: str,
-    by: list[str] | None = None,
+    by: list[GroupKey] | None = None,
     stats: str | dict[str, list[str]] | None = None,
 ) -> DataFrame:
-    """`k0` the start of the time bucket, `k1..` the fields in `by`, `total` and statistics.
+    """`k0` the start of the time bucket, `k1..` the keys in `by`, `total` and statistics.
 
     Buckets are fixed-width from the epoch. In append mode a bucket comes out once
     the watermark, `late` behind the newest time seen, has passed its end; state
     is kept for open buckets only, and partial aggregates are what is shuffled.
     """
-    doc = Doc(stream)
-    spec = Spec(stats=stats, total=True)
-    measures = [_stat(doc[p], name).alias(stat_name(p, name)) for p, name in spec.statistics()]
-    keys = [F.col(p).alias(f"k{i + 1}") for i, p in enumerate(by or [])]
     timed = stream.withColumn(time, F.col(time).cast("timestamp"))
-    grouped = (
-        timed.withWatermark(time, f"{duration_seconds(late):f} seconds")
-        .groupBy(F.window(time, f"{duration_seconds(duration):f} seconds").alias("_window"), *keys)
-        .agg(F.count(F.lit(1)).alias("total"), *measures)
-    )
+    timed = timed.withWatermark(time, f"{duration_seconds(late):f} seconds")
+    rows, keys = keyed_rows(timed, by or [])
+    window = F.window(time, f"{duration_seconds(duration):f} seconds").alias("_window")
+    renamed = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys, start=1)]
+    grouped = rows.groupBy(window, *renamed).agg(*measures(Doc(timed), Spec(stats=stats, total=True)))
     return grouped.select(F.col("_window.start").alias("k0"), *[c for c in grouped.columns if c != "_window"])

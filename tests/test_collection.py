@@ -1,9 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import animal_model
+from conftest import animal_model, plan_of
 from docspark import (
-    Collection, Doc, catalog_indexes, delete, delete_keys, field, find, first_match, glob_filter, object_of,
+    Collection, Doc, by_field, catalog_indexes, delete, delete_keys, field, find, first_match, glob_filter, object_of,
     read_indexes, unmatched_keys, update, upsert, DocModel,
 )
 from docspark.operators.mutate import latest
@@ -136,6 +136,29 @@ def test_search_columns(spark, dogs):
     assert rows(find(view, Doc(view)["name__kw"].text("CHARLES")), "_id") == [("charles",)]
 
 
+def test_find_count_aggregate(spark, animals):
+    store = Collection(spark, shared_dir(spark), animal_model().add_index("name", "standard", "words"),
+                       cluster_by=("loc", "name"))
+    store.insert(animals)
+    doc = store.doc
+    page = store.find(doc["name__words"].text("charles"), sort={"name": 1}, include=["name", "loc.lat"])
+    assert page.columns == ["name", "loc", "_id", "_parent", "_routing", "_index"]
+    assert rows(page, "name") == [("Charles Barkley",)]
+    assert store.count(doc["isDog"].eq(True)) == 2 and store.count(routing="Ein") == 1
+    assert {r.k0: r.total for r in store.aggregate(by_field("isDog"), total=True).collect()} == {True: 2, False: 1}
+
+
+def test_points_are_clustered_and_filters_reach_the_scan(spark):
+    store = Collection(spark, shared_dir(spark), animal_model(), buckets=1, slices=1, cluster_by=("loc",))
+    store.append(spark.range(2000).select(
+        F.col("id").cast("string").alias("animalId"),
+        F.array((F.rand(1) * 360 - 180), (F.rand(2) * 180 - 90)).alias("loc")))
+    near = store.find(store.doc["loc"].near(10, 10, 100_000))
+    assert "GreaterThanOrEqual(loc.lat" in plan_of(near) and "LessThanOrEqual(loc.lon" in plan_of(near)
+    hashes = [r[0] for r in store.search().select("loc__geohash").collect()]
+    assert hashes == sorted(hashes)
+
+
 def test_dogs_with_default_values(spark):
     model = DocModel("D", object_of(field("id", id=True), field("n", "integer", default=7)))
     store = Collection(spark, shared_dir(spark), model)

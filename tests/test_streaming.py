@@ -1,7 +1,7 @@
 import datetime as dt
 
 from conftest import animal_model
-from docspark import Collection
+from docspark import Collection, by_field, by_ranges
 from docspark.settings import shared_dir
 from docspark.streaming.upserts import upsert_stream
 from docspark.streaming.windows import windowed_stats
@@ -32,9 +32,22 @@ def test_windowed_stats(spark, tmp_path):
     df = spark.createDataFrame(rows, "t timestamp, k string, v double")
     df.coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
-    stats = windowed_stats(stream, "t", "PT10M", late="PT1M", by=["k"], stats={"v": ["sum"]})
+    stats = windowed_stats(stream, "t", "PT10M", late="PT1M", by=[by_field("k")], stats={"v": ["sum"]})
     query = (stats.writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out"))
              .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     query.awaitTermination()
     got = {(r.k0, r.k1): (r.total, r.v_sum) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {(start, "x"): (2, 5.0), (start + dt.timedelta(minutes=10), "y"): (1, 12.0)}
+
+
+def test_windowed_stats_with_overlapping_ranges(spark, tmp_path):
+    start = dt.datetime(2020, 1, 1)
+    rows = [(start + dt.timedelta(hours=h), float(v)) for h, v in [(0, 1), (1, 5), (30, 0)]]
+    df = spark.createDataFrame(rows, "t timestamp, v double")
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    stats = windowed_stats(stream, "t", "P1D", late="PT1S", by=[by_ranges("v", [(0, 3), (1, None)])])
+    (stats.writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out"))
+     .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination())
+    assert {(r.k0, r.k1): r.total for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {
+        (start, 0): 1, (start, 1): 2}
