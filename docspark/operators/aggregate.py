@@ -232,22 +232,26 @@ def aggregate_multi_long(
     """
     matched = df if where is None else df.where(where)
     doc = Doc(matched)
-    width = max(len(s.by) for s in specs.values())
     resolved = {name: [key.resolve(doc) for key in s.by] for name, s in specs.items()}
+    width = max(len(cols) for cols in resolved.values())
     types = _key_types(matched, resolved, width)
+    arrays = [any(cols[i][1] for cols in resolved.values() if i < len(cols)) for i in range(width)]
 
+    # One row per aggregate; a key that some aggregate takes from an array is an array
+    # in all of them, and is exploded after.
     keys = [f"_k{i}" for i in range(width)]
     pairs = list(dict.fromkeys(p for s in specs.values() for p in s.statistics()))
-    cast = {
-        name: [(_as_key(c, many, t), many) for (c, many), t in zip(cols, types)]
-        for name, cols in resolved.items()
-    }
-    if any(many for cols in cast.values() for _, many in cols):
-        groups = F.inline(F.concat(*[_key_rows(name, cols, types) for name, cols in cast.items()]))
-    else:
-        cells = [v for name, cols in cast.items() for v in _padded(name, [c for c, _ in cols], types)]
-        groups = F.stack(F.lit(len(cast)), *cells)
-    rows = matched.select("*", groups.alias("_name", *keys))
+    groups = []
+    for name, cols in resolved.items():
+        fields = [F.lit(name).alias("name")]
+        for i, (dtype, is_array) in enumerate(zip(types, arrays)):
+            value, many = cols[i] if i < len(cols) else (F.lit(None), is_array)
+            value = F.array(value) if is_array and not many else value
+            fields.append(value.cast(T.ArrayType(dtype) if is_array else dtype).alias(f"k{i}"))
+        groups.append(F.struct(*fields))
+    rows = matched.select("*", F.inline(F.array(*groups)).alias("_name", *keys))
+    for key, is_array in zip(keys, arrays):
+        rows = rows.withColumn(key, F.explode_outer(key)) if is_array else rows
     complete = [
         (F.col("_name") != name)
         | reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys[:len(s.by)]])
@@ -277,37 +281,6 @@ def _key_types(df: DataFrame, resolved: dict, width: int) -> list[T.DataType]:
     return [types[0] if all(t == types[0] for t in types) else T.StringType() for types in seen]
 
 
-def _as_key(c: Column, many: bool, dtype: T.DataType) -> Column:
-    return F.transform(c, lambda v: v.cast(dtype)) if many else c.cast(dtype)
-
-
-def _padded(name: str, values: list[Column], types: list[T.DataType]) -> list[Column]:
-    values = values + [F.lit(None)] * (len(types) - len(values))
-    return [F.lit(name), *[v.cast(t) for v, t in zip(values, types)]]
-
-
-def _key_rows(name: str, columns: list[tuple[Column, bool]], types: list[T.DataType]) -> Column:
-    """Array of (name, k0..kn) structs of one document: every combination of its keys."""
-    def rows(position: int, bound: list[Column]) -> Column:
-        if position == len(columns):
-            first, *rest = _padded(name, bound, types)
-            fields = [v.alias(f"k{i}") for i, v in enumerate(rest)]
-            return F.array(F.struct(first.alias("name"), *fields))
-        column, many = columns[position]
-        if not many:
-            return rows(position + 1, [*bound, column])
-        return F.flatten(F.transform(column, lambda v: rows(position + 1, [*bound, v])))
-
-    # a missing array has no groups
-    return F.coalesce(rows(0, []), F.array().cast(_row_type(types)))
-
-
-def _row_type(types: list[T.DataType]) -> T.ArrayType:
-    fields = [T.StructField("name", T.StringType())]
-    fields += [T.StructField(f"k{i}", t) for i, t in enumerate(types)]
-    return T.ArrayType(T.StructType(fields))
-
-
 def to_documents(groups: DataFrame, spec: Spec) -> DataFrame:
     """The aggregate as JSON documents `{keys, stats, total}` in a column `json`.
 

@@ -134,7 +134,7 @@ class Collection:
         if counts:
             keys = tuple(p for p in [self.model.id_path] if p)
             changed = mutate.update(self._load(state, {*counts}), hit, set, unset, replace, keys, skip)
-            self._write(changed.select(*self.schema.names), state.last + 1, {*counts})
+            self._write(changed.select(*self.schema.names), state.last + 1, {*counts}, in_place=True)
         return sum(counts.values())
 
     def delete(self, where: Column | None = None, routing: str | None = None) -> int:
@@ -147,7 +147,7 @@ class Collection:
         if counts:
             loaded = self._load(state, set(counts)).select(*self.schema.names)
             self.model.run_hooks("pre-remove", loaded.where(hit))
-            self._write(loaded.where(~hit), state.last + 1, set(counts))
+            self._write(loaded.where(~hit), state.last + 1, set(counts), in_place=True)
             self.model.run_hooks("post-remove", loaded.where(hit))
         return sum(counts.values())
 
@@ -238,15 +238,18 @@ class Collection:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def _write(self, docs: DataFrame, version: int, touched: set[Cell] | None) -> int:
+    def _write(self, docs: DataFrame, version: int, touched: set[Cell] | None, in_place: bool = False) -> int:
         """Write the cells as a version and log it; returns the number of rows.
 
         The new files replace the `touched` cells, or are added where that is None.
-        Rebalancing lets adaptive execution split large cells over several tasks and
-        join small ones.
+        Documents that stay `in_place` are written by the task that read them. Others
+        are rebalanced: adaptive execution splits large cells over several tasks and
+        joins small ones.
         """
         path = f"{self.path}/v={version}"
-        placed = self._with_cell(docs).hint("rebalance", *_CELL)
+        placed = self._with_cell(docs)
+        if not in_place:
+            placed = placed.hint("rebalance", *_CELL)
         if self.cluster_by:
             placed = placed.sortWithinPartitions(*_CELL, *self._cluster_columns())
         placed.write.mode("overwrite").partitionBy(*_CELL).parquet(path)
