@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import date, datetime
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from docspark.functions import dates, text
+from docspark.functions import dates, literals, text
 from docspark.operators.predicates import Doc, Path
 
 STATS = ("count", "min", "max", "avg", "sum")
@@ -57,9 +57,9 @@ def by_ranges(path: str, ranges: list[tuple]) -> GroupKey:
     def member(c: Column, dtype: T.DataType, low, high) -> Column:
         bounds = [c.isNotNull()]
         if low is not None:
-            bounds.append(c >= _bound(low, dtype))
+            bounds.append(c >= literals.compared(low, dtype))
         if high is not None:
-            bounds.append(c < _bound(high, dtype))
+            bounds.append(c < literals.compared(high, dtype))
         return reduce(lambda a, b: a & b, bounds)
 
     def first_member(c: Column, dtype: T.DataType) -> Column:
@@ -91,7 +91,10 @@ def by_interval(path: str, width: float, base: float = 0) -> GroupKey:
 def by_duration(path: str, duration: str, base: datetime | None = None) -> GroupKey:
     """Fixed-width time buckets from the epoch (or `base`, in UTC), width as ISO-8601."""
     width = round(dates.duration_seconds(duration) * 10**6)
-    origin = 0 if base is None else round((base - datetime(1970, 1, 1)).total_seconds() * 10**6)
+    origin = 0
+    if base is not None:
+        base = base if base.tzinfo else base.replace(tzinfo=timezone.utc)
+        origin = round((base - datetime(1970, 1, 1, tzinfo=timezone.utc)).total_seconds() * 10**6)
     return GroupKey(path, lambda c, dtype: dates.fixed_bucket(c, dtype, width, origin))
 
 
@@ -102,12 +105,6 @@ def by_component(path: str, unit: str, count: int = 1) -> GroupKey:
     return GroupKey(path, lambda c, dtype: dates.unit_bucket(c, dtype, unit, count))
 
 
-def _bound(value, dtype: T.DataType) -> Column:
-    if isinstance(value, (date, datetime, str)):
-        return F.lit(value).cast(dtype)
-    return F.lit(value)
-
-
 def _disjoint(ranges: list[tuple]) -> bool:
     ordered = sorted(ranges, key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0))
     return all(

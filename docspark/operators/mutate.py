@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docspark.functions import literals
 from docspark.operators.predicates import Doc, none_of
 
 
@@ -86,7 +87,7 @@ def update(
     by_root: dict[str, list[tuple[list[str], Column]]] = {}
     for path, value in changes.items():
         target = doc[path]
-        new = value.cast(target.dtype) if isinstance(value, Column) else _literal(value, target)
+        new = literals.stored(value, target.dtype)
         root, *inner = path.split(".")
         by_root.setdefault(root, []).append((inner, new))
     columns = []
@@ -99,10 +100,6 @@ def update(
     return df.select(*columns)
 
 
-def _literal(value, target) -> Column:
-    return F.lit(value).cast(target.dtype)
-
-
 def _put(column: Column, inner: list[str], value: Column) -> Column:
     return value if not inner else column.withField(".".join(f"`{n}`" for n in inner), value)
 

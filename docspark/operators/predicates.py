@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from docspark.functions import geo, text
+from docspark.functions import geo, literals, text
 
 _OPERATORS: dict[str, Callable[..., Column]] = {}
 
@@ -103,15 +103,15 @@ class Path:
         default = self.metadata.get("default")
         if default is None or self.is_array:
             return self._column
-        return F.coalesce(self._column, self.literal(default))
+        return F.coalesce(self._column, literals.stored(default, self.value_type))
 
     def literal(self, value) -> Column:
-        """A value cast to the field's type; a value that cannot be cast fails the query."""
+        """A value to compare with this field."""
         if isinstance(value, Column):
             return value
         if isinstance(self.dtype, T.VariantType):
             return F.lit(value)
-        return F.lit(value).cast(self.value_type)
+        return literals.compared(value, self.value_type)
 
     def cast(self, dtype: str) -> Path:
         """The same field read as another type; for open (`mixed`) fields mainly."""
@@ -136,7 +136,7 @@ class Path:
         if default is None:
             return test(self._column)
         # kept apart from the column so that the comparison still reaches the scan
-        return test(self._column) | (self._column.isNull() & test(self.literal(default)))
+        return test(self._column) | (self._column.isNull() & test(literals.stored(default, self.value_type)))
 
     # -- values ------------------------------------------------------------
 

@@ -109,7 +109,8 @@ class Collection:
             order_by = ["_seq"]
         moved = {k: f"_old{k}" for k in keys if f"_old{k}" in staged.columns}
         gone = mutate.replaced_keys(staged, keys, moved)
-        touched = set(self._count_by_cell(self._with_cell(gone)))
+        counts = self._count_by_cell(self._with_cell(gone))
+        touched = set(counts)
         if not touched:
             return 0
         kept = self._load(state, touched & set(state.cells)).select(*self.schema.names)
@@ -117,7 +118,7 @@ class Collection:
         merged = kept.join(gone, keys, "left_anti").unionByName(newest)
         self._write(merged, version, touched)
         self.model.run_hooks("post-save", staged)
-        return staged.select(*keys).distinct().count()
+        return staged.select(*keys).distinct().count() if moved else sum(counts.values())
 
     insert = upsert
 

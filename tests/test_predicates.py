@@ -121,6 +121,33 @@ def test_dates(spark):
     assert ids(df, Doc(df)["t"].eq(dt.datetime(2020, 1, 1))) == [1]
 
 
+def test_numbers_are_not_narrowed(spark):
+    df = spark.createDataFrame([(1, 5, 0.3, [5]), (2, 6, 0.5, [6])], "id int, n int, f float, ns array<int>")
+    d = Doc(df)
+    assert ids(df, d["n"].eq(5.5)) == [] and ids(df, d["ns"].eq(5.5)) == []
+    assert ids(df, d["n"].range(gte=5.5)) == [2] and ids(df, d["n"].range(lt=5.5)) == [1]
+    assert ids(df, d["n"].isin([2**40, 5])) == [1] and ids(df, d["ns"].isin([2**40, 5])) == [1]
+    assert ids(df, d["f"].eq(0.3)) == [1]
+    assert ids(df, d["n"].ne(5.5)) == [1, 2]
+
+
+def test_times_are_utc_whatever_the_driver_zone(spark, monkeypatch):
+    import time
+
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        df = spark.sql("SELECT TIMESTAMP '2020-01-01 00:00:00' AS t, TIMESTAMP_NTZ '2020-01-01 00:00:00' AS u")
+        noon = dt.datetime(2020, 1, 1)
+        for path in ("t", "u"):
+            assert df.where(Doc(df)[path].eq(noon)).count() == 1
+            assert df.where(Doc(df)[path].eq(noon.replace(tzinfo=dt.timezone.utc))).count() == 1
+            assert df.where(Doc(df)[path].eq(noon.replace(tzinfo=dt.timezone(dt.timedelta(hours=1))))).count() == 0
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
 def test_errors(people):
     d = Doc(people)
     with pytest.raises(ValueError, match="could not find field bedId"):
