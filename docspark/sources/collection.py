@@ -131,10 +131,10 @@ class Collection:
                replace: dict | None = None, skip: tuple[str, ...] = (), routing: str | None = None) -> int:
         """Rewrite the matching documents; returns their number. See `mutate.update`."""
         state, hit = self._state(), _matches(where, routing)
-        counts = self._count_by_cell(self._load(state, self._on_route(state, routing)).where(hit))
+        counts = self._count_by_cell(self._searched(state, self._on_route(state, routing)).where(hit))
         if counts:
             keys = tuple(p for p in [self.model.id_path] if p)
-            changed = mutate.update(self._load(state, {*counts}), hit, set, unset, replace, keys, skip)
+            changed = mutate.update(self._searched(state, {*counts}), hit, set, unset, replace, keys, skip)
             self._write(changed.select(*self.schema.names), state.last + 1, {*counts}, in_place=True)
         return sum(counts.values())
 
@@ -144,12 +144,13 @@ class Collection:
         The remove hooks are given the documents that go.
         """
         state, hit = self._state(), _matches(where, routing)
-        counts = self._count_by_cell(self._load(state, self._on_route(state, routing)).where(hit))
+        counts = self._count_by_cell(self._searched(state, self._on_route(state, routing)).where(hit))
         if counts:
-            loaded = self._load(state, set(counts)).select(*self.schema.names)
-            self.model.run_hooks("pre-remove", loaded.where(hit))
-            self._write(loaded.where(~hit), state.last + 1, set(counts), in_place=True)
-            self.model.run_hooks("post-remove", loaded.where(hit))
+            loaded = self._searched(state, set(counts))
+            kept, gone = (loaded.where(p).select(*self.schema.names) for p in (~hit, hit))
+            self.model.run_hooks("pre-remove", gone)
+            self._write(kept, state.last + 1, set(counts), in_place=True)
+            self.model.run_hooks("post-remove", gone)
         return sum(counts.values())
 
     def delete_keys(self, gone: DataFrame) -> tuple[int, DataFrame]:
@@ -234,6 +235,9 @@ class Collection:
         extra += [c for c in order_by or [] if c not in self.schema.names and c not in extra]
         return self._spill(_with_id(prepared.select(*self.schema.names, *extra)), version, "batch")
 
+    def _searched(self, state: _State, cells: set[Cell]) -> DataFrame:
+        return self.model.searchable(self._load(state, cells))
+
     def _spill(self, df: DataFrame, version: int, name: str) -> DataFrame:
         path = f"{self.path}/_staged/{version}-{name}"
         df.write.mode("overwrite").parquet(path)

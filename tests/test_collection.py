@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 from conftest import animal_model, plan_of
 from docspark import (
     Collection, Doc, by_field, catalog_indexes, delete, delete_keys, field, find, first_match, glob_filter, object_of,
-    read_indexes, unmatched_keys, update, upsert, DocModel,
+    map_of, read_indexes, unmatched_keys, update,
+    upsert, DocModel,
 )
 from docspark.operators.mutate import latest
 from docspark.settings import shared_dir
@@ -136,6 +137,42 @@ def test_search_columns(spark, dogs):
     assert rows(find(view, Doc(view)["name__kw"].text("CHARLES")), "_id") == [("charles",)]
 
 
+def test_changes_by_search_columns(spark, dogs):
+    store = Collection(spark, shared_dir(spark), animal_model().add_index("name", "english", "kw"))
+    store.insert(dogs)
+    doc = store.doc
+    assert store.update(doc["name__kw"].text("charles"), set={"updatable": "u"}) == 1
+    assert store.delete(doc["name__kw"].text("ein")) == 1
+    assert rows(store.read(), "_id", "updatable") == [("baloo", None), ("charles", "u")]
+
+
+def test_remove_hooks_see_the_documents(spark, dogs):
+    seen = []
+    model = animal_model()
+    for stage in ("pre-remove", "post-remove"):
+        model.on(stage, lambda df, s=stage: (seen.append((s, rows(df, "_id"))), df)[1])
+    store = Collection(spark, shared_dir(spark), model)
+    store.insert(dogs)
+    store.delete(store.doc["isDog"].eq(False))
+    assert seen == [("pre-remove", [("ein",)]), ("post-remove", [("ein",)])]
+
+
+def test_open_and_map_fields(spark):
+    model = DocModel("Open", object_of(
+        field("id", id=True), field("m", "mixed"), field("p", map_of("integer")), field("at", "geopoint", index=True)))
+    store = Collection(spark, shared_dir(spark), model, buckets=2)
+    batch = spark.createDataFrame(
+        [("a", '{"x": 1}', {"k": "1"}, [1.0, 2.0], 1), ("a", '{"x": [2, 3]}', {"k": "2"}, None, 2),
+         ("b", None, None, [3.0, 4.0], 1)],
+        "id string, m string, p map<string,string>, at array<double>, _seq int")
+    for _ in range(2):
+        assert store.upsert(batch) == 2
+    doc = store.doc
+    assert rows(store.find(doc["p.k"].eq(2)), "_id") == [("a",)]
+    assert rows(store.find(doc["m.x[1]"].eq(3)), "_id") == [("a",)]
+    assert rows(store.find(doc["at"].near(3, 4, 10)), "_id") == [("b",)]
+
+
 def test_find_count_aggregate(spark, animals):
     store = Collection(spark, shared_dir(spark), animal_model().add_index("name", "standard", "words"),
                        cluster_by=("loc", "name"))
