@@ -107,6 +107,8 @@ class Path:
 
     def literal(self, value) -> Column:
         """A value to compare with this field."""
+        if value is None:
+            raise ValueError(f"{self.name}: compare with a value; missing() finds absent fields")
         if isinstance(value, Column):
             return value
         if isinstance(self.dtype, T.VariantType):

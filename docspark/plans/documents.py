@@ -138,8 +138,12 @@ def multi_field(spark, d):
 @query("""
     SELECT DISTINCT c_mktsegment, c_nationkey, max(c_custkey) AS c_custkey FROM customer GROUP BY 1, 2""")
 def keyed_latest(spark, d):
+    """The newest document per value of the model's key fields."""
     model = DocModel("Segment", object_of(
-        field("c_custkey", "long", id=True), field("c_mktsegment", key=True), field("c_nationkey", "integer", key=True)))
+        field("c_custkey", "long", id=True),
+        field("c_mktsegment", key=True),
+        field("c_nationkey", "integer", key=True),
+    ))
     customers = table(spark, d, "customer").select("c_custkey", *model.get_keys())
     return mutate.latest(customers, model.get_keys(), order_by=["c_custkey"])
 

@@ -255,12 +255,12 @@ def map_field(spark, d):
     return events.where(Doc(events)["props.k"].eq(42)).select("event_id")
 
 
-@query("SELECT p_partkey FROM part WHERE len(p_name) % 2 = 0 AND p_size > 25")
+@query("SELECT p_partkey FROM part WHERE len(p_name) > 9 AND p_size > 25")
 def custom_operator(spark, d):
-    register_operator("even_length", lambda path: F.length(path.column) % 2 == 0)
+    register_operator("longer_than", lambda path, n: F.length(path.column) > n)
     parts = table(spark, d, "part")
     doc = Doc(parts)
-    return parts.where(doc["p_name"].op("even_length") & doc["p_size"].range(gt="25")).select("p_partkey")
+    return parts.where(doc["p_name"].op("longer_than", 9) & doc["p_size"].range(gt="25")).select("p_partkey")
 
 
 @query("""

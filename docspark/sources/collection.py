@@ -2,18 +2,20 @@
 
 Layout below the collection's folder, which all executors must share:
 
-    v=<version>/_bucket=<hash of the route>/_slice=<hash of the id>/*.parquet
-    _log/*.json    one file per change: the version each touched cell got
+    v=<version>-<unique>/_bucket=<hash of the route>/_slice=<hash of the id>/*.parquet
+    _log/*.json    one file per change: the folder each touched cell got
 
-A change reads and rewrites only the cells it touches, as a new version, and
-counts once its log file is there. Readers take a cell's files from the versions
+A change reads and rewrites only the cells it touches, in a new folder, and
+counts once its log file is there. Readers take a cell's files from the folders
 the log names, so data is never overwritten while it is read and a failed write
 leaves the collection as it was. A route is one bucket; its slices keep a route
-that owns a large share of the documents in many cells. One writer at a time.
+that owns a large share of the documents in many cells. There should be one
+writer at a time; a change that finds another one logged meanwhile is refused.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -29,17 +31,18 @@ from docspark.operators.predicates import Doc, all_of
 _META = [T.StructField(n, T.StringType()) for n in ("_id", "_parent", "_routing", "_index")]
 _CELL = ("_bucket", "_slice")
 _CELL_FIELDS = [T.StructField(n, T.IntegerType()) for n in _CELL]
-_LOG = "version long, bucket int, slice int, replaces boolean, rows long, cells int"
+_LOG = ("version long, folder string, layout string, bucket int, slice int, replaces boolean, rows long, "
+        "cells int")
 
 Cell = tuple[int, int]
 
 
 @dataclass
 class _State:
-    """What the log says: the live versions of each cell, and the last version."""
+    """What the log says: the live folders of each cell, and the last version."""
 
-    cells: dict[Cell, list[int]]
-    written: dict[int, int]  # version -> number of cells it wrote
+    cells: dict[Cell, list[str]]
+    written: dict[str, int]  # folder -> number of cells in it
     last: int
 
 
@@ -56,6 +59,7 @@ class Collection:
                  cluster_by: tuple[str, ...] = ()):
         self.spark, self.path, self.model = spark, path.rstrip("/"), model
         self.buckets, self.slices, self.cluster_by = buckets, slices, cluster_by
+        self._layout = f"{buckets}x{slices}"
         self.schema = T.StructType([*model.schema.fields, *_META])
 
     @property
@@ -208,22 +212,24 @@ class Collection:
         live = log.withColumn("base", base).where("base IS NULL OR version >= base")
         state = _State({}, {}, 0)
         for row in live.orderBy("version").collect():
+            if row.layout != self._layout:
+                raise ValueError(f"the collection was written as {row.layout}, not {self._layout} cells")
             state.last = row.version
             if row.rows:
-                state.cells.setdefault((row.bucket, row.slice), []).append(row.version)
-                state.written[row.version] = row.cells
+                state.cells.setdefault((row.bucket, row.slice), []).append(row.folder)
+                state.written[row.folder] = row.cells
         return state
 
     def _load(self, state: _State, cells: set[Cell]) -> DataFrame:
         schema = T.StructType([*self.schema.fields, *_CELL_FIELDS])
-        by_version: dict[int, list[Cell]] = {}
+        by_folder: dict[str, list[Cell]] = {}
         for cell in sorted(cells):
-            for version in state.cells[cell]:
-                by_version.setdefault(version, []).append(cell)
+            for folder in state.cells[cell]:
+                by_folder.setdefault(folder, []).append(cell)
         paths = []
-        for version, wanted in by_version.items():
-            root = f"{self.path}/v={version}"
-            whole = len(wanted) == state.written[version]  # one path instead of one per cell
+        for folder, wanted in by_folder.items():
+            root = f"{self.path}/{folder}"
+            whole = len(wanted) == state.written[folder]  # one path instead of one per cell
             paths += [root] if whole else [f"{root}/_bucket={b}/_slice={s}" for b, s in wanted]
         if not paths:
             return self.spark.createDataFrame([], schema)
@@ -239,8 +245,8 @@ class Collection:
         return self.model.searchable(self._load(state, cells))
 
     def _spill(self, df: DataFrame, version: int, name: str) -> DataFrame:
-        path = f"{self.path}/_staged/{version}-{name}"
-        df.write.mode("overwrite").parquet(path)
+        path = f"{self.path}/_staged/{version}-{name}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _write(self, docs: DataFrame, version: int, touched: set[Cell] | None, in_place: bool = False) -> int:
@@ -251,17 +257,19 @@ class Collection:
         are rebalanced: adaptive execution splits large cells over several tasks and
         joins small ones.
         """
-        path = f"{self.path}/v={version}"
+        folder = f"v={version}-{uuid.uuid4().hex[:8]}"
         placed = self._with_cell(docs)
         if not in_place:
             placed = placed.hint("rebalance", *_CELL)
         if self.cluster_by:
             placed = placed.sortWithinPartitions(*_CELL, *self._cluster_columns())
-        placed.write.mode("overwrite").partitionBy(*_CELL).parquet(path)
-        written = self.spark.read.schema(T.StructType(_CELL_FIELDS)).parquet(path)
+        placed.write.partitionBy(*_CELL).parquet(f"{self.path}/{folder}")
+        written = self.spark.read.schema(T.StructType(_CELL_FIELDS)).parquet(f"{self.path}/{folder}")
         rows = self._count_by_cell(written)
-        entries = [(version, b, s, touched is not None, rows.get((b, s), 0), len(rows))
+        entries = [(version, folder, self._layout, b, s, touched is not None, rows.get((b, s), 0), len(rows))
                    for b, s in sorted(rows if touched is None else touched)]
+        if self._state().last != version - 1:
+            raise RuntimeError("the collection was changed by another writer; repeat the change")
         if entries:
             log = self.spark.createDataFrame(entries, _LOG)
             log.coalesce(1).write.mode("append").json(f"{self.path}/_log")

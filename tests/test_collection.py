@@ -124,6 +124,28 @@ def test_failed_write_changes_nothing(store, dogs):
     assert store.update(Doc(dogs)["isDog"].eq(True), set={"name": "ok"}) == 2
 
 
+def test_another_layout_is_refused(spark, store, dogs):
+    store.insert(dogs)
+    with pytest.raises(ValueError, match="written as 4x3"):
+        Collection(spark, store.path, store.model, buckets=8, slices=3).read()
+
+
+def test_a_second_writer_is_refused(spark, store, dogs):
+    store.insert(dogs)
+    other = Collection(spark, store.path, store.model, buckets=4, slices=3)
+    slow = store._write
+
+    def write_after_another(*args, **options):
+        store._write = slow
+        other.append(dogs.withColumn("animalId", F.concat("animalId", F.lit("-2"))))
+        return slow(*args, **options)
+
+    store._write = write_after_another
+    with pytest.raises(RuntimeError, match="another writer"):
+        store.update(None, set={"name": "lost"})
+    assert store.read().count() == 6 and store.count(store.doc["name"].eq("lost")) == 0
+
+
 def test_hot_route_is_spread_over_slices(spark):
     store = Collection(spark, shared_dir(spark), animal_model(), buckets=4, slices=8)
     store.insert(spark.range(400).select(F.col("id").cast("string").alias("animalId")), routing="hot")

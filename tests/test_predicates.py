@@ -160,6 +160,8 @@ def test_errors(people):
         d["name"].elem_match(lambda e: e["x"].eq(1))
     with pytest.raises(ValueError, match="unrecognised operator"):
         d["name"].op("what")
+    with pytest.raises(ValueError, match="missing"):
+        d["name"].eq(None)
     with pytest.raises(ValueError):
         any_of()
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
