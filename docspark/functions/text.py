@@ -100,11 +100,13 @@ def has_all_tokens(
     if not wanted:
         return F.lit(False)
     if analyzer == "standard" and not tokenised:
-        # A token is a maximal run of letters and digits, so a bounded regular
-        # expression finds it without building the token array of each row.
+        # A token is a maximal run of letters and digits, so a bounded regular expression
+        # finds it without the token array of each row. Plain search goes first, as it
+        # settles most rows, and the lambda holds the lowered text for all tests.
         lowered = F.lower(F.array_join(c, " ") if is_array else c)
-        hits = [lowered.rlike(rf"(?<![\p{{L}}\p{{N}}]){t}(?![\p{{L}}\p{{N}}])") for t in wanted]
-        return reduce(lambda a, b: a & b, hits)
+        whole = r"(?<![\p{L}\p{N}])%s(?![\p{L}\p{N}])"
+        return F.exists(F.array(lowered), lambda t: reduce(
+            lambda a, b: a & b, [t.contains(w) for w in wanted] + [t.rlike(whole % w) for w in wanted]))
     tokens = c if tokenised else analyze(c, analyzer, is_array, distinct=True)
     return F.size(F.array_except(F.array(*map(F.lit, wanted)), tokens)) == 0
 
