@@ -74,7 +74,7 @@ def group_stems(spark, d):
 
 
 @query("""
-    SELECT user_id AS k0, count(*) AS total FROM events GROUP BY 1 ORDER BY total DESC, k0 LIMIT 10""")
+    SELECT user_id AS k0, count(*) AS total FROM events GROUP BY 1 ORDER BY total DESC, k0 LIMIT 10""", name="top_groups")
 def largest_groups(spark, d):
     return top_groups(aggregate(table(spark, d, "events"), by=by_field("user_id"), total=True), 10)
 

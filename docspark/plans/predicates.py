@@ -154,7 +154,7 @@ def text_all(spark, d):
 @query(r"""
     SELECT p_partkey FROM part WHERE list_has_all(
         string_split_regex(lower(concat_ws(' ', p_name, p_brand, p_type)), '[^\p{L}\p{N}]+'),
-        ['red', 'economy'])""")
+        ['red', 'economy'])""", name="all_text")
 def all_text_match(spark, d):
     parts = table(spark, d, "part").withColumn("_all", all_text(*map(F.col, ("p_name", "p_brand", "p_type"))))
     return parts.where(Doc(parts)["_all"].text("red economy")).select("p_partkey")
@@ -275,7 +275,7 @@ def date_range(spark, d):
 
 @query("""
     SELECT c_custkey FROM customer
-    WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 480000)""")
+    WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 480000)""", name="has_child")
 def has_child_any(spark, d):
     customers, orders = table(spark, d, "customer"), table(spark, d, "orders")
     large = Doc(orders)["o_totalprice"].range(gt=480000)
@@ -325,7 +325,7 @@ def child_at_most(spark, d):
 
 @query("""
     SELECT o_orderkey FROM orders
-    WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
+    WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""", name="has_parent")
 def has_parent_match(spark, d):
     customers, orders = table(spark, d, "customer"), table(spark, d, "orders")
     building = Doc(customers)["c_mktsegment"].eq("BUILDING")

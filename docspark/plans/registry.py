@@ -12,12 +12,13 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its function name, with equivalent SQL where SQL can say it."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under a name (its function's), with equivalent SQL where SQL can say it."""
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        key = name or function.__name__
+        QUERIES[key] = function
         if sql:
-            ORACLES[function.__name__] = " ".join(sql.split())
+            ORACLES[key] = " ".join(sql.split())
         return function
 
     return register

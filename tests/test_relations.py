@@ -1,7 +1,11 @@
 import pytest
 
 from conftest import plan_of
-from docspark import Doc, has_child, has_parent, none_of
+from docspark import (
+    Collection, Doc, DocModel, Spec, aggregate, aggregate_multi_long, by_field, count, delete, field, find,
+    has_child, has_parent, none_of, object_of, update,
+)
+from docspark.settings import shared_dir
 
 
 @pytest.fixture
@@ -80,6 +84,35 @@ def test_same_column_names_on_both_sides(spark):
         assert ids(parents, has_parent(parents, "_parent", "_id", **salt)) == "b"  # a table with itself
 
 
+def test_relations_inside_other_operators(shelters, sheltered):
+    page = find(shelters, child(sheltered), sort={"_id": -1}, limit=1, with_total=True).first()
+    assert (page._id, page._total) == ("b", 2)
+    assert count(shelters, none_of(child(sheltered))).first().n == 2
+    assert aggregate(shelters, total=True, where=child(sheltered, min_children=2)).first().total == 1
+    specs = {"n": Spec([by_field("name")], total=True), "all": Spec(total=True)}
+    long = aggregate_multi_long(shelters, specs, where=child(sheltered) | Doc(shelters)["name"].missing())
+    assert {(r["name"], r.k0): r.total for r in long.collect()} == {("n", "A"): 1, ("n", "B"): 1, ("all", None): 3}
+    kept = delete(shelters, child(sheltered))
+    assert sorted(r._id for r in kept.collect()) == ["c", "d"]
+    changed = update(shelters, child(sheltered, min_children=2), set={"name": "many"})
+    assert {r._id: r.name for r in changed.collect()} == {"a": "many", "b": "B", "c": "C", "d": None}
+
+
+def test_relations_between_collections(spark, shelters, sheltered):
+    model = DocModel("Shelter", object_of(field("shelterId", id=True), field("name")))
+    homes = Collection(spark, shared_dir(spark), model, buckets=2, slices=1)
+    homes.insert(shelters.withColumnRenamed("_id", "shelterId"))
+    child_model = DocModel("Sheltered", object_of(field("animal", id=True), field("age", "integer")), parent="Shelter")
+    store = Collection(spark, shared_dir(spark), child_model, buckets=2, slices=1)
+    store.insert(sheltered)
+    old = store.doc["age"].eq(7)
+    found = homes.find(has_child(store.search(), "_id", "_parent", where=old))
+    assert sorted(r._id for r in found.collect()) == ["a", "b"]
+    assert homes.update(has_child(store.search(), "_id", "_parent", where=old), set={"name": "x"}) == 2
+    assert homes.delete(none_of(has_child(store.search(), "_id", "_parent"))) == 2
+    assert store.count(has_parent(homes.search(), "_parent", "_id", where=homes.doc["name"].eq("x"))) == 4
+
+
 def test_plans(spark, shelters, sheltered):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
