@@ -67,7 +67,8 @@ def sort_columns(df: DataFrame, sort: dict[str, int] | list) -> list[Column]:
 def project(df: DataFrame, include: list[str] | None = None, exclude: list[str] | None = None) -> DataFrame:
     """Keep the named paths, then drop the excluded ones; both reach into structs and arrays.
 
-    Metadata columns stay whenever the input has them.
+    Metadata columns stay whenever the input has them. Of an array's elements only the
+    kept fields are read, so a null element comes back as an object of null fields.
     """
     if not include and not exclude:
         return df
@@ -107,20 +108,29 @@ def _cut(column: Column, dtype: T.DataType, keep: dict, drop: dict | None) -> Co
         return None
     if not keep and drop is None:
         return column
+    if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType):
+        # field by field, so that the scan reads the kept fields of the elements only
+        parts = _cut_fields(column, dtype.elementType, keep, drop, in_array=True)
+        return F.arrays_zip(*parts) if parts else None
     if isinstance(dtype, T.ArrayType):
         if _cut(F.lit(None), dtype.elementType, keep, drop) is None:
             return None
         return F.transform(column, lambda e: _cut(e, dtype.elementType, keep, drop))
     if isinstance(dtype, T.MapType):
         return F.transform_values(column, lambda _, v: _cut(v, dtype.valueType, keep, drop))
+    parts = _cut_fields(column, dtype, keep, drop)
+    return F.when(column.isNotNull(), F.struct(*parts)) if parts else None
+
+
+def _cut_fields(
+    column: Column, dtype: T.StructType, keep: dict, drop: dict | None, in_array: bool = False
+) -> list[Column]:
     parts = []
     for field in dtype.fields:
         if keep and field.name not in keep:
             continue
-        part = _cut(column.getField(field.name), field.dataType, keep.get(field.name, {}),
-                    (drop or {}).get(field.name))
+        inner = T.ArrayType(field.dataType) if in_array else field.dataType
+        part = _cut(column.getField(field.name), inner, keep.get(field.name, {}), (drop or {}).get(field.name))
         if part is not None:
             parts.append(part.alias(field.name))
-    if not parts:
-        return None
-    return F.when(column.isNotNull(), F.struct(*parts))
+    return parts

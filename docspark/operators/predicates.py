@@ -47,16 +47,18 @@ class Doc:
 
     def __init__(self, source: DataFrame | T.StructType, base: Column | None = None):
         self.schema = source.schema if isinstance(source, DataFrame) else source
+        self.used: set[str] = set()  # top-level fields asked for
         self._base = base
 
     def __getitem__(self, path: str) -> Path:
         names = path.split(".")
+        self.used.add(names[0])
         column, dtype, metadata = self._base, self.schema, {}
         for i, name in enumerate(names):
             if isinstance(dtype, T.VariantType):
                 return Path(path, column, dtype, {}, variant_path="$." + ".".join(names[i:]))
             column, dtype, metadata = _step(path, name, column, dtype)
-        return Path(path, column, dtype, metadata)
+        return Path(path, column, dtype, metadata, stored=self._base is None)
 
 
 def _step(path: str, name: str, column: Column | None, dtype: T.DataType):
@@ -88,8 +90,9 @@ def _field(path: str, name: str, struct: T.StructType) -> T.StructField:
 class Path:
     """One field of a document, with the predicates that apply to it."""
 
-    def __init__(self, name, column, dtype, metadata=None, variant_path=None):
+    def __init__(self, name, column, dtype, metadata=None, variant_path=None, stored=False):
         self.name = name
+        self.stored = stored  # a field of the table, not of an array element
         self.dtype = dtype
         self.metadata = metadata or {}
         self.is_array = isinstance(dtype, T.ArrayType)
@@ -228,7 +231,15 @@ class Path:
         """One element of an array of structs satisfies the whole inner predicate."""
         if not (self.is_array and isinstance(self.value_type, T.StructType)):
             raise ValueError(f"elem_match needs an array of objects: {self.name}")
-        return F.exists(self._column, lambda e: predicate(Doc(self.value_type, e)))
+        probe = Doc(self.value_type, F.lit(None))
+        predicate(probe)
+        fields = [f for f in self.value_type.fields if f.name in probe.used]
+        elements, kind = self._column, self.value_type
+        if self.stored and 0 < len(fields) < len(kind.fields):
+            # the scan then reads only the fields of the elements that are tested
+            elements = F.arrays_zip(*[elements.getField(f.name).alias(f.name) for f in fields])
+            kind = T.StructType(fields)
+        return F.exists(elements, lambda e: predicate(Doc(kind, e)))
 
     def near(self, lon: float, lat: float, max_distance: float) -> Column:
         """A `struct<lon, lat>` point within `max_distance` metres."""

@@ -85,6 +85,21 @@ def test_fields_inside_arrays_and_maps(spark):
     assert project(df, include=["id", "a"], exclude=["a.n", "a.m"]).columns == ["id"]
 
 
+def test_array_fields_are_pruned_in_the_scan(spark, tmp_path):
+    schema = "id int, a array<struct<x: int, y: string, o: struct<p: int, q: int>, l: array<struct<r: int, s: int>>>>"
+    rows = [(1, [(1, "u", (3, 4), [(5, 6), (7, 8)]), (2, None, None, None)]), (2, []), (3, None)]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "n"))
+    df = spark.read.parquet(str(tmp_path / "n"))
+    cut = project(df, include=["id", "a.x", "a.o.q"])
+    assert "ReadSchema: struct<id:int,a:array<struct<x:int,o:struct<q:int>>>>" in plan_of(cut)
+    got = {r.id: r.a for r in cut.collect()}
+    assert got[1] == [(1, (4,)), (2, (None,))] and got[2] == [] and got[3] is None
+    rest = project(df, exclude=["a.y", "a.o", "a.l.r"])
+    assert rest.schema["a"].dataType.simpleString() == "array<struct<x:int,l:array<struct<s:int>>>>"
+    got = {r.id: r.a for r in rest.collect()}
+    assert got[1] == [(1, [(6,), (8,)]), (2, None)] and got[3] is None
+
+
 def test_projection_prunes_the_scan(spark, tmp_path, animals):
     animals.write.parquet(str(tmp_path / "a"))
     df = spark.read.parquet(str(tmp_path / "a"))

@@ -105,6 +105,20 @@ def test_nested_arrays(spark):
     assert ids(df, d["a"].elem_match(inner)) == [1, 2]
 
 
+def test_elem_match_reads_the_tested_fields_only(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(1, [("x", 1, "long"), None]), (2, [("y", 1, "long")]), (3, [None]), (4, None)],
+        "id int, a array<struct<c: string, n: int, big: string>>")
+    df.write.parquet(str(tmp_path / "e"))
+    df = spark.read.parquet(str(tmp_path / "e"))
+    d = Doc(df)
+    found = df.where(d["a"].elem_match(lambda e: e["c"].eq("x") & e["n"].eq(1))).select("id")
+    assert "ReadSchema: struct<id:int,a:array<struct<c:string,n:int>>>" in plan_of(found)
+    assert [r.id for r in found.collect()] == [1]
+    assert ids(df, d["a"].elem_match(lambda e: e["c"].missing())) == [1, 3]
+    assert ids(df, d["a"].elem_match(lambda e: e["c"].ne("x"))) == [1, 2, 3]
+
+
 def test_default_value_counts_as_the_value_of_a_missing_field(people):
     df = people.select("id", F.col("age").alias("age", metadata={"default": 30}))
     d = Doc(df)
