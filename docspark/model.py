@@ -205,6 +205,10 @@ class DocModel:
 
     # -- searching ---------------------------------------------------------
 
+    def doc(self, df: DataFrame) -> Doc:
+        """Paths of any DataFrame of this model's documents, with the declared defaults."""
+        return Doc(_declare(df.schema, self.schema))
+
     def searchable(self, df: DataFrame) -> DataFrame:
         """`df` with the columns that only searching needs.
 
@@ -233,6 +237,20 @@ class DocModel:
         return df.select(*stored, *derived)
 
 
+def _declare(dtype: T.DataType, declared: T.DataType) -> T.DataType:
+    """A type with the declarations of the model's fields, matched by name."""
+    if isinstance(dtype, T.ArrayType) and isinstance(declared, T.ArrayType):
+        return T.ArrayType(_declare(dtype.elementType, declared.elementType), dtype.containsNull)
+    if not (isinstance(dtype, T.StructType) and isinstance(declared, T.StructType)):
+        return dtype
+    known = {f.name: f for f in declared.fields}
+    return T.StructType([
+        T.StructField(f.name, _declare(f.dataType, known[f.name].dataType), f.nullable,
+                      {**known[f.name].metadata, **f.metadata}) if f.name in known else f
+        for f in dtype.fields
+    ])
+
+
 def all_text(*columns: Column) -> Column:
     """One text of several columns; arrays give their elements."""
     return F.concat_ws(" ", *[c.cast("string") for c in columns])

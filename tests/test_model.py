@@ -141,3 +141,14 @@ def test_hooks_run_in_order(spark):
     raw = spark.createDataFrame([("a", "n")], "animalId string, name string")
     assert m.prepare(raw).first().name == "pre-save"
     assert seen == ["post-init", "pre-normalize", "post-normalize", "pre-save"]
+
+
+def test_declared_defaults_of_nested_fields(spark):
+    m = model(field("id"), field("o", object_of(field("n", "integer", default=7))),
+              field("a", array_of(object_of(field("k", "integer", default=1)))))
+    df = spark.createDataFrame([("x", (None,), [(None,)]), ("y", (3,), []), ("z", None, None)],
+                               "id string, o struct<n: int>, a array<struct<k: int>>")
+    found = df.where(m.doc(df)["o.n"].eq(7))
+    assert sorted(r.id for r in found.collect()) == ["x", "z"]
+    assert [r.id for r in df.where(m.doc(df)["a"].elem_match(lambda e: e["k"].eq(1))).collect()] == ["x"]
+    assert df.where(Doc(df)["o.n"].eq(7)).count() == 0
