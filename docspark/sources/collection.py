@@ -15,6 +15,7 @@ writer at a time; a change that finds another one logged meanwhile is refused.
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -112,15 +113,16 @@ class Collection:
         if order_by is None and "_seq" in staged.columns:
             order_by = ["_seq"]
         moved = {k: f"_old{k}" for k in keys if f"_old{k}" in staged.columns}
-        gone = mutate.replaced_keys(staged, keys, moved)
+        # stored too: from its measured size Spark decides whether to broadcast it
+        gone = self._spill(mutate.replaced_keys(staged, keys, moved), version, "gone")
         counts = self._count_by_cell(self._with_cell(gone))
         touched = set(counts)
         if not touched:
             return 0
         kept = self._load(state, touched & set(state.cells)).select(*self.schema.names)
+        kept = kept.join(gone, keys, "left_anti").select(*self.schema.names)
         newest = mutate.latest(staged, keys, order_by).select(*self.schema.names)
-        merged = kept.join(gone, keys, "left_anti").unionByName(newest)
-        self._write(merged, version, touched)
+        self._write(self._placed(kept).unionByName(self._placed(newest, moved=True)), version, touched)
         self.model.run_hooks("post-save", staged)
         return staged.select(*keys).distinct().count() if moved else sum(counts.values())
 
@@ -129,7 +131,7 @@ class Collection:
     def append(self, batch: DataFrame, index: str | None = None, routing: str | None = None) -> int:
         """Save documents whose ids are known to be new, without reading the old ones."""
         prepared = self.model.prepare(batch, index, routing).select(*self.schema.names)
-        return self._write(_with_id(prepared), self._state().last + 1, None)
+        return self._write(self._placed(_with_id(prepared), moved=True), self._state().last + 1, None)
 
     def update(self, where: Column | None, set: dict | None = None, unset: list[str] | None = None,
                replace: dict | None = None, skip: tuple[str, ...] = (), routing: str | None = None) -> int:
@@ -139,7 +141,7 @@ class Collection:
         if counts:
             keys = tuple(p for p in [self.model.id_path] if p)
             changed = mutate.update(self._searched(state, {*counts}), hit, set, unset, replace, keys, skip)
-            self._write(changed.select(*self.schema.names), state.last + 1, {*counts}, in_place=True)
+            self._write(self._placed(changed.select(*self.schema.names)), state.last + 1, {*counts})
         return sum(counts.values())
 
     def delete(self, where: Column | None = None, routing: str | None = None) -> int:
@@ -153,7 +155,7 @@ class Collection:
             loaded = self._searched(state, set(counts))
             kept, gone = (loaded.where(p).select(*self.schema.names) for p in (~hit, hit))
             self.model.run_hooks("pre-remove", gone)
-            self._write(kept, state.last + 1, set(counts), in_place=True)
+            self._write(self._placed(kept), state.last + 1, set(counts))
             self.model.run_hooks("post-remove", gone)
         return sum(counts.values())
 
@@ -169,7 +171,8 @@ class Collection:
         counts = self._count_by_cell(found)
         if counts:
             loaded = self._load(state, set(counts)).select(*self.schema.names)
-            self._write(mutate.delete_keys(loaded, found, keys), state.last + 1, set(counts))
+            kept = loaded.join(found.select(*keys), keys, "left_anti").select(*self.schema.names)
+            self._write(self._placed(kept), state.last + 1, set(counts))
         return sum(counts.values()), gone.join(found, keys, "left_anti")
 
     # -- cells -------------------------------------------------------------
@@ -249,18 +252,22 @@ class Collection:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def _write(self, docs: DataFrame, version: int, touched: set[Cell] | None, in_place: bool = False) -> int:
+    def _placed(self, docs: DataFrame, moved: bool = False) -> DataFrame:
+        """Documents with their cell, in partitions fit to be written.
+
+        Rows that are still in the task that read them are written there. Others are
+        rebalanced: adaptive execution splits large cells over several tasks and joins
+        small ones.
+        """
+        placed = self._with_cell(docs)
+        return placed.hint("rebalance", *_CELL) if moved or _shuffles(docs) else placed
+
+    def _write(self, placed: DataFrame, version: int, touched: set[Cell] | None) -> int:
         """Write the cells as a version and log it; returns the number of rows.
 
         The new files replace the `touched` cells, or are added where that is None.
-        Documents that stay `in_place` are written by the task that read them. Others
-        are rebalanced: adaptive execution splits large cells over several tasks and
-        joins small ones.
         """
         folder = f"v={version}-{uuid.uuid4().hex[:8]}"
-        placed = self._with_cell(docs)
-        if not in_place:
-            placed = placed.hint("rebalance", *_CELL)
         if self.cluster_by:
             placed = placed.sortWithinPartitions(*_CELL, *self._cluster_columns())
         placed.write.partitionBy(*_CELL).parquet(f"{self.path}/{folder}")
@@ -276,6 +283,11 @@ class Collection:
         return sum(rows.values())
 
 
+def _shuffles(df: DataFrame) -> bool:
+    """Whether the plan moves rows between tasks; a broadcast does not."""
+    return bool(re.search(r"(?<!Broadcast)Exchange ", df._jdf.queryExecution().executedPlan().toString()))
+
+
 def _matches(where: Column | None, routing: str | None) -> Column:
     """The filter as true or false for every document."""
     hit = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
