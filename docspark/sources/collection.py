@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 import uuid
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -53,17 +54,20 @@ class Collection:
     `buckets` and `slices` are fixed when the collection is created; take enough
     cells that one holds a few files, for example 512 x 8 for tens of terabytes.
     Files are sorted by the fields in `cluster_by`, points by their geohash, so that
-    a range or distance filter skips most row groups of a cell.
+    a range or distance filter skips most row groups of a cell. With `store_search`
+    the model's derived search columns, such as tokens, are stored as well, so that a
+    search reads them instead of analysing the texts again.
     """
 
     def __init__(self, spark: SparkSession, path: str, model: DocModel, buckets: int = 16, slices: int = 2,
-                 cluster_by: tuple[str, ...] = ()):
+                 cluster_by: tuple[str, ...] = (), store_search: bool = False):
         self.spark, self.path, self.model = spark, path.rstrip("/"), model
         self.buckets, self.slices, self.cluster_by = buckets, slices, cluster_by
-        self._layout = f"{buckets}x{slices}"
+        self.store_search = store_search
+        self._layout = f"{buckets}x{slices}" + ("+search" if store_search else "")
         self.schema = T.StructType([*model.schema.fields, *_META])
 
-    @property
+    @cached_property
     def doc(self) -> Doc:
         """Paths of the documents, with the model's derived search columns."""
         return Doc(self.model.searchable(self.spark.createDataFrame([], self.schema)))
@@ -83,7 +87,9 @@ class Collection:
 
     def search(self, routing: str | None = None) -> DataFrame:
         """`read` with the model's derived search columns."""
-        return self.model.searchable(self.read(routing))
+        state = self._state()
+        routed = [] if routing is None else [F.col("_routing") == routing]
+        return self._searched(state, self._on_route(state, routing)).where(all_of(*routed)).drop(*_CELL)
 
     def find(self, where: Column | None = None, routing: str | None = None, **options) -> DataFrame:
         """A page of the stored documents; options of `operators.find.find`."""
@@ -119,8 +125,8 @@ class Collection:
         touched = set(counts)
         if not touched:
             return 0
-        kept = self._load(state, touched & set(state.cells)).select(*self.schema.names)
-        kept = kept.join(gone, keys, "left_anti").select(*self.schema.names)
+        kept = self._load(state, touched & set(state.cells))
+        kept = kept.join(gone, keys, "left_anti").select(*self._stored.names)
         newest = mutate.latest(staged, keys, order_by).select(*self.schema.names)
         self._write(self._placed(kept).unionByName(self._placed(newest, moved=True)), version, touched)
         self.model.run_hooks("post-save", staged)
@@ -153,7 +159,8 @@ class Collection:
         counts = self._count_by_cell(self._searched(state, self._on_route(state, routing)).where(hit))
         if counts:
             loaded = self._searched(state, set(counts))
-            kept, gone = (loaded.where(p).select(*self.schema.names) for p in (~hit, hit))
+            kept = loaded.where(~hit).select(*self._stored.names)
+            gone = loaded.where(hit).select(*self.schema.names)
             self.model.run_hooks("pre-remove", gone)
             self._write(self._placed(kept), state.last + 1, set(counts))
             self.model.run_hooks("post-remove", gone)
@@ -170,8 +177,8 @@ class Collection:
         found = self._spill(old.join(gone, keys, "left_semi").select(*keys, *_CELL), state.last + 1, "found")
         counts = self._count_by_cell(found)
         if counts:
-            loaded = self._load(state, set(counts)).select(*self.schema.names)
-            kept = loaded.join(found.select(*keys), keys, "left_anti").select(*self.schema.names)
+            kept = self._load(state, set(counts)).join(found.select(*keys), keys, "left_anti")
+            kept = kept.select(*self._stored.names)
             self._write(self._placed(kept), state.last + 1, set(counts))
         return sum(counts.values()), gone.join(found, keys, "left_anti")
 
@@ -224,7 +231,7 @@ class Collection:
         return state
 
     def _load(self, state: _State, cells: set[Cell]) -> DataFrame:
-        schema = T.StructType([*self.schema.fields, *_CELL_FIELDS])
+        schema = T.StructType([*self._stored.fields, *_CELL_FIELDS])
         by_folder: dict[str, list[Cell]] = {}
         for cell in sorted(cells):
             for folder in state.cells[cell]:
@@ -245,7 +252,13 @@ class Collection:
         return self._spill(_with_id(prepared.select(*self.schema.names, *extra)), version, "batch")
 
     def _searched(self, state: _State, cells: set[Cell]) -> DataFrame:
-        return self.model.searchable(self._load(state, cells))
+        loaded = self._load(state, cells)
+        return loaded if self.store_search else self.model.searchable(loaded)
+
+    @property
+    def _stored(self) -> T.StructType:
+        """The columns of the files, without the cell."""
+        return self.doc.schema if self.store_search else self.schema
 
     def _spill(self, df: DataFrame, version: int, name: str) -> DataFrame:
         path = f"{self.path}/_staged/{version}-{name}-{uuid.uuid4().hex[:8]}"
@@ -260,7 +273,11 @@ class Collection:
         small ones.
         """
         placed = self._with_cell(docs)
-        return placed.hint("rebalance", *_CELL) if moved or _shuffles(docs) else placed
+        if moved or _shuffles(docs):
+            placed = placed.hint("rebalance", *_CELL)
+        if self.store_search and len(docs.columns) == len(self.schema):
+            placed = self.model.searchable(placed).select(*self._stored.names, *_CELL)
+        return placed
 
     def _write(self, placed: DataFrame, version: int, touched: set[Cell] | None) -> int:
         """Write the cells as a version and log it; returns the number of rows.

@@ -168,6 +168,31 @@ def test_changes_by_search_columns(spark, dogs):
     assert rows(store.read(), "_id", "updatable") == [("baloo", None), ("charles", "u")]
 
 
+def test_stored_search_columns(spark, dogs):
+    def store_at(path):
+        model = animal_model(all_text=True).add_index("name", "english", "kw")
+        return Collection(spark, path, model, buckets=2, slices=1, store_search=True)
+
+    store = store_at(shared_dir(spark))
+    store.append(dogs.where("isDog"))
+    store.upsert(dogs.withColumn("name", F.concat("name", F.lit(" barking"))).where("NOT isDog"))
+    doc = store.doc
+    found = store.find(doc["name__kw"].text("barks"))
+    assert rows(found, "_id") == [("ein",)] and "name__kw" not in found.columns
+    plan = plan_of(found.select("_id"))
+    assert "name__kw" in plan.split("ReadSchema")[1] and "split(" not in plan  # read, not analysed again
+    store.update(doc["name"].eq("Baloo"), set={"name": "Barks"})
+    store.delete(doc["_all"].text("charles"))
+    store = store_at(store.path)
+    assert rows(store.find(doc["name__kw"].text("bark")), "_id", "name") == [
+        ("baloo", "Barks"), ("ein", "Ein barking")]
+    assert store.read().columns == store.schema.names
+    assert store.delete_keys(spark.createDataFrame([("ein",)], "_id string"))[0] == 1
+    assert rows(store.search(), "_id", "name__kw") == [("baloo", ["bark"])]
+    with pytest.raises(ValueError, match="written as"):
+        Collection(spark, store.path, store.model, buckets=2, slices=1).read()
+
+
 def test_remove_hooks_see_the_documents(spark, dogs):
     seen = []
     model = animal_model()
