@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docspark.llm import exact, mixing, quality
+from docspark.llm import bpe, exact, mixing, quality
 from docspark.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -91,3 +91,10 @@ def op10_quality_rules(spark, d):
     return quality.judged(table(spark, d, "documents")).select(
         F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
+
+
+@query()
+def op8_bpe(spark, d, path: str | None = None):
+    out = bpe.coded(table(spark, d, "documents"), path or bpe.default_path())
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
