@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docspark.llm import bpe, exact, mixing, quality
+from docspark.llm import bpe, exact, jaccard, mixing, quality
 from docspark.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -98,3 +98,9 @@ def op8_bpe(spark, d, path: str | None = None):
     out = bpe.coded(table(spark, d, "documents"), path or bpe.default_path())
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+@query()
+def op7_jaccard_join(spark, d):
+    out = jaccard.similar(table(spark, d, "documents"))
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
