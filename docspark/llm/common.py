@@ -51,3 +51,12 @@ def released(spark: SparkSession, *frames: DataFrame) -> None:
         for folder in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
             path = jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Ids that picked() sends to every task; more are joined by a shuffle.
+FEW = 1 << 18
+
+
+def picked(docs: DataFrame, ids: DataFrame, id: str) -> DataFrame:
+    """Join the documents with the rows of `ids`: no document moves if the ids, counted first, are few."""
+    return docs.join(F.broadcast(ids) if ids.count() <= FEW else ids, id)

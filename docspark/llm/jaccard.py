@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docspark.llm.common import released, staged, text_of
+from docspark.llm.common import picked, released, staged, text_of
 from docspark.llm.components import components
 
 #: Shingles whose frequency is known when they are put in order; the most frequent ones. It bounds what
@@ -219,8 +219,15 @@ def linked_sets(docs: DataFrame, ids: DataFrame, lists: DataFrame, width: int, p
         "pos", F.col("_lead.pos").alias("pos_")).where(F.col("a") != F.col("b")).where(_possible(percent))
     stars = stars.select("a", "b", F.col("n").alias("n_a"), F.col("n_").alias("n_b")).distinct()
 
-    wanted = lists.select("sid").distinct().join(ids.groupBy("sid").agg(F.min("id").alias("id")), "sid")
-    sets = staged(contents(docs.join(wanted, "id").select("sid", "text"), width))
+    stars = staged(stars)
+    owners = ids.groupBy("sid").agg(F.min("id").alias("id"))
+
+    def fetched(sids: DataFrame) -> DataFrame:
+        wanted = staged(sids.join(owners, "sid"))
+        return staged(contents(picked(docs, wanted, "id").select("sid", "text"), width))
+
+    starred = stars.select("a").union(stars.select("b")).distinct().toDF("sid")
+    sets = fetched(starred)
     first = staged(verified(stars, sets))
     part = components(first.where(_linked(percent)).select("a", "b"))
 
@@ -247,10 +254,13 @@ def linked_sets(docs: DataFrame, ids: DataFrame, lists: DataFrame, width: int, p
     )
     open_ = met.join(bound, ["a", "b"], "left").where(
         F.col("_most").isNull() | (F.col("_most") >= _needed(F.col("n_a"), F.col("n_b"), percent))).drop("_most")
-    second = staged(verified(open_, sets))
+    open_ = staged(open_)
+    more = open_.select("a").union(open_.select("b")).distinct().toDF("sid").join(starred, "sid", "left_anti")
+    other = fetched(more)
+    second = staged(verified(open_, sets.union(other)))
     links = first.union(second).where(_linked(percent)).select("a", "b")
     result = staged(components(links))
-    released(spark, sets, first, placed, met, second)
+    released(spark, stars, sets, first, placed, met, open_, other, second)
     return result
 
 
@@ -269,9 +279,9 @@ def similar(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
     spark = docs.sparkSession
     given = docs.select(F.col(id).alias("id"), text_of(text).alias("text"))
     ids, seen = scanned(given, width)
-    posted = postings(given, width, percent, ranked(seen)).distinct()
-    shared = posted.groupBy("token").count().where("count > 1")
-    lists = staged(posted.join(shared.select("token"), "token", "left_semi"))
+    posted = postings(given, width, percent, ranked(seen))
+    shared = posted.groupBy("token").agg(F.min("sid").alias("_a"), F.max("sid").alias("_b")).where("_a < _b")
+    lists = staged(posted.join(shared.select("token"), "token", "left_semi").distinct())
     nodes = linked_sets(given, ids, lists, width, percent)
     sets = ids.where("n > 0").groupBy("sid").agg(F.min("id").alias("_id"))
     sets = sets.join(nodes.toDF("sid", "_c"), "sid", "left").withColumn("_c", F.coalesce("_c", "sid"))

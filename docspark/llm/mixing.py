@@ -96,26 +96,22 @@ def mixed(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str
     spent = offers.groupBy("_step", "budget").agg(F.sum("size").alias("_words"))
     upto = Window.orderBy("_step").rowsBetween(Window.unboundedPreceding, 0)
     spent = spent.withColumn("_spent", F.sum("_words").over(upto))
-    full = spent.where(F.col("_spent") <= F.col("budget")).agg(
-        F.max("_step").alias("_full"), F.coalesce(F.max("_spent"), F.lit(0)).alias("_before"))
-    last = spent.where(F.col("_spent") > F.col("budget")).agg(F.min("_step").alias("_last"))
-    ends = full.join(last)
+    last = spent.where(F.col("_spent") > F.col("budget")).agg(F.min("_step")).scalar()
+    before = spent.where(F.col("_spent") <= F.col("budget")).agg(F.coalesce(F.max("_spent"), F.lit(0))).scalar()
 
     inside = Window.partitionBy("_step").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
     cut = (
-        offers.join(F.broadcast(ends), F.col("_step") == F.col("_last"))
-        .withColumn("_total", F.col("_before") + F.sum("size").over(inside))
-        .where(F.col("_total") <= F.col("budget")).agg(F.max("_place").alias("_cut"))
+        offers.where(F.col("_step") == last).withColumn("_total", before + F.sum("size").over(inside))
+        .where(F.col("_total") <= F.col("budget")).agg(F.max("_place")).scalar()
     )
 
     def within_budget(at, repeat):
         step = _step(at)
-        early = F.col("_last").isNull() | (step < F.col("_last"))
-        return F.coalesce(early | ((step == F.col("_last")) & (place(at, repeat) <= F.col("_cut"))), F.lit(False)).cast("int")
+        early = last.isNull() | (step < last)
+        return F.coalesce(early | ((step == last) & (place(at, repeat) <= cut)), F.lit(False)).cast("int")
 
     times = within_budget(F.col("finish"), 0) + within_budget(F.col("_again"), 1)
-    # `ends` and `cut` have one row each
-    return queued.join(F.broadcast(ends)).join(F.broadcast(cut)).select(
+    return queued.select(
         "doc_id", "source", "size", "source_size", "target", "finish", times.alias("times"),
         (times * F.col("size")).cast("long").alias("taken"),
     )

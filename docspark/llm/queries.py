@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from docspark.llm import bpe, exact, jaccard, mixing, quality
 from docspark.plans.registry import Query, table
 
@@ -104,3 +105,8 @@ def op8_bpe(spark, d, path: str | None = None):
 def op7_jaccard_join(spark, d):
     out = jaccard.similar(table(spark, d, "documents"))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+@query()
+def pipeline(spark, d):
+    return corpus_pipeline.run(spark, d)
