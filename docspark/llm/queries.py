@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from docspark.llm import bpe, exact, jaccard, mixing, quality
+from docspark.llm import bpe, exact, jaccard, mixing, quality, substrings
 from docspark.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -110,3 +110,10 @@ def op7_jaccard_join(spark, d):
 @query()
 def pipeline(spark, d):
     return corpus_pipeline.run(spark, d)
+
+
+@query()
+def op4_suffix_dedup(spark, d):
+    out = substrings.without_repeats(table(spark, d, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
