@@ -18,7 +18,7 @@ from docspark.llm.components import components
 #: the same result.
 RANKED = 1 << 20
 #: Frequencies are counted in blocks of so many shingles; one that a block has less often is left out.
-BLOCK, SEEN = 4 << 20, 4
+BLOCK, SEEN = 4 << 20, 2
 #: Leaders of each index block that its sets are compared with first.
 LEADERS = 3
 #: Words whose hash a worker remembers.
@@ -180,11 +180,30 @@ def _needed(n1: Column, n2: Column, percent: int) -> Column:
     return F.ceil((percent * (n1 + n2)).cast("double") / (100 + percent) - 1e-9)
 
 
-def _possible(percent: int, a: str = "", b: str = "_") -> Column:
-    """Neither their sizes nor the places of the shingle that two postings share rule out that they are similar."""
-    n1, n2, p1, p2 = F.col(f"n{a}"), F.col(f"n{b}"), F.col(f"pos{a}"), F.col(f"pos{b}")
-    sizes = (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2))
-    return sizes & (F.least(n1 - p1, n2 - p2) >= _needed(n1, n2, percent))
+def _in_reach(percent: int) -> Column:
+    """Two postings of a shingle, at `pos_a` and `pos_b`, that similar sets can have; it skips all others.
+
+    Sizes must fit, and before any shingle that similar sets share each has only so many of its own.
+    """
+    needed, ahead = _needed(F.col("n_a"), F.col("n_b"), percent), F.col("pos_a") - F.col("pos_b")
+    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    return sizes & (ahead <= F.col("n_a") - needed) & (-ahead <= F.col("n_b") - needed)
+
+
+def _block(n: Column, percent: int) -> Column:
+    """Similar sets are in one block or in adjacent ones."""
+    return F.floor(F.log(n.cast("double")) / -np.log(percent / 100 - 0.01))
+
+
+def _often(met: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, n_a, n_b) that meet under enough shingles.
+
+    Of the shingles a set is posted under, at most size - needed are its own; the first of two sets to run
+    out of postings shares all its others with the other set's postings.
+    """
+    fewest = _needed(F.col("n_a"), F.col("n_b"), percent) + 1 - F.ceil((percent * F.greatest("n_a", "n_b")) / 100 - 1e-9)
+    counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("_met"))
+    return counted.where(F.col("_met") >= fewest).drop("_met")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -202,23 +221,24 @@ def linked_sets(docs: DataFrame, ids: DataFrame, lists: DataFrame, width: int, p
 
     Index blocks: the postings of a shingle, cut by set size so that similar sets meet in a block.
     1. The sets of a block are compared with its leaders only, those with the least hash of their id,
-       wherever sizes and positions allow it. A set that is linked to a leader shares its component, so no
+       where sizes, positions and the number of blocks they meet in allow it. A set that is linked to a leader shares its component, so no
        more answers among them are needed.
     2. Of the sets of a block that are still apart, those outside its largest component are compared with
        the others. A pair is skipped where what both share with a leader already tells that they cannot be
        similar: they share at most both(x, leader) + |y| - both(y, leader).
     """
     spark = lists.sparkSession
-    block = F.floor(F.log(F.col("n").cast("double")) / -np.log(percent / 100 - 0.01))
+    block = _block(F.col("n"), percent)
     keyed = lists.withColumn("block", F.explode(F.array(block, block + 1)))
     lead = [F.min(F.struct(F.xxhash64("sid", F.lit(i)).alias("h"), F.col("sid").alias("sid"), F.col("n").alias("n"),
                            F.col("pos").alias("pos"))) for i in range(LEADERS)]
     leaders = keyed.groupBy("token", "block").agg(F.count(F.lit(1)).alias("_all"), F.array(*lead).alias("_lead")).where("_all > 1")
-    stars = keyed.join(leaders, ["token", "block"]).withColumn("_lead", F.explode(F.array_distinct("_lead"))).select(
-        F.col("sid").alias("a"), F.col("_lead.sid").alias("b"), F.col("n").alias("n"), F.col("_lead.n").alias("n_"),
-        "pos", F.col("_lead.pos").alias("pos_")).where(F.col("a") != F.col("b")).where(_possible(percent))
-    stars = stars.select("a", "b", F.col("n").alias("n_a"), F.col("n_").alias("n_b")).distinct()
-
+    stars = keyed.join(leaders, ["token", "block"]).withColumn("_lead", F.explode(
+        F.array_distinct(F.transform("_lead", lambda x: x.dropFields("h")))))
+    stars = stars.select("block", F.col("sid").alias("a"), F.col("_lead.sid").alias("b"), F.col("n").alias("n_a"),
+                         F.col("_lead.n").alias("n_b"), F.col("pos").alias("pos_a"), F.col("_lead.pos").alias("pos_b"))
+    once = F.col("block") == _block(F.greatest("n_a", "n_b"), percent)  # sets of one block meet in two
+    stars = _often(stars.where((F.col("a") != F.col("b")) & once & _in_reach(percent)), percent)
     stars = staged(stars)
     owners = ids.groupBy("sid").agg(F.min("id").alias("id"))
 
@@ -235,14 +255,15 @@ def linked_sets(docs: DataFrame, ids: DataFrame, lists: DataFrame, width: int, p
     share = placed.groupBy("token", "block", "c").agg(F.count(F.lit(1)).alias("_n"))
     largest = share.groupBy("token", "block").agg(F.count(F.lit(1)).alias("_cs"), F.max(F.struct("_n", "c"))["c"].alias("_main"))
     placed = staged(placed.join(largest.where("_cs > 1"), ["token", "block"]))
-    odd = placed.where("c != _main").select("token", "block", F.col("sid").alias("a"), "n", "pos", "c")
-    rest = placed.select("token", "block", F.col("sid").alias("b"), F.col("n").alias("n_"), F.col("pos").alias("pos_"),
+    odd = placed.where("c != _main").select("token", "block", F.col("sid").alias("a"), F.col("n").alias("n_a"),
+                                            F.col("pos").alias("pos_a"), "c")
+    rest = placed.select("token", "block", F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"),
                          F.col("c").alias("c_"), "_main")
     apart = (F.col("c") != F.col("c_")) & ((F.col("c_") == F.col("_main")) | (F.col("a") < F.col("b")))
-    met = odd.join(rest, ["token", "block"]).where(apart & _possible(percent))
-    met = staged(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-                            F.when(F.col("a") < F.col("b"), F.col("n")).otherwise(F.col("n_")).alias("n_a"),
-                            F.when(F.col("a") < F.col("b"), F.col("n_")).otherwise(F.col("n")).alias("n_b")).distinct())
+    met = odd.join(rest, ["token", "block"]).where(apart & once & _in_reach(percent))
+    swapped = F.col("a") > F.col("b")
+    met = met.select(*[F.when(swapped, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("n_a", "n_b"), ("n_b", "n_a"))])
+    met = staged(_often(met, percent))
 
     known = first.select(F.col("a").alias("x"), F.col("b").alias("leader"), F.col("both").alias("both"))
     own = first.select(F.col("b").alias("x"), F.col("b").alias("leader"), F.col("n_b").alias("both")).distinct()
