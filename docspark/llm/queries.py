@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from docspark.llm import bpe, exact, jaccard, mixing, quality, substrings
+from docspark import settings
+from docspark.llm import bpe, exact, extraction, jaccard, mixing, quality, rollups, substrings, urlfilter
+from docspark.llm.common import text_of, words_of
 from docspark.plans.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -117,3 +119,66 @@ def op4_suffix_dedup(spark, d):
     out = substrings.without_repeats(table(spark, d, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op1_html_extraction(spark, d):
+    out = extraction.extracted(table(spark, d, "pages"))
+    return out.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def _listed(pages):
+    """Captures on days of one year, and list entries on hosts, domains and folders of the pages."""
+    host = extraction.host_of(F.col("url"))
+    captures = pages.select(F.col("page_id").alias("id"), "url", F.expr("date_add(DATE'2024-01-01', CAST(page_id % 366 AS INT))").alias("at"))
+    folder = F.concat(host, F.lit("/"), F.regexp_extract("url", r"^[^:]*://[^/]*/([^/?#]*)", 1))
+    keys = pages.select(F.explode(F.array(host, F.regexp_replace(host, r"^[^.]*\.", ""), folder)).alias("key")).distinct()
+    day = F.conv(F.substring(F.md5("key"), 1, 4), 16, 10).cast("int")
+    steps = [("add", day % 200), ("remove", day % 200 + 30 + day % 70), ("add", day % 200 + 250)]
+    entries = keys.where(F.conv(F.substring(F.md5("key"), 5, 1), 16, 10).cast("int") < 8).select("key", F.explode(F.array(*[
+        F.struct(F.lit(a).alias("action"), F.date_add(F.lit("2024-01-01").cast("date"), n).alias("at")) for a, n in steps
+    ])).alias("_e")).select("key", "_e.action", "_e.at")
+    return captures, entries
+
+
+@query(r"""
+    WITH p AS (SELECT page_id AS id, url, DATE '2024-01-01' + CAST(page_id % 366 AS INT) AS day,
+                      regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1) AS host FROM pages),
+    k AS (SELECT DISTINCT unnest([host, regexp_replace(host, '^[^.]*\.', ''),
+                 host || '/' || regexp_extract(url, '^[^:]*://[^/]*/([^/?#]*)', 1)]) AS key FROM p),
+    h AS (SELECT key, CAST('0x' || md5(key)[1:4] AS INT) AS d FROM k WHERE CAST('0x' || md5(key)[5:5] AS INT) < 8),
+    l AS (SELECT key, DATE '2024-01-01' + CAST(d % 200 AS INT) AS since,
+                 DATE '2024-01-01' + CAST(d % 200 + 30 + d % 70 AS INT) AS until FROM h
+          UNION ALL SELECT key, DATE '2024-01-01' + CAST(d % 200 + 250 AS INT), NULL FROM h),
+    b AS (SELECT *, regexp_replace(regexp_replace(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?', ''), '[?#].*$', '') AS bare FROM p),
+    s AS (SELECT *, string_split(host, '.') AS labels, list_filter(string_split(regexp_replace(bare, '^[^/]*', ''), '/'), lambda x: x <> '') AS parts FROM b),
+    q AS (SELECT id, url, day, unnest(list_concat(
+                 list_transform(range(1, len(labels) + 1), lambda i: array_to_string(list_slice(labels, i, len(labels)), '.')),
+                 list_transform(range(1, len(parts) + 1), lambda i: host || '/' || array_to_string(list_slice(parts, 1, i), '/')))) AS key FROM s),
+    m AS (SELECT q.id, q.url, q.day, first(q.key ORDER BY length(q.key) DESC, q.key) AS rule FROM q JOIN l
+          ON q.key = l.key AND q.day >= l.since AND (l.until IS NULL OR q.day < l.until) GROUP BY ALL)
+    SELECT p.id AS page_id, p.url, count(*) AS copies, m.rule IS NOT NULL AS blocked, m.rule
+    FROM p LEFT JOIN m ON p.id IS NOT DISTINCT FROM m.id AND p.url = m.url AND p.day = m.day GROUP BY p.id, p.url, m.rule""")
+def op3_url_filters(spark, d):
+    out = urlfilter.judged(*_listed(table(spark, d, "pages")))
+    return out.select(F.col("id").alias("page_id"), "url", "copies", "blocked", "rule")
+
+
+@query(r"""
+    WITH t AS (SELECT doc_id, source, lang, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                      len(regexp_extract_all(coalesce(text, ''), '\pL+|\pN|[^\s\pL\pN]')) AS p FROM documents),
+    c AS (SELECT doc_id, source, lang, 'pieces-1' AS version, p AS n FROM t
+          UNION ALL SELECT doc_id, source, lang, 'words-1', CASE WHEN doc_id % 10 = 3 THEN len(list_distinct(w)) ELSE len(w) END FROM t)
+    SELECT source, lang, version, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens
+    FROM c WHERE NOT coalesce(doc_id % 10 = 7, false) GROUP BY source, lang, version""")
+def op5_token_counts(spark, d):
+    docs = table(spark, d, "documents")
+    words = words_of(text_of("text"))
+    counters = {"words-1": F.size(words), "pieces-1": F.regexp_count(text_of("text"), F.lit(r"\pL+|\pN|[^\s\pL\pN]"))}
+    rollup = rollups.Rollup(spark, settings.shared_dir(spark))
+    gone, corrected = docs.where("doc_id % 10 = 7"), docs.where("doc_id % 10 = 3")
+    rollup.commit(0, rollups.changes(docs, counters))
+    for _ in range(2):  # the second time changes nothing
+        rollup.commit(1, rollups.changes(gone, counters, -1))
+        rollup.commit(2, rollups.revisions(corrected, "words-1", F.size(words), F.size(F.array_distinct(words))))
+    return rollup.totals()
