@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from docspark import settings
-from docspark.llm import bpe, exact, extraction, jaccard, mixing, quality, rollups, substrings, urlfilter
+from docspark.llm import bpe, exact, extraction, jaccard, lines, mixing, quality, rollups, substrings, urlfilter
 from docspark.llm.common import text_of, words_of
 from docspark.plans.registry import Query, table
 
@@ -182,3 +182,9 @@ def op5_token_counts(spark, d):
         rollup.commit(1, rollups.changes(gone, counters, -1))
         rollup.commit(2, rollups.revisions(corrected, "words-1", F.size(words), F.size(F.array_distinct(words))))
     return rollup.totals()
+
+
+@query()
+def op6_line_dedup(spark, d):
+    out = lines.without_repeats(table(spark, d, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
