@@ -15,13 +15,13 @@ COUNTERS = 1 << 16
 
 def _tokens(line: Column) -> Column:
     """Hashes of the line's different runs of WIDTH words; of a shorter line, of all its words."""
-    def runs(words: Column) -> Column:
-        return F.when(F.size(words) <= WIDTH, F.array(F.xxhash64(F.array_join(words, " ")))).otherwise(
-            F.transform(F.sequence(F.lit(0), F.size(words) - WIDTH), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(WIDTH)])))
+    def runs(hashes: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(hashes) - WIDTH),
+                           lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(WIDTH)]))
 
-    hashed = let(F.regexp_extract_all(line, F.lit(WORD), F.lit(0)), lambda w: F.when(F.size(w) > WIDTH, runs(
-        F.transform(w, lambda x: F.xxhash64(x)))).otherwise(F.array(F.xxhash64(F.array_join(w, " ")))))
-    return F.array_distinct(hashed)
+    whole = lambda w: F.array(F.xxhash64(F.array_join(w, " ")))
+    return let(F.regexp_extract_all(line, F.lit(WORD), F.lit(0)), lambda w: F.when(F.size(w) <= WIDTH, whole(w)).otherwise(
+        F.array_distinct(let(F.transform(w, lambda x: F.xxhash64(x)), runs))))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
