@@ -16,7 +16,7 @@ from docspark.llm.components import components
 #: Shingles whose frequency is known when they are put in order; the most frequent ones. It bounds what
 #: the driver and every task hold (16 bytes each); the order of the others is by hash. Any order gives
 #: the same result.
-RANKED = 1 << 20
+RANKED = 1 << 22
 #: Frequencies are counted in blocks of so many shingles; one that a block has less often is left out.
 BLOCK, SEEN = 4 << 20, 2
 #: Leaders of each index block that its sets are compared with first.
@@ -267,14 +267,14 @@ def linked_sets(docs: DataFrame, ids: DataFrame, lists: DataFrame, width: int, p
 
     known = first.select(F.col("a").alias("x"), F.col("b").alias("leader"), F.col("both").alias("both"))
     own = first.select(F.col("b").alias("x"), F.col("b").alias("leader"), F.col("n_b").alias("both")).distinct()
-    known = known.union(own)
-    bound = (
-        met.join(known.toDF("a", "leader", "both_a"), "a").join(known.toDF("b", "leader", "both_b"), ["b", "leader"])
-        .groupBy("a", "b").agg(F.min(F.least(F.col("both_a") + F.col("n_b") - F.col("both_b"),
-                                             F.col("both_b") + F.col("n_a") - F.col("both_a"))).alias("_most"))
-    )
-    open_ = met.join(bound, ["a", "b"], "left").where(
-        F.col("_most").isNull() | (F.col("_most") >= _needed(F.col("n_a"), F.col("n_b"), percent))).drop("_most")
+    known = known.union(own).groupBy("x").agg(F.collect_set(F.struct("leader", "both")).alias("k"))
+    limits = F.flatten(F.transform("k_a", lambda p: F.transform(
+        F.filter("k_b", lambda q: q["leader"] == p["leader"]),
+        lambda q: F.least(p["both"] + F.col("n_b") - q["both"], q["both"] + F.col("n_a") - p["both"]))))
+    bound = met.join(known.toDF("a", "k_a"), "a", "left").join(known.toDF("b", "k_b"), "b", "left")
+    bound = bound.withColumn("_most", F.array_min(limits))
+    open_ = bound.where(
+        F.col("_most").isNull() | (F.col("_most") >= _needed(F.col("n_a"), F.col("n_b"), percent))).select("a", "b", "n_a", "n_b")
     open_ = staged(open_)
     more = open_.select("a").union(open_.select("b")).distinct().toDF("sid").join(starred, "sid", "left_anti")
     other = fetched(more)
