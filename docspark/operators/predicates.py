@@ -126,12 +126,25 @@ class Path:
             column = self._column.cast(dtype)
         return Path(self.name, column, T.DataType.fromDDL(dtype), self.metadata)
 
+    @staticmethod
+    def _kind(value) -> str:
+        """The type an open column's values are read as to be compared with `value`."""
+        if isinstance(value, int) and not isinstance(value, bool):
+            return "double" if abs(value) <= 2**53 else "bigint"  # larger ones are not exact as double
+        return {bool: "boolean", float: "double", str: "string"}.get(type(value), "timestamp")
+
     def _typed(self, value) -> Path:
-        """A field of an open column compared with `value` takes that value's type."""
+        """A field of an open column compared with `value` takes its kind; whole numbers keep fractions apart."""
         if not isinstance(self.dtype, T.VariantType):
             return self
-        kinds = {bool: "boolean", int: "bigint", float: "double", str: "string"}
-        return self.cast(kinds.get(type(value), "timestamp"))
+        return self.cast(self._kind(value))
+
+    def _by_kind(self, values: list) -> list[list]:
+        """The values, those together that an open column compares as one type."""
+        kinds: dict[str, list] = {}
+        for v in values:
+            kinds.setdefault(self._kind(v), []).append(v)
+        return list(kinds.values())
 
     def _any(self, test: Callable[[Column], Column]) -> Column:
         """`test` holds for the value, or for some element of an array."""
@@ -162,6 +175,8 @@ class Path:
         values = _list("isin", values)
         if not values:
             return F.lit(False)
+        if isinstance(self.dtype, T.VariantType) and len(self._by_kind(values)) > 1:
+            return any_of(*[self.isin(some) for some in self._by_kind(values)])
         field = self._typed(values[0])
         literals = [field.literal(v) for v in values]
         if field.is_array:
@@ -173,6 +188,8 @@ class Path:
         values = _list("nin", values)
         if not values:
             return F.lit(True)
+        if isinstance(self.dtype, T.VariantType) and len(self._by_kind(values)) > 1:
+            return none_of(self.isin(values))
         field = self._typed(values[0])
         if field.is_array or "default" in field.metadata:
             return none_of(field.isin(values))

@@ -200,3 +200,20 @@ def test_predicates_reach_the_scan(spark, tmp_path, people):
     }
     for filters, where in pushed.items():
         assert filters in plan_of(df.where(where).select("id")), filters
+
+
+def test_open_fields_compare_by_kind(spark):
+    rows = spark.sql("""
+        SELECT id, parse_json(v) AS k FROM VALUES
+        (1, '5.7'), (2, '5'), (3, '"x"'), (4, '6.2'), (5, '"5"'), (6, '9007199254740993'), (7, NULL) AS t(id, v)""")
+    k = Doc(rows)["k"]
+    found = lambda p: [r.id for r in rows.where(p).orderBy("id").collect()]
+    assert found(k.eq(5)) == [2, 5]  # a number in a text counts as that number
+    assert found(k.eq("5")) == [2, 5]
+    assert found(k.range(gt=5)) == [1, 4, 6]
+    assert found(k.range(lte=5)) == [2, 5]
+    assert found(k.range(gt=1, lt=5.5)) == [2, 5]
+    assert found(k.isin([5, "x"])) == [2, 3, 5]
+    assert found(k.nin([5, "x"])) == [1, 4, 6, 7]
+    assert found(k.ne(5)) == [1, 3, 4, 6, 7]
+    assert found(k.eq(2**53 + 1)) == [6]
