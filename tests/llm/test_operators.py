@@ -1,0 +1,247 @@
+"""Each operator on nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
+
+import collections
+import hashlib
+import itertools
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from docspark.llm import bpe, exact, extraction, jaccard, lines, mixing, quality, rollups, substrings, urlfilter
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, source string, lang string, _id string, row string, token string, size string, part string"
+
+
+def texts():
+    rnd = random.Random(5)
+    words = ["the", "of", *("".join(rnd.choices("abcdé", k=rnd.randint(2, 7))) for _ in range(400))]
+    make = lambda n: " ".join(rnd.choices(words, k=n))
+    base, long = make(120), make(6000)
+    near = base.split()
+    near[60] = "changed"
+    return [None, "", " \t\n", "one", "one two", "two one", base, base, base.replace(" ", "\n"), " ".join(near), make(80), make(80),
+            long, long + " more", make(30) + " " + base, "x y " * 50, "A\nthe line of words is here again\nthe line of words is here again",
+            "日本 the\x0bof éa", "x" * 3000]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, ["b", "a", None, "a", "a"][i % 5], "en", "1", "2", "3", "4", "5") for i, t in enumerate(texts())]
+    rows += [rows[6], (None, "a row without an id that is long enough to be compared with itself and others", *rows[0][2:])]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def rows(docs):
+    return [(r.doc_id, r.text or "") for r in docs.collect()]
+
+
+def test_quality(docs, rows):
+    got = quality.judged(docs).select("row.doc_id", "n_words", "n_repeat_words", "n_dup_lines", "base_failed", "kept").collect()
+    assert len(got) == len(rows)
+    want = {}
+    for i, t in rows:
+        w = WORDS.findall(t)
+        seen = collections.Counter(tuple(w[k:k + 5]) for k in range(len(w) - 4))
+        covered = {k + j for k in range(len(w) - 4) if seen[tuple(w[k:k + 5])] > 1 for j in range(5)}
+        full = [x for x in t.split("\n") if WORDS.search(x)]
+        want[i] = (len(w), len(covered), len(full) - len(set(full)), len(w) < 10 or 100 * len(covered) > 20 * len(w))
+    assert {r[0]: tuple(r)[1:5] for r in got} == want
+    assert not any(r.kept and r.base_failed for r in got)
+    assert quality.keep_good(docs).columns == docs.columns
+    assert quality.judged(docs.limit(0)).count() == 0
+
+
+def test_exact(docs, rows):
+    got = exact.equal_groups(docs).collect()
+    groups = collections.defaultdict(list)
+    for i, t in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]", "", t)].append((-len(t), i is None, i if i is not None else 0, i))
+    assert len(got) == len(rows)
+    want = sorted((i is None, i or 0, min(g)[3], len(g), hashlib.sha256(n.encode()).hexdigest()) for n, g in groups.items() for _, _, _, i in g)
+    assert sorted((r._id is None, r._id or 0, r._keep, r._size, r._digest) for r in got) == want
+    assert sum(r._kept for r in got) == len(groups)
+    kept = exact.drop_copies(docs)
+    assert kept.columns == docs.columns and kept.count() == len(groups)
+    assert exact.equal_groups(docs.limit(0)).count() == 0
+
+
+def test_mixing(docs, rows):
+    got = mixing.mixed(docs).collect()
+    total = sum(len(WORDS.findall(t)) for _, t in rows)
+    longest = max(r.size for r in got)
+    assert len(got) == len(rows) and sorted(map(str, got)) == sorted(map(str, mixing.mixed(docs).collect()))
+    assert total * 1.5 - longest * 2 <= sum(r.taken for r in got) <= total * 1.5 + longest
+    by = collections.defaultdict(list)
+    for r in got:
+        assert r.taken == r.times * r.size and 0 <= r.times <= 2
+        by[r.source].append(r)
+    for some in by.values():
+        assert abs(sum(r.taken for r in some) - some[0].target) <= max(r.size for r in some) * 2
+        assert some[0].target <= 2 * some[0].source_size
+    mix = mixing.mix(docs)
+    assert mix.columns == docs.columns and mix.count() == sum(r.times for r in got)
+    assert mixing.mixed(docs.limit(0)).count() == 0
+
+
+def test_mixing_without_words(spark):
+    rows = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
+    assert [r.taken for r in mixing.mixed(rows).collect()] == [0, 0]
+
+
+def brute_sets(rows, width):
+    out = {}
+    for i, t in rows:
+        w = WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t))
+        k = min(width, len(w))
+        out[i] = {tuple(w[j:j + k]) for j in range(len(w) - k + 1)} if w else set()
+    return out
+
+
+@pytest.mark.parametrize("width, percent", [(3, 90), (5, 80)])
+def test_jaccard(docs, rows, width, percent):
+    sets = brute_sets([r for r in rows if r[0] is not None], width)
+    label = {i: i for i in sets}
+    for _ in sets:
+        for a, b in itertools.combinations(sets, 2):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                label[a] = label[b] = min(label[a], label[b])
+    got = jaccard.similar(docs, width=width, percent=percent).collect()
+    assert len(got) == len(rows)
+    assert {r.id: (r.n, r.component) for r in got if r.id is not None} == {i: (len(sets[i]), label[i]) for i in sets}
+    assert jaccard.similar(docs.limit(0)).count() == 0
+    assert jaccard.drop_similar(docs, width=width, percent=percent).columns == docs.columns
+
+
+def test_jaccard_order_of_shingles_does_not_matter(spark, monkeypatch):
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(60)]
+    base = rnd.choices(words, k=200)
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for _ in range(rnd.randint(0, 4)):
+            w[rnd.randrange(200)] = rnd.choice(words)
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    results = []
+    for seen in (2, 10**9):
+        monkeypatch.setattr(jaccard, "SEEN", seen)
+        results.append({r.id: r.component for r in jaccard.similar(docs).collect()})
+    sets, label = brute_sets(rows, 3), {i: i for i, _ in rows}
+    for _ in rows:
+        for a, b in itertools.combinations(sets, 2):
+            if 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]):
+                label[a] = label[b] = min(label[a], label[b])
+    assert results == [label, label]
+
+
+def test_substrings(docs, rows):
+    least = {}
+    for i, t in sorted((r for r in rows if r[0] is not None)):
+        b = t.encode()
+        for p in range(len(b) - 49):
+            least.setdefault(b[p:p + 50], i)
+    got = {r.id: r for r in substrings.without_repeats(docs).collect()}
+    assert set(got) == {i for i, _ in rows}
+    for i, t in rows:
+        b = t.encode()
+        gone = bytearray(len(b))
+        for p in range(len(b) - 49):
+            if i is not None and least[b[p:p + 50]] < i:
+                gone[p:p + 50] = b"\1" * 50
+        assert bytes(got[i].kept) == bytes(x for x, g in zip(b, gone) if not g)
+        assert got[i].n_bytes == len(b) and sum(s.end - s.start for s in got[i].spans) == sum(gone)
+    assert substrings.without_repeats(docs.limit(0)).count() == 0
+
+
+def test_lines(docs, rows):
+    got = {r.id: r for r in lines.without_repeats(docs).collect()}
+    seen, want = [], {}
+    for i, t in sorted(r for r in set(rows) if r[0] is not None):
+        kept = []
+        for line in t.split("\n"):
+            w = WORDS.findall(line)
+            own = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))}
+            if w and any(100 * len(own & s) >= 80 * len(own | s) for s in seen):
+                continue
+            if w:
+                seen.append(own)
+            kept.append(line)
+        want[i] = "\n".join(kept)
+    assert {i: got[i].text for i in want} == want
+    assert lines.without_repeats(docs.limit(0)).count() == 0
+
+
+def test_bpe(docs, rows):
+    from tokenizers import Tokenizer
+
+    path = bpe.default_path()
+    file = Tokenizer.from_file(path)
+    got = {r.doc_id: r for r in bpe.coded(docs, path).collect()}
+    for i, t in rows:
+        ids = file.encode(t, add_special_tokens=False).ids
+        assert bytes(got[i].ids) == b"".join(x.to_bytes(4, "little") for x in ids) and got[i].n_tokens == len(ids)
+        assert got[i].decoded == file.decode(ids, skip_special_tokens=False) == bpe.decode(bytes(got[i].ids), path)
+    assert bpe.coded(docs.limit(0), path).count() == 0
+
+
+@pytest.mark.parametrize("text", ["<|startoftext|>Hi<|endoftext|>", "ΣΑΣ İ ǅ", "é Å ﬁ", "don't WE'LL 123½", "😀a😀", "\u0085 　"])
+def test_bpe_matches_the_file(text):
+    codec = bpe.codec(bpe.default_path())
+    ids = codec.file.encode(text, add_special_tokens=False).ids
+    assert codec.code(text)[0] == b"".join(x.to_bytes(4, "little") for x in ids)
+
+
+def test_pages(spark):
+    menu = "<div><p>Menu of the site</p></div>"
+    pages = [(i, f"http://h.example/{i}", f"<body>{menu}<p>own text {i} &amp; more</p><div class='ad'>buy</div></body>", "x") for i in range(20)]
+    pages += [(100, None, None, "x"), (101, "no url", "", "x"), (102, "http://o.example/", f"<body>{menu}<p>a<br>b", "x"), pages[0]]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string, text string")
+    got = extraction.extracted(frame).collect()
+    assert len(got) == len(pages)
+    text = {r.id: r.text for r in got}
+    assert text[3] == "own text 3 & more" and text[100] == text[101] == "" and text[102] == "Menu of the site a b"
+    assert extraction.extracted(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<article><h1>T</h1><p>x<aside>no</aside>y</p></article><p>out", "T x y"),
+    ("<nav>n</nav><p>a <b>b</b>\n c<p>d &lt;x&gt; &#233;", "a b c d <x> é"),
+    ("<script>if(a<b)</script>hi<style>x", "hi"), ('<p title="a>b">q</p><!-- <p>c</p> -->z', "q z"),
+    ("<div class='user-comments'>no</div><form>no</form><ul><li>x<li>y</ul>", "x y"),
+])
+def test_page_structure(html, text):
+    assert extraction.Page(html).text(set()) == text
+
+
+def test_url_filters(spark):
+    entries = spark.createDataFrame([
+        ("example.org", "add", 10), ("example.org", "remove", 20), ("a.example.org/x", "add", 15), (None, "add", 1),
+        ("tie.example", "add", 5), ("tie.example", "remove", 5)], "key string, action string, at long")
+    urls = ["http://a.example.org/x/y?q", "https://U@A.Example.org:80/z", "http://tie.example/", None, ""]
+    captures = spark.createDataFrame([(i, u, t, "k") for i, u in enumerate(urls) for t in (9, 10, 19, 20, None, 20)],
+                                     "id long, url string, at long, key string")
+    got = {(r.id, r.at): (r.copies, r.rule) for r in urlfilter.judged(captures, entries).collect()}
+    assert [got[0, t] for t in (9, 10, 19, 20)] == [(1, None), (1, "example.org"), (1, "a.example.org/x"), (2, "a.example.org/x")]
+    assert [got[1, t][1] for t in (9, 10, 19, 20)] == [None, "example.org", "example.org", None]
+    assert all(got[i, t][1] is None for i in (2, 3, 4) for t in (9, 10, 19, 20, None))
+    assert urlfilter.judged(captures.limit(0), entries).count() == 0
+    assert urlfilter.judged(captures, entries.limit(0)).where("blocked").count() == 0
+
+
+def test_rollups(spark, docs, tmp_path):
+    counters = {"words": F.size(F.split("text", " "))}
+    roll = rollups.Rollup(spark, str(tmp_path / "rollup"))
+    assert roll.totals().count() == 0
+    roll.commit(0, rollups.changes(docs, counters))
+    first = sorted(map(str, roll.totals().collect()))
+    roll.commit(0, rollups.changes(docs, counters))
+    assert sorted(map(str, roll.totals().collect())) == first
+    roll.commit(1, rollups.revisions(docs, "words", F.lit(1), F.lit(3)))
+    assert roll.totals().agg(F.sum("docs")).first()[0] == docs.count()
+    roll.commit(1, rollups.changes(docs, counters, -1))
+    assert roll.totals().count() == 0
