@@ -227,7 +227,9 @@ class DocModel:
                 point = F.col(path)
                 columns[f"{path}__geohash"] = (geo.geohash(point["lon"], point["lat"]), {})
         if self.all_text:
-            leaves = [F.col(p) for p, f in self._paths.items() if not isinstance(f.dataType, T.StructType)
+            doc = Doc(df.schema)
+            leaves = [_joined(F.col(p), doc[p].dtype) for p, f in self._paths.items()
+                      if not isinstance(f.dataType, T.StructType)
                       and not isinstance(_element(f.dataType), (T.StructType, T.MapType, T.VariantType))]
             columns["_all"] = (all_text(*leaves), {})
         derived = [c.alias(n.replace(".", "_"), metadata=m) for n, (c, m) in columns.items()]
@@ -252,10 +254,17 @@ def _declare(dtype: T.DataType, declared: T.DataType) -> T.DataType:
 
 
 def all_text(*columns: Column) -> Column:
-    """One text of several columns; arrays give their elements."""
+    """One text of several columns."""
     return F.concat_ws(" ", *[c.cast("string") for c in columns])
 
 
+def _joined(column: Column, dtype: T.DataType) -> Column:
+    """An array as the text of its elements that are not null; other values as they are."""
+    if not isinstance(dtype, T.ArrayType):
+        return column
+    return F.array_join(F.transform(column, lambda v: _joined(v, dtype.elementType).cast("string")), " ")
+
+
 def _check_stage(stage: str) -> None:
     if stage not in STAGES:
         raise ModelError(f"unknown hook stage {stage!r}; known: {STAGES}")
@@ -294,8 +303,13 @@ def _conform(column: Column, source: T.DataType, field: T.StructField, strict: b
 
 def _convert(column: Column, source: T.DataType, target: T.DataType, metadata: dict, strict: bool) -> Column:
     if target == GEOPOINT and isinstance(source, T.ArrayType):
-        lon, lat = (F.get(column, i).cast("double") for i in (0, 1))
-        return F.when(F.size(column) == 2, F.struct(lon.alias("lon"), lat.alias("lat")))
+        lon, lat = (F.get(column, F.lit(i)) for i in (0, 1))
+        lon, lat = (c.cast("double") if strict else c.try_cast("double") for c in (lon, lat))
+        return _point(column, F.size(column) == 2, lon, lat, strict)
+    if target == GEOPOINT and isinstance(source, T.StructType) and {"lon", "lat"} <= set(source.names):
+        lon, lat = (column.getField(n) for n in ("lon", "lat"))
+        lon, lat = (c.cast("double") if strict else c.try_cast("double") for c in (lon, lat))
+        return _point(column, F.lit(True), lon, lat, strict)
     if isinstance(target, T.StructType) and isinstance(source, T.StructType):
         have = {f.name: f.dataType for f in source.fields}
         parts = [
@@ -320,9 +334,18 @@ def _convert(column: Column, source: T.DataType, target: T.DataType, metadata: d
     return column.cast(target) if strict else column.try_cast(target)
 
 
+def _point(given: Column, shaped: Column, lon: Column, lat: Column, strict: bool) -> Column:
+    """The point; a malformed one, or one that is not on the globe, is refused or null."""
+    right = F.coalesce(shaped & lon.between(-180, 180) & lat.between(-90, 90), F.lit(False))
+    point = F.when(given.isNotNull() & right, F.struct(lon.alias("lon"), lat.alias("lat")))
+    if not strict:
+        return point
+    return point.when(given.isNotNull(), F.raise_error(F.lit("malformed point")).cast(GEOPOINT))
+
+
 def _same_presence(old: Column, source: T.DataType, new: Column, target: T.DataType) -> Column:
     """No part that was present became null by the cast."""
-    if isinstance(source, T.StructType) and isinstance(target, T.StructType):
+    if isinstance(source, T.StructType) and isinstance(target, T.StructType) and target != GEOPOINT:
         result = new.isNotNull()
         have = {f.name: f.dataType for f in source.fields}
         for f in target.fields:

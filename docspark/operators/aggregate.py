@@ -144,7 +144,7 @@ def _stat(path: Path, name: str) -> Column:
     values = F.array_compact(c)
     if name in ("min", "max"):
         return getattr(F, name)(getattr(F, f"array_{name}")(values))
-    number = F.sum(F.size(values))
+    number = F.sum(F.array_size(values))
     if name == "count":
         return F.coalesce(number, F.lit(0).cast("bigint"))
     total = F.sum(F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v.cast("double")))
@@ -225,7 +225,8 @@ def aggregate_multi_long(
 
     Columns: `name`, `k0..kn` (null beyond the keys of an aggregate; text where the
     aggregates disagree on the type), `total`, and every statistic (null where not
-    asked for). A document contributes one small row per group it falls in.
+    asked for). A document contributes one small row per group it falls in. An
+    aggregate without keys has its row even if nothing matches.
     """
     matched = df if where is None else df.where(where)
     doc = Doc(matched)
@@ -256,7 +257,11 @@ def aggregate_multi_long(
     ]
     if complete:
         rows = rows.where(reduce(lambda a, b: a & b, complete))
-    columns = [F.count(F.lit(1)).alias("total")]
+    single = [(name,) for name, s in specs.items() if not s.by]
+    rows = rows.withColumn("_document", F.lit(1))
+    if single:  # a row that is no document, so that the group is there
+        rows = rows.unionByName(df.sparkSession.createDataFrame(single, "_name string"), allowMissingColumns=True)
+    columns = [F.count("_document").alias("total")]
     columns += [_stat(doc[p], stat).alias(stat_name(p, stat)) for p, stat in pairs]
     grouped = rows.groupBy(*[F.col(c).alias(c[1:]) for c in ("_name", *keys)]).agg(*columns)
 

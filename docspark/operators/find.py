@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from docspark.operators.predicates import Doc
+from docspark.settings import shared_dir
 
 METADATA = ("_id", "_parent", "_routing", "_index")
 
@@ -25,18 +26,40 @@ def find(
 
     `sort` is `{path: 1 | -1}` or a list of sort Columns; missing values come last
     in both directions. `with_total` adds `_total`, the matches before skip and
-    limit, from a second aggregate over the same filter.
+    limit, from a second aggregate over the same filter. `skip` without `limit`
+    writes the rows below the shared folder at once.
     """
     matched = df if where is None else df.where(where)
     page = matched.orderBy(*sort_columns(df, sort)) if sort else matched
-    if skip:
-        page = page.offset(skip)
     if limit is not None:
-        page = page.limit(limit)
+        page = page.offset(skip).limit(limit) if skip else page.limit(limit)
     page = project(page, include, exclude)
+    if skip and limit is None:
+        page = _after(page, skip, bool(sort))
     return page.withColumn("_total", count(matched).scalar()) if with_total else page
 
 
+def _after(rows: DataFrame, skip: int, ordered: bool) -> DataFrame:
+    """All but the first `skip` rows, in as many tasks as there are partitions.
+
+    The rows are written with ids that grow from partition to partition, so that one count for
+    each partition tells the id of the first row that stays.
+    """
+    spark, path = rows.sparkSession, shared_dir(rows.sparkSession)
+    at = F.monotonically_increasing_id()
+    rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"), at.alias("_at")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    first = None
+    for part, n in stored.groupBy(F.shiftright("_at", 33).alias("part")).count().orderBy("part").collect():
+        if skip < n:
+            first = (part << 33) + skip
+            break
+        skip -= n
+    kept = stored.where(F.lit(False) if first is None else F.col("_at") >= first)
+    kept = (kept.orderBy("_at") if ordered else kept).select("_row.*")
+    return kept.select(*[F.col(f"`{f.name}`").alias(f.name, metadata=f.metadata) for f in rows.schema.fields])
+
+
 def stream(df: DataFrame, *args, **options) -> Iterator[Row]:
     """`find`, delivered to the driver one partition at a time instead of collected."""
     return find(df, *args, **options).toLocalIterator(prefetchPartitions=True)

@@ -116,7 +116,5 @@ def delete_keys(df: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
 
 def unmatched_keys(df: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
     """The keys of `gone` that no document has."""
-    wanted = gone.select(*keys).distinct()
-    # the large side streams past the wanted keys; only found keys go on, each once
-    found = df.select(*keys).join(wanted, keys, "left_semi").distinct()
-    return wanted.join(found, keys, "left_anti")
+    # both sides are made distinct before the join, so that a hot key collapses in every task
+    return gone.select(*keys).distinct().join(df.select(*keys).distinct(), keys, "left_anti")

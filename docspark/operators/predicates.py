@@ -38,8 +38,11 @@ def any_of(*predicates: Column) -> Column:
 
 
 def none_of(*predicates: Column) -> Column:
-    """No predicate holds; one that is null because a field is missing does not hold."""
-    return all_of(*[~F.coalesce(p, F.lit(False)) for p in predicates])
+    """No predicate holds; one that is null because a field is missing does not hold.
+
+    The predicates of a single value bring their complement in a form that reaches the scan.
+    """
+    return all_of(*[vars(p).get("_complement", ~F.coalesce(p, F.lit(False))) for p in predicates])
 
 
 class Doc:
@@ -104,9 +107,12 @@ class Path:
     def column(self) -> Column:
         """The searched value: missing reads as the schema's default, if it has one."""
         default = self.metadata.get("default")
-        if default is None or self.is_array:
+        if default is None:
             return self._column
-        return F.coalesce(self._column, literals.stored(default, self.value_type))
+        default = literals.stored(default, self.value_type)
+        if self.is_array:
+            return F.coalesce(F.transform(self._column, lambda v: F.coalesce(v, default)), F.array(default))
+        return F.coalesce(self._column, default)
 
     def literal(self, value) -> Column:
         """A value to compare with this field."""
@@ -149,10 +155,12 @@ class Path:
     def _any(self, test: Callable[[Column], Column]) -> Column:
         """`test` holds for the value, or for some element of an array."""
         if self.is_array:
-            return F.exists(self._column, test)
+            return F.exists(self.column, test)
         default = self.metadata.get("default")
         if default is None:
-            return test(self._column)
+            found = test(self._column)
+            found._complement = self._column.isNull() | ~test(self._column)  # see none_of
+            return found
         # kept apart from the column so that the comparison still reaches the scan
         return test(self._column) | (self._column.isNull() & test(literals.stored(default, self.value_type)))
 
@@ -161,7 +169,7 @@ class Path:
     def eq(self, value) -> Column:
         field = self._typed(value)
         if field.is_array:
-            return F.array_contains(field._column, field.literal(value))
+            return F.array_contains(field.column, field.literal(value))
         return field._any(lambda c: c == field.literal(value))
 
     def ne(self, value) -> Column:
@@ -180,7 +188,7 @@ class Path:
         field = self._typed(values[0])
         literals = [field.literal(v) for v in values]
         if field.is_array:
-            return F.arrays_overlap(field._column, F.array(*literals))
+            return F.arrays_overlap(field.column, F.array(*literals))
         return field._any(lambda c: c.isin(*literals))
 
     def nin(self, values) -> Column:
@@ -212,7 +220,7 @@ class Path:
     def exists(self) -> Column:
         """Present; an array needs an element that is not null."""
         if self.is_array:
-            return F.coalesce(F.size(F.array_compact(self._column)) > 0, F.lit(False))
+            return F.coalesce(F.size(F.array_compact(self.column)) > 0, F.lit(False))
         if self._variant_path:
             value = F.try_variant_get(self._column, self._variant_path, "variant")
             return value.isNotNull() & ~F.is_variant_null(value)

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from docspark.functions.text import STOP_WORDS
 from docspark.functions.dates import iso_utc
 from docspark.operators.aggregate import (
     Spec, aggregate, aggregate_multi, aggregate_multi_long, by_component, by_duration, by_field,
@@ -68,6 +69,14 @@ def group_tokens(spark, d):
     return aggregate(table(spark, d, "documents"), by=by_field("text", analyzer="standard"), total=True)
 
 
+@query(rf"""
+    SELECT k0, count(*) AS total FROM (
+        SELECT doc_id, unnest(list_distinct(string_split_regex(lower(text), '[^\p{{L}}]+'))) AS k0 FROM documents)
+    WHERE k0 <> '' AND k0 NOT IN ({", ".join(f"'{w}'" for w in STOP_WORDS)}) GROUP BY 1""")
+def group_stops(spark, d):
+    return aggregate(table(spark, d, "documents"), by=by_field("text", analyzer="stop"), total=True)
+
+
 @query()
 def group_stems(spark, d):
     return aggregate(table(spark, d, "documents"), by=by_field("text", analyzer="english"), total=True)
@@ -206,6 +215,18 @@ def agg_multi_shapes(spark, d):
     })
 
 
+@query("""
+    SELECT 'all' AS name, CAST(NULL AS VARCHAR) AS k0, count(*) AS total, sum(value) AS value_sum FROM events WHERE value < -1e9
+    UNION ALL SELECT 'type', event_type, count(*), NULL FROM events WHERE value < -1e9 GROUP BY event_type""")
+def agg_multi_empty(spark, d):
+    """An aggregate without keys has its row though nothing matches."""
+    events = table(spark, d, "events")
+    return aggregate_multi_long(events, {
+        "all": Spec(stats={"value": ["sum"]}, total=True),
+        "type": Spec([by_field("event_type")], total=True),
+    }, where=Doc(events)["value"].range(lt=-1e9))
+
+
 @query("""
     SELECT b.k0, b.total AS matched, a.total AS of_all FROM
         (SELECT event_type AS k0, count(*) AS total FROM events WHERE value > 100 GROUP BY 1) b

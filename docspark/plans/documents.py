@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docspark.functions.geo import _BASE32, geohash
-from docspark.model import DocModel, field, map_of, object_of
+from docspark.model import DocModel, array_of, field, map_of, object_of
 from docspark.operators import mutate
 from docspark.operators.aggregate import by_field
 from docspark.operators.find import count, find, project
@@ -115,12 +115,56 @@ def cast_fields(spark, d):
     return model.cast(raw).select("event_id", F.col("props")["k"].alias("k"), "whole")
 
 
-@query("SELECT event_id, props FROM events WHERE try_cast(event_type || value AS DOUBLE) IS NULL AND value > 250")
+def _both_sides(model: DocModel, raw, id: str):
+    """The id of every row, and whether the row fits the model."""
+    good, bad = model.split_castable(raw)
+    return good.select(id, F.lit(True).alias("fits")).union(bad.select(id, F.lit(False)))
+
+
+@query("""
+    SELECT event_id, try_cast(mark AS DOUBLE) IS NOT NULL AS fits FROM (
+        SELECT event_id, CASE event_type WHEN 'error' THEN event_type || value ELSE CAST(value AS VARCHAR) END AS mark
+        FROM events WHERE value IS NOT NULL)""")
 def rejected_rows(spark, d):
     model = DocModel("Raw", object_of(field("event_id", "long", id=True), field("mark", "double")))
-    raw = table(spark, d, "events").where("value > 250").select(
-        "event_id", "props", F.concat("event_type", F.col("value").cast("string")).alias("mark"))
-    return model.split_castable(raw)[1].select("event_id", "props")
+    value = F.col("value").cast("string")
+    mark = F.when(F.col("event_type") == "error", F.concat("event_type", value)).otherwise(value)
+    raw = table(spark, d, "events").where("value IS NOT NULL").select("event_id", mark.alias("mark"))
+    return _both_sides(model, raw, "event_id")
+
+
+@query("""
+    SELECT c_custkey, c_custkey * 37 % 400 - 200 BETWEEN -180 AND 180 AND c_custkey * 17 % 200 - 100 BETWEEN -90 AND 90
+               AND c_custkey % 3 < 2 AS fits FROM customer""")
+def bad_points(spark, d):
+    """Points that are off the globe or have three parts are rejected."""
+    model = DocModel("Place", object_of(field("c_custkey", "long", id=True), field("at", "geopoint")))
+    lon, lat = F.col("c_custkey") * 37 % 400 - 200, F.col("c_custkey") * 17 % 200 - 100
+    at = F.when(F.col("c_custkey") % 3 < 2, F.array(lon, lat)).otherwise(F.array(lon, lat, lat))
+    return _both_sides(model, table(spark, d, "customer").select("c_custkey", at.alias("at")), "c_custkey")
+
+
+@query("SELECT p_partkey, p_partkey || ' ' || p_name || ' x' AS words FROM part WHERE p_name IS NOT NULL")
+def all_text_arrays(spark, d):
+    model = DocModel("Part", object_of(field("p_partkey", "long", id=True), field("names", array_of("string"))), all_text=True)
+    names = F.array(F.col("p_name"), F.lit(None).cast("string"), F.lit("x")).alias("names")
+    parts = table(spark, d, "part").where("p_name IS NOT NULL").select("p_partkey", names)
+    return model.searchable(parts).select("p_partkey", F.col("_all").alias("words"))
+
+
+@query("SELECT event_id FROM events WHERE value IS NULL OR value < 50")
+def default_array(spark, d):
+    """Null elements read as the field's default."""
+    model = DocModel("Event", object_of(field("event_id", "long", id=True), field("vs", array_of("double"), default=9.0)))
+    large = F.when(F.col("value") >= 50, F.col("value"))
+    events = table(spark, d, "events").select("event_id", F.array(large, F.lit(2.0)).alias("vs"))
+    return find(events, model.doc(events)["vs"].eq(9.0), include=["event_id"])
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS LAST, o_orderkey OFFSET 500")
+def find_skip(spark, d):
+    return find(table(spark, d, "orders"), sort={"o_totalprice": -1, "o_orderkey": 1}, skip=500,
+                include=["o_orderkey", "o_totalprice"])
 
 
 @query(r"""
@@ -259,6 +303,30 @@ def stored_changes(spark, d):
     return events.read().select(source.columns)
 
 
+@query("""
+    SELECT event_id, CAST(event_id AS VARCHAR) AS _id, event_type FROM (
+        SELECT CASE event_type WHEN 'error' THEN event_id + 1000000000 ELSE event_id END AS event_id, event_type FROM events)""")
+def update_moves_key(spark, d):
+    """An update that changes ids stores the documents in their new places."""
+    events = Collection(spark, shared_dir(spark), _event_model(), buckets=4, slices=2)
+    events.append(table(spark, d, "events").select("event_id", "user_id", "event_type", "value"))
+    events.update(events.doc["event_type"].eq("error"), set={"event_id": F.col("event_id") + 1000000000})
+    return events.read().select("event_id", "_id", "event_type")
+
+
+@query("""
+    SELECT event_id, CASE event_type WHEN 'error' THEN 'fault' ELSE event_type END AS event_type, value + 1 AS value FROM events""")
+def update_hooks(spark, d):
+    """Hooks that alter documents run on appends and on updates."""
+    model = _event_model().on("pre-normalize", lambda df: df.replace("bad", "fault", "event_type"))
+    model.on("pre-save", lambda df: df.withColumn("value", F.when(F.col("event_type") == "fault", F.col("value"))
+                                                  .otherwise(F.col("value") + 1)))
+    events = Collection(spark, shared_dir(spark), model, buckets=2, slices=2)
+    events.append(table(spark, d, "events").select("event_id", "user_id", "event_type", "value"))
+    events.update(events.doc["event_type"].eq("error"), set={"event_type": "bad"})
+    return events.read().select("event_id", "event_type", "value")
+
+
 @query("""
     SELECT event_id, event_type FROM events WHERE event_type <> 'view' OR event_type IS NULL""")
 def save_hooks(spark, d):

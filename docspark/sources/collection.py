@@ -17,16 +17,17 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F, types as T
 
 from docspark.functions.geo import geohash
 from docspark.model import GEOPOINT, DocModel
 from docspark.operators import mutate
-from docspark.operators.aggregate import aggregate
+from docspark.operators.aggregate import Spec, aggregate, aggregate_multi
 from docspark.operators.find import count, find
 from docspark.operators.predicates import Doc, all_of
 
@@ -103,6 +104,15 @@ class Collection:
         """Grouped statistics of the stored documents; arguments of `operators.aggregate.aggregate`."""
         return aggregate(self.search(routing), *args, **options)
 
+    def aggregate_multi(self, specs: dict[str, Spec], where: Column | None = None,
+                        routing: str | None = None) -> dict[str, DataFrame]:
+        """Several aggregates over the stored documents that match, by name."""
+        return aggregate_multi(self.search(routing), specs, where)
+
+    def stream(self, where: Column | None = None, routing: str | None = None, **options) -> Iterator[Row]:
+        """`find`, delivered to the driver one partition at a time."""
+        return self.find(where, routing, **options).toLocalIterator(prefetchPartitions=True)
+
     # -- writing -----------------------------------------------------------
 
     def upsert(self, batch: DataFrame, order_by: list[str] | None = None, index: str | None = None,
@@ -129,27 +139,51 @@ class Collection:
         kept = kept.join(gone, keys, "left_anti").select(*self._stored.names)
         newest = mutate.latest(staged, keys, order_by).select(*self.schema.names)
         self._write(self._placed(kept).unionByName(self._placed(newest, moved=True)), version, touched)
-        self.model.run_hooks("post-save", staged)
+        self.model.run_hooks("post-save", newest)
         return staged.select(*keys).distinct().count() if moved else sum(counts.values())
 
     insert = upsert
 
     def append(self, batch: DataFrame, index: str | None = None, routing: str | None = None) -> int:
         """Save documents whose ids are known to be new, without reading the old ones."""
-        prepared = self.model.prepare(batch, index, routing).select(*self.schema.names)
-        return self._write(self._placed(_with_id(prepared), moved=True), self._state().last + 1, None)
+        version = self._state().last + 1
+        prepared = _with_id(self.model.prepare(batch, index, routing).select(*self.schema.names))
+        if self.model.hooks.get("post-save"):  # they see the documents with the ids that are stored
+            prepared = self._spill(prepared, version, "staged")
+        written = self._write(self._placed(prepared, moved=True), version, None)
+        self.model.run_hooks("post-save", prepared)
+        return written
 
     def update(self, where: Column | None, set: dict | None = None, unset: list[str] | None = None,
                replace: dict | None = None, skip: tuple[str, ...] = (), routing: str | None = None) -> int:
-        """Rewrite the matching documents; returns their number. See `mutate.update`."""
+        """Rewrite the matching documents; returns their number. See `mutate.update`.
+
+        The result must fit the model. Where the id may change or the model has hooks, the documents
+        are saved as by `upsert`: the hooks run, and a document with a new id leaves its old place.
+        """
         state, hit = self._state(), _matches(where, routing)
+        if any(self.model.hooks.values()) or self.model.id_path in {*(set or {}), *(unset or [])}:
+            found = self._searched(state, self._on_route(state, routing)).where(hit)
+            keys = tuple(p for p in [self.model.id_path] if p)
+            changed = mutate.update(found, None, set, unset, replace, keys, skip).select(*self.schema.names)
+            return self.upsert(self._renamed(changed))
         counts = self._count_by_cell(self._searched(state, self._on_route(state, routing)).where(hit))
         if counts:
             keys = tuple(p for p in [self.model.id_path] if p)
             changed = mutate.update(self._searched(state, {*counts}), hit, set, unset, replace, keys, skip)
-            self._write(self._placed(changed.select(*self.schema.names)), state.last + 1, {*counts})
+            changed = self.model.cast(changed).select(*self.schema.names)
+            self._write(self._placed(changed), state.last + 1, {*counts})
         return sum(counts.values())
 
+    def _renamed(self, changed: DataFrame) -> DataFrame:
+        """Stored documents to save again: the id is that of the body, the route follows the id it was."""
+        own = F.col(self.model.id_path).cast("string") if self.model.id_path else F.lit(None).cast("string")
+        return changed.withColumns({
+            "_old_id": F.col("_id"), "_old_routing": F.col("_routing"),
+            "_id": F.coalesce(own, F.col("_id")),
+            "_routing": F.when(F.col("_routing") != F.col("_id"), F.col("_routing")),
+        })
+
     def delete(self, where: Column | None = None, routing: str | None = None) -> int:
         """Remove the matching documents; returns their number.
 
@@ -179,7 +213,10 @@ class Collection:
         if counts:
             kept = self._load(state, set(counts)).join(found.select(*keys), keys, "left_anti")
             kept = kept.select(*self._stored.names)
+            removed = self._load(state, set(counts)).join(found.select(*keys), keys, "left_semi").select(*self.schema.names)
+            self.model.run_hooks("pre-remove", removed)
             self._write(self._placed(kept), state.last + 1, set(counts))
+            self.model.run_hooks("post-remove", removed)
         return sum(counts.values()), gone.join(found, keys, "left_anti")
 
     # -- cells -------------------------------------------------------------

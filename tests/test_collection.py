@@ -7,6 +7,8 @@ from docspark import (
     map_of, read_indexes, unmatched_keys, update,
     upsert, DocModel,
 )
+from docspark.model import STAGES
+from docspark.operators.aggregate import Spec
 from docspark.operators.mutate import latest
 from docspark.settings import shared_dir
 
@@ -319,3 +321,44 @@ def test_catalog_indexes(spark, dogs):
     dogs.createOrReplaceTempView("animals_view")
     dogs.createOrReplaceTempView("other_view")
     assert read_indexes(catalog_indexes(spark), "animals_*").count() == 3
+
+
+def _staged_model(seen):
+    model = DocModel("T", object_of(field("id", id=True), field("kind", enum=["a", "b"])))
+    for stage in STAGES:
+        model.on(stage, lambda df, stage=stage: (seen.append(stage), df)[1])
+    return model
+
+
+def test_every_write_runs_its_hooks(spark):
+    seen = []
+    store = Collection(spark, shared_dir(spark), _staged_model(seen), buckets=2, slices=1)
+    docs = spark.createDataFrame([("x", "a"), ("y", "b")], "id string, kind string")
+    saved = ["post-init", "pre-normalize", "post-normalize", "pre-save", "post-save"]
+
+    def ran(write):
+        seen.clear()
+        write()
+        return list(seen)
+
+    assert ran(lambda: store.append(docs)) == saved
+    assert ran(lambda: store.upsert(docs)) == saved
+    assert ran(lambda: store.update(store.doc["id"].eq("x"), set={"kind": "b"})) == saved
+    assert ran(lambda: store.delete_keys(spark.createDataFrame([("x",)], "_id string"))) == ["pre-remove", "post-remove"]
+    assert ran(lambda: store.delete(store.doc["id"].eq("y"))) == ["pre-remove", "post-remove"]
+    assert store.read().count() == 0
+
+
+def test_update_saves_through_the_model(spark):
+    model = DocModel("T", object_of(field("id", id=True), field("kind", enum=["a", "b"])))
+    store = Collection(spark, shared_dir(spark), model, buckets=4, slices=2)
+    store.append(spark.createDataFrame([("x", "a"), ("y", "b")], "id string, kind string"))
+    with pytest.raises(Exception, match="invalid value of kind"):
+        store.update(store.doc["id"].eq("x"), set={"kind": "bogus"})
+    store.update(store.doc["id"].eq("x"), set={"id": "z"})
+    assert [(r._id, r.id, r._routing) for r in store.read(ids=["z"]).collect()] == [("z", "z", "z")]
+    store.upsert(spark.createDataFrame([("z", "b")], "id string, kind string"))
+    assert {(r._id, r.kind) for r in store.read().collect()} == {("z", "b"), ("y", "b")}
+    assert {r.id for r in store.stream(store.doc["kind"].eq("b"))} == {"z", "y"}
+    totals = store.aggregate_multi({"kinds": Spec([by_field("kind")], total=True)})
+    assert [tuple(r) for r in totals["kinds"].collect()] == [("b", 2)]

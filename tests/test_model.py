@@ -81,7 +81,7 @@ def test_extra_index_on_array_elements(spark):
 def test_all_text(spark):
     m = model(field("a"), field("n", "integer"), field("o", object_of(field("t", array_of("string")))), all_text=True)
     df = m.searchable(spark.createDataFrame([("x", 5, (["p", "q"],)), (None, 7, None)], m.schema))
-    assert [r._all for r in df.collect()] == ["x 5 [p, q]", "7"]
+    assert [r._all for r in df.collect()] == ["x 5 p q", "7"]
     assert df.where(Doc(df)["_all"].text("q x 5")).count() == 1
 
 
@@ -152,3 +152,15 @@ def test_declared_defaults_of_nested_fields(spark):
     assert sorted(r.id for r in found.collect()) == ["x", "z"]
     assert [r.id for r in df.where(m.doc(df)["a"].elem_match(lambda e: e["k"].eq(1))).collect()] == ["x"]
     assert df.where(Doc(df)["o.n"].eq(7)).count() == 0
+
+
+def test_malformed_points(spark):
+    model = DocModel("Place", object_of(field("id", "integer", id=True), field("at", "geopoint")))
+    rows = [(1, [10.0, 20.0]), (2, [1.0, 2.0, 3.0]), (3, [500.0, 99.0]), (4, None), (5, [1.0, None])]
+    df = spark.createDataFrame(rows, "id int, at array<double>")
+    good, bad = model.split_castable(df)
+    assert {r.id for r in good.collect()} == {1, 4} and {r.id for r in bad.collect()} == {2, 3, 5}
+    for i in (2, 3, 5):
+        with pytest.raises(Exception, match="malformed point"):
+            model.cast(df.where(F.col("id") == i)).collect()
+    assert model.cast(df.where("id IN (1, 4)")).where("at.lat = 20").count() == 1

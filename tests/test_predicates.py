@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from conftest import plan_of
 from docspark import Doc, all_of, any_of, match_all, none_of, register_operator
@@ -217,3 +217,30 @@ def test_open_fields_compare_by_kind(spark):
     assert found(k.nin([5, "x"])) == [1, 4, 6, 7]
     assert found(k.ne(5)) == [1, 3, 4, 6, 7]
     assert found(k.eq(2**53 + 1)) == [6]
+
+
+def test_negations_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).select("id", F.when(F.col("id") % 7 > 0, F.col("id")).alias("v")).write.parquet(path)
+    df = spark.read.parquet(path)
+    v = Doc(df)["v"]
+    ranges = df.where(v.none(lambda p: p.range(lt=10), lambda p: p.range(gt=80, lte=90)))
+    expected = {i for i in range(100) if i % 7 == 0 or not (i < 10 or 80 < i <= 90)}
+    assert {r.id for r in ranges.collect()} == expected
+    pushed = plan_of(ranges).split("PushedFilters: [")[1].split("ReadSchema")[0]
+    assert "GreaterThanOrEqual(v,10)" in pushed and "IsNull(v)" in pushed and "GreaterThan(v,90)" in pushed
+    equal = df.where(none_of(v.eq(3), v.isin([4, 5])))
+    assert {r.id for r in equal.collect()} == set(range(100)) - {3, 4, 5}
+    pushed = plan_of(equal).split("PushedFilters: [")[1].split("ReadSchema")[0]
+    assert "Not(EqualTo(v,3))" in pushed and "Not(In(v, [4,5]))" in pushed
+
+
+def test_defaults_of_null_elements(spark):
+    schema = T.StructType([T.StructField("id", T.IntegerType()),
+                           T.StructField("vs", T.ArrayType(T.DoubleType()), True, {"default": 9.0})])
+    df = spark.createDataFrame([(1, [None, 2.0]), (2, [2.0]), (3, []), (4, None)], schema)
+    vs = Doc(df)["vs"]
+    ids = lambda p: {r.id for r in df.where(p).collect()}
+    assert ids(vs.eq(9.0)) == ids(vs.isin([9.0])) == ids(vs.range(gt=5)) == {1, 4}
+    assert ids(vs.ne(9.0)) == {2, 3}
+    assert ids(vs.exists()) == {1, 2, 4}

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import animal_model, plan_of
-from docspark import Collection, Doc, aggregate, by_field, has_child, has_parent, upsert
+from docspark import Collection, Doc, aggregate, by_field, find, has_child, has_parent, upsert
+from docspark.operators.mutate import unmatched_keys
 from docspark.settings import shared_dir
 
 
@@ -55,6 +56,23 @@ def test_salted_parent_spreads_the_hot_key(spark, small_partitions, skewed):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_unmatched_keys_of_a_hot_key(spark, small_partitions, skewed):
+    wanted = spark.range(400, 600).withColumnRenamed("id", "fk")
+    missing = unmatched_keys(skewed, wanted, ["fk"])
+    assert {r.fk for r in missing.collect()} == set(range(500, 600))
+    plan = plan_of(missing).split("Initial Plan")[0]
+    # plans print from the top: each side is made distinct in its tasks before it moves
+    assert plan.count("SortMergeJoin") == 1 and plan.count("keys=[fk") >= 4
+
+
+def test_skip_keeps_many_partitions(spark, small_partitions, skewed):
+    rest = find(skewed, sort={"v": 1}, skip=20000)
+    assert [r.v for r in rest.collect()] == sorted(r.v for r in skewed.collect())[20000:]
+    sizes = [r["count"] for r in rest.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 2 and max(sizes) < 30000
+    assert find(skewed, skip=70000).count() == 0
+
+
 def test_upsert_of_a_hot_batch_key(spark, skewed):
     old = spark.range(1000).select("id", F.lit(0.0).alias("v"))
     batch = skewed.select(F.col("fk").alias("id"), "v", F.col("id").alias("_seq"))
