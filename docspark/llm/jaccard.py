@@ -22,7 +22,7 @@ BLOCK, SEEN = 4 << 20, 2
 #: Leaders of each index block that its sets are compared with first.
 LEADERS = 3
 #: Words whose hash a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 class _Hashes(dict):
@@ -82,8 +82,12 @@ def scanned(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
         pending, size = [], 0
 
         def counted() -> pa.RecordBatch:
-            token, seen = np.unique(np.concatenate(pending), return_counts=True)
-            token, seen = token[seen >= SEEN], seen[seen >= SEEN]
+            block = np.concatenate(pending)
+            pending.clear()
+            block.sort()  # in place: a task holds two copies of a block at most
+            again = np.flatnonzero(block[SEEN - 1:] == block[:len(block) - SEEN + 1]) if SEEN <= len(block) else np.empty(0, np.int64)
+            token = np.unique(block[again])
+            seen = np.searchsorted(block, token, "right") - np.searchsorted(block, token)
             none = pa.nulls(len(token))
             return pa.record_batch([none.cast(arrow), none.cast(pa.int64()), none.cast(pa.int64()), _signed(token), pa.array(seen)],
                                    names=["id", "n", "sid", "token", "seen"])
@@ -98,7 +102,7 @@ def scanned(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
                 size += len(values)
                 if size >= BLOCK:
                     yield counted()
-                    pending, size = [], 0
+                    size = 0
             none = pa.nulls(len(ns), pa.int64())
             yield pa.record_batch([batch["id"], pa.array(ns, pa.int64()), pa.array(sids, pa.int64()), none, none],
                                   names=["id", "n", "sid", "token", "seen"])
