@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +54,22 @@ def released(spark: SparkSession, *frames: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Texts in a batch that goes to a Python worker, which holds it twice.
+BATCH = 500
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches of at most BATCH rows for the jobs of functions over Arrow that run inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, BATCH)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 #: Ids that picked() sends to every task; more are joined by a shuffle.
 FEW = 1 << 18
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docspark.llm.common import picked, released, staged, text_of
+from docspark.llm.common import picked, released, small_batches, staged, text_of
 from docspark.llm.components import components
 
 #: Shingles whose frequency is known when they are put in order; the most frequent ones. It bounds what
@@ -303,11 +303,12 @@ def similar(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
     """
     spark = docs.sparkSession
     given = docs.select(F.col(id).alias("id"), text_of(text).alias("text"))
-    ids, seen = scanned(given, width)
-    posted = postings(given, width, percent, ranked(seen))
-    shared = posted.groupBy("token").agg(F.min("sid").alias("_a"), F.max("sid").alias("_b")).where("_a < _b")
-    lists = staged(posted.join(shared.select("token"), "token", "left_semi").distinct())
-    nodes = linked_sets(given, ids, lists, width, percent)
+    with small_batches(spark):
+        ids, seen = scanned(given, width)
+        posted = postings(given, width, percent, ranked(seen))
+        shared = posted.groupBy("token").agg(F.min("sid").alias("_a"), F.max("sid").alias("_b")).where("_a < _b")
+        lists = staged(posted.join(shared.select("token"), "token", "left_semi").distinct())
+        nodes = linked_sets(given, ids, lists, width, percent)
     sets = ids.where("n > 0").groupBy("sid").agg(F.min("id").alias("_id"))
     sets = sets.join(nodes.toDF("sid", "_c"), "sid", "left").withColumn("_c", F.coalesce("_c", "sid"))
     reach = sets.groupBy("_c").agg(F.min("_id").alias("_first"))
