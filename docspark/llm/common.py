@@ -37,11 +37,16 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def staged(df: DataFrame, partitions: str | None = None) -> DataFrame:
-    """Write the frame below the shared folder and read it again: later steps restart from there."""
+    """Write the frame below the shared folder and read it again: later steps restart from there.
+
+    No later step reads the shuffle files behind it. Spark deletes them once the driver's collector
+    has found them unused, which is asked for here, as they would fill the disks over many steps.
+    """
     spark = df.sparkSession
     path = settings.shared_dir(spark)
     writer = df.write.partitionBy(partitions) if partitions else df.write
     writer.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
