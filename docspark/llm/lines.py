@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docspark.llm.common import WORD, let, picked, released, staged, text_of
+from docspark.llm.common import WHITE, WORD, let, picked, released, staged, text_of
 
 #: Words in a token of a line, and least similarity in percent.
 WIDTH, PERCENT = 5, 80
@@ -13,34 +13,52 @@ WIDTH, PERCENT = 5, 80
 COUNTERS = 1 << 16
 
 
-def _tokens(line: Column) -> Column:
-    """Hashes of the line's different runs of WIDTH words; of a shorter line, of all its words."""
-    def runs(hashes: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(hashes) - WIDTH),
-                           lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(WIDTH)]))
+def _words(line: Column) -> Column:
+    """The words of a line: its pieces between ASCII white space."""
+    for c in WHITE.replace(" ", ""):
+        line = F.replace(line, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(line, " ", -1), "")
 
-    whole = lambda w: F.array(F.xxhash64(F.array_join(w, " ")))
-    return let(F.regexp_extract_all(line, F.lit(WORD), F.lit(0)), lambda w: F.when(F.size(w) <= WIDTH, whole(w)).otherwise(
-        F.array_distinct(let(F.transform(w, lambda x: F.xxhash64(x)), runs))))
+
+def _starts(hashes: Column) -> Column:
+    """Where runs of WIDTH words start; a line of fewer words is one run."""
+    return F.sequence(F.lit(0), F.greatest(F.size(hashes) - WIDTH, F.lit(0)))
+
+
+def _run(hashes: Column, i: Column) -> Column:
+    """A hash of the run that starts at i; words beyond the end of a short line are null and skipped."""
+    return F.xxhash64(*[F.get(hashes, i + k) for k in range(WIDTH)])
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(id, line, tokens) of every line that has a word."""
+    """(id, line, hashes) of every line that has a word: a hash for each of its words."""
     split = docs.select("id", F.posexplode(F.split("text", "\n", -1)).alias("line", "words")).where(F.col("words").rlike(WORD))
-    return split.select("id", "line", _tokens(F.col("words")).alias("tokens"))
+    return split.select("id", "line", F.transform(_words(F.col("words")), lambda w: F.xxhash64(w)).alias("hashes"))
 
 
-def _counter(token: Column) -> Column:
-    return F.pmod(token, F.lit(COUNTERS)).cast("int")
+def _tokens() -> Column:
+    """Hashes of the runs of a line, with repeats."""
+    hashes = F.col("hashes")
+    return F.transform(_starts(hashes), lambda i: _run(hashes, i))
 
 
-def _rarity(lines: DataFrame) -> bytes:
-    """A byte for each counter: the power of two of the occurrences it has."""
-    counts = lines.select(F.explode("tokens").alias("t")).groupBy(_counter(F.col("t")).alias("c")).count()
-    powers = bytearray(COUNTERS)
+def _rarity(lines: DataFrame) -> Column:
+    """For each counter, the power of two of the occurrences it has."""
+    runs = lines.select("hashes", F.explode_outer(_starts(F.col("hashes"))).alias("i"))  # without outer, a filter computes them again
+    counts = runs.groupBy(_run(F.col("hashes"), F.col("i")).bitwiseAND(F.lit(COUNTERS - 1)).alias("c")).count()
+    powers = [0] * COUNTERS
     for row in counts.select("c", F.floor(F.log2("count")).cast("int").alias("p")).collect():  # at most COUNTERS rows
         powers[row["c"]] = row["p"]
-    return bytes(powers)
+    return F.split(F.lit(",".join(map(str, powers))), ",").cast("array<bigint>")
+
+
+def _by_rarity(tokens: Column, powers: Column) -> Column:
+    """The different tokens, the rarest first; each has the power of its counter in its first bits."""
+    def key(t: Column) -> Column:
+        power = F.get(powers, t.bitwiseAND(F.lit(COUNTERS - 1)).cast("int"))
+        return F.shiftleft(power, 57).bitwiseOR(t.bitwiseAND(F.lit((1 << 57) - 1)))
+
+    return F.array_distinct(F.sort_array(F.transform(tokens, key)))
 
 
 def _ahead(n: Column) -> Column:
@@ -67,16 +85,15 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     spark = docs.sparkSession
     given = docs.select(F.col(id).alias("id"), text_of(text).alias("text"))
     lines = _lines(given)
-    powers = F.lit(_rarity(lines))
-    rank = lambda t: F.struct(F.substring(powers, _counter(t) + 1, 1).alias("r"), t.alias("t"))
-    ordered = F.transform(F.sort_array(F.transform("tokens", rank)), lambda x: x["t"])
-    sid = F.xxhash64(F.array_join(F.sort_array("tokens"), ","))
+    powers = _rarity(lines)
+    ordered = lines.select("id", "line", _by_rarity(_tokens(), powers).alias("tokens"))
     n = F.size("tokens").cast("long")
-    heads = staged(lines.select("id", "line", n.alias("n"), sid.alias("sid"), F.slice(ordered, F.lit(1), _ahead(n).cast("int")).alias("prefix")))
+    heads = staged(ordered.select("id", "line", n.alias("n"), F.xxhash64("tokens").alias("sid"),
+                                  F.slice("tokens", F.lit(1), _ahead(n).cast("int")).alias("prefix")))
     firsts = staged(heads.groupBy("sid").agg(F.min(F.struct("id", "line")).alias("first")))
 
     posted = heads.select("sid", "n", F.posexplode("prefix").alias("p", "token"))
-    shared = posted.groupBy("token").agg(F.min("sid").alias("_a"), F.max("sid").alias("_b")).where("_a < _b").select("token")
+    shared = staged(posted.groupBy("token").agg(F.min("sid").alias("_a"), F.max("sid").alias("_b")).where("_a < _b").select("token"))
     lists = staged(posted.join(shared, "token", "left_semi").distinct().join(firsts, "sid"))
     size = F.floor(F.log(F.col("n").cast("double")) / 0.2357)  # log(1 / 0.79): similar lines are in one class or adjacent ones
     keyed = lists.withColumn("size", F.explode(F.array(size, size + 1)))
@@ -102,7 +119,7 @@ def _verified(pairs: DataFrame, lists: DataFrame, docs: DataFrame) -> DataFrame:
     asked = pairs.select("sid").union(pairs.select("sid_")).distinct()
     where = staged(lists.select("sid", "first").distinct().join(asked, "sid").select("sid", "first.id", "first.line"))
     texts = picked(docs, where.select("id").distinct(), "id")
-    sets = staged(_lines(texts).join(where, ["id", "line"]).select("sid", "tokens").dropDuplicates(["sid"]))
+    sets = staged(_lines(texts).join(where, ["id", "line"]).select("sid", F.array_distinct(_tokens()).alias("tokens")).dropDuplicates(["sid"]))
     both = F.size(F.array_intersect("tokens", "tokens_"))
     met = pairs.join(sets, "sid").join(sets.toDF("sid_", "tokens_"), "sid_")
     similar = 100 * both >= PERCENT * (F.size("tokens") + F.size("tokens_") - both)
