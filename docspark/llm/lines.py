@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docspark.llm.common import WHITE, WORD, let, picked, released, staged, text_of
 
-#: Words in a token of a line, and least similarity in percent.
+#: Words in a token of a line, if not given, and least similarity in percent.
 WIDTH, PERCENT = 5, 80
 #: Counters that tokens share to be told frequent from rare; their number bounds what tasks are sent.
 COUNTERS = 1 << 16
@@ -20,14 +20,21 @@ def _words(line: Column) -> Column:
     return F.array_remove(F.split(line, " ", -1), "")
 
 
-def _starts(hashes: Column) -> Column:
-    """Where runs of WIDTH words start; a line of fewer words is one run."""
-    return F.sequence(F.lit(0), F.greatest(F.size(hashes) - WIDTH, F.lit(0)))
+def _numbered(hashes: Column) -> Column:
+    """The words of a line as a set: a repeat of a word is hashed with its number."""
+    def number(a: Column, x: Column, i: Column) -> Column:
+        """How many places before i have x, by powers of two: a is sorted."""
+        powers = F.transform(F.sequence(F.floor(F.log2(F.size(a))).cast("int"), F.lit(0), F.lit(-1)), lambda s: F.pow(F.lit(2), s).cast("int"))
+        return F.aggregate(powers, F.lit(0), lambda k, step: k + F.when(F.get(a, i - k - step) == x, step).otherwise(F.lit(0)))
 
+    return let(F.sort_array(hashes), lambda a: F.transform(
+        a, lambda x, i: F.when(F.get(a, i - 1) == x, F.xxhash64(x, number(a, x, i))).otherwise(x)))
 
-def _run(hashes: Column, i: Column) -> Column:
-    """A hash of the run that starts at i; words beyond the end of a short line are null and skipped."""
-    return F.xxhash64(*[F.get(hashes, i + k) for k in range(WIDTH)])
+
+def _runs(hashes: Column, width: int) -> Column:
+    """Hashes of the runs of `width` words; a line of fewer words is one run, words beyond its end are null and skipped."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size(hashes) - width, F.lit(0)))
+    return F.transform(starts, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(width)]))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -36,16 +43,15 @@ def _lines(docs: DataFrame) -> DataFrame:
     return split.select("id", "line", F.transform(_words(F.col("words")), lambda w: F.xxhash64(w)).alias("hashes"))
 
 
-def _tokens() -> Column:
-    """Hashes of the runs of a line, with repeats."""
-    hashes = F.col("hashes")
-    return F.transform(_starts(hashes), lambda i: _run(hashes, i))
+def _tokens(width: int) -> Column:
+    """Tokens of a line: its words, repeats numbered, or the hashes of its runs of more words."""
+    return _numbered(F.col("hashes")) if width == 1 else F.array_distinct(_runs(F.col("hashes"), width))
 
 
-def _rarity(lines: DataFrame) -> Column:
+def _rarity(lines: DataFrame, width: int) -> Column:
     """For each counter, the power of two of the occurrences it has."""
-    runs = lines.select("hashes", F.explode_outer(_starts(F.col("hashes"))).alias("i"))  # without outer, a filter computes them again
-    counts = runs.groupBy(_run(F.col("hashes"), F.col("i")).bitwiseAND(F.lit(COUNTERS - 1)).alias("c")).count()
+    tokens = lines.select(F.explode_outer(_tokens(width)).alias("t"))  # without outer, a filter computes them again
+    counts = tokens.groupBy(F.col("t").bitwiseAND(F.lit(COUNTERS - 1)).alias("c")).count()
     powers = [0] * COUNTERS
     for row in counts.select("c", F.floor(F.log2("count")).cast("int").alias("p")).collect():  # at most COUNTERS rows
         powers[row["c"]] = row["p"]
@@ -73,11 +79,11 @@ def _fits(a: str, b: str) -> Column:
     return (100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)) & (pa - pb <= na - needed) & (pb - pa <= nb - needed)
 
 
-def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """(id, line): lines that are similar to an earlier one, by id and place in the text.
 
-    A line's tokens are its runs of five words. Lines of equal tokens are one set, whose first line
-    counts. Tokens are ordered by rarity, and a set is posted under its prefix; only postings of shared
+    A line's tokens are its runs of `width` words; of one word, a repeat is a token of its own. Lines of
+    equal tokens are one set, whose first line counts. Tokens are ordered by rarity, and a set is posted under its prefix; only postings of shared
     tokens go on. Each set is first compared with the earliest of each of its blocks (a token and a class
     of lengths), then the ones that are still there with all earlier sets they meet, where lengths and
     positions allow it. Pairs are verified on all tokens.
@@ -85,8 +91,8 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     spark = docs.sparkSession
     given = docs.select(F.col(id).alias("id"), text_of(text).alias("text"))
     lines = _lines(given)
-    powers = _rarity(lines)
-    ordered = lines.select("id", "line", _by_rarity(_tokens(), powers).alias("tokens"))
+    powers = _rarity(lines, width)
+    ordered = lines.select("id", "line", _by_rarity(_tokens(width), powers).alias("tokens"))
     n = F.size("tokens").cast("long")
     heads = staged(ordered.select("id", "line", n.alias("n"), F.xxhash64("tokens").alias("sid"),
                                   F.slice("tokens", F.lit(1), _ahead(n).cast("int")).alias("prefix")))
@@ -102,24 +108,24 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     earliest = keyed.groupBy("token", "size").agg(F.min(entry).alias("b"))
     one = keyed.select("token", "size", entry.alias("a")).join(earliest, ["token", "size"]).where(
         (F.col("b.first") < F.col("a.first")) & _fits("a", "b")).select("a.sid", F.col("b.sid").alias("sid_")).distinct()
-    found = _verified(one, lists, given)
+    found = _verified(one, lists, given, width)
     left = keyed.join(found.select("sid"), "sid", "left_anti")
     own = F.col("size") == F.floor(F.log(F.greatest(F.col("a.n"), F.col("b.n")).cast("double")) / 0.2357)
     two = left.select("token", "size", entry.alias("a")).join(keyed.select("token", "size", entry.alias("b")), ["token", "size"]).where(
         own & (F.col("b.first") < F.col("a.first")) & _fits("a", "b")).select("a.sid", F.col("b.sid").alias("sid_")).distinct()
-    gone = found.union(_verified(two.join(one, ["sid", "sid_"], "left_anti"), lists, given)).withColumn("similar", F.lit(True))
+    gone = found.union(_verified(two.join(one, ["sid", "sid_"], "left_anti"), lists, given, width)).withColumn("similar", F.lit(True))
     at = F.struct("id", "line")
     return heads.join(firsts, "sid").join(gone, "sid", "left").where(
         F.col("similar").isNotNull() | (at != F.col("first"))).select("id", "line").distinct()
 
 
-def _verified(pairs: DataFrame, lists: DataFrame, docs: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, lists: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """Sets (sid) of the pairs (sid, sid_) that are similar."""
     pairs = staged(pairs)
     asked = pairs.select("sid").union(pairs.select("sid_")).distinct()
     where = staged(lists.select("sid", "first").distinct().join(asked, "sid").select("sid", "first.id", "first.line"))
     texts = picked(docs, where.select("id").distinct(), "id")
-    sets = staged(_lines(texts).join(where, ["id", "line"]).select("sid", F.array_distinct(_tokens()).alias("tokens")).dropDuplicates(["sid"]))
+    sets = staged(_lines(texts).join(where, ["id", "line"]).select("sid", _tokens(width).alias("tokens")).dropDuplicates(["sid"]))
     both = F.size(F.array_intersect("tokens", "tokens_"))
     met = pairs.join(sets, "sid").join(sets.toDF("sid_", "tokens_"), "sid_")
     similar = 100 * both >= PERCENT * (F.size("tokens") + F.size("tokens_") - both)
@@ -128,14 +134,14 @@ def _verified(pairs: DataFrame, lists: DataFrame, docs: DataFrame) -> DataFrame:
     return out
 
 
-def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """`id`, `n_lines`, `n_removed` and `text` without the repeated lines, of every row.
 
     See `repeated`; lines without a word stay and are not compared. Null and empty texts have no lines.
     Rows that repeat an id are taken to be the same row; rows with a null id are not compared. Other
     columns are not read. An empty table gives no rows.
     """
-    gone = repeated(docs.where(F.col(id).isNotNull()), id, text).groupBy("id").agg(F.collect_set("line").alias("gone"))
+    gone = repeated(docs.where(F.col(id).isNotNull()), id, text, width).groupBy("id").agg(F.collect_set("line").alias("gone"))
     given = docs.select(F.col(id).alias("id"), text_of(text).alias("text"))
     lines = F.split("text", "\n", -1)
     kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(

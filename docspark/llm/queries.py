@@ -186,5 +186,5 @@ def op5_token_counts(spark, d):
 
 @query()
 def op6_line_dedup(spark, d):
-    out = lines.without_repeats(table(spark, d, "documents"))
+    out = lines.without_repeats(table(spark, d, "documents"), width=1)
     return out.select(F.col("id").alias("doc_id"), "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))

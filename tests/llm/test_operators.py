@@ -9,7 +9,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from docspark.llm import bpe, exact, extraction, jaccard, lines, mixing, quality, rollups, substrings, urlfilter
+from docspark.llm import bpe, exact, extraction, jaccard, lines, mixing, quality, queries, rollups, substrings, urlfilter
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, source string, lang string, _id string, row string, token string, size string, part string"
@@ -176,6 +176,31 @@ def test_lines(docs, rows):
     assert lines.without_repeats(docs.limit(0)).count() == 0
 
 
+def test_lines_by_words(spark, docs, rows, tmp_path):
+    """op6_line_dedup compares lines by words, repeats numbered; a changed word in 27 leaves them similar."""
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(27)]
+    changed = [*base[:13], "other", *base[14:]]
+    more = [" ".join(base), " ".join(changed), " ".join(reversed(base)), "a a a a a", "a", "a a a a", "b b b b b c\nb c b b b b"]
+    more += ["\n".join(" ".join(rnd.choices("abc", k=rnd.randint(1, 9))) for _ in range(30)), "the " * 70 + "end", "the " * 90]
+    given = [*[r for r in rows if r[0] is not None], *enumerate(more, 100)]
+    path = tmp_path / "documents.parquet"
+    spark.createDataFrame(given, "doc_id long, text string").write.parquet(str(path))
+    seen, want = [], {}
+    for i, t in sorted(set(given)):
+        kept = []
+        for line in t.split("\n"):
+            own = collections.Counter(WORDS.findall(line))
+            if not own or not any(100 * (own & s).total() >= 80 * (own | s).total() for s in seen):
+                kept.append(line)
+            if own:
+                seen.append(own)
+        want[i] = (len(t.split("\n")) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest())
+    assert want[101][0] == want[102][0] == 1
+    got = queries.op6_line_dedup(spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.n_removed, r.kept_sha256) for r in got} == want
+
+
 def test_bpe(docs, rows):
     from tokenizers import Tokenizer
 
