@@ -119,11 +119,16 @@ class Page:
                 held.setdefault(n, []).append(text)
         return {n: xxhash.xxh3_64_intdigest("\n".join(t).encode("utf-8", "surrogatepass")) - (1 << 63) for n, t in held.items()}
 
+    def content(self) -> int:
+        """Hash of all blocks; equal pages have equal ones."""
+        return xxhash.xxh3_64_intdigest("\n".join(b[0] for b in self.blocks).encode("utf-8", "surrogatepass")) - (1 << 63)
+
     def text(self, templates: set[int]) -> str:
-        """The blocks outside of templates, joined by spaces."""
+        """The blocks outside of templates, joined by spaces. What holds all blocks is no template."""
         if not templates:
             return " ".join(b[0] for b in self.blocks)
-        gone = {n for n, h in self.subtrees().items() if h in templates}
+        whole = self.content()
+        gone = {n for n, h in self.subtrees().items() if h in templates and h != whole}
         return " ".join(t for t, path, _ in self.blocks if not gone.intersection(path))
 
 
@@ -133,23 +138,28 @@ def host_of(url: Column) -> Column:
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hosts, hashes = [], []
+        hosts, contents, hashes = [], [], []
         for host, html in zip(batch["host"], batch["html"]):
-            own = set(Page(html.as_py()).subtrees().values())
+            page = Page(html.as_py())
+            own = [None, *set(page.subtrees().values())]
             hosts += [host.as_py()] * len(own)
+            contents += [page.content()] * len(own)
             hashes += own
-        yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "subtree"])
+        yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(contents, pa.int64()), pa.array(hashes, pa.int64())],
+                              names=["host", "content", "subtree"])
 
 
 def templates(pages: DataFrame, pages_least: int = PAGES, share: float = SHARE) -> DataFrame:
     """(host, subtrees): hashes of the subtrees that recur on many pages of a host.
 
-    A host has at most 1 / share times as many as its pages have on average, however many pages it has.
+    Equal pages of a host, such as captures of an article by several urls, count as one. A host has at most
+    1 / share times as many subtrees as its pages have on average, however many pages it has.
     """
-    counts = pages.select("host", "html").mapInArrow(_hashes, "host string, subtree long").groupBy("host", "subtree").count()
-    counts = counts.where(F.col("count") >= pages_least)
-    sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("_pages"))
-    many = counts.join(sizes, "host").where(F.col("count") >= share * F.col("_pages"))
+    found = pages.select("host", "html").where("host != ''").mapInArrow(_hashes, "host string, content long, subtree long").distinct()
+    counts = found.groupBy("host", "subtree").count()
+    counts = staged(counts.where(F.col("subtree").isNull() | (F.col("count") >= pages_least)))  # null: the pages of the host
+    sizes = counts.where("subtree IS NULL").select("host", F.col("count").alias("_pages"))
+    many = counts.where("subtree IS NOT NULL").join(sizes, "host").where(F.col("count") >= share * F.col("_pages"))
     return many.groupBy("host").agg(F.collect_list("subtree").alias("subtrees"))
 
 
@@ -159,11 +169,12 @@ def extracted(pages: DataFrame, id: str = "page_id", url: str = "url", html: str
     Structure first: what is in menus, headers, footers, sidebars, notices, adverts, forms, comments,
     scripts and styles goes, by tag and by the words in class, id and role; where the page has an article,
     so does what is outside it. Of what is left, every element's text is hashed, hashes are counted over
-    the pages of a host, and elements that recur on many of them go too. Character references are decoded,
+    the different pages of a host, and elements that recur on many of them go too, unless they hold all that
+    is left of the page. Character references are decoded,
     white space in a block becomes one space, and blocks are joined by one.
 
-    A null or empty page has an empty text; an unreadable url counts as one host with the others. Repeated
-    rows are pages of their own. Other columns are not read. An empty table gives no rows.
+    A null or empty page has an empty text; pages with an unreadable url have no host, so nothing recurs there.
+    Repeated rows appear as often and count as one page. Other columns are not read. An empty table gives no rows.
     """
     given = pages.select(F.col(id).alias("id"), F.col(url).cast("string").alias("url"), host_of(F.col(url).cast("string")).alias("host"),
                          F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html"))

@@ -233,6 +233,19 @@ def test_pages(spark):
     assert extraction.extracted(frame.limit(0)).count() == 0
 
 
+def test_pages_keep_repeated_articles(spark):
+    """Copies of an article on a host, by many urls or none, are no templates; what recurs on different pages is."""
+    article = "<body><article><p>first of {0}</p><div><p>second of {0}</p></div></article></body>"
+    rows = [(i, f"http://h.example/a?page={i}", article.format("a")) for i in range(20)]
+    rows += [(i, None if i % 2 else "unreadable", article.format(f"b{i % 3}")) for i in range(20, 60)]
+    note = "<body><article><div><p>Site</p><p>note</p></div>{}</article></body>"
+    rows += [(i, f"http://n.example/{i}", note.format(f"<p>own {i}</p>")) for i in range(60, 80)] + [(80, "http://n.example/", "<article><p>Site</p></article>")]
+    text = {r.id: r.text for r in extraction.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(text[i] == "first of a second of a" for i in range(20))
+    assert all(text[i] == f"first of b{i % 3} second of b{i % 3}" for i in range(20, 60))
+    assert all(text[i] == f"own {i}" for i in range(60, 80)) and text[80] == "Site"
+
+
 @pytest.mark.parametrize("html, text", [
     ("<article><h1>T</h1><p>x<aside>no</aside>y</p></article><p>out", "T x y"),
     ("<nav>n</nav><p>a <b>b</b>\n c<p>d &lt;x&gt; &#233;", "a b c d <x> é"),
