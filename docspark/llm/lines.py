@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +10,8 @@ from docspark.llm.common import WHITE, WORD, let, picked, released, staged, text
 
 #: Words in a token of a line, if not given, and least similarity in percent.
 WIDTH, PERCENT = 5, 80
-#: Counters that tokens share to be told frequent from rare; their number bounds what tasks are sent.
-COUNTERS = 1 << 16
+#: Cells of a byte that tell frequent tokens from rare ones; their number bounds what tasks are sent.
+CELLS = 1 << 20
 
 
 def _words(line: Column) -> Column:
@@ -49,19 +50,27 @@ def _tokens(width: int) -> Column:
 
 
 def _rarity(lines: DataFrame, width: int) -> Column:
-    """For each counter, the power of two of the occurrences it has."""
+    """For each cell, the power of two of the occurrences of its most frequent token."""
     tokens = lines.select(F.explode_outer(_tokens(width)).alias("t"))  # without outer, a filter computes them again
-    counts = tokens.groupBy(F.col("t").bitwiseAND(F.lit(COUNTERS - 1)).alias("c")).count()
-    powers = [0] * COUNTERS
-    for row in counts.select("c", F.floor(F.log2("count")).cast("int").alias("p")).collect():  # at most COUNTERS rows
-        powers[row["c"]] = row["p"]
-    return F.split(F.lit(",".join(map(str, powers))), ",").cast("array<bigint>")
+    counts = tokens.groupBy("t").count().where("count > 1")
+    cells = counts.groupBy(_cell(F.col("t")).alias("c")).agg(F.max(F.floor(F.log2("count"))).cast("int").alias("p"))
+    rows = cells.toArrow()  # at most CELLS rows
+    powers = np.zeros(CELLS, np.uint8)
+    powers[rows["c"].to_numpy()] = rows["p"].to_numpy()
+    return F.lit(powers.tobytes())
+
+
+def _cell(token: Column) -> Column:
+    return token.bitwiseAND(F.lit(CELLS - 1)).cast("int")
 
 
 def _by_rarity(tokens: Column, powers: Column) -> Column:
-    """The different tokens, the rarest first; each has the power of its counter in its first bits."""
+    """The different tokens, the rarest first; each has the power of its cell in its first bits.
+
+    Any order gives the same result; a rare token that shares the cell of a frequent one only comes later.
+    """
     def key(t: Column) -> Column:
-        power = F.get(powers, t.bitwiseAND(F.lit(COUNTERS - 1)).cast("int"))
+        power = F.ascii(F.substring(powers, _cell(t) + 1, F.lit(1)).cast("string")).cast("long")
         return F.shiftleft(power, 57).bitwiseOR(t.bitwiseAND(F.lit((1 << 57) - 1)))
 
     return F.array_distinct(F.sort_array(F.transform(tokens, key)))
@@ -82,8 +91,9 @@ def _fits(a: str, b: str) -> Column:
 def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """(id, line): lines that are similar to an earlier one, by id and place in the text.
 
-    A line's tokens are its runs of `width` words; of one word, a repeat is a token of its own. Lines of
-    equal tokens are one set, whose first line counts. Tokens are ordered by rarity, and a set is posted under its prefix; only postings of shared
+    Earlier lines count whether or not they are themselves repeats: where B is similar to A and C to B, C goes
+    with B even if it is not similar to A. A line's tokens are its runs of `width` words; of one word, a repeat is a token of its own. Lines of
+    equal tokens are one set, whose first line counts. Tokens are ordered by rarity, as counted, and a set is posted under its prefix; only postings of shared
     tokens go on. Each set is first compared with the earliest of each of its blocks (a token and a class
     of lengths), then the ones that are still there with all earlier sets they meet, where lengths and
     positions allow it. Pairs are verified on all tokens.

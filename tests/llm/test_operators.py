@@ -201,6 +201,24 @@ def test_lines_by_words(spark, docs, rows, tmp_path):
     assert {r.doc_id: (r.n_removed, r.kept_sha256) for r in got} == want
 
 
+def test_lines_in_a_chain(spark):
+    """A line goes with an earlier similar one that goes itself."""
+    words = [f"w{i}" for i in range(20)]
+    chain = [" ".join([*[f"x{j}" for j in range(2 * k)], *words[2 * k:]]) for k in range(4)]  # neighbours share 18 of 22 words
+    frame = spark.createDataFrame(list(enumerate(chain)), "doc_id long, text string")
+    assert {r.id: r.n_removed for r in lines.without_repeats(frame, width=1).collect()} == {0: 0, 1: 1, 2: 1, 3: 1}
+
+
+def test_lines_rank_rare_words_by_their_own_count(spark):
+    """Many rare words do not make each other frequent."""
+    rows = [(i, " ".join(f"r{i * 50 + j}" for j in range(50))) for i in range(4000)] + [(i, "often") for i in range(4000, 5000)]
+    frame = lines._lines(spark.createDataFrame(rows, "id long, text string"))
+    ordered = frame.select("id", lines._by_rarity(lines._tokens(1), lines._rarity(frame, 1)).alias("tokens"))
+    power = ordered.select("id", F.expr("transform(tokens, t -> shiftrightunsigned(t, 57))").alias("p"))
+    assert power.where("id >= 4000").agg(F.min(F.get("p", F.lit(0)))).first()[0] == 9
+    assert power.where("id < 4000").where(F.get("p", F.lit(39)) > 0).count() == 0
+
+
 def test_bpe(docs, rows):
     from tokenizers import Tokenizer
 
