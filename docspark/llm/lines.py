@@ -111,8 +111,7 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
     posted = heads.select("sid", "n", F.posexplode("prefix").alias("p", "token"))
     shared = staged(posted.groupBy("token").agg(F.min("sid").alias("_a"), F.max("sid").alias("_b")).where("_a < _b").select("token"))
     lists = staged(posted.join(shared, "token", "left_semi").distinct().join(firsts, "sid"))
-    size = F.floor(F.log(F.col("n").cast("double")) / 0.2357)  # log(1 / 0.79): similar lines are in one class or adjacent ones
-    keyed = lists.withColumn("size", F.explode(F.array(size, size + 1)))
+    keyed = lists.withColumn("size", F.floor(F.log(F.col("n").cast("double")) / 0.2357).cast("int"))  # log(1 / 0.79): similar lines are in one class or adjacent ones
     entry = F.struct("first", "sid", "n", "p")
 
     earliest = keyed.groupBy("token", "size").agg(F.min(entry).alias("b"))
@@ -120,9 +119,9 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
         (F.col("b.first") < F.col("a.first")) & _fits("a", "b")).select("a.sid", F.col("b.sid").alias("sid_")).distinct()
     found = _verified(one, lists, given, width)
     left = keyed.join(found.select("sid"), "sid", "left_anti")
-    own = F.col("size") == F.floor(F.log(F.greatest(F.col("a.n"), F.col("b.n")).cast("double")) / 0.2357)
-    two = left.select("token", "size", entry.alias("a")).join(keyed.select("token", "size", entry.alias("b")), ["token", "size"]).where(
-        own & (F.col("b.first") < F.col("a.first")) & _fits("a", "b")).select("a.sid", F.col("b.sid").alias("sid_")).distinct()
+    near = left.select("token", F.explode(F.array(*[F.col("size") + k for k in (-1, 0, 1)])).alias("size"), entry.alias("a"))
+    two = near.join(keyed.select("token", "size", entry.alias("b")), ["token", "size"]).where(
+        (F.col("b.first") < F.col("a.first")) & _fits("a", "b")).select("a.sid", F.col("b.sid").alias("sid_")).distinct()
     gone = found.union(_verified(two.join(one, ["sid", "sid_"], "left_anti"), lists, given, width)).withColumn("similar", F.lit(True))
     at = F.struct("id", "line")
     return heads.join(firsts, "sid").join(gone, "sid", "left").where(
