@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from docspark import settings
-from docspark.llm import bpe, exact, extraction, jaccard, lines, mixing, quality, rollups, substrings, urlfilter
+from docspark.llm import bpe, exact, extraction, jaccard, lines, mixing, quality, rollups, substrings, urlfilter, winnowing
 from docspark.llm.common import text_of, words_of
 from docspark.plans.registry import Query, table
 
@@ -188,3 +188,17 @@ def op5_token_counts(spark, d):
 def op6_line_dedup(spark, d):
     out = lines.without_repeats(table(spark, d, "documents"), width=1)
     return out.select(F.col("id").alias("doc_id"), "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query()
+def op13_fingerprints(spark, d):
+    pairs = winnowing.with_next(table(spark, d, "documents")).withColumn("n_chars", F.length("text").cast("long"))
+    cut = F.floor(F.col("n_chars") / 3).cast("int")
+    pairs = pairs.withColumn("_kept", F.substring("text", F.lit(1), F.col("n_chars").cast("int") - cut))
+    pairs = pairs.withColumn("_edited", F.concat("_kept", F.substring("next_text", F.lit(1), cut)))
+    pairs = pairs.withColumn("_marks", winnowing.continued(F.col("marks"), F.col("_edited"), F.octet_length("_kept")))
+    return pairs.select(
+        "doc_id", "n_chars", F.sha2("_edited", 256).alias("edited_sha256"),
+        winnowing.written(F.col("marks")).alias("fingerprint"), winnowing.written(F.col("_marks")).alias("edited_fingerprint"),
+        winnowing.likeness(F.col("marks"), F.col("_marks")).alias("near_edited"),
+        winnowing.likeness(F.col("marks"), F.col("next_marks")).alias("near_next"))

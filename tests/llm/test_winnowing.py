@@ -1,0 +1,85 @@
+"""Fingerprints against a plain winnowing, and the order in which documents follow each other."""
+
+import hashlib
+import random
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from docspark.llm import queries, winnowing
+
+SCHEMA = "doc_id long, text string, marks string, range string, own string"
+
+
+def plain(text, gram=winnowing.GRAM, doublings=winnowing.DOUBLINGS):
+    data, window = text.encode(), 1 << doublings
+    hashes = [xxhash.xxh64_intdigest(data[i:i + gram], 42) & 0xFFFFFFFF for i in range(max(len(data) - gram + 1, 1))] if data else []
+    signed = [h - (1 << 32) if h >> 31 else h for h in hashes]
+    kept = {min(range(s, min(s + window, len(signed))), key=lambda i: (signed[i], -i)) for s in range(max(len(signed) - window + 1, 1))} if data else set()
+    return [(hashes[i], i) for i in sorted(kept)]
+
+
+def texts():
+    rnd = random.Random(11)
+    words = ["".join(rnd.choices("abcdeé日😀 \n", k=rnd.randint(1, 8))) for _ in range(300)]
+    make = lambda n: " ".join(rnd.choices(words, k=n))
+    long = make(9000)
+    return [None, "", "a", "é" * 11, "abcdefgh" * 3, "abcdefgh" * 5, "x" * 5000, make(4), make(9), make(30), make(30), make(200), long, long, long + "!", make(1500)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame([(i, t, "m", "r", "o") for i, t in enumerate(texts())], SCHEMA)
+
+
+def test_fingerprint(docs):
+    got = docs.select("doc_id", winnowing.written(winnowing.fingerprint(F.col("text"))).alias("f")).collect()
+    assert {r.doc_id: r.f for r in got} == {i: " ".join(f"{h:x}@{p}" for h, p in plain(t or "")) for i, t in enumerate(texts())}
+
+
+def test_equal_strings_have_an_equal_mark(spark):
+    rnd = random.Random(2)
+    make = lambda n: "".join(rnd.choices("abcdefgh ", k=n))
+    rows = []
+    for _ in range(40):
+        shared = make(winnowing.reach())
+        rows.append((make(rnd.randint(0, 90)) + shared + make(60), make(rnd.randint(0, 90)) + shared + make(60)))
+    got = spark.createDataFrame(rows, "a string, b string").select(
+        winnowing.likeness(winnowing.fingerprint(F.col("a")), winnowing.fingerprint(F.col("b"))).alias("n")).collect()
+    assert all(r.n > 0 for r in got)
+
+
+def whole(rows):
+    """The rows of the query, made plainly; rows of one id are to have equal texts here."""
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0), reverse=True)
+    jaccard = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    out = []
+    for k, (i, t) in enumerate(ordered):
+        t, after = t or "", ordered[(k + 1) % len(ordered)][1] or ""
+        edited = t[:len(t) - len(t) // 3] + after[:len(t) // 3]
+        a, e, n = plain(t), plain(edited), plain(after)
+        out.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), " ".join(f"{h:x}@{p}" for h, p in a),
+                    " ".join(f"{h:x}@{p}" for h, p in e), jaccard({h for h, _ in a}, {h for h, _ in e}), jaccard({h for h, _ in a}, {h for h, _ in n})))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("rows", [
+    list(enumerate(texts())),
+    [(7, "only one document, long enough to have more than a single window of grams")],
+    [(i * i * 1000, f"text {i} " * (i % 40)) for i in range(300)] + [(None, "no id")] + [(5, "same row")] * 30,
+    [(None, None)] * 40 + [(1, "a")],
+])
+def test_query(spark, tmp_path, rows):
+    spark.createDataFrame([(*r, "m", "r", "o") for r in rows], SCHEMA).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["op13_fingerprints"](spark, str(tmp_path)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == whole(rows)
+
+
+def test_empty_table(docs):
+    assert winnowing.with_next(docs.limit(0)).count() == 0
+
+
+def test_texts_move_once(spark, docs):
+    plan = winnowing.with_next(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(range") == 1 and "Python" not in plan and "Arrow" not in plan
