@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from docspark import settings
-from docspark.llm import bpe, exact, extraction, jaccard, lines, mixing, quality, rollups, substrings, urlfilter, winnowing
+from docspark.llm import bpe, exact, extraction, jaccard, lines, mixing, quality, ranking, rollups, spelling, substrings, urlfilter, winnowing
 from docspark.llm.common import text_of, words_of
 from docspark.plans.registry import Query, table
 
@@ -202,3 +202,58 @@ def op13_fingerprints(spark, d):
         winnowing.written(F.col("marks")).alias("fingerprint"), winnowing.written(F.col("_marks")).alias("edited_fingerprint"),
         winnowing.likeness(F.col("marks"), F.col("_marks")).alias("near_edited"),
         winnowing.likeness(F.col("marks"), F.col("next_marks")).alias("near_next"))
+
+
+@query(r"""
+    WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k:
+                        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps),
+    t AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+                 unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+    r AS (SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k FROM t GROUP BY ALL),
+    b AS (SELECT run, k, flatten(list_transform(string_split(id || ':' || run, ''), lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)]
+                 ELSE [192 | (ord(c) >> 6), 128 | (ord(c) & 63)] END)) AS bytes FROM r),
+    h AS (SELECT run, k, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes::BIGINT[]), lambda c, x:
+                 xor(c >> 8, steps[CAST((xor(c, x) & 255) + 1 AS BIGINT)]::BIGINT)), 4294967295) AS h FROM b, crc),
+    w AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+                 CAST(sum(k) AS BIGINT) AS n FROM h GROUP BY 1 HAVING length(word) >= 6 AND sum(k) >= 5),
+    p AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+    d AS (SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail FROM p),
+    e AS (SELECT DISTINCT d.word AS longer, d.n AS longer_n, w.word AS shorter, w.n AS shorter_n FROM d JOIN w ON w.word = head || tail),
+    a AS (SELECT x.word, y.word AS near, y.n AS near_n FROM d x JOIN d y ON x.i = y.i AND x.head = y.head AND x.tail = y.tail AND x.word <> y.word
+          UNION ALL SELECT longer, shorter, shorter_n FROM e UNION ALL SELECT shorter, longer, longer_n FROM e),
+    g AS (SELECT word, count(*) AS n_near, min({'less': -near_n, 'near': near}) AS best FROM a GROUP BY word),
+    f AS (SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.less >= 5 * n THEN best.near END AS form,
+                 CASE WHEN -best.less >= 5 * n THEN -best.less END AS form_n FROM w LEFT JOIN g ON g.word = w.word),
+    z AS (SELECT f.word, coalesce(f6.word, f5.word, f4.word, f3.word, f2.word, f1.word, f.word) AS root FROM f
+          LEFT JOIN f f1 ON f1.word = f.form LEFT JOIN f f2 ON f2.word = f1.form LEFT JOIN f f3 ON f3.word = f2.form
+          LEFT JOIN f f4 ON f4.word = f3.form LEFT JOIN f f5 ON f5.word = f4.form LEFT JOIN f f6 ON f6.word = f5.form)
+    SELECT f.word, form, root, n, n_near, form_n FROM f JOIN z r ON r.word = f.word""")
+def op11_spelling_variants(spark, d):
+    runs = spelling.runs(table(spark, d, "documents"))
+    mark = F.crc32(F.encode(F.concat("id", F.lit(":"), "run"), "UTF-8"))
+    at = F.col("_mark") % F.length("run")
+    cut = F.concat(F.substring("run", F.lit(1), at.cast("int")), F.substring("run", at.cast("int") + 2, F.length("run")))
+    words = runs.withColumn("_mark", mark).select(F.when(F.col("_mark") % 199 == 0, cut).otherwise(F.col("run")).alias("word"))
+    return spelling.forms(spelling.counted(words)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+_TERMS = r"unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term"
+
+
+@query(rf"""
+    WITH t AS (SELECT doc_id, {_TERMS} FROM documents),
+    c AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+    n AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM c GROUP BY doc_id),
+    s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM n),
+    m AS (SELECT doc_id, 100 - 50 + ((50 * n * docs) // total) AS m FROM n, s),
+    i AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, {_TERMS} FROM benchmark)),
+    w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+          FROM c, s GROUP BY term),
+    r AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+          FROM i JOIN w USING (term) JOIN c USING (term) JOIN m USING (doc_id) GROUP BY ALL),
+    k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+          FROM r WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 50""")
+def op12_ranked_search(spark, d):
+    return ranking.search(table(spark, d, "documents"), table(spark, d, "benchmark"))
