@@ -21,13 +21,18 @@ def latest(batch: DataFrame, keys: list[str], order_by: list[str] | None = None)
     the batch collapse in every task before the shuffle.
     """
     columns = [F.col(f"`{c}`") for c in batch.columns]
-    hashable = not any(w in batch.schema.simpleString() for w in ("map<", "variant"))
-    content = F.xxhash64(*(columns if hashable else [F.to_json(F.struct(*columns))]))
-    rank = F.struct(*[F.col(c) for c in order_by or []], content)
+    rank = F.struct(*[F.col(c) for c in order_by or []], content_hash(batch))
     newest = batch.groupBy(*keys).agg(F.max_by(F.struct(*columns), rank).alias("_row"))
     return newest.select("_row.*")
 
 
+def content_hash(df: DataFrame) -> Column:
+    """A number that breaks ties between rows by what they hold."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    hashable = not any(w in df.schema.simpleString() for w in ("map<", "variant"))
+    return F.xxhash64(*(columns if hashable else [F.to_json(F.struct(*columns))]))
+
+
 def upsert(
     old: DataFrame,
     batch: DataFrame,

@@ -349,6 +349,20 @@ def stream_upsert(spark, d):
     return target.read().select("event_id", "user_id", "event_type", "value")
 
 
+@query("""
+    SELECT user_id, max_by(event_id, (ts, event_id)) AS event_id, max(ts) AS ts FROM events WHERE ts IS NOT NULL GROUP BY user_id""")
+def stream_newest(spark, d):
+    """The newest event of each user from a stream whose state is the newest row of each key; late ones lose."""
+    source = table(spark, d, "events")
+    model = DocModel("Last", object_of(field("user_id", "integer", id=True), field("event_id", "integer"), field("ts", "date")))
+    target, checkpoint = Collection(spark, shared_dir(spark), model, buckets=4, slices=2), shared_dir(spark)
+    for _ in range(2):  # the second run finds nothing new
+        stream = spark.readStream.schema(source.schema).parquet(f"{d}/events.parquet*").where("ts IS NOT NULL")
+        docs = stream.select("user_id", "event_id", "ts")
+        upsert_stream(docs, target, checkpoint, order_by=["ts", "event_id"]).trigger(availableNow=True).start().awaitTermination()
+    return target.read().select("user_id", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
 @query("""
     WITH w AS (SELECT time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01') AS k0, event_type AS k1,
                       count(*) AS total, max(value) AS value_max FROM events GROUP BY 1, 2)

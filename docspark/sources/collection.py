@@ -1,28 +1,25 @@
-"""A stored, keyed collection of documents in Parquet, changed by copy on write.
+"""A stored, keyed collection of documents: partitioned Parquet, changed by appending.
 
-Layout below the collection's folder, which all executors must share:
+Two folders below the collection's own, which all executors must share:
 
-    v=<version>-<unique>/_bucket=<hash of the route>/_slice=<hash of the id>/*.parquet
-    _log/*.json    one file per change: the folder each touched cell got
+    base/_bucket=<hash of the route>/_slice=<hash of the id>/*.parquet
+    changes/_version=<number>/_bucket=<...>/_slice=<...>/*.parquet
 
-A change reads and rewrites only the cells it touches, in a new folder, and
-counts once its log file is there. Readers take a cell's files from the folders
-the log names, so data is never overwritten while it is read and a failed write
-leaves the collection as it was. A route is one bucket; its slices keep a route
-that owns a large share of the documents in many cells. There should be one
-writer at a time; a change that finds another one logged meanwhile is refused.
+`append` adds to the base. Every other change writes its own documents, or the removed ones with
+`_deleted`, under the next version, and nothing else: what it writes grows with the change. A reader takes
+the newest version of each changed key and the base without those keys; `compact` puts the changes
+into the base of the cells that they touch. A route is one bucket and an id one slice of it, so a filter on either
+is a partition filter; slices spread a route that owns a large share of the documents. Readers that
+run while `compact` replaces files must start again; two changes at one time do not wait for each other.
 """
 
 from __future__ import annotations
 
-import re
-import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 from docspark.functions.geo import geohash
 from docspark.model import GEOPOINT, DocModel
@@ -30,32 +27,23 @@ from docspark.operators import mutate
 from docspark.operators.aggregate import Spec, aggregate, aggregate_multi
 from docspark.operators.find import count, find
 from docspark.operators.predicates import Doc, all_of
+from docspark.settings import shared_dir
 
 _META = [T.StructField(n, T.StringType()) for n in ("_id", "_parent", "_routing", "_index")]
+_KEYS = ["_id", "_routing"]
 _CELL = ("_bucket", "_slice")
 _CELL_FIELDS = [T.StructField(n, T.IntegerType()) for n in _CELL]
-_LOG = ("version long, folder string, layout string, bucket int, slice int, replaces boolean, rows long, "
-        "cells int")
-
-Cell = tuple[int, int]
-
-
-@dataclass
-class _State:
-    """What the log says: the live folders of each cell, and the last version."""
-
-    cells: dict[Cell, list[str]]
-    written: dict[str, int]  # folder -> number of cells in it
-    last: int
+_VERSION = T.StructField("_version", T.LongType())
+_CHANGE_FIELDS = [T.StructField("_deleted", T.BooleanType()), T.StructField("_source", T.StringType())]
 
 
 class Collection:
     """Documents of one model under `path`.
 
-    `buckets` and `slices` are fixed when the collection is created; take enough
+    `buckets` and `slices` are fixed when the collection is created, and kept with the files; take enough
     cells that one holds a few files, for example 512 x 8 for tens of terabytes.
     Files are sorted by the fields in `cluster_by`, points by their geohash, so that
-    a range or distance filter skips most row groups of a cell. With `store_search`
+    a range or distance filter skips most row groups of a cell, and have Bloom filters on the id. With `store_search`
     the model's derived search columns, such as tokens, are stored as well, so that a
     search reads them instead of analysing the texts again.
     """
@@ -66,6 +54,7 @@ class Collection:
         self.buckets, self.slices, self.cluster_by = buckets, slices, cluster_by
         self.store_search = store_search
         self._layout = f"{buckets}x{slices}" + ("+search" if store_search else "")
+        self._checked = False
         self.schema = T.StructType([*model.schema.fields, *_META])
 
     @cached_property
@@ -76,21 +65,21 @@ class Collection:
     # -- reading -----------------------------------------------------------
 
     def read(self, routing: str | None = None, ids: list[str] | None = None) -> DataFrame:
-        """All documents, or those of one route or with some ids; only their cells are listed."""
-        state = self._state()
-        cells = self._on_route(state, routing)
-        conditions = [] if routing is None else [F.col("_routing") == routing]
+        """All documents, or those of one route or with some ids; only their cells and, of ids, their row groups are read."""
+        cells, conditions = [], []
+        if routing is not None:
+            cells.append(F.col("_bucket") == _hash(F.lit(routing), self.buckets))
+            conditions.append(F.col("_routing") == routing)
         if ids is not None:
-            slices = set(self._hash(ids, self.slices))
-            cells = {c for c in cells if c[1] in slices}
+            cells.append(F.col("_slice").isin([_hash(F.lit(i), self.slices) for i in ids]))
             conditions.append(F.col("_id").isin(ids))
-        return self._load(state, cells).where(all_of(*conditions)).select(*self.schema.names)
+        return self._merged(*cells).where(all_of(*conditions)).select(*self.schema.names)
 
     def search(self, routing: str | None = None) -> DataFrame:
         """`read` with the model's derived search columns."""
-        state = self._state()
-        routed = [] if routing is None else [F.col("_routing") == routing]
-        return self._searched(state, self._on_route(state, routing)).where(all_of(*routed)).drop(*_CELL)
+        if routing is None:
+            return self._searched()
+        return self._searched(F.col("_bucket") == _hash(F.lit(routing), self.buckets)).where(F.col("_routing") == routing)
 
     def find(self, where: Column | None = None, routing: str | None = None, **options) -> DataFrame:
         """A page of the stored documents; options of `operators.find.find`."""
@@ -120,39 +109,46 @@ class Collection:
         """Save documents by id and route; the newest of a batch by `order_by` (column `_seq`) wins.
 
         A document that changes its id or route names its old place in `_old_id` and
-        `_old_routing`, and is removed there. Returns the number of documents written.
+        `_old_routing`, and is removed there. Returns the number of documents written. The batch is
+        computed once, with one shuffle, and what is stored is not read.
         """
-        state, keys = self._state(), ["_id", "_routing"]
-        version = state.last + 1
-        # the batch is used more than once, so it is written once, beside the data
-        staged = self._stage(self.model.prepare(batch, index, routing), version, order_by)
-        if order_by is None and "_seq" in staged.columns:
-            order_by = ["_seq"]
-        moved = {k: f"_old{k}" for k in keys if f"_old{k}" in staged.columns}
-        # stored too: from its measured size Spark decides whether to broadcast it
-        gone = self._spill(mutate.replaced_keys(staged, keys, moved), version, "gone")
-        counts = self._count_by_cell(self._with_cell(gone))
-        touched = set(counts)
-        if not touched:
-            return 0
-        kept = self._load(state, touched & set(state.cells))
-        kept = kept.join(gone, keys, "left_anti").select(*self._stored.names)
-        newest = mutate.latest(staged, keys, order_by).select(*self.schema.names)
-        self._write(self._placed(kept).unionByName(self._placed(newest, moved=True)), version, touched)
-        self.model.run_hooks("post-save", newest)
-        return staged.select(*keys).distinct().count() if moved else sum(counts.values())
+        return self.save(self.prepared(batch, index, routing), order_by)
 
     insert = upsert
 
+    def prepared(self, batch: DataFrame, index: str | None = None, routing: str | None = None) -> DataFrame:
+        """Documents as they are stored, with the columns that order and move them."""
+        prepared = self.model.prepare(batch, index, routing)
+        return _with_id(prepared.select(*self.schema.names, *[c for c in prepared.columns if c not in self.schema.names]))
+
+    def save(self, prepared: DataFrame, order_by: list[str] | None = None, source: str | None = None) -> int:
+        """Store documents as `prepared` gives them. A `source` that is saved again replaces what it has written."""
+        order = order_by or [c for c in ["_seq"] if c in prepared.columns]
+        row = {c: F.col(f"`{c}`") for c in self.schema.names}
+        row |= {f"_by{i}": F.col(f"`{c}`") for i, c in enumerate(order)} | {"_deleted": F.lit(False)}
+        moved = {k: F.coalesce(F.col(f"_old{k}"), F.col(k)) for k in _KEYS if f"_old{k}" in prepared.columns}
+        changes = prepared.select(*[v.alias(c) for c, v in row.items()])
+        if moved:
+            gone = {c: moved.get(c, v) if c in _KEYS else F.lit(True) if c == "_deleted" else
+                    F.lit(None).cast(prepared.select(v).schema[0].dataType) for c, v in row.items()}
+            new, old = (F.struct(*[v.alias(c) for c, v in r.items()]) for r in (row, gone))
+            moves = ~F.struct(*[gone[k] for k in _KEYS]).eqNullSafe(F.struct(*_KEYS))
+            changes = prepared.select(F.explode(F.array_compact(F.array(new, F.when(moves, old)))).alias("_row")).select("_row.*")
+        # a document that is saved at a place stays there, whichever has left it
+        kept = changes.withColumn("_saved", ~F.col("_deleted"))
+        newest = mutate.latest(kept, _KEYS, ["_saved", *[f"_by{i}" for i in range(len(order))]])
+        written, n = self._change(newest.select(*self.schema.names, "_deleted"), source)
+        self.model.run_hooks("post-save", written.where("NOT _deleted").select(*self.schema.names))
+        return n["saved"]
+
     def append(self, batch: DataFrame, index: str | None = None, routing: str | None = None) -> int:
-        """Save documents whose ids are known to be new, without reading the old ones."""
-        version = self._state().last + 1
-        prepared = _with_id(self.model.prepare(batch, index, routing).select(*self.schema.names))
+        """Save documents whose ids are known to be new, straight into the base."""
+        docs = _with_id(self.model.prepare(batch, index, routing).select(*self.schema.names))
         if self.model.hooks.get("post-save"):  # they see the documents with the ids that are stored
-            prepared = self._spill(prepared, version, "staged")
-        written = self._write(self._placed(prepared, moved=True), version, None)
-        self.model.run_hooks("post-save", prepared)
-        return written
+            docs = _stored_once(docs)
+        n = self._write(docs.withColumn("_deleted", F.lit(False)), f"{self.path}/base")
+        self.model.run_hooks("post-save", docs)
+        return n["saved"]
 
     def update(self, where: Column | None, set: dict | None = None, unset: list[str] | None = None,
                replace: dict | None = None, skip: tuple[str, ...] = (), routing: str | None = None) -> int:
@@ -161,19 +157,13 @@ class Collection:
         The result must fit the model. Where the id may change or the model has hooks, the documents
         are saved as by `upsert`: the hooks run, and a document with a new id leaves its old place.
         """
-        state, hit = self._state(), _matches(where, routing)
+        found = self._matching(where, routing)
+        keys = tuple(p for p in [self.model.id_path] if p)
+        changed = mutate.update(found, None, set, unset, replace, keys, skip).select(*self.schema.names)
         if any(self.model.hooks.values()) or self.model.id_path in {*(set or {}), *(unset or [])}:
-            found = self._searched(state, self._on_route(state, routing)).where(hit)
-            keys = tuple(p for p in [self.model.id_path] if p)
-            changed = mutate.update(found, None, set, unset, replace, keys, skip).select(*self.schema.names)
             return self.upsert(self._renamed(changed))
-        counts = self._count_by_cell(self._searched(state, self._on_route(state, routing)).where(hit))
-        if counts:
-            keys = tuple(p for p in [self.model.id_path] if p)
-            changed = mutate.update(self._searched(state, {*counts}), hit, set, unset, replace, keys, skip)
-            changed = self.model.cast(changed).select(*self.schema.names)
-            self._write(self._placed(changed), state.last + 1, {*counts})
-        return sum(counts.values())
+        changed = self.model.cast(changed).select(*self.schema.names)
+        return self._change(changed.withColumn("_deleted", F.lit(False)))[1]["saved"]
 
     def _renamed(self, changed: DataFrame) -> DataFrame:
         """Stored documents to save again: the id is that of the body, the route follows the id it was."""
@@ -189,163 +179,169 @@ class Collection:
 
         The remove hooks are given the documents that go.
         """
-        state, hit = self._state(), _matches(where, routing)
-        counts = self._count_by_cell(self._searched(state, self._on_route(state, routing)).where(hit))
-        if counts:
-            loaded = self._searched(state, set(counts))
-            kept = loaded.where(~hit).select(*self._stored.names)
-            gone = loaded.where(hit).select(*self.schema.names)
-            self.model.run_hooks("pre-remove", gone)
-            self._write(self._placed(kept), state.last + 1, set(counts))
-            self.model.run_hooks("post-remove", gone)
-        return sum(counts.values())
+        return self._remove(self._matching(where, routing).select(*self.schema.names))[1]
 
     def delete_keys(self, gone: DataFrame) -> tuple[int, DataFrame]:
         """Remove documents by `_id` (and `_routing`, else the id): (number, keys without a document)."""
         if "_routing" not in gone.columns:
             gone = gone.withColumn("_routing", F.col("_id"))
-        state, keys = self._state(), ["_id", "_routing"]
-        gone = self._spill(gone.select(*keys).where("_id IS NOT NULL").distinct(), state.last + 1, "gone")
-        cells = set(self._count_by_cell(self._with_cell(gone))) & set(state.cells)
-        old = self._load(state, cells)
-        found = self._spill(old.join(gone, keys, "left_semi").select(*keys, *_CELL), state.last + 1, "found")
-        counts = self._count_by_cell(found)
-        if counts:
-            kept = self._load(state, set(counts)).join(found.select(*keys), keys, "left_anti")
-            kept = kept.select(*self._stored.names)
-            removed = self._load(state, set(counts)).join(found.select(*keys), keys, "left_semi").select(*self.schema.names)
-            self.model.run_hooks("pre-remove", removed)
-            self._write(self._placed(kept), state.last + 1, set(counts))
-            self.model.run_hooks("post-remove", removed)
-        return sum(counts.values()), gone.join(found, keys, "left_anti")
-
-    # -- cells -------------------------------------------------------------
-
-    def _cluster_columns(self) -> list[Column]:
-        paths = [Doc(self.schema)[p] for p in self.cluster_by]
-        return [geohash(p.column["lon"], p.column["lat"]) if p.dtype == GEOPOINT else p.column for p in paths]
-
-    def _with_cell(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({
-            "_bucket": F.pmod(F.xxhash64("_routing"), F.lit(self.buckets)).cast("int"),
-            "_slice": F.pmod(F.xxhash64("_id"), F.lit(self.slices)).cast("int"),
-        })
-
-    def _hash(self, values: list[str], n: int) -> list[int]:
-        hashes = [F.pmod(F.xxhash64(F.lit(v)), F.lit(n)).cast("int") for v in values]
-        return list(self.spark.sql("SELECT 1").select(F.array(*hashes)).first()[0])
-
-    def _on_route(self, state: _State, routing: str | None) -> set[Cell]:
-        if routing is None:
-            return set(state.cells)
-        bucket = self._hash([routing], self.buckets)[0]
-        return {c for c in state.cells if c[0] == bucket}
+        gone = _stored_once(gone.select(*_KEYS).where("_id IS NOT NULL").distinct())
+        removed, n = self._remove(self._merged().join(gone, _KEYS, "left_semi").select(*self.schema.names))
+        return n, gone.join(removed.select(*_KEYS), _KEYS, "left_anti")
+
+    def _remove(self, gone: DataFrame) -> tuple[DataFrame, int]:
+        if any(self.model.hooks.get(f"{when}-remove") for when in ("pre", "post")):
+            gone = _stored_once(gone)
+        self.model.run_hooks("pre-remove", gone)
+        written, n = self._change(gone.withColumn("_deleted", F.lit(True)))
+        self.model.run_hooks("post-remove", gone)
+        return written, n["removed"]
+
+    def compact(self) -> int:
+        """Put the changes into the base, in the cells that they touch; returns the number of versions put in.
+
+        Run it when no change is being written. The merged cells are written beside the base first, then take the
+        place of its old files cell by cell; the changes go last, the oldest first. A run that breaks off
+        can be repeated, and readers find the same documents before, between and after.
+        """
+        changes = self._read("changes", _VERSION)
+        if changes is None:
+            return 0
+        versions = [r[0] for r in changes.select("_version").distinct().orderBy("_version").collect()]
+        if not versions:
+            return 0
+        cells = changes.select(*_CELL).distinct()
+        docs = self._merged().join(F.broadcast(cells), [*_CELL], "left_semi").withColumn("_deleted", F.lit(False))
+        # a row that holds no document, so that a cell which has none left is replaced too
+        docs = docs.unionByName(cells.withColumn("_deleted", F.lit(True)), allowMissingColumns=True)
+        merged = shared_dir(self.spark)
+        self._write(docs, merged, placed=True)
+        rows = self.spark.read.schema(self._file_schema()).parquet(merged)
+        self._write(rows, f"{self.path}/base", placed=True, mode="overwrite")
+        for version in versions:
+            _delete(self.spark, f"{self.path}/changes/_version={version}")
+        _delete(self.spark, f"{self.path}/changes")
+        _delete(self.spark, merged)
+        return len(versions)
+
+    # -- files -------------------------------------------------------------
+
+    def _matching(self, where: Column | None, routing: str | None) -> DataFrame:
+        found = self.search(routing)
+        return found if where is None else found.where(where)
+
+    def _searched(self, *cells: Column) -> DataFrame:
+        merged = self._merged(*cells).drop(*_CELL)
+        return merged if self.store_search else self.model.searchable(merged)
+
+    def _merged(self, *cells: Column) -> DataFrame:
+        """The documents of some cells, with their cell: the newest changes, and the base without their keys."""
+        base, changes = (self._read(name, *extra) for name, extra in (("base", ()), ("changes", (_VERSION,))))
+        fields = [*self._stored.fields, *_CELL_FIELDS]
+        parts = []
+        if base is not None:
+            parts.append(base.where(all_of(*cells)).where("NOT _deleted"))
+        if changes is not None:
+            changes = changes.where(all_of(*cells))
+            parts = [part.join(changes.select(*_KEYS), _KEYS, "left_anti") for part in parts]
+            parts.append(mutate.latest(changes, _KEYS, ["_version"]).where("NOT _deleted"))
+        if not parts:
+            return self.spark.createDataFrame([], T.StructType(fields))
+        merged = parts[0].select(*[f"`{f.name}`" for f in fields])
+        for part in parts[1:]:
+            merged = merged.unionByName(part.select(*[f"`{f.name}`" for f in fields]))
+        return merged.select(*[F.col(f"`{f.name}`").alias(f.name, metadata=f.metadata) for f in fields])
 
-    @staticmethod
-    def _count_by_cell(df: DataFrame) -> dict[Cell, int]:
-        """Rows per cell; at most buckets x slices of them reach the driver."""
-        return {(r[0], r[1]): r[2] for r in df.groupBy(*_CELL).count().collect()}
+    @property
+    def _stored(self) -> T.StructType:
+        """The columns of the files, without the cell."""
+        return self.doc.schema if self.store_search else self.schema
 
-    # -- log and files -----------------------------------------------------
+    def _file_schema(self, *extra: T.StructField) -> T.StructType:
+        return T.StructType([*self._stored.fields, *_CHANGE_FIELDS, *extra, *_CELL_FIELDS])
 
-    def _state(self) -> _State:
+    def _read(self, name: str, *extra: T.StructField) -> DataFrame | None:
+        """One of the two folders; None if it is not there yet."""
         try:
-            log = self.spark.read.schema(_LOG).json(f"{self.path}/_log")
+            files = self.spark.read.schema(self._file_schema(*extra)).parquet(f"{self.path}/{name}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return _State({}, {}, 0)
-        base = F.max(F.when(F.col("replaces"), F.col("version"))).over(Window.partitionBy("bucket", "slice"))
-        live = log.withColumn("base", base).where("base IS NULL OR version >= base")
-        state = _State({}, {}, 0)
-        for row in live.orderBy("version").collect():
-            if row.layout != self._layout:
-                raise ValueError(f"the collection was written as {row.layout}, not {self._layout} cells")
-            state.last = row.version
-            if row.rows:
-                state.cells.setdefault((row.bucket, row.slice), []).append(row.folder)
-                state.written[row.folder] = row.cells
-        return state
-
-    def _load(self, state: _State, cells: set[Cell]) -> DataFrame:
-        schema = T.StructType([*self._stored.fields, *_CELL_FIELDS])
-        by_folder: dict[str, list[Cell]] = {}
-        for cell in sorted(cells):
-            for folder in state.cells[cell]:
-                by_folder.setdefault(folder, []).append(cell)
-        paths = []
-        for folder, wanted in by_folder.items():
-            root = f"{self.path}/{folder}"
-            whole = len(wanted) == state.written[folder]  # one path instead of one per cell
-            paths += [root] if whole else [f"{root}/_bucket={b}/_slice={s}" for b, s in wanted]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        loaded = self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths)
-        return loaded.select(*[F.col(f"`{f.name}`").alias(f.name, metadata=f.metadata) for f in schema.fields])
-
-    def _stage(self, prepared: DataFrame, version: int, order_by: list[str] | None) -> DataFrame:
-        extra = [c for c in ("_old_id", "_old_routing", "_seq") if c in prepared.columns]
-        extra += [c for c in order_by or [] if c not in self.schema.names and c not in extra]
-        return self._spill(_with_id(prepared.select(*self.schema.names, *extra)), version, "batch")
-
-    def _searched(self, state: _State, cells: set[Cell]) -> DataFrame:
-        loaded = self._load(state, cells)
-        return loaded if self.store_search else self.model.searchable(loaded)
-
-    @property
-    def _stored(self) -> T.StructType:
-        """The columns of the files, without the cell."""
-        return self.doc.schema if self.store_search else self.schema
+            return None
+        if not self._checked:
+            found = self._layout_of(name)
+            if found is not None and found != self._layout:
+                raise ValueError(f"the collection was written as {found}, not {self._layout} cells")
+            self._checked = found is not None
+        return files
+
+    def _layout_of(self, name: str) -> str | None:
+        try:
+            return self.spark.read.parquet(f"{self.path}/{name}").schema["_id"].metadata.get("layout")
+        except AnalysisException as error:  # a folder without files
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            return None
+
+    def _change(self, rows: DataFrame, source: str | None = None) -> tuple[DataFrame, dict[str, int]]:
+        """Write rows as a version of their own, a source's again as the one it had: (what was written, counts)."""
+        version = (self.last_version(source) if source else 0) or self.last_version() + 1
+        folder = f"{self.path}/changes/_version={version}"
+        n = self._write(rows.withColumn("_source", F.lit(source).cast("string")), folder, mode="overwrite")
+        return self.spark.read.schema(self._file_schema()).parquet(folder), n
+
+    def last_version(self, source: str | None = None) -> int:
+        """The last version, or the last of a source, that is not in the base; 0 if there is none."""
+        changes = self._read("changes", _VERSION)
+        if changes is None:
+            return 0
+        return changes.where(F.lit(True) if source is None else F.col("_source") == source).agg(F.max("_version")).first()[0] or 0
 
-    def _spill(self, df: DataFrame, version: int, name: str) -> DataFrame:
-        path = f"{self.path}/_staged/{version}-{name}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+    def _with_cell(self, df: DataFrame) -> DataFrame:
+        return df.withColumns({"_bucket": _hash(F.col("_routing"), self.buckets), "_slice": _hash(F.col("_id"), self.slices)})
 
-    def _placed(self, docs: DataFrame, moved: bool = False) -> DataFrame:
-        """Documents with their cell, in partitions fit to be written.
+    def _write(self, rows: DataFrame, folder: str, placed: bool = False, mode: str = "append") -> dict[str, int]:
+        """Write documents by cell; `overwrite` replaces the cells that have rows. Counts come from the write itself.
 
-        Rows that are still in the task that read them are written there. Others are
-        rebalanced: adaptive execution splits large cells over several tasks and joins
-        small ones.
+        Rows are rebalanced: adaptive execution splits large cells over several tasks and joins small ones.
         """
-        placed = self._with_cell(docs)
-        if moved or _shuffles(docs):
-            placed = placed.hint("rebalance", *_CELL)
-        if self.store_search and len(docs.columns) == len(self.schema):
-            placed = self.model.searchable(placed).select(*self._stored.names, *_CELL)
-        return placed
+        if not placed:
+            rows = self._with_cell(rows)
+        if "_source" not in rows.columns:
+            rows = rows.withColumn("_source", F.lit(None).cast("string"))
+        if self.store_search and any(c not in rows.columns for c in self._stored.names):
+            rows = self.model.searchable(rows)
+        id_field = self._stored["_id"]
+        columns = [F.col("_id").alias("_id", metadata={**id_field.metadata, "layout": self._layout}) if c == "_id" else F.col(f"`{c}`")
+                   for c in [*self._stored.names, "_deleted", "_source", *_CELL]]
+        rows = rows.select(*columns).hint("rebalance", *_CELL)
+        if self.cluster_by:
+            rows = rows.sortWithinPartitions(*_CELL, *self._cluster_columns())
+        seen = Observation()
+        rows = rows.observe(seen, F.count_if(~F.col("_deleted")).alias("saved"), F.count_if(F.col("_deleted")).alias("removed"))
+        writer = rows.write.mode(mode).partitionBy(*_CELL).option("parquet.bloom.filter.enabled#_id", "true")
+        writer.option("partitionOverwriteMode", "dynamic").parquet(folder)
+        return {"saved": 0, "removed": 0} | seen.get
 
-    def _write(self, placed: DataFrame, version: int, touched: set[Cell] | None) -> int:
-        """Write the cells as a version and log it; returns the number of rows.
+    def _cluster_columns(self) -> list[Column]:
+        paths = [Doc(self.schema)[p] for p in self.cluster_by]
+        return [geohash(p.column["lon"], p.column["lat"]) if p.dtype == GEOPOINT else p.column for p in paths]
 
-        The new files replace the `touched` cells, or are added where that is None.
-        """
-        folder = f"v={version}-{uuid.uuid4().hex[:8]}"
-        if self.cluster_by:
-            placed = placed.sortWithinPartitions(*_CELL, *self._cluster_columns())
-        placed.write.partitionBy(*_CELL).parquet(f"{self.path}/{folder}")
-        written = self.spark.read.schema(T.StructType(_CELL_FIELDS)).parquet(f"{self.path}/{folder}")
-        rows = self._count_by_cell(written)
-        entries = [(version, folder, self._layout, b, s, touched is not None, rows.get((b, s), 0), len(rows))
-                   for b, s in sorted(rows if touched is None else touched)]
-        if self._state().last != version - 1:
-            raise RuntimeError("the collection was changed by another writer; repeat the change")
-        if entries:
-            log = self.spark.createDataFrame(entries, _LOG)
-            log.coalesce(1).write.mode("append").json(f"{self.path}/_log")
-        return sum(rows.values())
-
-
-def _shuffles(df: DataFrame) -> bool:
-    """Whether the plan moves rows between tasks; a broadcast does not."""
-    return bool(re.search(r"(?<!Broadcast)Exchange ", df._jdf.queryExecution().executedPlan().toString()))
-
-
-def _matches(where: Column | None, routing: str | None) -> Column:
-    """The filter as true or false for every document."""
-    hit = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
-    return hit if routing is None else hit & F.coalesce(F.col("_routing") == routing, F.lit(False))
+
+def _hash(value: Column, n: int) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(n)).cast("int")
+
+
+def _stored_once(df: DataFrame) -> DataFrame:
+    """The frame from a file, for steps after which its source is no longer the same."""
+    path = shared_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def _with_id(df: DataFrame) -> DataFrame:

@@ -108,13 +108,108 @@ def test_delete_keys(spark, store, dogs):
     assert store.delete_keys(gone)[0] == 0
 
 
-def test_untouched_cells_are_not_rewritten(spark, store):
+def test_a_change_writes_its_own_documents_only(spark, store):
     many = spark.range(200).select(F.col("id").cast("string").alias("animalId"), F.lit(True).alias("isDog"))
-    store.insert(many)
+    store.append(many)
     before = set(store.read().inputFiles())
-    store.upsert(many.limit(1).withColumn("name", F.lit("x")))
+    assert store.upsert(many.limit(1).withColumn("name", F.lit("x"))) == 1
+    assert store.update(store.doc["animalId"].eq("7"), set={"name": "y"}) == 1
+    assert store.delete(store.doc["animalId"].eq("9")) == 1
     after = set(store.read().inputFiles())
-    assert len(before - after) == 1 and store.read().count() == 200
+    assert before < after and len(after - before) == 3 and store.read().count() == 199
+    stored = spark.read.parquet(f"{store.path}/changes")
+    assert sorted((r._version, r._id, r._deleted) for r in stored.collect()) == [(1, "0", False), (2, "7", False), (3, "9", True)]
+
+
+def test_a_batch_is_computed_once_and_nothing_stored_is_read(spark, store, dogs):
+    store.append(dogs)
+    evaluated = spark.sparkContext.accumulator(0)
+
+    def seen(parts):
+        for part in parts:
+            evaluated.add(part.num_rows)
+            yield part
+
+    batch = dogs.mapInArrow(seen, dogs.schema)
+    assert store.upsert(batch.withColumn("_old_id", F.lit("nobody"))) == 3
+    assert evaluated.value == 3
+
+
+def test_compact(spark, store, dogs):
+    assert store.compact() == 0
+    store.append(dogs)
+    store.append(spark.range(100).select(F.concat(F.lit("n"), "id").alias("animalId"), F.lit("n").alias("name")))
+    store.upsert(spark.createDataFrame([("ein", "Ein II"), ("spike", "Spike")], "animalId string, name string"))
+    store.update(store.doc["animalId"].eq("n3"), set={"name": "three"})
+    store.delete(store.doc["animalId"].isin(["baloo", "n4"]))
+    before, files = rows(store.read(), "_id", "name", "isDog"), set(store.read().inputFiles())
+    assert store.compact() == 3 and store.last_version() == 0
+    assert rows(store.read(), "_id", "name", "isDog") == before and len(before) == 102
+    assert not any("changes" in f for f in store.read().inputFiles())
+    assert files & set(store.read().inputFiles())  # cells without changes stay
+    assert "Join" not in plan_of(store.read()) and store.compact() == 0
+    store.delete()
+    assert store.read().count() == 0
+    store.compact()
+    assert store.read().count() == 0  # cells that are emptied are replaced as well
+    store.upsert(dogs)
+    assert store.read().count() == 3
+
+
+def test_a_broken_off_compaction_changes_nothing(spark, store, dogs, monkeypatch):
+    from docspark.sources import collection
+
+    store.append(dogs)
+    store.update(None, set={"name": "x"})
+    store.delete(store.doc["animalId"].eq("ein"))
+    before, deleted = rows(store.read(), "_id", "name"), []
+    monkeypatch.setattr(collection, "_delete", lambda spark, folder: deleted.append(folder))
+    store.compact()
+    assert rows(store.read(), "_id", "name") == before
+    assert [f.rsplit("=")[-1] for f in deleted[:2]] == ["1", "2"]  # the oldest first
+
+
+def test_routes_and_ids_are_partition_filters(spark):
+    store = Collection(spark, shared_dir(spark), animal_model(), buckets=8, slices=8)
+    docs = spark.range(2000).select(F.format_string("%05d", F.col("id") * 2).alias("animalId"),
+                                    (F.col("id") % 50).cast("string").alias("_routing"))
+    store.append(docs)
+    store.update(store.doc["animalId"].eq("00006"), set={"name": "x"})
+    routed = store.read(routing="3")
+    assert routed.count() == 40 and {r._routing for r in routed.collect()} == {"3"}
+    plan = plan_of(routed)
+    filters = [line for line in plan.split("\n") if "PartitionFilters" in line]
+    assert len(filters) >= 2 and all("(_bucket" in line.split("PartitionFilters")[1].split("PushedFilters")[0] for line in filters)
+    assert "xxhash64" not in plan.split("PartitionFilters")[1].split("PushedFilters")[0]  # the bucket is a literal
+
+    def read_rows(df):
+        df.collect()
+        plan, found = df._jdf.queryExecution().executedPlan(), []
+        stack = [plan]
+        while stack:
+            node = stack.pop()
+            if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+                stack.append(node.executedPlan())
+            elif node.getClass().getSimpleName() == "FileSourceScanExec":
+                found.append(node.metrics().apply("numOutputRows").value())
+            else:
+                children = node.children()
+                stack += [children.apply(i) for i in range(children.size())]
+        return sum(found)
+
+    store.compact()
+    assert read_rows(store.read(ids=["00006"])) > 0
+    missing = store.read(ids=["00007"])  # between the least and the greatest id of its files
+    assert "_slice" in plan_of(missing).split("PartitionFilters")[1] and read_rows(missing) == 0
+
+
+def test_two_changes_at_one_time_keep_all_documents(spark, store, dogs, monkeypatch):
+    store.append(dogs)
+    other = Collection(spark, store.path, store.model, buckets=4, slices=3)
+    for writer, name in ((store, "ein"), (other, "baloo")):  # both have found no version yet
+        monkeypatch.setattr(writer, "last_version", lambda source=None: 0)
+        writer.upsert(dogs.where(f"animalId = '{name}'").withColumn("name", F.lit("new")))
+    assert rows(store.read(), "_id", "name") == [("baloo", "new"), ("charles", "Charles"), ("ein", "new")]
 
 
 def test_failed_write_changes_nothing(store, dogs):
@@ -132,22 +227,6 @@ def test_another_layout_is_refused(spark, store, dogs):
         Collection(spark, store.path, store.model, buckets=8, slices=3).read()
 
 
-def test_a_second_writer_is_refused(spark, store, dogs):
-    store.insert(dogs)
-    other = Collection(spark, store.path, store.model, buckets=4, slices=3)
-    slow = store._write
-
-    def write_after_another(*args, **options):
-        store._write = slow
-        other.append(dogs.withColumn("animalId", F.concat("animalId", F.lit("-2"))))
-        return slow(*args, **options)
-
-    store._write = write_after_another
-    with pytest.raises(RuntimeError, match="another writer"):
-        store.update(None, set={"name": "lost"})
-    assert store.read().count() == 6 and store.count(store.doc["name"].eq("lost")) == 0
-
-
 def test_hot_route_is_spread_over_slices(spark):
     store = Collection(spark, shared_dir(spark), animal_model(), buckets=4, slices=8)
     store.insert(spark.range(400).select(F.col("id").cast("string").alias("animalId")), routing="hot")

@@ -97,35 +97,3 @@ def test_large_cell_is_written_by_several_tasks(spark, small_partitions):
     store.append(docs)
     assert store.read().count() == 20000
     assert len(store.read(routing="hot").inputFiles()) > 1
-
-
-@pytest.mark.parametrize("threshold, rebalances", [("10MB", 1), ("-1", 2)])
-def test_kept_documents_move_only_when_the_join_moves_them(spark, monkeypatch, threshold, rebalances):
-    store = Collection(spark, shared_dir(spark), animal_model(), buckets=4, slices=2)
-    docs = spark.range(5000).select(F.col("id").cast("string").alias("animalId"), F.lit("old").alias("name"))
-    store.append(docs)
-    plans = []
-    write = store._write
-    monkeypatch.setattr(store, "_write", lambda df, *a: (plans.append(plan_of(df)), write(df, *a))[1])
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    try:
-        store.upsert(docs.limit(50).withColumn("name", F.lit("new")))
-        store.update(store.doc["name"].eq("new"), set={"sex": "male"})
-        store.delete(store.doc["name"].eq("new"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert [p.count("REBALANCE") for p in plans] == [rebalances, 0, 0]
-    assert store.read().count() == 4950
-
-
-def test_a_change_by_a_relation_does_not_scatter_the_cells(spark):
-    store = Collection(spark, shared_dir(spark), animal_model(), buckets=2, slices=1)
-    store.append(spark.range(3000).select(F.col("id").cast("string").alias("animalId")))
-    toys = spark.range(0, 3000, 2).select(F.col("id").cast("string").alias("owner"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert store.update(has_child(toys, "_id", "owner"), set={"name": "x"}) == 1500
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert store.count(store.doc["name"].eq("x")) == 1500
-    assert len(store.read().inputFiles()) <= 4

@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from conftest import animal_model
 from docspark import Collection, by_field, by_ranges
 from docspark.settings import shared_dir
@@ -26,6 +28,42 @@ def test_upsert_stream(spark, tmp_path):
     assert {r._id: r.name for r in target.read().collect()} == {"a": "1", "b": "3", "c": "1"}
 
 
+def run(stream, target, checkpoint):
+    upsert_stream(stream, target, checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def test_only_newer_documents_are_written(spark, tmp_path):
+    schema = "animalId string, name string, _seq int"
+    target = Collection(spark, shared_dir(spark), animal_model(), buckets=2)
+
+    def written(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        before = target.last_version()
+        run(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), target, str(tmp_path / "ck"))
+        changes = spark.read.parquet(f"{target.path}/changes").where(f"_version > {before}")
+        return sorted((r._id, r.name) for r in changes.collect())
+
+    assert written([("a", "a5", 5), ("b", "b1", 1), ("a", "a4", 4)]) == [("a", "a5"), ("b", "b1")]
+    assert written([("a", "a3", 3), ("b", "b1", 1)]) == []  # late, and a repeat
+    assert written([("a", "a6", 6), ("b", "b0", 0), ("c", "c1", 1)]) == [("a", "a6"), ("c", "c1")]
+    assert written([("a", "a5", 5), ("b", "b2", 2)] + [("z", "z", 0)] * 50) == [("b", "b2"), ("z", "z")]
+    assert {r._id: r.name for r in target.read().collect()} == {"a": "a6", "b": "b2", "c": "c1", "z": "z"}
+
+
+def test_a_batch_that_runs_again_replaces_what_it_wrote(spark, tmp_path):
+    target = Collection(spark, shared_dir(spark), animal_model(), buckets=2)
+    docs = spark.range(40).select(F.col("id").cast("string").alias("animalId"))
+    for n in (10, 20):
+        docs.limit(n).write.mode("append").parquet(str(tmp_path / "in"))
+        run(spark.readStream.schema(docs.schema).parquet(str(tmp_path / "in")), target, str(tmp_path / "ck"))
+    before = spark.read.parquet(f"{target.path}/changes").count()
+    assert before == 30 and target.last_version() == 2
+    (tmp_path / "ck" / "commits" / "1").unlink()  # as if the second batch had broken off after it was written
+    (tmp_path / "ck" / "commits" / ".1.crc").unlink(missing_ok=True)
+    run(spark.readStream.schema(docs.schema).parquet(str(tmp_path / "in")), target, str(tmp_path / "ck"))
+    assert target.last_version() == 2 and spark.read.parquet(f"{target.path}/changes").count() == before
+
+
 def test_windowed_stats(spark, tmp_path):
     start = dt.datetime(2020, 1, 1)
     rows = [(start + dt.timedelta(minutes=m), k, float(m)) for m, k in [(0, "x"), (5, "x"), (12, "y"), (31, "x")]]
