@@ -9,8 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docspark.operators.mutate import content_hash
 from docspark.operators.predicates import all_of, none_of
 
+#: A key that more than this share of the rows have is joined apart.
+HEAVY = 0.01
 _KEY, _COUNT, _SALT = "_related_key", "_related_count", "_related_salt"
 
 
@@ -44,6 +47,18 @@ def has_child(
     return _exists(kept, parent_id)
 
 
+def heavy_keys(rows: DataFrame, key: str, share: float = HEAVY) -> list:
+    """The values of a column that more than a share of the rows have, at most 1 / share of them.
+
+    One count by value, summed in each task before the shuffle.
+    """
+    if not 0 < share <= 1:
+        raise ValueError("the share must be above 0 and at most 1")
+    counts = rows.groupBy(F.col(key).alias(_KEY)).agg(F.count(F.lit(1)).alias(_COUNT)).where(F.col(_KEY).isNotNull())
+    enough = F.col(_COUNT) > share * rows.agg(F.count(F.lit(1))).scalar()
+    return [r[0] for r in counts.where(enough).select(_KEY).collect()]
+
+
 def has_parent(
     parents: DataFrame,
     child_fk: str,
@@ -51,16 +66,29 @@ def has_parent(
     where: Column | None = None,
     salt: int = 1,
     salt_by: str | None = None,
+    rows: DataFrame | None = None,
+    share: float = HEAVY,
 ) -> Column:
     """Rows whose parent matches.
 
     Alone, under `&` or negated, adaptive execution splits the partition of a
     parent that owns a large share of the rows. It does not split the existence
-    join that `|` plans: give `salt` there, and in `salt_by` a column that varies
-    among the children of one parent. The rows of a parent are then spread over
-    `salt` tasks and the matching parent ids repeated for each.
+    join that `|` plans, nor a join whose rows come from another relation. Give the
+    filtered frame in `rows` there: its keys are counted, and where some own more than `share` of
+    the rows, those rows are spread over as many tasks as a shuffle has, by their
+    content, and the ids of those parents alone are repeated for each. All other rows are
+    joined as before. `salt` with `salt_by` spreads the rows of every parent, uncounted.
     """
     keys = (parents if where is None else parents.where(where)).select(F.col(parent_id).alias(_KEY))
+    if rows is not None:
+        heavy = heavy_keys(rows, child_fk, share)
+        if not heavy:
+            return _exists(keys, child_fk)
+        spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        every, one = F.sequence(F.lit(0), F.lit(spread - 1)), F.array(F.lit(0))
+        salted = keys.withColumn(_SALT, F.explode(F.when(F.col(_KEY).isin(heavy), every).otherwise(one)))
+        own = F.when(F.col(child_fk).isin(heavy), F.pmod(content_hash(rows), F.lit(spread)).cast("int")).otherwise(F.lit(0))
+        return _exists(salted, child_fk, F.col(_SALT) == own.outer())
     if salt <= 1:
         return _exists(keys, child_fk)
     if salt_by is None:

@@ -340,10 +340,26 @@ def has_parent_or(spark, d):
     building = Doc(customers)["c_mktsegment"].eq("BUILDING")
     return orders.where(
         Doc(orders)["o_totalprice"].range(gt=450000)
-        | has_parent(customers, "o_custkey", "c_custkey", where=building, salt=16, salt_by="o_orderkey")
+        | has_parent(customers, "o_custkey", "c_custkey", where=building, rows=orders)
     ).select("o_orderkey")
 
 
+@query("""
+    SELECT l_orderkey, l_linenumber FROM lineitem
+    WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_name <> 'KENYA'))
+      AND (l_returnflag = 'R' OR l_orderkey IN (
+          SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')))""")
+def parent_of_relation(spark, d):
+    """A parent filtered by its own parent, beside and behind another relation; heavy keys are counted."""
+    lines, orders, customers, suppliers, nations = (
+        table(spark, d, t) for t in ("lineitem", "orders", "customer", "supplier", "nation"))
+    abroad = has_parent(nations, "s_nationkey", "n_nationkey", where=Doc(nations)["n_name"].ne("KENYA"))
+    lines = lines.where(has_parent(suppliers, "l_suppkey", "s_suppkey", where=abroad))
+    building = has_parent(customers, "o_custkey", "c_custkey", where=Doc(customers)["c_mktsegment"].eq("BUILDING"), rows=orders)
+    theirs = has_parent(orders, "l_orderkey", "o_orderkey", where=building, rows=lines)
+    return lines.where(Doc(lines)["l_returnflag"].eq("R") | theirs).select("l_orderkey", "l_linenumber")
+
+
 @query("""
     SELECT r_name FROM region WHERE r_regionkey IN (
         SELECT n_regionkey FROM nation

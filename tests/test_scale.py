@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import animal_model, plan_of
 from docspark import Collection, Doc, aggregate, by_field, find, has_child, has_parent, upsert
 from docspark.operators.mutate import unmatched_keys
+from docspark.operators.relations import heavy_keys
 from docspark.settings import shared_dir
 
 
@@ -56,6 +57,32 @@ def test_salted_parent_spreads_the_hot_key(spark, small_partitions, skewed):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_counted_heavy_parents_are_spread(spark, small_partitions, skewed):
+    """Under `|`, and behind another relation, without a salt given."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parents = spark.range(500).withColumnRenamed("id", "pk").where("pk % 2 = 0")
+        assert heavy_keys(skewed, "fk", 0.05) == [0] and heavy_keys(skewed.limit(0), "fk") == []
+        expected = skewed.where("fk % 2 = 0").count()
+        either = skewed.where(has_parent(parents, "fk", "pk", rows=skewed) | Doc(skewed)["v"].range(lt=0))
+        before = skewed.where(has_child(spark.range(500).withColumnRenamed("id", "ck"), "fk", "ck"))
+        behind = before.where(has_parent(parents, "fk", "pk", rows=before) | Doc(before)["v"].range(lt=0))
+        plain = skewed.where(has_parent(parents, "fk", "pk") | Doc(skewed)["v"].range(lt=0))
+        for kept, most in ((either, 60000 / 6), (behind, 60000 / 6)):
+            sizes = [r["count"] for r in kept.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == expected and max(sizes) < most
+        assert max(r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect()) > 60000 / 4
+        repeated = plan_of(either).count("explode")
+        assert repeated >= 1 and none_left(either, skewed, parents)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def none_left(kept, rows, parents):
+    lost = rows.join(parents, rows["fk"] == parents["pk"], "left_semi").select("id").exceptAll(kept.select("id"))
+    return lost.count() == 0
+
+
 def test_unmatched_keys_of_a_hot_key(spark, small_partitions, skewed):
     wanted = spark.range(400, 600).withColumnRenamed("id", "fk")
     missing = unmatched_keys(skewed, wanted, ["fk"])
