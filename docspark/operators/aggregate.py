@@ -28,6 +28,7 @@ class GroupKey:
     bucket: Callable[[Column, T.DataType], Column] = lambda c, _: c
     many: bool = False
     analyzer: str | None = None
+    ranges: tuple[tuple, ...] = ()  # given where they overlap
 
     def resolve(self, doc: Doc) -> tuple[Column, bool]:
         """(column, is it an array to explode) for a document schema."""
@@ -50,7 +51,9 @@ def by_field(path: str, analyzer: str | None = None) -> GroupKey:
 
 def by_ranges(path: str, ranges: list[tuple]) -> GroupKey:
     """One group per range, keyed by its position. `(low, high)`: low inclusive, high
-    exclusive, None open. Ranges of numbers or dates; they may overlap."""
+    exclusive, None open. Ranges of numbers or dates; they may overlap: `aggregate` then
+    places each row of a scalar field once, between two neighbouring bounds, and adds the
+    few groups between bounds up by range."""
     if not ranges:
         raise ValueError("by_ranges needs at least one range")
 
@@ -70,8 +73,9 @@ def by_ranges(path: str, ranges: list[tuple]) -> GroupKey:
         hits = [F.when(member(c, dtype, *r), F.lit(i)) for i, r in enumerate(ranges)]
         return F.array_compact(F.array(*hits))
 
-    # Only ranges that overlap need a row per range.
-    return GroupKey(path, first_member) if _disjoint(ranges) else GroupKey(path, all_members, many=True)
+    if _disjoint(ranges):
+        return GroupKey(path, first_member)
+    return GroupKey(path, all_members, many=True, ranges=tuple(ranges))
 
 
 def by_interval(path: str, width: float, base: float = 0) -> GroupKey:
@@ -192,7 +196,54 @@ def keyed_rows(frame: DataFrame, by: list[GroupKey]) -> tuple[DataFrame, list[st
     return keyed, names
 
 
+def _between(frame: DataFrame, key: GroupKey) -> tuple[Column, Callable[[Column], Column]]:
+    """(number of bounds at or below a value, the ranges that hold all values of such a number)."""
+    path = Doc(frame)[key.path]
+    bounds = list(dict.fromkeys(b for r in key.ranges for b in r if b is not None))
+    # the bounds as the field's type sees them, for their order
+    values = frame.sparkSession.range(1).select(F.array(*[literals.compared(b, path.dtype) for b in bounds])).first()[0]
+    order = sorted(set(values))
+    place = {None: None, **{bound: order.index(value) + 1 for bound, value in zip(bounds, values)}}
+    literal = F.array(*[literals.compared(bounds[values.index(value)], path.dtype) for value in order])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(order).bit_length()))])
+    # binary search: one step for each doubling of the bounds
+    at = F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get(literal, n + step - 1) <= path.column, n + step).otherwise(n))
+    lows = F.array(*[F.lit(0 if low is None else place[low]) for low, _ in key.ranges])
+    highs = F.array(*[F.lit(len(order) + 1 if high is None else place[high]) for _, high in key.ranges])
+    every = F.sequence(F.lit(0), F.lit(len(key.ranges) - 1))
+    return F.when(path.column.isNotNull(), at), lambda n: F.filter(every, lambda i: (F.get(lows, i) <= n) & (n < F.get(highs, i)))
+
+
+def _added_up(frame: DataFrame, spec: Spec) -> DataFrame:
+    """A grouping with overlapping ranges of scalar fields: rows are grouped between bounds, groups then by range."""
+    doc, found, by = Doc(frame), {}, []
+    for i, key in enumerate(spec.by):
+        if key.ranges and not doc[key.path].is_array:
+            at, found[i] = _between(frame, key)
+            frame = frame.withColumn(f"_between{i}", at)
+            by.append(by_field(f"_between{i}"))
+        else:
+            by.append(key)
+    named = {stat_name(path, name): (path, name) for path, name in spec.statistics()}
+    kinds = frame.agg(*[_stat(doc[path], name).alias(alias) for alias, (path, name) in named.items()]).schema if named else []
+    parts = dict.fromkeys(p for path, name in named.values() for p in ([(path, "sum"), (path, "count")] if name == "avg" else [(path, name)]))
+    keyed, names = keyed_rows(frame, by)
+    columns = [_stat(doc[path], name).alias(stat_name(path, name)) for path, name in parts]
+    groups = keyed.groupBy(*[F.col(n).alias(n[1:]) for n in names]).agg(F.count(F.lit(1)).alias("total"), *columns)
+    for i, ranges in found.items():
+        groups = groups.withColumn(f"k{i}", F.explode(ranges(F.col(f"k{i}"))))
+    merged = groups.groupBy(*[n[1:] for n in names]).agg(F.sum("total").alias("total"), *[
+        (getattr(F, name) if name in ("min", "max") else F.sum)(stat_name(path, name)).alias(stat_name(path, name)) for path, name in parts])
+    results = ["total"] if spec.total else []
+    for alias, (path, name) in named.items():
+        value = F.try_divide(stat_name(path, "sum"), F.col(stat_name(path, "count"))) if name == "avg" else F.col(alias)
+        results.append(value.cast(kinds[alias].dataType).alias(alias))
+    return merged.select(*[n[1:] for n in names], *results)
+
+
 def _grouped(frame: DataFrame, spec: Spec) -> DataFrame:
+    if any(key.ranges and not Doc(frame)[key.path].is_array for key in spec.by):
+        return _added_up(frame, spec)
     columns = measures(Doc(frame), spec)
     if not spec.by:
         return frame.agg(*(columns or [F.count(F.lit(1)).alias("total")]))
@@ -223,14 +274,18 @@ def aggregate_multi_long(
 ) -> DataFrame:
     """Several aggregates in one scan and one shuffle, stacked in long form.
 
+    Where every key has one value for a document they are the grouping sets of one aggregation, and
+    aggregates with the same keys are one set. Otherwise a document has a row for each group it falls in.
+
     Columns: `name`, `k0..kn` (null beyond the keys of an aggregate; text where the
     aggregates disagree on the type), `total`, and every statistic (null where not
-    asked for). A document contributes one small row per group it falls in. An
-    aggregate without keys has its row even if nothing matches.
+    asked for). An aggregate without keys has its row even if nothing matches.
     """
     matched = df if where is None else df.where(where)
     doc = Doc(matched)
     resolved = {name: [key.resolve(doc) for key in s.by] for name, s in specs.items()}
+    if not any(many for cols in resolved.values() for _, many in cols):
+        return _by_sets(df, matched, specs, resolved)
     width = max(len(cols) for cols in resolved.values())
     types = _key_types(matched, resolved, width)
     arrays = [any(cols[i][1] for cols in resolved.values() if i < len(cols)) for i in range(width)]
@@ -273,6 +328,54 @@ def aggregate_multi_long(
     return grouped.select("name", *[k[1:] for k in keys], *masked)
 
 
+def _by_sets(df: DataFrame, matched: DataFrame, specs: dict[str, Spec], resolved: dict) -> DataFrame:
+    """`aggregate_multi_long` as grouping sets: each key is computed once, whichever aggregates have it."""
+    doc = Doc(matched)
+    width = max(len(cols) for cols in resolved.values())
+    types = _key_types(matched, resolved, width)
+    keys = list(dict.fromkeys(key for s in specs.values() for key in s.by))
+    place = {key: i for i, key in enumerate(keys)}
+    columns = {key: column for name, s in specs.items() for key, (column, _) in zip(s.by, resolved[name])}
+    rows = matched.select("*", *[columns[key].alias(f"_g{i}") for key, i in place.items()], F.lit(1).alias("_document"))
+    if any(not s.by for s in specs.values()):  # a row that is no document, so that the group without keys is there
+        rows = rows.unionByName(df.sparkSession.createDataFrame([(None,)], "_document int"), allowMissingColumns=True)
+    wanted: dict[tuple[int, ...], list[str]] = {}
+    for name, s in specs.items():
+        wanted.setdefault(tuple(sorted({place[key] for key in s.by})), []).append(name)
+    pairs = list(dict.fromkeys(p for s in specs.values() for p in s.statistics()))
+    measured = [F.count("_document").alias("total"), *[_stat(doc[p], stat).alias(stat_name(p, stat)) for p, stat in pairs]]
+    if keys:
+        every = [F.col(f"_g{i}") for i in range(len(keys))]
+        sets = rows.groupingSets([[every[i] for i in indexes] for indexes in wanted], *every)
+        grouped = sets.agg(F.grouping_id().alias("_set"), *measured)
+    else:
+        grouped = rows.agg(F.lit(0).cast("bigint").alias("_set"), *measured)
+    names = None
+    for indexes, of_set in wanted.items():
+        # the bit of a key that a set does not have is 1, the first key's bit is the highest
+        number = sum(1 << (len(keys) - 1 - i) for i in range(len(keys)) if i not in indexes)
+        choice = (F.col("_set") == number, F.array(*[F.lit(name) for name in of_set]))
+        names = F.when(*choice) if names is None else names.when(*choice)
+    grouped = grouped.withColumn("name", F.explode(names))
+
+    def by_name(value: Callable[[str, Spec], Column | None], dtype: T.DataType | None = None) -> Column:
+        chosen = F.when(F.lit(False), F.lit(None))
+        for name, s in specs.items():
+            column = value(name, s)
+            if column is not None:
+                chosen = chosen.when(F.col("name") == name, column)
+        return chosen if dtype is None else chosen.cast(dtype)
+
+    for i, dtype in enumerate(types):
+        value = by_name(lambda _, s, i=i, t=dtype: F.col(f"_g{place[s.by[i]]}").cast(t) if i < len(s.by) else None, dtype)
+        grouped = grouped.withColumn(f"k{i}", value)
+    complete = by_name(lambda _, s: reduce(lambda a, b: a & b, [F.col(f"k{i}").isNotNull() for i in range(len(s.by))], F.lit(True)))
+    results = [by_name(lambda _, s: F.col("total") if s.total else None, T.LongType()).alias("total")]
+    results += [by_name(lambda _, s, p=p: F.col(stat_name(*p)) if p in s.statistics() else None,
+                        grouped.schema[stat_name(*p)].dataType).alias(stat_name(*p)) for p in pairs]
+    return grouped.where(complete).select("name", *[f"k{i}" for i in range(width)], *results)
+
+
 def _key_types(df: DataFrame, resolved: dict, width: int) -> list[T.DataType]:
     """Type of each key position, text where the aggregates differ."""
     seen: list[list[T.DataType]] = [[] for _ in range(width)]

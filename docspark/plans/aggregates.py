@@ -227,6 +227,40 @@ def agg_multi_empty(spark, d):
     }, where=Doc(events)["value"].range(lt=-1e9))
 
 
+@query("""
+    SELECT 'all' AS name, NULL AS k0, CAST(NULL AS VARCHAR) AS k1, count(*) AS total, NULL AS o_totalprice_max,
+           round(avg(o_totalprice), 4) AS o_totalprice_avg FROM orders
+    UNION ALL SELECT 'status', o_orderstatus, NULL, count(*), max(o_totalprice), NULL FROM orders GROUP BY o_orderstatus
+    UNION ALL SELECT 'status again', o_orderstatus, NULL, NULL, NULL, round(avg(o_totalprice), 4) FROM orders GROUP BY o_orderstatus
+    UNION ALL SELECT 'both', CAST(year(o_orderdate) AS VARCHAR), o_orderstatus, count(*), max(o_totalprice), NULL FROM orders
+              GROUP BY year(o_orderdate), o_orderstatus
+    UNION ALL SELECT 'year', CAST(year(o_orderdate) AS VARCHAR), NULL, count(*), NULL, NULL FROM orders GROUP BY year(o_orderdate)""")
+def agg_multi_sets(spark, d):
+    """Five aggregates as four grouping sets of one scan."""
+    orders = table(spark, d, "orders").withColumn("year", F.year("o_orderdate"))
+    status, year = by_field("o_orderstatus"), by_field("year")
+    result = aggregate_multi_long(orders, {
+        "all": Spec(stats={"o_totalprice": ["avg"]}, total=True),
+        "status": Spec([status], stats={"o_totalprice": ["max"]}, total=True),
+        "status again": Spec([status], stats={"o_totalprice": ["avg"]}),
+        "both": Spec([year, status], stats={"o_totalprice": ["max"]}, total=True),
+        "year": Spec([year], total=True),
+    })
+    return _rounded(result, o_totalprice_avg=4)
+
+
+@query("""
+    WITH r AS (SELECT CAST(i AS INTEGER) AS k0, (i * 7) % 400 - 50 AS f, (i * 7) % 400 - 50 + i % 90 + 1 AS t FROM range(1000) x(i))
+    SELECT k0, event_type AS k1, count(*) AS total, min(value) AS value_min, round(sum(value), 2) AS value_sum, count(user_id) AS user_id_count
+    FROM events JOIN r ON value >= f AND value < t WHERE event_type IS NOT NULL GROUP BY 1, 2""")
+def group_many_ranges(spark, d):
+    """A thousand ranges that overlap: each row is placed once."""
+    ranges = [((i * 7) % 400 - 50, (i * 7) % 400 - 50 + i % 90 + 1) for i in range(1000)]
+    result = aggregate(table(spark, d, "events"), [by_ranges("value", ranges), by_field("event_type")],
+                       stats={"value": ["min", "sum"], "user_id": ["count"]}, total=True)
+    return _rounded(result, value_sum=2)
+
+
 @query("""
     SELECT b.k0, b.total AS matched, a.total AS of_all FROM
         (SELECT event_type AS k0, count(*) AS total FROM events WHERE value > 100 GROUP BY 1) b
