@@ -5,7 +5,7 @@ from docspark.operators.aggregate import (
     Spec, aggregate, aggregate_multi, aggregate_multi_long, by_component, by_duration, by_field,
     by_interval, by_ranges, to_documents, top_groups,
 )
-from docspark.operators.find import count, find, project, stream
+from docspark.operators.find import count, find, pages, project, stream
 from docspark.operators.mutate import delete, delete_keys, unmatched_keys, update, upsert
 from docspark.operators.predicates import (
     Doc, all_of, any_of, match_all, none_of, register_operator,
@@ -21,6 +21,6 @@ __all__ = [
     "all_of", "any_of", "array_of", "by_component", "by_duration", "by_field", "by_interval",
     "by_ranges", "catalog_indexes", "count", "delete", "delete_keys", "field", "find",
     "first_match", "folder_indexes", "get_model", "glob_filter", "has_child", "has_parent", "map_of", "match_all",
-    "none_of", "object_of", "project", "read_indexes", "register_model", "register_operator",
+    "none_of", "object_of", "pages", "project", "read_indexes", "register_model", "register_operator",
     "stream", "to_documents", "top_groups", "unmatched_keys", "update", "upsert",
 ]

@@ -80,3 +80,58 @@ def geohash(lon: Column, lat: Column, precision: int = 12) -> Column:
             code = F.shiftleft(code, 1).bitwiseOR(bit)
         chars.append(F.substring(F.lit(_BASE32), code.cast("int") + 1, F.lit(1)))
     return F.concat(*chars)
+
+
+def covering_cells(lon: float, lat: float, distance_m: float, most: int = 64) -> list[tuple[str, str | None]]:
+    """Ranges `[first, end)` of geohash text that hold every point within the distance; None is open.
+
+    Cells of the greatest precision of which no more than `most` meet the circle's box, neighbours in
+    geohash order as one range. The box is that of `bounding_box`, so a pole or the 180th meridian inside the
+    circle is covered.
+    """
+    low, high, lon_ranges = bounding_box(lon, lat, distance_m)
+    cells: list[str] = [""]
+    for precision in range(1, 13):
+        bits = 5 * precision
+        columns, rows = 2 ** ((bits + 1) // 2), 2 ** (bits // 2)
+        spans = [_span(w, e, -180.0, 360.0, columns) for w, e in lon_ranges or [(-180.0, 180.0)]]
+        first, last = _span(low, high, -90.0, 180.0, rows)
+        if sum(b - a + 1 for a, b in spans) * (last - first + 1) > most:
+            break
+        cells = sorted({_text(x, y, precision) for a, b in spans for x in range(a, b + 1) for y in range(first, last + 1)})
+    ranges: list[tuple[str, str | None]] = []
+    for cell in cells:
+        if ranges and ranges[-1][1] == cell:
+            ranges[-1] = (ranges[-1][0], _next(cell))
+        else:
+            ranges.append((cell, _next(cell)))
+    return ranges
+
+
+def in_cells(cell: Column, lon: float, lat: float, distance_m: float) -> Column:
+    """Rows whose geohash, of at least the precision that the circle calls for, is in a covering cell."""
+    tests = [(cell >= F.lit(first)) if end is None else (cell >= F.lit(first)) & (cell < F.lit(end))
+             for first, end in covering_cells(lon, lat, distance_m)]
+    return reduce(lambda a, b: a | b, tests)
+
+
+def _span(first: float, last: float, low: float, width: float, n: int) -> tuple[int, int]:
+    place = lambda v: max(0, min(n - 1, math.floor((v - low) / width * n)))
+    return place(first), place(last)
+
+
+def _text(x: int, y: int, precision: int) -> str:
+    """The geohash of a column and row of cells: their bits in turn, the column's first."""
+    bits = 5 * precision
+    lon_bits, lat_bits = (bits + 1) // 2, bits // 2
+    number = 0
+    for j in range(bits):
+        bit = (x >> (lon_bits - 1 - j // 2)) & 1 if j % 2 == 0 else (y >> (lat_bits - 1 - j // 2)) & 1
+        number = number << 1 | bit
+    return "".join(_BASE32[number >> 5 * i & 31] for i in reversed(range(precision)))
+
+
+def _next(cell: str) -> str | None:
+    """The least text above all that start with this one, as far as geohashes go."""
+    cell = cell.rstrip(_BASE32[-1])
+    return cell[:-1] + _BASE32[_BASE32.index(cell[-1]) + 1] if cell else None

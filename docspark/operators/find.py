@@ -21,16 +21,22 @@ def find(
     include: list[str] | None = None,
     exclude: list[str] | None = None,
     with_total: bool = False,
+    after: Row | dict | None = None,
 ) -> DataFrame:
     """One page of the matching documents.
 
+    `after` holds the sorted values of a document, for example the last of a page, and the page starts
+    behind it: a filter, of which Parquet gets the part on the first key. End `sort`, a dict here, with a unique
+    field, else documents that are equal in all of it are passed over together.
+
     `sort` is `{path: 1 | -1}` or a list of sort Columns; missing values come last
     in both directions. `with_total` adds `_total`, the matches before skip and
     limit, from a second aggregate over the same filter. `skip` without `limit`
     writes the rows below the shared folder at once.
     """
     matched = df if where is None else df.where(where)
-    page = matched.orderBy(*sort_columns(df, sort)) if sort else matched
+    page = matched if after is None else matched.where(_behind(df, sort, after))
+    page = page.orderBy(*sort_columns(df, sort)) if sort else page
     if limit is not None:
         page = page.offset(skip).limit(limit) if skip else page.limit(limit)
     page = project(page, include, exclude)
@@ -60,6 +66,53 @@ def _after(rows: DataFrame, skip: int, ordered: bool) -> DataFrame:
     return kept.select(*[F.col(f"`{f.name}`").alias(f.name, metadata=f.metadata) for f in rows.schema.fields])
 
 
+def _behind(df: DataFrame, sort: dict[str, int], after: Row | dict) -> Column:
+    """Rows that come behind the given one in a sort that has missing values last."""
+    if not isinstance(sort, dict) or not sort:
+        raise ValueError("after needs a sort by paths")
+    doc, held = Doc(df), after.asDict(recursive=True) if isinstance(after, Row) else after
+    later, equal, first = F.lit(False), F.lit(True), None
+    for path, direction in sort.items():
+        value = held
+        for name in [path] if path in held else path.split("."):
+            if value is not None and name not in value:
+                raise ValueError(f"after has no value of {path}")
+            value = value if value is None else value[name]
+        column = doc[path].column
+        if doc[path].is_array:
+            column = F.array_min(column) if direction == 1 else F.array_max(column)
+            value = None if value is None else (min if direction == 1 else max)([v for v in value if v is not None], default=None)
+        if value is None:
+            behind, here = F.lit(False), column.isNull()
+            bound = here
+        else:
+            given = F.lit(value)
+            behind = (column > given if direction == 1 else column < given) | column.isNull()
+            here = column == given
+            bound = (column >= given if direction == 1 else column <= given) | column.isNull()
+        # where an earlier key is the same; null is not equal to a value
+        later, equal = later | (equal & behind), equal & F.coalesce(here, F.lit(False))
+        first = bound if first is None else first
+    return first & F.coalesce(later, F.lit(False))
+
+
+def pages(df: DataFrame, where: Column | None = None, sort: dict[str, int] | None = None, size: int = 100,
+          **options) -> Iterator[list[Row]]:
+    """All matching documents in pages of `size`, each found behind the last row of the one before.
+
+    A page is one query with a limit, so the driver and the tasks hold a page, however far it is. `sort` ends with a
+    unique field; its paths have to be among the fields that `include` and `exclude` leave.
+    """
+    after = None
+    while True:
+        page = find(df, where, sort, limit=size, after=after, **options).collect()
+        if page:
+            yield page
+        if len(page) < size:
+            return
+        after = page[-1]
+
+
 def stream(df: DataFrame, *args, **options) -> Iterator[Row]:
     """`find`, delivered to the driver one partition at a time instead of collected."""
     return find(df, *args, **options).toLocalIterator(prefetchPartitions=True)

@@ -266,8 +266,17 @@ class Path:
             kind = T.StructType(fields)
         return F.exists(elements, lambda e: predicate(Doc(kind, e)))
 
-    def near(self, lon: float, lat: float, max_distance: float) -> Column:
-        """A `struct<lon, lat>` point within `max_distance` metres."""
+    def near(self, lon: float, lat: float, max_distance: float, cells: str | None = None) -> Column:
+        """A `struct<lon, lat>` point within `max_distance` metres.
+
+        `cells` names a stored column with the point's geohash of 12 characters: where files are sorted by it, the
+        ranges of cells that cover the circle pass over row groups that the box alone would read.
+        """
+        if cells is not None:
+            if self.is_array:
+                raise ValueError("cells are those of a single point")
+            inside = geo.within_distance(self._column["lon"], self._column["lat"], lon, lat, max_distance)
+            return geo.in_cells(F.col(f"`{cells}`"), lon, lat, max_distance) & inside
         test = lambda c: geo.within_distance(c["lon"], c["lat"], lon, lat, max_distance)
         return F.exists(self._column, test) if self.is_array else test(self._column)
 

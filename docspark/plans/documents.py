@@ -8,7 +8,7 @@ from docspark.functions.geo import _BASE32, geohash
 from docspark.model import DocModel, array_of, field, map_of, object_of
 from docspark.operators import mutate
 from docspark.operators.aggregate import by_field
-from docspark.operators.find import count, find, project
+from docspark.operators.find import count, find, pages as find_pages, project
 from docspark.operators.predicates import Doc, none_of
 from docspark.plans.registry import query, table
 from docspark.settings import shared_dir
@@ -377,3 +377,50 @@ def stream_windows(spark, d):
     writer = stats.writeStream.outputMode("append").option("checkpointLocation", shared_dir(spark))
     writer.trigger(availableNow=True).format("parquet").option("path", out).start().awaitTermination()
     return spark.read.schema(stats.schema).parquet(out).withColumn("k0", F.col("k0").cast("timestamp_ntz"))
+
+
+@query("""
+    WITH w AS (SELECT CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS k0, o_orderstatus AS k1, count(*) AS total,
+                      max(o_totalprice) AS o_totalprice_max FROM orders GROUP BY 1, 2)
+    SELECT k0, k1, total, o_totalprice_max FROM w WHERE k0 < (SELECT max(k0) FROM w)""")
+def stream_months(spark, d):
+    """Statistics of the calendar months of a stream that are over; the newest month stays open."""
+    source = table(spark, d, "orders")
+    stream = spark.readStream.schema(source.schema).parquet(f"{d}/orders.parquet*")
+    stats = windowed_stats(stream, "o_orderdate", ("month", 1), late="P3D", by=[by_field("o_orderstatus")],
+                           stats={"o_totalprice": ["max"]})
+    out = shared_dir(spark)
+    writer = stats.writeStream.outputMode("append").option("checkpointLocation", shared_dir(spark))
+    writer.trigger(availableNow=True).format("parquet").option("path", out).start().awaitTermination()
+    return spark.read.schema(stats.schema).parquet(out).withColumn("k0", F.col("k0").cast("timestamp_ntz"))
+
+
+@query("""
+    SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
+    ORDER BY o_orderstatus DESC NULLS LAST, o_totalprice NULLS LAST, o_orderkey LIMIT 30 OFFSET 40""")
+def find_after(spark, d):
+    """The third page of twenty and half of the fourth, each from the last row of the one before."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    sort = {"o_orderstatus": -1, "o_totalprice": 1, "o_orderkey": 1}
+    pages = find_pages(orders, sort=sort, size=20)
+    after = [next(pages) for _ in range(2)][-1][-1]
+    return find(orders, sort=sort, after=after, limit=30)
+
+
+def _places(spark, d):
+    """Pages as points spread over the globe by their ids."""
+    lon, lat = ((F.col("page_id") * k % 10007) / 10007 * span - span / 2 for k, span in ((7919, 360), (5003, 180)))
+    return table(spark, d, "pages").select("page_id", F.struct(lon.alias("lon"), lat.alias("lat")).alias("at"))
+
+
+@query("""
+    WITH p AS (SELECT page_id, (page_id * 7919 % 10007) / 10007 * 360 - 180 AS lon, (page_id * 5003 % 10007) / 10007 * 180 - 90 AS lat FROM pages)
+    SELECT page_id FROM p WHERE 2 * 6371008.8 * asin(sqrt(least(1.0, power(sin(radians(lat - 72) / 2), 2)
+        + cos(radians(72)) * cos(radians(lat)) * power(sin(radians(lon - 179) / 2), 2)))) <= 3000000""")
+def near_cells(spark, d):
+    """Points near one beside the 180th meridian, by ranges of their stored geohash."""
+    path = shared_dir(spark)
+    stored = _places(spark, d).withColumn("cell", geohash(F.col("at.lon"), F.col("at.lat")))
+    stored.repartitionByRange("cell").sortWithinPartitions("cell").write.parquet(path)
+    points = spark.read.parquet(path)
+    return points.where(Doc(points)["at"].near(179, 72, 3_000_000, cells="cell")).select("page_id")

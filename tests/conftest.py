@@ -74,3 +74,22 @@ def found(spark):
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows_scanned(df):
+    """Rows that the file scans of a frame gave out, after row groups were passed over; runs the frame."""
+    df.collect()
+    found, stack = 0, [df._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            stack.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            stack.append(node.plan())
+        elif name == "FileSourceScanExec":
+            found += node.metrics().apply("numOutputRows").value()
+        else:
+            children = node.children()
+            stack += [children.apply(i) for i in range(children.size())]
+    return found

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import animal_model, plan_of
+from conftest import animal_model, plan_of, rows_scanned
 from docspark import (
     Collection, Doc, by_field, catalog_indexes, delete, delete_keys, field, find, first_match, glob_filter, object_of,
     map_of, read_indexes, unmatched_keys, update,
@@ -182,25 +182,10 @@ def test_routes_and_ids_are_partition_filters(spark):
     assert len(filters) >= 2 and all("(_bucket" in line.split("PartitionFilters")[1].split("PushedFilters")[0] for line in filters)
     assert "xxhash64" not in plan.split("PartitionFilters")[1].split("PushedFilters")[0]  # the bucket is a literal
 
-    def read_rows(df):
-        df.collect()
-        plan, found = df._jdf.queryExecution().executedPlan(), []
-        stack = [plan]
-        while stack:
-            node = stack.pop()
-            if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
-                stack.append(node.executedPlan())
-            elif node.getClass().getSimpleName() == "FileSourceScanExec":
-                found.append(node.metrics().apply("numOutputRows").value())
-            else:
-                children = node.children()
-                stack += [children.apply(i) for i in range(children.size())]
-        return sum(found)
-
     store.compact()
-    assert read_rows(store.read(ids=["00006"])) > 0
+    assert rows_scanned(store.read(ids=["00006"])) > 0
     missing = store.read(ids=["00007"])  # between the least and the greatest id of its files
-    assert "_slice" in plan_of(missing).split("PartitionFilters")[1] and read_rows(missing) == 0
+    assert "_slice" in plan_of(missing).split("PartitionFilters")[1] and rows_scanned(missing) == 0
 
 
 def test_two_changes_at_one_time_keep_all_documents(spark, store, dogs, monkeypatch):

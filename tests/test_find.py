@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from docspark import Doc, count, find, project, stream
+from docspark import Doc, count, find, pages, project, stream
 
 
 def names(df):
@@ -112,3 +114,40 @@ def test_geohash_column(spark):
     points = spark.createDataFrame([(-5.603, 42.605), (10.40744, 57.64911), (180.0, 90.0)], "lon double, lat double")
     hashes = [r[0] for r in points.select(geohash(F.col("lon"), F.col("lat"), 5)).collect()]
     assert hashes == ["ezs42", "u4pru", "zzzzz"]
+
+
+@pytest.fixture(scope="module")
+def mixed(spark, tmp_path_factory):
+    rnd = random.Random(8)
+    rows = [(i, rnd.choice([None, "a", "b", "c"]), rnd.choice([None, *range(6)]), (rnd.choice([None, 1.5, 2.5]),),
+             [rnd.choice([None, 1, 2, 3]) for _ in range(rnd.randint(0, 3))] if rnd.random() < 0.9 else None) for i in range(250)]
+    df = spark.createDataFrame(rows, "id int, s string, n int, o struct<d: double>, many array<int>")
+    path = str(tmp_path_factory.mktemp("mixed"))
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("sort", [
+    {"s": 1, "n": -1, "id": 1}, {"n": -1, "s": -1, "id": -1}, {"o.d": 1, "s": -1, "id": 1}, {"many": 1, "id": -1}, {"many": -1, "id": 1}, {"id": -1},
+])
+def test_pages_joined_are_the_whole_sort(mixed, sort):
+    whole = [r.id for r in find(mixed, sort=sort).collect()]
+    for size in (1000, 83, 50):
+        got = list(pages(mixed, sort=sort, size=size))
+        assert [r.id for page in got for r in page] == whole and all(0 < len(page) <= size for page in got)
+
+
+def test_a_page_behind_a_row_is_a_filter_of_the_scan(mixed):
+    doc = Doc(mixed)
+    page = find(mixed, doc["n"].range(gte=2), sort={"s": 1, "id": -1}, after={"s": "b", "id": 100}, limit=10, with_total=True)
+    plan = plan_of(page)
+    assert "Or(GreaterThanOrEqual(s,b),IsNull(s))" in plan
+    assert "TakeOrderedAndProject" in plan and "Offset" not in plan
+    assert {r._total for r in page.collect()} == {mixed.where("n >= 2").count()}
+    assert find(mixed, sort={"s": 1, "id": 1}, after={"s": None, "id": 10**6}).count() == 0
+    assert "IsNull(s)" in plan_of(find(mixed, sort={"s": -1, "id": 1}, after={"s": None, "id": 3}, limit=2))
+    with pytest.raises(ValueError, match="no value of id"):
+        find(mixed, sort={"s": 1, "id": 1}, after={"s": "b"})
+    with pytest.raises(ValueError, match="sort by paths"):
+        find(mixed, after={"s": "b"})
+    assert list(pages(mixed.where("false"), sort={"id": 1})) == []

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import animal_model
@@ -89,3 +91,21 @@ def test_windowed_stats_with_overlapping_ranges(spark, tmp_path):
      .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination())
     assert {(r.k0, r.k1): r.total for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {
         (start, 0): 1, (start, 1): 2}
+
+
+@pytest.mark.parametrize("unit, late, runs", [
+    (("month", 1), "PT0S", [([(1, 5), (1, 31)], []), ([(1, 9), (2, 1)], [(1, 1, 3)]), ([(1, 30), (2, 28)], [(1, 1, 3)]),
+                            ([(4, 1)], [(1, 1, 3), (2, 1, 2)])]),
+    (("month", 1), "P35D", [([(1, 5), (2, 1)], []), ([(1, 6), (2, 2)], []), ([(3, 1)], [(1, 1, 2)]), ([(1, 7), (5, 1)], [(1, 1, 2), (2, 1, 2), (3, 1, 1)])]),
+    (("week", 2), "PT0S", [([(1, 6), (1, 12)], []), ([(1, 13)], []), ([(1, 20)], [(1, 6, 3)])]),
+])
+def test_calendar_buckets_close_in_a_stream(spark, tmp_path, unit, late, runs):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for days, closed in runs:
+        rows = [(dt.datetime(2020, month, day, 13),) for month, day in days]
+        spark.createDataFrame(rows, "t timestamp").coalesce(1).write.mode("append").parquet(folder)
+        stats = windowed_stats(spark.readStream.schema("t timestamp").parquet(folder), "t", unit, late=late)
+        writer = stats.writeStream.outputMode("append").format("parquet").option("path", out)
+        writer.option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
+        got = spark.read.schema(stats.schema).parquet(out).collect()
+        assert sorted((r.k0, r.total) for r in got) == [(dt.datetime(2020, m, d), n) for m, d, n in closed]
