@@ -90,10 +90,14 @@ def _field(path: str, name: str, struct: T.StructType) -> T.StructField:
     raise ValueError(f"could not find field {path} in the schema")
 
 
+#: What open fields are read as to be compared with whole numbers that are not exact as double.
+_EXACT = "decimal(38,18)"
+
+
 class Path:
     """One field of a document, with the predicates that apply to it."""
 
-    def __init__(self, name, column, dtype, metadata=None, variant_path=None, stored=False):
+    def __init__(self, name, column, dtype, metadata=None, variant_path=None, stored=False, rough=None):
         self.name = name
         self.stored = stored  # a field of the table, not of an array element
         self.dtype = dtype
@@ -102,6 +106,7 @@ class Path:
         self.value_type = dtype.elementType if self.is_array else dtype
         self._column = column
         self._variant_path = variant_path
+        self._rough = rough  # of an open field, what has no exact value
 
     @property
     def column(self) -> Column:
@@ -135,15 +140,21 @@ class Path:
     @staticmethod
     def _kind(value) -> str:
         """The type an open column's values are read as to be compared with `value`."""
-        if isinstance(value, int) and not isinstance(value, bool):
-            return "double" if abs(value) <= 2**53 else "bigint"  # larger ones are not exact as double
-        return {bool: "boolean", float: "double", str: "string"}.get(type(value), "timestamp")
+        if isinstance(value, (int, float)) and not isinstance(value, bool):
+            return "double" if abs(value) < 2**53 or abs(value) >= 10**19 else _EXACT  # not all are exact as double
+        return {bool: "boolean", str: "string"}.get(type(value), "timestamp")
 
     def _typed(self, value) -> Path:
-        """A field of an open column compared with `value` takes its kind; whole numbers keep fractions apart."""
+        """A field of an open column compared with `value` takes its kind; booleans are compared with booleans only."""
         if not isinstance(self.dtype, T.VariantType):
             return self
-        return self.cast(self._kind(value))
+        kind = self._kind(value)
+        is_bool = F.schema_of_variant(F.try_variant_get(self._column, self._variant_path or "$", "variant")) == "BOOLEAN"
+
+        def read(dtype: str) -> Column:
+            return F.when(is_bool if kind == "boolean" else ~is_bool, self.cast(dtype)._column)
+
+        return Path(self.name, read(kind), T.DataType.fromDDL(kind), self.metadata, rough=read("double") if kind == _EXACT else None)
 
     def _by_kind(self, values: list) -> list[list]:
         """The values, those together that an open column compares as one type."""
@@ -154,6 +165,8 @@ class Path:
 
     def _any(self, test: Callable[[Column], Column]) -> Column:
         """`test` holds for the value, or for some element of an array."""
+        if self._rough is not None:
+            return F.when(self._column.isNotNull(), test(self._column)).otherwise(test(self._rough))
         if self.is_array:
             return F.exists(self.column, test)
         default = self.metadata.get("default")
@@ -175,7 +188,7 @@ class Path:
     def ne(self, value) -> Column:
         """Not equal, or missing; on arrays no element is equal."""
         field = self._typed(value)
-        if field.is_array or "default" in field.metadata:
+        if field.is_array or "default" in field.metadata or field._rough is not None:
             return none_of(field.eq(value))
         return ~field._column.eqNullSafe(field.literal(value))
 
@@ -199,7 +212,7 @@ class Path:
         if isinstance(self.dtype, T.VariantType) and len(self._by_kind(values)) > 1:
             return none_of(self.isin(values))
         field = self._typed(values[0])
-        if field.is_array or "default" in field.metadata:
+        if field.is_array or "default" in field.metadata or field._rough is not None:
             return none_of(field.isin(values))
         return field._column.isNull() | ~field._column.isin(*[field.literal(v) for v in values])
 

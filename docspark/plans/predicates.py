@@ -248,6 +248,23 @@ def open_field(spark, d):
     return events.where(Doc(events)["props.k"].range(gte=90)).select("event_id")
 
 
+@query("""
+    WITH e AS (SELECT event_id, event_id % 10 AS i FROM events)
+    SELECT event_id, i = 7 AS is_true, i IN (1, 4) AS is_5, i IN (1, 4, 8) AS to_5, i IN (0, 1, 2, 3, 4, 5, 7, 8) AS under_or_none,
+           FALSE AS is_2_53, i = 6 AS is_2_53_1, i IN (6, 9) AS from_2_53, i IN (1, 2, 4, 6) AS listed, i <> 6 AS others, i = 2 AS is_x
+    FROM e""")
+def open_mixed(spark, d):
+    """An open field of fractions, whole numbers, text, booleans and numbers that doubles cannot hold."""
+    kinds = ["5.7", "5", '"x"', "6.2", '"5"', "null", "9007199254740993", "true", "-1e-3", "1e300"]
+    text = F.element_at(F.array(*[F.lit(k) for k in kinds]), (F.col("event_id") % 10 + 1).cast("int"))
+    events = table(spark, d, "events").select("event_id", F.parse_json(text).alias("v"))
+    v = Doc(events)["v"]
+    tests = {"is_true": v.eq(True), "is_5": v.eq(5), "to_5": v.range(lte=5), "under_or_none": v.none(lambda p: p.range(gte=2**53)),
+             "is_2_53": v.eq(2**53), "is_2_53_1": v.eq(2**53 + 1), "from_2_53": v.range(gte=2**53),
+             "listed": v.isin([5, "x", 2**53 + 1]), "others": v.nin([2**53 + 1]), "is_x": v.eq("x")}
+    return events.select("event_id", *[F.coalesce(test, F.lit(False)).alias(name) for name, test in tests.items()])
+
+
 @query("SELECT event_id FROM events WHERE json_extract_string(props, '$.k') = '42'")
 def map_field(spark, d):
     props = F.from_json("props", T.MapType(T.StringType(), T.StringType()))
