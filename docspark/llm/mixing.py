@@ -57,7 +57,7 @@ def mixed(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str
 
     Returns one row per row of `docs`: `doc_id`, `source`, `size` (words), `source_size`, `target`,
     `finish` (of the first offer), `times` (0 to 2) and `taken` (times * size). Null text has no words; a
-    null source is a source, the last. Repeated rows are offers of their own, with the same verdict. An
+    null source is a source, the last. Repeated rows are offers of their own; at the budget's end one can be in and its like out. An
     empty table gives no rows.
     """
     given = F.col(source).cast("string")
@@ -119,11 +119,26 @@ def mixed(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str
 
 def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text",
         weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """The documents of the mix with their columns, each as often as it is taken."""
-    times = mixed(docs, id, source, text, weights).select(
-        F.struct(F.col("doc_id"), F.col("source"), F.col("size")).alias("_at"), "times").distinct()
+    """The documents of the mix with their columns, each as often as it is taken.
+
+    Rows of equal id, source and size share the number of times that they are taken together: each gets as
+    many, and where some are left over, the contents that come first by hash get one more. Null texts have no
+    words, null ids and sources are values like others, columns of any name are kept; an empty table gives no rows.
+    """
+    # written, so that the join below has a shuffle of its own on both sides, which Spark can split
+    offered = staged(mixed(docs, id, source, text, weights).groupBy(F.struct("doc_id", "source", "size").alias("_at")).agg(
+        F.sum("times").alias("_times"), F.count("*").alias("_rows")).where("_times > 0"))
     at = F.struct(F.col(id).alias("doc_id"), F.col(source).cast("string").alias("source"),
                   F.regexp_count(text_of(text), F.lit(WORD)).cast("long").alias("size"))
     given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), at.alias("_at"))
-    taken = given.join(times.where("times > 0"), "_at")
-    return taken.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("times")))).select("_row.*")
+    even = given.join(offered.where("_times % _rows = 0"), "_at").select("_row", (F.col("_times") / F.col("_rows")).alias("_n"))
+    left = offered.where("_times % _rows <> 0")
+    if not left.isEmpty():  # equal rows on both sides of the budget's end
+        kinds = staged(given.join(left, "_at").groupBy("_at", "_times", "_rows", F.xxhash64("_row").alias("_hash")).agg(
+            F.any_value("_row").alias("_row"), F.count("*").alias("_same")))
+        so_far = Window.partitionBy("_at").orderBy("_hash").rowsBetween(Window.unboundedPreceding, -1)
+        before = kinds.select("_at", "_hash", F.coalesce(F.sum("_same").over(so_far), F.lit(0)).alias("_before"))
+        more = F.greatest(F.least(F.col("_times") % F.col("_rows") - F.col("_before"), F.col("_same")), F.lit(0))
+        times = F.floor(F.col("_times") / F.col("_rows")) * F.col("_same") + more
+        even = even.unionByName(kinds.join(before, ["_at", "_hash"]).select("_row", times.cast("double").alias("_n")))
+    return even.where("_n > 0").withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select("_row.*")

@@ -17,6 +17,9 @@ STOP_WORDS = (
     "el los las del que y una por con para se no al lo como su o"
 ).split()
 
+#: What may stand before or after a stop word, which counts in either case.
+PUNCTUATION = ".,;:!?\"()[]"
+
 WINDOW = 5
 
 
@@ -85,7 +88,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         let(F.transform("_words", lambda w: F.xxhash64(w)), _repeated_words).cast("long").alias("n_repeat_words"),
-        F.size(F.filter("_words", lambda w: w.isin(*sorted(set(STOP_WORDS))))).cast("long").alias("n_stop_words"),
+        F.size(F.filter("_words", lambda w: F.btrim(F.lower(w), F.lit(PUNCTUATION)).isin(*sorted(set(STOP_WORDS))))).cast("long").alias("n_stop_words"),
     )
 
 

@@ -81,7 +81,7 @@ _STOPS = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
                  CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
                  CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
                  coalesce(n_repeat_words, 0) AS n_repeat_words,
-                 CAST(len(list_filter(words, lambda x: x IN ({_STOPS}))) AS BIGINT) AS n_stop_words
+                 CAST(len(list_filter(words, lambda x: trim(lower(x), '{quality.PUNCTUATION}') IN ({_STOPS}))) AS BIGINT) AS n_stop_words
           FROM a LEFT JOIN n USING (doc_id)),
     b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
@@ -150,7 +150,7 @@ def _listed(pages):
     l AS (SELECT key, DATE '2024-01-01' + CAST(d % 200 AS INT) AS since,
                  DATE '2024-01-01' + CAST(d % 200 + 30 + d % 70 AS INT) AS until FROM h
           UNION ALL SELECT key, DATE '2024-01-01' + CAST(d % 200 + 250 AS INT), NULL FROM h),
-    b AS (SELECT *, regexp_replace(regexp_replace(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?', ''), '[?#].*$', '') AS bare FROM p),
+    b AS (SELECT *, regexp_replace(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?', ''), '[?#].*$', '') AS bare FROM p),
     s AS (SELECT *, string_split(host, '.') AS labels, list_filter(string_split(regexp_replace(bare, '^[^/]*', ''), '/'), lambda x: x <> '') AS parts FROM b),
     q AS (SELECT id, url, day, unnest(list_concat(
                  list_transform(range(1, len(labels) + 1), lambda i: array_to_string(list_slice(labels, i, len(labels)), '.')),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docspark.llm.common import staged
+
 
 def intervals(entries: DataFrame) -> DataFrame:
     """(key, since, until): when keys are on the list; `until` null where they still are.
@@ -19,9 +21,12 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def keys_of(url: Column) -> Column:
-    """Keys that a list may hold a URL under: the host and the domains above it, and the host with each leading part of the path."""
-    bare = F.regexp_replace(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?|[?#].*$", "")
-    host = F.regexp_replace(bare, r"[:/].*$", "")
+    """Keys that a list may hold a URL under: the host and the domains above it, and the host with each leading part of the path.
+
+    The host is in lower case, the path as it is.
+    """
+    bare = F.regexp_replace(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?|[?#].*$", "")
+    host = F.lower(F.regexp_replace(bare, r"[:/].*$", ""))
     labels, parts = F.split(host, r"\."), F.filter(F.split(F.regexp_replace(bare, r"^[^/]*", ""), "/"), lambda x: x != "")
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     paths = F.when(F.size(parts) > 0, F.transform(
@@ -35,13 +40,13 @@ def judged(captures: DataFrame, entries: DataFrame) -> DataFrame:
 
     A capture is blocked by the keys of its URL that are listed at its time: from an entry's time on, until
     the time of the key's removal. `rule` is the longest such key, then the least. The key's entries become
-    intervals that do not overlap, so a capture meets a key once at most, and the join, which is on the
-    key, splits a host with most captures. Captures that are equal give one row with their number in
+    intervals that do not overlap, so a capture meets a key once at most. They are written first: with a
+    shuffle of its own on both sides Spark splits the join at a host with most captures. Captures that are equal give one row with their number in
     `copies`. Null URLs and times match nothing. Empty tables give no rows, or no blocked ones.
     """
     seen = captures.groupBy("id", "url", "at").agg(F.count(F.lit(1)).alias("copies"))
     asked = captures.where("url IS NOT NULL AND at IS NOT NULL").select("id", "url", "at").withColumn("key", F.explode(keys_of(F.col("url"))))
-    listed = intervals(entries)
+    listed = staged(intervals(entries))
     active = (F.col("at") >= F.col("since")) & (F.col("until").isNull() | (F.col("at") < F.col("until")))
     best = F.min(F.struct(-F.length("key"), "key"))["key"]
     met = asked.join(listed, "key").where(active).groupBy("id", "url", "at").agg(best.alias("rule"))

@@ -301,3 +301,52 @@ def test_rollups(spark, docs, tmp_path):
     assert roll.totals().agg(F.sum("docs")).first()[0] == docs.count()
     roll.commit(1, rollups.changes(docs, counters, -1))
     assert roll.totals().count() == 0
+
+
+def test_mix_of_repeated_rows(spark):
+    """Rows of one id, source and size: together they are taken as often as they are offered inside the budget."""
+    rows = [(1, "a b c", "s")] * 3 + [(1, "x y z", "s")] * 2 + [(None, "p q", "t")] * 4 + [(2, "m", "t"), (3, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    offers = mixing.mixed(docs).collect()
+    taken = collections.Counter((r.doc_id, r.source, r.size) for r in offers for _ in range(r.times))
+    mix = mixing.mix(docs).collect()
+    assert collections.Counter((r.doc_id, r.source, len(WORDS.findall(r.text or ""))) for r in mix) == taken
+    words = sum(len(WORDS.findall(r.text or "")) for r in mix)
+    assert words == sum(r.taken for r in offers) and words <= 1.5 * sum(r.size for r in offers)
+    for text, n in collections.Counter(r[1] for r in rows).items():
+        assert sum(r.text == text for r in mix) <= 2 * n
+    two = spark.createDataFrame([(1, "a b", "s"), (1, "a b", "s")], "doc_id long, text string, source string")
+    assert mixing.mix(two).count() == 3 and sorted(r.times for r in mixing.mixed(two).collect()) == [1, 2]
+    assert sorted(map(str, mix)) == sorted(map(str, mixing.mix(docs.repartition(5)).collect()))
+
+
+def test_stop_words_in_any_case(spark):
+    docs = spark.createDataFrame([("The Cat, (And) the DOG. " * 4,), ("ThE",)], "text string")
+    assert [r.n_stop_words for r in quality.measured(docs).collect()] == [12, 1]
+
+
+def test_paths_keep_their_case(spark):
+    seen = spark.createDataFrame([(1, "HTTP://Me@H.Example:80/Private/x?q=1", 5), (2, "http://h.example/private", 5)], "id long, url string, at int")
+    listed = spark.createDataFrame([("h.example/Private", "add", 1)], "key string, action string, at int")
+    assert {r.id: r.rule for r in urlfilter.judged(seen, listed).collect()} == {1: "h.example/Private", 2: None}
+
+
+def test_a_hot_host_is_split(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+            "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        host = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("h"), F.col("id") % 900))
+        seen = spark.range(0, 60000, numPartitions=8).select("id", F.concat(F.lit("http://"), host, F.lit(".example/"), F.col("id") % 7).alias("url"), (F.col("id") % 50).cast("int").alias("at"))
+        listed = spark.range(900).select(F.concat(F.lit("h"), "id", F.lit(".example")).alias("key"), F.lit("add").alias("action"), F.lit(3).alias("at"))
+        listed = listed.unionByName(spark.createDataFrame([("hot.example", "add", 10)], listed.schema))
+        out = urlfilter.judged(seen, listed)
+        assert sum(r.blocked for r in out.collect()) == seen.where("(at >= 10 AND id % 3 = 0) OR (at >= 3 AND id % 3 <> 0)").count()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
