@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ RANKED = 1 << 22
 BLOCK, SEEN = 4 << 20, 2
 #: Leaders of each index block that its sets are compared with first.
 LEADERS = 3
+#: 64-bit words of the marks that tell sets apart before their shingles are fetched.
+MARKS = 8
 #: Words whose hash a worker remembers.
 REMEMBERED = 200_000
 
@@ -64,6 +67,15 @@ def set_id(values: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(values.tobytes()) - (1 << 63)
 
 
+def marks(values: np.ndarray) -> np.ndarray:
+    """For each of 64 * MARKS cells of the shingle hashes, whether the set has an odd number in it.
+
+    Two sets differ in as many shingles at least as their marks differ in cells.
+    """
+    odd = np.bincount((values >> np.uint64(17)).astype(np.int64) % (64 * MARKS), minlength=64 * MARKS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
@@ -75,7 +87,7 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[objec
 
 
 def scanned(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
-    """(id, n, sid) of every document, and (token, seen): how often blocks have their frequent shingles."""
+    """(id, n, sid, marks) of every document, and (token, seen): how often blocks have their frequent shingles."""
     kind = dict(docs.dtypes)["id"]
 
     def run(batches):
@@ -89,28 +101,29 @@ def scanned(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
             token = np.unique(block[again])
             seen = np.searchsorted(block, token, "right") - np.searchsorted(block, token)
             none = pa.nulls(len(token))
-            return pa.record_batch([none.cast(arrow), none.cast(pa.int64()), none.cast(pa.int64()), _signed(token), pa.array(seen)],
-                                   names=["id", "n", "sid", "token", "seen"])
+            return pa.record_batch([none.cast(arrow), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.list_(pa.int64())), _signed(token),
+                                    pa.array(seen)], names=["id", "n", "sid", "marks", "token", "seen"])
 
         for batch in batches:
-            arrow, ns, sids = batch["id"].type, [], []
+            arrow, ns, sids, cells = batch["id"].type, [], [], []
             for text in batch["text"]:
                 values = shingles(text.as_py(), width)
                 ns.append(len(values))
                 sids.append(set_id(values))
+                cells.append(marks(values))
                 pending.append(values)
                 size += len(values)
                 if size >= BLOCK:
                     yield counted()
                     size = 0
             none = pa.nulls(len(ns), pa.int64())
-            yield pa.record_batch([batch["id"], pa.array(ns, pa.int64()), pa.array(sids, pa.int64()), none, none],
-                                  names=["id", "n", "sid", "token", "seen"])
+            yield pa.record_batch([batch["id"], pa.array(ns, pa.int64()), pa.array(sids, pa.int64()), pa.array(cells, pa.list_(pa.int64())), none, none],
+                                  names=["id", "n", "sid", "marks", "token", "seen"])
         if size:
             yield counted()
 
-    rows = staged(docs.mapInArrow(run, f"id {kind}, n long, sid long, token long, seen long"))
-    return rows.where("token IS NULL").select("id", "n", "sid"), rows.where("token IS NOT NULL").select("token", "seen")
+    rows = staged(docs.mapInArrow(run, f"id {kind}, n long, sid long, marks array<long>, token long, seen long"))
+    return rows.where("token IS NULL").select("id", "n", "sid", "marks"), rows.where("token IS NOT NULL").select("token", "seen")
 
 
 def ranked(seen: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -194,6 +207,12 @@ def _in_reach(percent: int) -> Column:
     return sizes & (ahead <= F.col("n_a") - needed) & (-ahead <= F.col("n_b") - needed)
 
 
+def _alike(percent: int) -> Column:
+    """The marks do not rule out that the sets are similar."""
+    apart = [F.bit_count(F.get("marks_a", F.lit(i)).bitwiseXOR(F.get("marks_b", F.lit(i)))) for i in range(MARKS)]
+    return reduce(lambda a, b: a + b, apart) <= F.col("n_a") + F.col("n_b") - 2 * _needed(F.col("n_a"), F.col("n_b"), percent)
+
+
 def _block(n: Column, percent: int) -> Column:
     """Similar sets are in one block or in adjacent ones."""
     return F.floor(F.log(n.cast("double")) / -np.log(percent / 100 - 0.01))
@@ -228,7 +247,7 @@ def linked_sets(docs: DataFrame, ids: DataFrame, lists: DataFrame, width: int, p
        where sizes, positions and the number of blocks they meet in allow it. A set that is linked to a leader shares its component, so no
        more answers among them are needed.
     2. Of the sets of a block that are still apart, those outside its largest component are compared with
-       the others. A pair is skipped where what both share with a leader already tells that they cannot be
+       the others, where their marks allow it. A pair is skipped where what both share with a leader already tells that they cannot be
        similar: they share at most both(x, leader) + |y| - both(y, leader).
     """
     spark = lists.sparkSession
@@ -245,6 +264,7 @@ def linked_sets(docs: DataFrame, ids: DataFrame, lists: DataFrame, width: int, p
     stars = _often(stars.where((F.col("a") != F.col("b")) & once & _in_reach(percent)), percent)
     stars = staged(stars)
     owners = ids.groupBy("sid").agg(F.min("id").alias("id"))
+    cells = staged(ids.groupBy("sid").agg(F.any_value("marks").alias("marks")))
 
     def fetched(sids: DataFrame) -> DataFrame:
         wanted = staged(sids.join(owners, "sid"))
@@ -258,13 +278,13 @@ def linked_sets(docs: DataFrame, ids: DataFrame, lists: DataFrame, width: int, p
     placed = keyed.join(part.toDF("sid", "c"), "sid", "left").withColumn("c", F.coalesce("c", "sid"))
     share = placed.groupBy("token", "block", "c").agg(F.count(F.lit(1)).alias("_n"))
     largest = share.groupBy("token", "block").agg(F.count(F.lit(1)).alias("_cs"), F.max(F.struct("_n", "c"))["c"].alias("_main"))
-    placed = staged(placed.join(largest.where("_cs > 1"), ["token", "block"]))
+    placed = staged(placed.join(largest.where("_cs > 1"), ["token", "block"]).join(cells, "sid"))
     odd = placed.where("c != _main").select("token", "block", F.col("sid").alias("a"), F.col("n").alias("n_a"),
-                                            F.col("pos").alias("pos_a"), "c")
+                                            F.col("pos").alias("pos_a"), "c", F.col("marks").alias("marks_a"))
     rest = placed.select("token", "block", F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"),
-                         F.col("c").alias("c_"), "_main")
+                         F.col("c").alias("c_"), "_main", F.col("marks").alias("marks_b"))
     apart = (F.col("c") != F.col("c_")) & ((F.col("c_") == F.col("_main")) | (F.col("a") < F.col("b")))
-    met = odd.join(rest, ["token", "block"]).where(apart & once & _in_reach(percent))
+    met = odd.join(rest, ["token", "block"]).where(apart & once & _in_reach(percent) & _alike(percent))
     swapped = F.col("a") > F.col("b")
     met = met.select(*[F.when(swapped, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("n_a", "n_b"), ("n_b", "n_a"))])
     met = staged(_often(met, percent))
@@ -285,7 +305,7 @@ def linked_sets(docs: DataFrame, ids: DataFrame, lists: DataFrame, width: int, p
     second = staged(verified(open_, sets.union(other)))
     links = first.union(second).where(_linked(percent)).select("a", "b")
     result = staged(components(links))
-    released(spark, stars, sets, first, placed, met, open_, other, second)
+    released(spark, stars, cells, sets, first, placed, met, open_, other, second)
     return result
 
 
@@ -305,9 +325,10 @@ def similar(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
     given = docs.select(F.col(id).alias("id"), text_of(text).alias("text"))
     with small_batches(spark):
         ids, seen = scanned(given, width)
-        posted = postings(given, width, percent, ranked(seen))
+        posted = staged(postings(given, width, percent, ranked(seen)))
         shared = posted.groupBy("token").agg(F.min("sid").alias("_a"), F.max("sid").alias("_b")).where("_a < _b")
         lists = staged(posted.join(shared.select("token"), "token", "left_semi").distinct())
+        released(spark, posted)
         nodes = linked_sets(given, ids, lists, width, percent)
     sets = ids.where("n > 0").groupBy("sid").agg(F.min("id").alias("_id"))
     sets = sets.join(nodes.toDF("sid", "_c"), "sid", "left").withColumn("_c", F.coalesce("_c", "sid"))

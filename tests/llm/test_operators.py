@@ -350,3 +350,24 @@ def test_a_hot_host_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_sets_that_share_a_passage_do_not_meet(spark):
+    """2,000 texts with one passage that do not link, and a few that do."""
+    rnd = random.Random(6)
+    word = lambda: "".join(rnd.choices("abcdefghij", k=5))
+    passage = " ".join(word() for _ in range(40))
+    texts = [f"{passage} " + " ".join(word() for _ in range(60 + i % 5)) for i in range(2000)]
+    texts += [texts[0] + " end", texts[1] + " end", texts[1] + " other"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.component for r in jaccard.similar(docs).collect()}
+    assert {i: c for i, c in got.items() if i != c} == {2000: 0, 2001: 1, 2002: 1}
+
+
+def test_marks_never_exceed_the_difference():
+    rnd = random.Random(7)
+    for _ in range(200):
+        a = {rnd.getrandbits(64) for _ in range(rnd.randint(0, 900))}
+        b = set(rnd.sample(sorted(a), rnd.randint(0, len(a)))) | {rnd.getrandbits(64) for _ in range(rnd.randint(0, 50))}
+        x, y = (jaccard.marks(jaccard.np.array(sorted(v), jaccard.np.uint64)) for v in (a, b))
+        assert sum((int(p) ^ int(q)).bit_count() if (int(p) ^ int(q)) >= 0 else ((int(p) ^ int(q)) & (1 << 64) - 1).bit_count() for p, q in zip(x, y)) <= len(a ^ b)
