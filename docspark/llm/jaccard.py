@@ -23,7 +23,7 @@ BLOCK, SEEN = 4 << 20, 2
 #: Leaders of each index block that its sets are compared with first.
 LEADERS = 3
 #: 64-bit words of the marks that tell sets apart before their shingles are fetched.
-MARKS = 8
+MARKS = 16
 #: Words whose hash a worker remembers.
 REMEMBERED = 200_000
 
