@@ -23,7 +23,7 @@ BLOCK, SEEN = 4 << 20, 2
 #: Leaders of each index block that its sets are compared with first.
 LEADERS = 3
 #: 64-bit words of the marks that tell sets apart before their shingles are fetched.
-MARKS = 16
+MARKS = 8
 #: Words whose hash a worker remembers.
 REMEMBERED = 200_000
 
@@ -207,6 +207,12 @@ def _in_reach(percent: int) -> Column:
     return sizes & (ahead <= F.col("n_a") - needed) & (-ahead <= F.col("n_b") - needed)
 
 
+def _may_be_first(percent: int) -> Column:
+    """The posting can be the first shingle that two similar sets share: what they share has to follow it in both."""
+    needed = _needed(F.col("n_a"), F.col("n_b"), percent)
+    return (F.col("pos_a") <= F.col("n_a") - needed) & (F.col("pos_b") <= F.col("n_b") - needed)
+
+
 def _alike(percent: int) -> Column:
     """The marks do not rule out that the sets are similar."""
     apart = [F.bit_count(F.get("marks_a", F.lit(i)).bitwiseXOR(F.get("marks_b", F.lit(i)))) for i in range(MARKS)]
@@ -284,10 +290,10 @@ def linked_sets(docs: DataFrame, ids: DataFrame, lists: DataFrame, width: int, p
     rest = placed.select("token", "block", F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"),
                          F.col("c").alias("c_"), "_main", F.col("marks").alias("marks_b"))
     apart = (F.col("c") != F.col("c_")) & ((F.col("c_") == F.col("_main")) | (F.col("a") < F.col("b")))
-    met = odd.join(rest, ["token", "block"]).where(apart & once & _in_reach(percent) & _alike(percent))
+    met = odd.join(rest, ["token", "block"]).where(apart & once & _in_reach(percent) & _may_be_first(percent) & _alike(percent))
     swapped = F.col("a") > F.col("b")
     met = met.select(*[F.when(swapped, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("n_a", "n_b"), ("n_b", "n_a"))])
-    met = staged(_often(met, percent))
+    met = staged(met.distinct())
 
     known = first.select(F.col("a").alias("x"), F.col("b").alias("leader"), F.col("both").alias("both"))
     own = first.select(F.col("b").alias("x"), F.col("b").alias("leader"), F.col("n_b").alias("both")).distinct()
