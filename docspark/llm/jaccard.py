@@ -207,10 +207,27 @@ def _in_reach(percent: int) -> Column:
     return sizes & (ahead <= F.col("n_a") - needed) & (-ahead <= F.col("n_b") - needed)
 
 
-def _may_be_first(percent: int) -> Column:
-    """The posting can be the first shingle that two similar sets share: what they share has to follow it in both."""
-    needed = _needed(F.col("n_a"), F.col("n_b"), percent)
-    return (F.col("pos_a") <= F.col("n_a") - needed) & (F.col("pos_b") <= F.col("n_b") - needed)
+def _fewest(percent: int) -> Column:
+    """Postings that similar sets share at least.
+
+    Of the shingles a set is posted under, at most size - needed are its own; the first of two sets to run
+    out of postings shares all its others with the other set's postings.
+    """
+    return _needed(F.col("n_a"), F.col("n_b"), percent) + 1 - F.ceil((percent * F.greatest("n_a", "n_b")) / 100 - 1e-9)
+
+
+def _passed(percent: int) -> Column:
+    """Postings at the end of both sets that need not be looked at: the others still share a quarter of `_fewest`.
+
+    Shingles are in one order in all sets, so leaving out the last ones of either loses the same last shared ones.
+    """
+    return F.floor(F.greatest(_fewest(percent), F.lit(0)) * 0.75)
+
+
+def _early(percent: int) -> Column:
+    posted = lambda n: n - F.ceil((percent * n) / 100 - 1e-9) + 1
+    passed = _passed(percent)
+    return (F.col("pos_a") < posted(F.col("n_a")) - passed) & (F.col("pos_b") < posted(F.col("n_b")) - passed)
 
 
 def _alike(percent: int) -> Column:
@@ -224,13 +241,9 @@ def _block(n: Column, percent: int) -> Column:
     return F.floor(F.log(n.cast("double")) / -np.log(percent / 100 - 0.01))
 
 
-def _often(met: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, n_a, n_b) that meet under enough shingles.
-
-    Of the shingles a set is posted under, at most size - needed are its own; the first of two sets to run
-    out of postings shares all its others with the other set's postings.
-    """
-    fewest = _needed(F.col("n_a"), F.col("n_b"), percent) + 1 - F.ceil((percent * F.greatest("n_a", "n_b")) / 100 - 1e-9)
+def _often(met: DataFrame, percent: int, early: bool = False) -> DataFrame:
+    """The pairs (a, b, n_a, n_b) that meet under enough shingles, or under enough of the early ones."""
+    fewest = _fewest(percent) - (_passed(percent) if early else 0)
     counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("_met"))
     return counted.where(F.col("_met") >= fewest).drop("_met")
 
@@ -290,10 +303,10 @@ def linked_sets(docs: DataFrame, ids: DataFrame, lists: DataFrame, width: int, p
     rest = placed.select("token", "block", F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"),
                          F.col("c").alias("c_"), "_main", F.col("marks").alias("marks_b"))
     apart = (F.col("c") != F.col("c_")) & ((F.col("c_") == F.col("_main")) | (F.col("a") < F.col("b")))
-    met = odd.join(rest, ["token", "block"]).where(apart & once & _in_reach(percent) & _may_be_first(percent) & _alike(percent))
+    met = odd.join(rest, ["token", "block"]).where(apart & once & _in_reach(percent) & _early(percent) & _alike(percent))
     swapped = F.col("a") > F.col("b")
     met = met.select(*[F.when(swapped, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("n_a", "n_b"), ("n_b", "n_a"))])
-    met = staged(met.distinct())
+    met = staged(_often(met, percent, early=True))
 
     known = first.select(F.col("a").alias("x"), F.col("b").alias("leader"), F.col("both").alias("both"))
     own = first.select(F.col("b").alias("x"), F.col("b").alias("leader"), F.col("n_b").alias("both")).distinct()
