@@ -36,7 +36,7 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def staged(df: DataFrame, partitions: str | None = None) -> DataFrame:
+def staged(df: DataFrame, partitions: str | None = None, options: dict | None = None) -> DataFrame:
     """Write the frame below the shared folder and read it again: later steps restart from there.
 
     No later step reads the shuffle files behind it. Spark deletes them once the driver's collector
@@ -44,7 +44,8 @@ def staged(df: DataFrame, partitions: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = settings.shared_dir(spark)
-    writer = df.write.partitionBy(partitions) if partitions else df.write
+    writer = df.write.options(**(options or {}))
+    writer = writer.partitionBy(partitions) if partitions else writer
     writer.parquet(path)
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)

@@ -12,6 +12,8 @@ from docspark.llm.common import WHITE, WORD, let, picked, released, staged, text
 WIDTH, PERCENT = 5, 80
 #: Cells of a byte that tell frequent tokens from rare ones; their number bounds what tasks are sent.
 CELLS = 1 << 20
+#: Bytes of the dictionary of tokens in a file.
+DICTIONARY = 8 << 20
 
 
 def _words(line: Column) -> Column:
@@ -23,11 +25,15 @@ def _words(line: Column) -> Column:
 
 def _numbered(hashes: Column) -> Column:
     """The words of a line as a set: a repeat of a word is hashed with its number."""
-    def number(a: Column, x: Column, i: Column) -> Column:
+    def before(a: Column, x: Column, i: Column) -> Column:
         """How many places before i have x, by powers of two: a is sorted."""
         powers = F.transform(F.sequence(F.floor(F.log2(F.size(a))).cast("int"), F.lit(0), F.lit(-1)), lambda s: F.pow(F.lit(2), s).cast("int"))
         return F.aggregate(powers, F.lit(0), lambda k, step: k + F.when(F.get(a, i - k - step) == x, step).otherwise(F.lit(0)))
 
+    def number(a: Column, x: Column, i: Column) -> Column:
+        """The same; most words that repeat do so once or twice."""
+        return F.when(F.get(a, i - 2) != x, 1).when(i == 1, 1).when(F.get(a, i - 3) != x, 2).when(i == 2, 2).otherwise(before(a, x, i))
+
     return let(F.sort_array(hashes), lambda a: F.transform(
         a, lambda x, i: F.when(F.get(a, i - 1) == x, F.xxhash64(x, number(a, x, i))).otherwise(x)))
 
@@ -39,53 +45,71 @@ def _runs(hashes: Column, width: int) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(id, line, hashes) of every line that has a word: a hash for each of its words."""
-    split = docs.select("id", F.posexplode(F.split("text", "\n", -1)).alias("line", "words")).where(F.col("words").rlike(WORD))
-    return split.select("id", "line", F.transform(_words(F.col("words")), lambda w: F.xxhash64(w)).alias("hashes"))
+    """(id, line, words) of every line that has a word; `words` is its text."""
+    return docs.select("id", F.posexplode(F.split("text", "\n", -1)).alias("line", "words")).where(F.col("words").rlike(WORD))
 
 
 def _tokens(width: int) -> Column:
-    """Tokens of a line: its words, repeats numbered, or the hashes of its runs of more words."""
-    return _numbered(F.col("hashes")) if width == 1 else F.array_distinct(_runs(F.col("hashes"), width))
+    """Tokens of a line, in an order of their own: its words, repeats numbered, or the hashes of its runs of more words."""
+    hashes = F.transform(_words(F.col("words")), lambda w: F.xxhash64(w))
+    return _numbered(hashes) if width == 1 else let(hashes, lambda h: F.sort_array(F.array_distinct(_runs(h, width))))
+
+
+def _short(token: Column) -> Column:
+    """The low 32 bits, under which tokens are counted, ordered and posted; equality is decided by all 64."""
+    return F.shiftright(F.shiftleft(token, 32), 32).cast("int")
+
+
+def _marks(tokens: Column, k: int) -> Column:
+    """64 of the 128 cells in which the tokens are counted modulo two, by other bits than the short ones.
+
+    Two lines differ in no more cells than tokens.
+    """
+    def mark(t: Column) -> Column:
+        here = F.shiftright(t, 46).bitwiseAND(F.lit(1)) == k
+        return F.when(here, F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(t, 40).bitwiseAND(F.lit(63)).cast("int")))
+
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda m, t: m.bitwiseXOR(F.coalesce(mark(t), F.lit(0).cast("long"))))
+
+
+def _cell(token: Column) -> Column:
+    return token.bitwiseAND(F.lit(CELLS - 1))
 
 
-def _rarity(lines: DataFrame, width: int) -> Column:
-    """For each cell, the power of two of the occurrences of its most frequent token."""
-    tokens = lines.select(F.explode_outer(_tokens(width)).alias("t"))  # without outer, a filter computes them again
-    counts = tokens.groupBy("t").count().where("count > 1")
+def _rarity(tokens: DataFrame) -> Column:
+    """For each cell, the power of two of the occurrences of its most frequent token, of rows `tokens`; 0 where none repeats."""
+    counts = tokens.select(F.explode("tokens").alias("t")).groupBy("t").count().where("count > 1")
     cells = counts.groupBy(_cell(F.col("t")).alias("c")).agg(F.max(F.floor(F.log2("count"))).cast("int").alias("p"))
     rows = cells.toArrow()  # at most CELLS rows
     powers = np.zeros(CELLS, np.uint8)
     powers[rows["c"].to_numpy()] = rows["p"].to_numpy()
-    return F.lit(powers.tobytes())
-
-
-def _cell(token: Column) -> Column:
-    return token.bitwiseAND(F.lit(CELLS - 1)).cast("int")
+    return F.split(F.lit(",".join(map(str, powers.tolist()))), ",").cast("array<tinyint>")
 
 
 def _by_rarity(tokens: Column, powers: Column) -> Column:
-    """The different tokens, the rarest first; each has the power of its cell in its first bits.
+    """The short tokens as whole numbers, the rarest first: each behind the power of its cell.
 
     Any order gives the same result; a rare token that shares the cell of a frequent one only comes later.
     """
     def key(t: Column) -> Column:
-        power = F.ascii(F.substring(powers, _cell(t) + 1, F.lit(1)).cast("string")).cast("long")
-        return F.shiftleft(power, 57).bitwiseOR(t.bitwiseAND(F.lit((1 << 57) - 1)))
+        power = F.get(powers, _cell(t)).cast("long")
+        return F.shiftleft(power, 32).bitwiseOR(t.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
 
-    return F.array_distinct(F.sort_array(F.transform(tokens, key)))
+    return F.sort_array(F.transform(tokens, key))
 
 
 def _ahead(n: Column) -> Column:
     """Tokens of the prefix: similar lines share one in theirs."""
-    return n - F.ceil(PERCENT * n / 100 - 1e-9) + 1
+    return n - F.ceil(PERCENT * n / 100 - 1e-9).cast("int") + 1
 
 
 def _fits(a: str, b: str) -> Column:
-    """Neither the lengths nor the places of a shared token rule out that two lines are similar."""
+    """None of the lengths, the places of a shared token and the marks rule out that two lines are similar."""
     na, nb, pa, pb = (F.col(f"{x}.{y}") for y in ("n", "p") for x in (a, b))
     needed = F.ceil(PERCENT * (na + nb) / (100 + PERCENT) - 1e-9)
-    return (100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)) & (pa - pb <= na - needed) & (pb - pa <= nb - needed)
+    differ = sum(F.bit_count(F.col(f"{a}.{m}").bitwiseXOR(F.col(f"{b}.{m}"))) for m in ("m0", "m1"))
+    return ((100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)) & (pa - pb <= na - needed) & (pb - pa <= nb - needed)
+            & (differ <= na + nb - 2 * needed))
 
 
 def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
@@ -93,53 +117,56 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
 
     Earlier lines count whether or not they are themselves repeats: where B is similar to A and C to B, C goes
     with B even if it is not similar to A. A line's tokens are its runs of `width` words; of one word, a repeat is a token of its own. Lines of
-    equal tokens are one set, whose first line counts. Tokens are ordered by rarity, as counted, and a set is posted under its prefix; only postings of shared
-    tokens go on. Each set is first compared with the earliest of each of its blocks (a token and a class
-    of lengths), then the ones that are still there with all earlier sets they meet, where lengths and
-    positions allow it. Pairs are verified on all tokens.
+    equal tokens are one set, known by its first line. Texts are split into tokens once: their short forms are written,
+    counted, ordered by rarity, and dropped for a row per set with its prefix, under which it is posted. Each set is first compared with
+    the earliest of each of its blocks (a token and a class of lengths); then those that are still there with all
+    earlier sets of their tokens, where lengths, positions and marks allow it, which the join itself decides. Pairs that
+    are left are verified on all tokens of their lines, read from the texts.
     """
     spark = docs.sparkSession
     given = docs.select(F.col(id).alias("id"), text_of(text).alias("text"))
-    lines = _lines(given)
-    powers = _rarity(lines, width)
-    ordered = lines.select("id", "line", _by_rarity(_tokens(width), powers).alias("tokens"))
-    n = F.size("tokens").cast("long")
-    heads = staged(ordered.select("id", "line", n.alias("n"), F.xxhash64("tokens").alias("sid"),
-                                  F.slice("tokens", F.lit(1), _ahead(n).cast("int")).alias("prefix")))
-    firsts = staged(heads.groupBy("sid").agg(F.min(F.struct("id", "line")).alias("first")))
-
-    posted = heads.select("sid", "n", F.posexplode("prefix").alias("p", "token"))
-    shared = staged(posted.groupBy("token").agg(F.min("sid").alias("_a"), F.max("sid").alias("_b")).where("_a < _b").select("token"))
-    lists = staged(posted.join(shared, "token", "left_semi").distinct().join(firsts, "sid"))
-    keyed = lists.withColumn("size", F.floor(F.log(F.col("n").cast("double")) / 0.2357).cast("int"))  # log(1 / 0.79): similar lines are in one class or adjacent ones
-    entry = F.struct("first", "sid", "n", "p")
-
-    earliest = keyed.groupBy("token", "size").agg(F.min(entry).alias("b"))
-    one = keyed.select("token", "size", entry.alias("a")).join(earliest, ["token", "size"]).where(
-        (F.col("b.first") < F.col("a.first")) & _fits("a", "b")).select("a.sid", F.col("b.sid").alias("sid_")).distinct()
-    found = _verified(one, lists, given, width)
-    left = keyed.join(found.select("sid"), "sid", "left_anti")
-    near = left.select("token", F.explode(F.array(*[F.col("size") + k for k in (-1, 0, 1)])).alias("size"), entry.alias("a"))
-    two = near.join(keyed.select("token", "size", entry.alias("b")), ["token", "size"]).where(
-        (F.col("b.first") < F.col("a.first")) & _fits("a", "b")).select("a.sid", F.col("b.sid").alias("sid_")).distinct()
-    gone = found.union(_verified(two.join(one, ["sid", "sid_"], "left_anti"), lists, given, width)).withColumn("similar", F.lit(True))
-    at = F.struct("id", "line")
-    return heads.join(firsts, "sid").join(gone, "sid", "left").where(
-        F.col("similar").isNotNull() | (at != F.col("first"))).select("id", "line").distinct()
-
-
-def _verified(pairs: DataFrame, lists: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """Sets (sid) of the pairs (sid, sid_) that are similar."""
+    row = let(_tokens(width), lambda t: F.struct(
+        F.xxhash64(t).alias("sid"), F.transform(t, _short).alias("tokens"), _marks(t, 0).alias("m0"), _marks(t, 1).alias("m1")))
+    stored = staged(_lines(given).select("id", "line", row.alias("x")), options={"parquet.dictionary.page.size": DICTIONARY})
+    powers = _rarity(stored.select("x.tokens"))
+    n = F.size("x.tokens")
+    prefix = F.slice(_by_rarity(F.col("x.tokens"), powers), F.lit(1), _ahead(n))
+    sets = staged(stored.groupBy("x.sid").agg(F.min(F.struct(
+        F.struct("id", "line").alias("first"), n.alias("n"), "x.m0", "x.m1", prefix.alias("prefix"))).alias("s")).select("sid", "s.*"))
+    heads = staged(stored.select("id", "line", "x.sid"))
+    released(spark, stored)
+
+    entry = F.struct("first", "n", "p", "m0", "m1")
+    can = f"100 * n >= {PERCENT} * (n + 1) AND shiftright(key, 32) > 0"  # shorter lines are similar to equal ones only, and single tokens are not shared
+    pair = [F.col("a.first").alias("first"), F.col("b.first").alias("first_")]
+    keyed = sets.select("first", "n", "m0", "m1", F.posexplode("prefix").alias("p", "key")).where(can).select(
+        _short(F.col("key")).alias("token"), F.floor(F.log("n") / 0.2357).cast("int").alias("size"), entry.alias("a"))  # log(1 / 0.79)
+    earliest = keyed.groupBy("token", "size").agg(F.min("a").alias("b"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
+    one = keyed.join(earliest, ["token", "size"]).where((F.col("b.first") < F.col("a.first")) & _fits("a", "b")).select(*pair).distinct()
+    found = _verified(one, given, width)
+
+    marked = sets.join(found.withColumn("gone", F.lit(True)), "first", "left").withColumn("open", F.col("gone").isNull())
+    left = marked.select("first", "n", "m0", "m1", "open", F.posexplode("prefix").alias("p", "key")).where(can).select(
+        _short(F.col("key")).alias("token"), F.struct("first", "n", "p", "m0", "m1", "open").alias("a"))
+    two = left.join(left.withColumnRenamed("a", "b"), "token").where(
+        F.col("a.open") & (F.col("b.first") < F.col("a.first")) & _fits("a", "b")).select(*pair).distinct()
+    gone = found.union(_verified(two, given, width)).withColumn("similar", F.lit(True))
+    firsts = sets.select("sid", "first").join(gone, "first", "left")
+    return heads.join(firsts, "sid").where(
+        F.col("similar").isNotNull() | (F.struct("id", "line") != F.col("first"))).select("id", "line").distinct()
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """The first ones of the pairs of lines (first, first_) that are similar."""
     pairs = staged(pairs)
-    asked = pairs.select("sid").union(pairs.select("sid_")).distinct()
-    where = staged(lists.select("sid", "first").distinct().join(asked, "sid").select("sid", "first.id", "first.line"))
-    texts = picked(docs, where.select("id").distinct(), "id")
-    sets = staged(_lines(texts).join(where, ["id", "line"]).select("sid", _tokens(width).alias("tokens")).dropDuplicates(["sid"]))
+    asked = staged(pairs.select("first").union(pairs.select("first_")).distinct().select("first", "first.id", "first.line"))
+    texts = picked(docs, asked.select("id").distinct(), "id")
+    tokens = staged(_lines(texts).join(asked, ["id", "line"]).dropDuplicates(["first"]).select("first", _tokens(width).alias("tokens")))
     both = F.size(F.array_intersect("tokens", "tokens_"))
-    met = pairs.join(sets, "sid").join(sets.toDF("sid_", "tokens_"), "sid_")
+    met = pairs.join(tokens, "first").join(tokens.toDF("first_", "tokens_"), "first_")
     similar = 100 * both >= PERCENT * (F.size("tokens") + F.size("tokens_") - both)
-    out = staged(met.where(similar).select("sid").distinct())
-    released(docs.sparkSession, pairs, where, sets)
+    out = staged(met.where(similar).select("first").distinct())
+    released(docs.sparkSession, pairs, asked, tokens)
     return out
 
 

@@ -213,8 +213,9 @@ def test_lines_rank_rare_words_by_their_own_count(spark):
     """Many rare words do not make each other frequent."""
     rows = [(i, " ".join(f"r{i * 50 + j}" for j in range(50))) for i in range(4000)] + [(i, "often") for i in range(4000, 5000)]
     frame = lines._lines(spark.createDataFrame(rows, "id long, text string"))
-    ordered = frame.select("id", lines._by_rarity(lines._tokens(1), lines._rarity(frame, 1)).alias("tokens"))
-    power = ordered.select("id", F.expr("transform(tokens, t -> shiftrightunsigned(t, 57))").alias("p"))
+    short = frame.select("id", F.transform(lines._tokens(1), lines._short).alias("tokens"))
+    ordered = short.select("id", lines._by_rarity(F.col("tokens"), lines._rarity(short)).alias("tokens"))
+    power = ordered.select("id", F.expr("transform(tokens, t -> shiftright(t, 32))").alias("p"))
     assert power.where("id >= 4000").agg(F.min(F.get("p", F.lit(0)))).first()[0] == 9
     assert power.where("id < 4000").where(F.get("p", F.lit(39)) > 0).count() == 0
 
