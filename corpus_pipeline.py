@@ -1,4 +1,8 @@
-"""A corpus pipeline: rules, exact copies, near copies, mixing and encoding, each stage on all that the one before kept."""
+"""A corpus pipeline: rules, exact copies, near copies, mixing and encoding, each stage on all that the one before kept.
+
+All stages take nulls in any column, empty and long texts, repeated rows and columns of any name; an empty table gives
+no rows. What each makes of them, and of ties, is said at the operator that it calls.
+"""
 
 from __future__ import annotations
 

@@ -12,8 +12,8 @@ def components(links: DataFrame) -> DataFrame:
     """(`node`, `component`) of every node of the links (`a`, `b`): the smallest node it reaches.
 
     Alternates two star operations: every node's larger neighbours move to its smallest neighbour, then
-    its smaller ones do. A node with most links is a sum per task and a join that Spark splits, never one
-    group. Each round is written out, and the rounds end when no link changes.
+    its smaller ones do. The links of a node are added up in each task before they move; the join that
+    follows streams them, but has those of one node in one task. Each round is written out, and the rounds end when no link changes.
     """
     spark = links.sparkSession
     links = staged(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())

@@ -123,7 +123,7 @@ def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str =
 
     Rows of equal id, source and size share the number of times that they are taken together: each gets as
     many, and where some are left over, the contents that come first by hash get one more. Null texts have no
-    words, null ids and sources are values like others, columns of any name are kept; an empty table gives no rows.
+    words; documents without words cost nothing and come twice. Null ids and sources are values like others, columns of any name are kept; an empty table gives no rows.
     """
     # written, so that the join below has a shuffle of its own on both sides, which Spark can split
     offered = staged(mixed(docs, id, source, text, weights).groupBy(F.struct("doc_id", "source", "size").alias("_at")).agg(
