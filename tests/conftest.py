@@ -44,7 +44,7 @@ def animal_model(**options):
 @pytest.fixture
 def animals(spark):
     """Three animals with places, beds and routes."""
-    d1, d2 = "a small quiet one", "What is a data dog, anyway?"
+    d1, d2 = "a small quiet one", "Large, loud, and fond of trains"
     rows = [
         ("dog-charles-barkley-male", "Charles Barkley", True, "male", d1, (64.0, 56.0), ["couch", "mat"], "Charles"),
         ("opes-farm-dog-baloo", "Baloo", True, "male", d2, (75.0, 67.0), [], "Baloo"),
