@@ -2,171 +2,434 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docspark.llm.common import WHITE, WORD, let, picked, released, staged, text_of
+from docspark.llm.common import WHITE, WORD, let, released, small_batches, staged, text_of
 
 #: Words in a token of a line, if not given, and least similarity in percent.
 WIDTH, PERCENT = 5, 80
 #: Cells of a byte that tell frequent tokens from rare ones; their number bounds what tasks are sent.
 CELLS = 1 << 20
-#: Bytes of the dictionary of tokens in a file.
-DICTIONARY = 8 << 20
-
-
-def _words(line: Column) -> Column:
-    """The words of a line: its pieces between ASCII white space."""
-    for c in WHITE.replace(" ", ""):
-        line = F.replace(line, F.lit(c), F.lit(" "))
-    return F.array_remove(F.split(line, " ", -1), "")
-
-
-def _numbered(hashes: Column) -> Column:
-    """The words of a line as a set: a repeat of a word is hashed with its number."""
-    def before(a: Column, x: Column, i: Column) -> Column:
-        """How many places before i have x, by powers of two: a is sorted."""
-        powers = F.transform(F.sequence(F.floor(F.log2(F.size(a))).cast("int"), F.lit(0), F.lit(-1)), lambda s: F.pow(F.lit(2), s).cast("int"))
-        return F.aggregate(powers, F.lit(0), lambda k, step: k + F.when(F.get(a, i - k - step) == x, step).otherwise(F.lit(0)))
-
-    def number(a: Column, x: Column, i: Column) -> Column:
-        """The same; most words that repeat do so once or twice."""
-        return F.when(F.get(a, i - 2) != x, 1).when(i == 1, 1).when(F.get(a, i - 3) != x, 2).when(i == 2, 2).otherwise(before(a, x, i))
-
-    return let(F.sort_array(hashes), lambda a: F.transform(
-        a, lambda x, i: F.when(F.get(a, i - 1) == x, F.xxhash64(x, number(a, x, i))).otherwise(x)))
-
-
-def _runs(hashes: Column, width: int) -> Column:
-    """Hashes of the runs of `width` words; a line of fewer words is one run, words beyond its end are null and skipped."""
-    starts = F.sequence(F.lit(0), F.greatest(F.size(hashes) - width, F.lit(0)))
-    return F.transform(starts, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(width)]))
-
-
-def _lines(docs: DataFrame) -> DataFrame:
-    """(id, line, words) of every line that has a word; `words` is its text."""
-    return docs.select("id", F.posexplode(F.split("text", "\n", -1)).alias("line", "words")).where(F.col("words").rlike(WORD))
-
-
-def _tokens(width: int) -> Column:
-    """Tokens of a line, in an order of their own: its words, repeats numbered, or the hashes of its runs of more words."""
-    hashes = F.transform(_words(F.col("words")), lambda w: F.xxhash64(w))
-    return _numbered(hashes) if width == 1 else let(hashes, lambda h: F.sort_array(F.array_distinct(_runs(h, width))))
-
-
-def _short(token: Column) -> Column:
-    """The low 32 bits, under which tokens are counted, ordered and posted; equality is decided by all 64."""
-    return F.shiftright(F.shiftleft(token, 32), 32).cast("int")
-
-
-def _marks(tokens: Column, k: int) -> Column:
-    """64 of the 128 cells in which the tokens are counted modulo two, by other bits than the short ones.
+#: Bytes of text that are split into tokens at a time (a longer line is taken whole), and tokens counted at a time.
+CHUNK, BLOCK = 1 << 20, 1 << 22
+#: Lines in a bucket of sets, buckets of posts for each of those, and bytes a task holds before it sends them on.
+LINES, SPREAD, HELD = 1 << 17, 4, 32 << 20
+#: Occurrences from which the posts of a token are dealt over several groups.
+HOT = 1 << 20
+
+#: A set of tokens, known by its first line, with the number of its posts; and a post.
+SET = np.dtype([("sid", "u8"), ("doc", "i8"), ("line", "u4"), ("n", "u4"), ("m0", "u8"), ("m1", "u8"), ("posts", "u4")])
+KEY = np.dtype([("token", "u4"), ("p", "u4"), ("power", "u1")])
+POST = np.dtype([("token", "u4"), ("cell", "u8"), ("group", "u4"), ("home", "u1"), ("doc", "i8"), ("line", "u4"), ("n", "u4"), ("p", "u4"), ("m0", "u8"), ("m1", "u8"),
+                 ("open", "u1")])
+
+_BASE = 0x9E3779B97F4A7C15
+_VALUES = np.random.default_rng(7).integers(1, 1 << 63, 256, np.uint64)
+_BLACK = np.ones(256, bool)
+_BLACK[[ord(c) for c in WHITE]] = False
+_POWERS: list[np.ndarray] = []
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Every bit of the result depends on every bit of x."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64, n at least."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        bases = (_BASE, pow(_BASE, -1, 1 << 64))
+        _POWERS[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, b, np.uint64)]), dtype=np.uint64) for b in bases]
+    return _POWERS
+
+
+def _chunks(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, line, start, bytes) of the lines of the texts that are not empty, some CHUNK bytes at a time."""
+    texts = texts.cast(pa.large_string())
+    places = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    if not len(texts) or places[0] == places[-1]:
+        return
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[places[0]:places[-1]]
+    places = places - places[0]
+    after = np.flatnonzero(data == 10) + 1
+    row = np.concatenate([np.arange(len(texts)), np.searchsorted(places, after - 1, "right") - 1])
+    start = np.concatenate([places[:-1], after])
+    order = np.lexsort((start, row))
+    row, start = row[order], start[order]
+    end = np.append(start[1:] - 1, places[-1])
+    last = np.append(row[1:] != row[:-1], True)
+    end[last] = places[row[last] + 1]
+    line = np.arange(len(row)) - np.searchsorted(row, row)
+    full = end > start
+    row, line, start, end = row[full], line[full], start[full], end[full]
+    i = 0
+    while i < len(row):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + CHUNK, "right")))
+        yield row[i:j], line[i:j], start[i:j] - start[i], data[start[i]:end[j - 1]]
+        i = j
+
+
+def _words(start: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(line, hash) of the words of a chunk, in their order: sums of powers over a word's bytes, shifted to its start."""
+    black = _BLACK[data]
+    edge = black.copy()
+    edge[1:] &= ~black[:-1]
+    edge[start] = black[start]  # a text may begin right behind another
+    stop = black.copy()
+    stop[:-1] &= ~black[1:] | edge[1:]
+    first, last = np.flatnonzero(edge), np.flatnonzero(stop) + 1
+    power, inverse = _powers(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_VALUES[data] * power[:len(data)], out=sums[1:])
+    hashes = _mixed((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64))
+    return np.searchsorted(start, first, "right") - 1, hashes
+
+
+def _tokens(start: np.ndarray, data: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(line, token) of the sets of tokens of a chunk, by line: words, repeats numbered, or runs of `width` words.
+
+    A line of fewer words than `width` is one run.
+    """
+    line, hashes = _words(start, data)
+    if width > 1:
+        begin, end = np.searchsorted(line, line), np.searchsorted(line, line, "right")
+        place, runs = np.arange(len(line)), np.full(len(line), width, np.uint64)
+        for k in range(width):
+            inside = place + k < end
+            runs[inside] = _mixed(runs[inside] + hashes[place[inside] + k])
+        heads = place <= np.maximum(begin, end - width)
+        line, hashes = line[heads], runs[heads]
+    order = np.lexsort((hashes, line))
+    line, hashes = line[order], hashes[order]
+    new = np.append(True, (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1]))[:len(line)]
+    if width > 1:
+        return line[new], hashes[new]
+    place = np.arange(len(line))
+    repeat = place - np.maximum.accumulate(np.where(new, place, 0))
+    return line, np.where(repeat > 0, _mixed(hashes + repeat.astype(np.uint64) * np.uint64(_BASE)), hashes)
+
+
+def _firsts(line: np.ndarray) -> np.ndarray:
+    """Where each line begins, of ascending lines."""
+    return np.flatnonzero(np.append(True, line[1:] != line[:-1])[:len(line)])
+
+
+def _sids(tokens: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A hash of each set, in whatever order its tokens are."""
+    return _mixed(np.add.reduceat(_mixed(tokens ^ np.uint64(_BASE)), first) + n.astype(np.uint64))
+
+
+def _marks(tokens: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
+    """64 of the 128 cells in which the tokens of a line are counted modulo two, by other bits than the posted ones.
 
     Two lines differ in no more cells than tokens.
     """
-    def mark(t: Column) -> Column:
-        here = F.shiftright(t, 46).bitwiseAND(F.lit(1)) == k
-        return F.when(here, F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(t, 40).bitwiseAND(F.lit(63)).cast("int")))
-
-    return F.aggregate(tokens, F.lit(0).cast("long"), lambda m, t: m.bitwiseXOR(F.coalesce(mark(t), F.lit(0).cast("long"))))
-
-
-def _cell(token: Column) -> Column:
-    return token.bitwiseAND(F.lit(CELLS - 1))
-
-
-def _rarity(tokens: DataFrame) -> Column:
-    """For each cell, the power of two of the occurrences of its most frequent token, of rows `tokens`; 0 where none repeats."""
-    counts = tokens.select(F.explode("tokens").alias("t")).groupBy("t").count().where("count > 1")
-    cells = counts.groupBy(_cell(F.col("t")).alias("c")).agg(F.max(F.floor(F.log2("count"))).cast("int").alias("p"))
+    here = (tokens >> np.uint64(46)) & np.uint64(1) == k
+    return np.bitwise_xor.reduceat(np.where(here, np.uint64(1) << ((tokens >> np.uint64(40)) & np.uint64(63)), np.uint64(0)), first)
+
+
+def _scanned(docs: DataFrame, width: int) -> DataFrame:
+    """(doc, line, sid) of every line that has a word, and (token, seen): tokens and how often blocks of lines have them."""
+    names = ["doc", "line", "sid", "token", "seen"]
+
+    def run(batches):
+        pending, size = [], 0
+
+        def counted() -> pa.RecordBatch:
+            token, seen = np.unique(np.concatenate(pending), return_counts=True)
+            pending.clear()
+            none = pa.nulls(len(token))
+            return pa.record_batch([none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.int64()), pa.array(token.view(np.int64)),
+                                    pa.array(seen.astype(np.int64))], names=names)
+
+        for batch in batches:
+            doc = batch["doc"].to_numpy(zero_copy_only=False)
+            for row, number, start, data in _chunks(batch["text"]):
+                line, tokens = _tokens(start, data, width)
+                if not len(line):
+                    continue
+                first = _firsts(line)
+                n = np.diff(np.append(first, len(line)))
+                at = line[first]
+                none = pa.nulls(len(at), pa.int64())
+                yield pa.record_batch([pa.array(doc[row[at]]), pa.array(number[at].astype(np.int32)), pa.array(_sids(tokens, first, n).view(np.int64)),
+                                       none, none], names=names)
+                pending.append(tokens)
+                size += len(tokens)
+                if size >= BLOCK:
+                    yield counted()
+                    size = 0
+        if size:
+            yield counted()
+
+    with small_batches(docs.sparkSession):
+        return staged(docs.mapInArrow(run, "doc long, line int, sid long, token long, seen long"))
+
+
+def _rarity(seen: DataFrame) -> np.ndarray:
+    """For each cell, the power of two of the occurrences of its most frequent token; 0 where none occurs twice."""
+    counts = seen.groupBy("token").agg(F.sum("seen").alias("k")).where("k > 1")
+    cells = counts.groupBy(F.col("token").bitwiseAND(F.lit(CELLS - 1)).alias("c")).agg(F.max(F.floor(F.log2("k"))).cast("int").alias("p"))
     rows = cells.toArrow()  # at most CELLS rows
     powers = np.zeros(CELLS, np.uint8)
     powers[rows["c"].to_numpy()] = rows["p"].to_numpy()
-    return F.split(F.lit(",".join(map(str, powers.tolist()))), ",").cast("array<tinyint>")
+    return powers
 
 
-def _by_rarity(tokens: Column, powers: Column) -> Column:
-    """The short tokens as whole numbers, the rarest first: each behind the power of its cell.
+def _by_rarity(line: np.ndarray, tokens: np.ndarray, powers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(short token, power) of each line's tokens, the rarest first: by the power of the cell, then by 32 bits.
 
     Any order gives the same result; a rare token that shares the cell of a frequent one only comes later.
     """
-    def key(t: Column) -> Column:
-        power = F.get(powers, _cell(t)).cast("long")
-        return F.shiftleft(power, 32).bitwiseOR(t.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
-
-    return F.sort_array(F.transform(tokens, key))
-
-
-def _ahead(n: Column) -> Column:
-    """Tokens of the prefix: similar lines share one in theirs."""
-    return n - F.ceil(PERCENT * n / 100 - 1e-9).cast("int") + 1
-
-
-def _fits(a: str, b: str) -> Column:
-    """None of the lengths, the places of a shared token and the marks rule out that two lines are similar."""
-    na, nb, pa, pb = (F.col(f"{x}.{y}") for y in ("n", "p") for x in (a, b))
-    needed = F.ceil(PERCENT * (na + nb) / (100 + PERCENT) - 1e-9)
-    differ = sum(F.bit_count(F.col(f"{a}.{m}").bitwiseXOR(F.col(f"{b}.{m}"))) for m in ("m0", "m1"))
-    return ((100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)) & (pa - pb <= na - needed) & (pb - pa <= nb - needed)
-            & (differ <= na + nb - 2 * needed))
+    power = powers[(tokens & np.uint64(CELLS - 1)).astype(np.int64)]
+    short = tokens & np.uint64(0xFFFFFFFF)
+    order = np.lexsort((tokens, power.astype(np.uint64) << np.uint64(32) | short, line))
+    return short[order].astype(np.uint32), power[order]
+
+
+def _packed(rows: np.ndarray) -> bytes:
+    """The rows' first bytes, then their second ones, and so on, which compress well."""
+    return np.ascontiguousarray(rows.view(np.uint8).reshape(-1, rows.dtype.itemsize).T).tobytes()
+
+
+def _unpacked(column: pa.ChunkedArray, kind: np.dtype) -> np.ndarray:
+    parts = [np.frombuffer(x.as_buffer(), np.uint8).reshape(kind.itemsize, -1).T for x in column if len(x.as_buffer())]
+    if not parts:
+        return np.empty(0, kind)
+    return np.ascontiguousarray(np.concatenate(parts)).reshape(-1).view(kind)
+
+
+def _dealt(bucket: np.ndarray, names: list[str], columns: Callable[[np.ndarray], tuple[bytes, ...]]) -> pa.RecordBatch:
+    """A row for each bucket, with what columns(its rows) packs under the names."""
+    order = np.argsort(bucket, kind="stable")
+    first = _firsts(bucket[order])
+    blobs = [columns(some) for some in np.split(order, first[1:])] if len(order) else []
+    packed = [pa.array([b[k] for b in blobs], pa.binary()) for k in range(len(names))]
+    return pa.record_batch([pa.array(bucket[order][first].astype(np.int64)), *packed], names=["bucket", *names])
+
+
+def _prefixes(docs: DataFrame, width: int, powers: np.ndarray, buckets: int) -> DataFrame:
+    """(bucket, sets, keys): the sets of a task, each once, with the tokens of their prefixes, dealt by their hash."""
+
+    def run(batches):
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def sent() -> pa.RecordBatch:
+            sets, keys = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            begin = np.append(0, np.cumsum(sets["posts"], dtype=np.int64))
+            order = np.lexsort((sets["line"], sets["doc"], sets["sid"]))
+            order = order[_firsts(sets["sid"][order])]
+            order = order[sets["posts"][order] > 0]
+
+            def columns(some):
+                some = order[some]
+                own = np.repeat(begin[some] - np.append(0, np.cumsum(sets["posts"][some], dtype=np.int64))[:-1], sets["posts"][some])
+                return _packed(sets[some]), _packed(keys[own + np.arange(len(own))])
+
+            return _dealt((sets["sid"][order] >> np.uint64(20)) % np.uint64(buckets), ["sets", "keys"], columns)
+
+        size = 0
+        for batch in batches:
+            doc = batch["doc"].to_numpy(zero_copy_only=False)
+            for row, number, start, data in _chunks(batch["text"]):
+                line, tokens = _tokens(start, data, width)
+                if not len(line):
+                    continue
+                first = _firsts(line)
+                n = np.diff(np.append(first, len(line)))
+                short, power = _by_rarity(line, tokens, powers)
+                p, own = np.arange(len(line)) - np.repeat(first, n), np.repeat(n, n)
+                # similar sets share a token of their prefixes; sets too small are similar to equal ones only, tokens that occur once are not shared
+                posted = (p < own + (-PERCENT * own // 100) + 1) & (power > 0) & (100 * own >= PERCENT * (own + 1))
+                sets, keys = np.zeros(len(first), SET), np.zeros(int(posted.sum()), KEY)
+                for name, values in (("sid", _sids(tokens, first, n)), ("doc", doc[row[line[first]]]), ("line", number[line[first]]), ("n", n),
+                                     ("m0", _marks(tokens, first, 0)), ("m1", _marks(tokens, first, 1)), ("posts", np.add.reduceat(posted, first, dtype=np.int64))):
+                    sets[name] = values
+                keys["token"], keys["p"], keys["power"] = short[posted], p[posted], power[posted]
+                held.append((sets, keys))
+                size += sets.nbytes + keys.nbytes
+                if size >= HELD:
+                    yield sent()
+                    size = 0
+        if size:
+            yield sent()
+
+    return docs.mapInArrow(run, "bucket long, sets binary, keys binary")
+
+
+def _posted(group: pa.Table, again: np.ndarray | None, buckets: int) -> pa.Table:
+    """(bucket, posts): the posts of a bucket's sets, each under its first line, dealt by token; `again` are the open ones, if not all.
+
+    Posts of a token that is hot go to a group each, and once to every pair of it with another.
+    """
+    sets, keys = _unpacked(group["sets"], SET), _unpacked(group["keys"], KEY)
+    begin = np.append(0, np.cumsum(sets["posts"], dtype=np.int64))[:-1]
+    order = np.lexsort((sets["line"], sets["doc"], sets["sid"]))
+    order = order[_firsts(sets["sid"][order])]
+    count = sets["posts"][order].astype(np.int64)
+    at = np.repeat(begin[order] - np.append(0, np.cumsum(count))[:-1], count) + np.arange(count.sum())
+    of, keys = np.repeat(order, count), keys[at]
+    posts = np.zeros(len(keys), POST)
+    for name in ("doc", "line", "n", "m0", "m1"):
+        posts[name] = sets[name][of]
+    posts["token"], posts["p"] = keys["token"], keys["p"]
+    posts["open"] = 1 if again is None else np.isin(sets["sid"][of], again)
+    groups = np.maximum((np.int64(2) << keys["power"].astype(np.int64)) // HOT, 1)
+    posts["group"] = _mixed(posts["doc"].astype(np.uint64) * np.uint64(_BASE) + posts["line"]) % groups.astype(np.uint64)
+    copies = np.repeat(np.arange(len(posts)), groups)
+    other = np.arange(len(copies)) - np.repeat(np.append(0, np.cumsum(groups))[:-1], groups)
+    posts = posts[copies]
+    low, high = np.minimum(posts["group"], other), np.maximum(posts["group"], other)
+    posts["cell"], posts["home"] = low * groups[copies] + high, low == high  # a pair of groups; the pairs within one meet at home
+    bucket = _mixed(posts["token"].astype(np.uint64) << np.uint64(32) | posts["cell"]) % np.uint64(buckets)
+    return pa.Table.from_batches([_dealt(bucket, ["posts"], lambda some: (_packed(posts[some[np.argsort(posts["token"][some], kind="stable")]]),))])
+
+
+def _met(group: pa.Table, all_of_them: bool) -> pa.Table:
+    """Pairs (doc, line), (doc_, line_) of later open lines and earlier ones that share a token here and may be similar.
+
+    Lengths, the places of the token and marks rule pairs out. Of the pairs of a line under a token there is the one with the earliest,
+    and in `more` whether there were others; or there are all of them.
+    """
+    posts = _unpacked(group["posts"], POST)
+    posts = posts[np.lexsort((posts["n"], posts["cell"], posts["token"]))]
+    k = len(posts)
+    n, p = posts["n"].astype(np.int64), posts["p"].astype(np.int64)
+    block = np.cumsum(np.append(True, (posts["token"][1:] != posts["token"][:-1]) | (posts["cell"][1:] != posts["cell"][:-1]))[:k])
+    by_time = np.lexsort((posts["line"], posts["doc"]))
+    time = np.empty(k, np.int64)
+    time[by_time] = np.cumsum(np.append(False, (np.diff(posts["doc"][by_time]) != 0) | (np.diff(posts["line"][by_time].astype(np.int64)) != 0))[:k])
+    at = np.empty(k, np.int64)
+    at[time] = np.arange(k)  # a post of the line of each time
+    best, fits, found = np.full(k, k, np.int64), np.zeros(k, np.int64), []
+    i, d = np.arange(k - 1), 1
+    while len(i):
+        i = i[i + d < k]
+        j = i + d
+        go = (block[i] == block[j]) & (100 * n[i] >= PERCENT * n[j])  # lengths ascend: what fails once fails further on
+        i, j = i[go], j[go]
+        needed = -(-PERCENT * (n[i] + n[j]) // (100 + PERCENT))
+        ok = (p[i] - p[j] <= n[i] - needed) & (p[j] - p[i] <= n[j] - needed) & (time[i] != time[j])
+        ok &= (posts["home"][i] > 0) | (posts["group"][i] != posts["group"][j])
+        a, b, needed = i[ok], j[ok], needed[ok]
+        differ = sum(np.bitwise_count(posts[m][a] ^ posts[m][b]).astype(np.int64) for m in ("m0", "m1"))
+        ok = differ <= n[a] + n[b] - 2 * needed
+        a, b = a[ok], b[ok]
+        late, early = np.where(time[a] > time[b], a, b), np.where(time[a] > time[b], b, a)
+        ok = posts["open"][late] > 0
+        late, early = late[ok], early[ok]
+        if all_of_them:
+            found.append(np.unique(np.stack([time[late], time[early]]), axis=1))
+        else:
+            for side in (late == a[ok], late == b[ok]):  # a post comes once on each side
+                x, y = late[side], early[side]
+                best[x] = np.minimum(best[x], time[y])
+                fits[x] += 1
+        d += 1
+    if all_of_them:
+        pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.empty((2, 0), np.int64)
+        more = np.zeros(pairs.shape[1], bool)
+    else:
+        x = np.flatnonzero(fits)
+        pairs, own = np.unique(np.stack([time[x], best[x]]), axis=1, return_inverse=True) if len(x) else (np.empty((2, 0), np.int64), x)
+        more = np.zeros(pairs.shape[1], bool)
+        np.logical_or.at(more, np.ravel(own), fits[x] > 1)
+    late, early = at[pairs[0]], at[pairs[1]]
+    return pa.table({"doc": posts["doc"][late], "line": posts["line"][late].astype(np.int32), "doc_": posts["doc"][early],
+                     "line_": posts["line"][early].astype(np.int32), "more": more})
+
+
+
+def _numbers(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(doc, text) with numbers in the order of the ids, and (doc, id) if ids are not such numbers themselves."""
+    if dict(docs.dtypes)["id"] in ("tinyint", "smallint", "int", "bigint"):
+        return docs.select(F.col("id").cast("long").alias("doc"), "text"), None
+    ids = staged(docs.select("id").distinct().sort("id").withColumn("doc", F.monotonically_increasing_id()))
+    return docs.join(ids, "id").select("doc", "text"), ids
 
 
 def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """(id, line): lines that are similar to an earlier one, by id and place in the text.
+    """(id, line): lines that are similar to an earlier one, by id and place in the text; rows with a null id are left out.
 
     Earlier lines count whether or not they are themselves repeats: where B is similar to A and C to B, C goes
     with B even if it is not similar to A. A line's tokens are its runs of `width` words; of one word, a repeat is a token of its own. Lines of
-    equal tokens are one set, known by its first line. Texts are split into tokens once: their short forms are written,
-    counted, ordered by rarity, and dropped for a row per set with its prefix, under which it is posted. Each set is first compared with
-    the earliest of each of its blocks (a token and a class of lengths); then those that are still there with all
-    earlier sets of their tokens, where lengths, positions and marks allow it, which the join itself decides. Pairs that
-    are left are verified on all tokens of their lines, read from the texts.
+    equal tokens (by a hash of 64 bits) are one set, known by its first line. Tokens are counted; each task sends the prefixes of its sets,
+    each set once, to be dealt by the sets' hash, and from there a post per token of the prefix, to be dealt by token. There posts meet in
+    arrays, which makes no rows: a line keeps the earliest under each token that length, place and marks allow. These pairs are verified on all
+    tokens, read from the texts again. Lines whose earliest are not similar, and that had others, meet all of theirs in a second round.
     """
     spark = docs.sparkSession
-    given = docs.select(F.col(id).alias("id"), text_of(text).alias("text"))
-    row = let(_tokens(width), lambda t: F.struct(
-        F.xxhash64(t).alias("sid"), F.transform(t, _short).alias("tokens"), _marks(t, 0).alias("m0"), _marks(t, 1).alias("m1")))
-    stored = staged(_lines(given).select("id", "line", row.alias("x")), options={"parquet.dictionary.page.size": DICTIONARY})
-    powers = _rarity(stored.select("x.tokens"))
-    n = F.size("x.tokens")
-    prefix = F.slice(_by_rarity(F.col("x.tokens"), powers), F.lit(1), _ahead(n))
-    sets = staged(stored.groupBy("x.sid").agg(F.min(F.struct(
-        F.struct("id", "line").alias("first"), n.alias("n"), "x.m0", "x.m1", prefix.alias("prefix"))).alias("s")).select("sid", "s.*"))
-    heads = staged(stored.select("id", "line", "x.sid"))
-    released(spark, stored)
-
-    entry = F.struct("first", "n", "p", "m0", "m1")
-    can = f"100 * n >= {PERCENT} * (n + 1) AND shiftright(key, 32) > 0"  # shorter lines are similar to equal ones only, and single tokens are not shared
-    pair = [F.col("a.first").alias("first"), F.col("b.first").alias("first_")]
-    keyed = sets.select("first", "n", "m0", "m1", F.posexplode("prefix").alias("p", "key")).where(can).select(
-        _short(F.col("key")).alias("token"), F.floor(F.log("n") / 0.2357).cast("int").alias("size"), entry.alias("a"))  # log(1 / 0.79)
-    earliest = keyed.groupBy("token", "size").agg(F.min("a").alias("b"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
-    one = keyed.join(earliest, ["token", "size"]).where((F.col("b.first") < F.col("a.first")) & _fits("a", "b")).select(*pair).distinct()
-    found = _verified(one, given, width)
-
-    marked = sets.join(found.withColumn("gone", F.lit(True)), "first", "left").withColumn("open", F.col("gone").isNull())
-    left = marked.select("first", "n", "m0", "m1", "open", F.posexplode("prefix").alias("p", "key")).where(can).select(
-        _short(F.col("key")).alias("token"), F.struct("first", "n", "p", "m0", "m1", "open").alias("a"))
-    two = left.join(left.withColumnRenamed("a", "b"), "token").where(
-        F.col("a.open") & (F.col("b.first") < F.col("a.first")) & _fits("a", "b")).select(*pair).distinct()
-    gone = found.union(_verified(two, given, width)).withColumn("similar", F.lit(True))
-    firsts = sets.select("sid", "first").join(gone, "first", "left")
-    return heads.join(firsts, "sid").where(
-        F.col("similar").isNotNull() | (F.struct("id", "line") != F.col("first"))).select("id", "line").distinct()
+    given, ids = _numbers(docs.where(F.col(id).isNotNull()).select(F.col(id).alias("id"), text_of(text).alias("text")))
+    scanned = _scanned(given, width)
+    heads = scanned.where("token IS NULL").select("doc", "line", "sid")
+    powers = _rarity(scanned.where("token IS NOT NULL"))
+    buckets = max(8, heads.count() // LINES + 1)
+    firsts = staged(heads.groupBy("sid").agg(F.min(F.struct("doc", "line")).alias("first")).select("sid", "first.*"))
+
+    def met(open: DataFrame | None) -> DataFrame:
+        prefixes = _prefixes(given, width, powers, buckets).groupBy("bucket")
+        kind, again = "bucket long, posts binary", open is not None
+        if not again:
+            posts = prefixes.applyInArrow(lambda some: _posted(some, None, buckets * SPREAD), kind)
+        else:
+            dealt = open.withColumn("bucket", F.shiftrightunsigned("sid", 20) % buckets).groupBy("bucket")
+            posts = prefixes.cogroup(dealt).applyInArrow(
+                lambda some, sids: _posted(some, sids["sid"].to_numpy().view(np.uint64), buckets * SPREAD), kind)
+        pairs = posts.groupBy("bucket").applyInArrow(
+            lambda some: _met(some, again), "doc long, line int, doc_ long, line_ int, more boolean")
+        with small_batches(spark):
+            return staged(pairs.groupBy("doc", "line", "doc_", "line_").agg(F.max("more").alias("more")))
+
+    pairs = met(None)
+    similar = _verified(pairs, given, width)
+    open = pairs.where("more").select("doc", "line").distinct().join(similar, ["doc", "line"], "left_anti")
+    open = staged(open.join(firsts, ["doc", "line"]).select("sid"))
+    if not open.isEmpty():
+        similar = similar.union(_verified(met(open), given, width)).distinct()
+    gone = firsts.join(similar.withColumn("similar", F.lit(True)), ["doc", "line"], "left").select(
+        "sid", F.struct("doc", "line").alias("first"), F.col("similar").isNotNull().alias("similar"))
+    out = heads.join(gone, "sid").where(F.col("similar") | (F.struct("doc", "line") != F.col("first"))).select("doc", "line").distinct()
+    return out.withColumnRenamed("doc", "id") if ids is None else out.join(ids, "doc").select("id", "line")
+
+
+def _read(asked: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(doc, line, tokens) of the lines (doc, line) that are asked for."""
+    lists = asked.groupBy("doc").agg(F.sort_array(F.collect_set("line")).alias("lines"))
+    pick = let(F.split("text", "\n", -1), lambda all: F.array_join(F.transform("lines", lambda i: F.get(all, i)), "\n"))
+
+    def run(batches):
+        for batch in batches:
+            doc = batch["doc"].to_numpy(zero_copy_only=False)
+            numbers, place = batch["lines"].flatten().to_numpy(zero_copy_only=False), np.append(0, np.cumsum(batch["lines"].value_lengths().to_numpy()))
+            for row, number, start, data in _chunks(batch["text"]):
+                line, tokens = _tokens(start, data, width)
+                first = _firsts(line)
+                at = line[first]
+                yield pa.record_batch([pa.array(doc[row[at]]), pa.array(numbers[place[row[at]] + number[at]].astype(np.int32)),
+                                       pa.ListArray.from_arrays(pa.array(np.append(first, len(line)).astype(np.int32)), pa.array(tokens.view(np.int64)))],
+                                      names=["doc", "line", "tokens"])
+
+    with small_batches(docs.sparkSession):
+        return staged(docs.join(lists, "doc").select("doc", "lines", pick.alias("text"))
+                      .mapInArrow(run, "doc long, line int, tokens array<long>").dropDuplicates(["doc", "line"]))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """The first ones of the pairs of lines (first, first_) that are similar."""
-    pairs = staged(pairs)
-    asked = staged(pairs.select("first").union(pairs.select("first_")).distinct().select("first", "first.id", "first.line"))
-    texts = picked(docs, asked.select("id").distinct(), "id")
-    tokens = staged(_lines(texts).join(asked, ["id", "line"]).dropDuplicates(["first"]).select("first", _tokens(width).alias("tokens")))
+    """(doc, line) of the pairs whose lines are similar, once each."""
+    tokens = _read(pairs.select("doc", "line").union(pairs.select("doc_", "line_")), docs, width)
     both = F.size(F.array_intersect("tokens", "tokens_"))
-    met = pairs.join(tokens, "first").join(tokens.toDF("first_", "tokens_"), "first_")
+    met = pairs.join(tokens, ["doc", "line"]).join(tokens.toDF("doc_", "line_", "tokens_"), ["doc_", "line_"])
     similar = 100 * both >= PERCENT * (F.size("tokens") + F.size("tokens_") - both)
-    out = staged(met.where(similar).select("first").distinct())
-    released(docs.sparkSession, pairs, asked, tokens)
+    out = staged(met.where(similar).select("doc", "line").distinct())
+    released(docs.sparkSession, tokens)
     return out
 
 

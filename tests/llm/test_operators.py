@@ -6,6 +6,7 @@ import itertools
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,12 +213,69 @@ def test_lines_in_a_chain(spark):
 def test_lines_rank_rare_words_by_their_own_count(spark):
     """Many rare words do not make each other frequent."""
     rows = [(i, " ".join(f"r{i * 50 + j}" for j in range(50))) for i in range(4000)] + [(i, "often") for i in range(4000, 5000)]
-    frame = lines._lines(spark.createDataFrame(rows, "id long, text string"))
-    short = frame.select("id", F.transform(lines._tokens(1), lines._short).alias("tokens"))
-    ordered = short.select("id", lines._by_rarity(F.col("tokens"), lines._rarity(short)).alias("tokens"))
-    power = ordered.select("id", F.expr("transform(tokens, t -> shiftright(t, 32))").alias("p"))
-    assert power.where("id >= 4000").agg(F.min(F.get("p", F.lit(0)))).first()[0] == 9
-    assert power.where("id < 4000").where(F.get("p", F.lit(39)) > 0).count() == 0
+    frame = spark.createDataFrame(rows, "doc long, text string")
+    powers = lines._rarity(lines._scanned(frame, 1).where("token IS NOT NULL"))
+    found = collections.Counter()
+    for row, line, start, data in lines._chunks(pa.array([t for i, t in rows])):
+        of, tokens = lines._tokens(start, data, 1)
+        found.update(zip((row[of] < 4000).tolist(), lines._by_rarity(of, tokens, powers)[1].tolist()))
+    assert found[False, 9] == 1000 and found[True, 0] > 199_990  # all but those of the cell of the frequent word
+
+
+def _similar_lines(rows):
+    """Lines similar to an earlier one by words, repeats numbered, of (id, text) in order."""
+    seen, out = [], set()
+    for i, t in rows:
+        for k, line in enumerate(t.split("\n")):
+            own = collections.Counter(WORDS.findall(line))
+            if any(100 * (own & s).total() >= 80 * (own | s).total() for s in seen if own):
+                out.add((i, k))
+            seen.append(own)
+    return out
+
+
+def test_lines_whose_earliest_is_not_similar(spark, monkeypatch):
+    """A line that shares its whole prefix with an earlier one of other words still finds the later one it is similar to."""
+    rare, x, y = ([f"{c}{i}" for i in range(k)] for c, k in (("rare", 201), ("x", 800), ("y", 800)))
+    often = ["\n".join(" ".join(part) for part in (x[:400], x[400:], y[:400], y[400:]))] * 20
+    rows = list(enumerate([*often, " ".join(rare + x), " ".join(rare + y), " ".join([*rare, *y[:-5], "other"])]))
+    want, calls, verified = _similar_lines(rows), [], lines._verified
+    monkeypatch.setattr(lines, "_verified", lambda *a: (calls.append(a), verified(*a))[1])
+    for kind, name in (("long", int), ("string", lambda i: f"id {i:03}")):
+        calls.clear()
+        frame = spark.createDataFrame([(name(i), t) for i, t in rows], f"doc_id {kind}, text string")
+        assert {tuple(r) for r in lines.repeated(frame, width=1).collect()} == {(name(i), k) for i, k in want}
+        assert len(calls) == 2
+    assert (22, 0) in want and (21, 0) not in want
+
+
+def test_lines_with_a_hot_word(spark, monkeypatch):
+    """Posts of a hot word are dealt over groups, and every pair of them still meets."""
+    rnd = random.Random(3)
+    rows = list(enumerate(" ".join(rnd.choices("abcdefgh", k=rnd.randint(4, 9))) for _ in range(300)))
+    frame = spark.createDataFrame(rows, "doc long, text string")
+    powers = lines._rarity(lines._scanned(frame, 1).where("token IS NOT NULL"))
+    prefixes = lines._prefixes(frame, 1, powers, 1).select("sets", "keys").toArrow()
+    pairs = []
+    for hot in (1 << 20, 16):
+        monkeypatch.setattr(lines, "HOT", hot)
+        found = [lines._met(lines._posted(prefixes, None, 4).slice(k, 1), True).drop_columns("more").to_pylist() for k in range(4)]
+        pairs.append({tuple(r.values()) for some in found for r in some})
+    assert pairs[0] == pairs[1] and len(pairs[0]) > 100
+
+
+@pytest.mark.parametrize("size", [1, 40, 1 << 20])
+def test_lines_are_cut_into_words(monkeypatch, size):
+    """Words, their lines and their texts are told apart by the hashes, however many bytes are taken at a time."""
+    monkeypatch.setattr(lines, "CHUNK", size)
+    given = [t or "" for t in texts()] + ["", "no space", "behind\n\n", "\x0b", "next", " a", "b\r\n\tc "]
+    got = []
+    for row, number, start, data in lines._chunks(pa.array(given)):
+        of, hashes = lines._words(start, data)
+        got += zip(row[of].tolist(), number[of].tolist(), hashes.tolist())
+    want = [(i, k, w) for i, t in enumerate(given) for k, line in enumerate(t.split("\n")) for w in WORDS.findall(line)]
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert len({(g[2], w[2]) for g, w in zip(got, want)}) == len({w[2] for w in want}) == len({g[2] for g in got})
 
 
 def test_bpe(docs, rows):
