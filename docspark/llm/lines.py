@@ -19,11 +19,14 @@ CELLS = 1 << 20
 CHUNK, BLOCK = 1 << 20, 1 << 22
 #: Lines in a bucket of sets, buckets of posts for each of those, and bytes a task holds before it sends them on.
 LINES, SPREAD, HELD = 1 << 17, 4, 32 << 20
+#: Bits of a token by which lines are looked for: a line of a chunk, a power and a token are one whole number.
+BITS = 38
 #: Occurrences from which the posts of a token are dealt over several groups.
 HOT = 1 << 20
 
 #: A set of tokens, known by its first line, with the number of its posts; and a post.
 SET = np.dtype([("sid", "u8"), ("doc", "i8"), ("line", "u4"), ("n", "u4"), ("m0", "u8"), ("m1", "u8"), ("posts", "u4")])
+COUNT = np.dtype([("token", "u4"), ("seen", "u4")])
 KEY = np.dtype([("token", "u4"), ("p", "u4"), ("power", "u1")])
 POST = np.dtype([("token", "u4"), ("cell", "u8"), ("group", "u4"), ("home", "u1"), ("doc", "i8"), ("line", "u4"), ("n", "u4"), ("p", "u4"), ("m0", "u8"), ("m1", "u8"),
                  ("open", "u1")])
@@ -89,7 +92,7 @@ def _words(start: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_VALUES[data] * power[:len(data)], out=sums[1:])
     hashes = _mixed((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64))
-    return np.searchsorted(start, first, "right") - 1, hashes
+    return np.repeat(np.arange(len(start)), np.diff(np.append(np.searchsorted(first, start), len(first)))), hashes
 
 
 def _tokens(start: np.ndarray, data: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -121,23 +124,39 @@ def _firsts(line: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, line[1:] != line[:-1])[:len(line)])
 
 
-def _sids(tokens: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """A hash of each set, in whatever order its tokens are."""
-    return _mixed(np.add.reduceat(_mixed(tokens ^ np.uint64(_BASE)), first) + n.astype(np.uint64))
+def _sets(start: np.ndarray, data: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """(line, token, first, n, sid) of the sets of a chunk: the lines of their tokens, in BITS bits, and of each set where it begins, its size and a hash.
+
+    Words that share those bits are one token here, which only makes lines look more similar.
+    """
+    line, hashes = _words(start, data) if width == 1 else _tokens(start, data, width)
+    first = _firsts(line)
+    n = np.diff(np.append(first, len(line)))
+    if not len(line):
+        return line, hashes, first, n, hashes
+    sid = _mixed(np.add.reduceat(_mixed(hashes ^ np.uint64(_BASE)), first) + n.astype(np.uint64))  # in any order
+    tokens = hashes >> np.uint64(64 - BITS)
+    if width == 1:
+        key = np.sort(line.astype(np.uint64) << np.uint64(BITS) | tokens)
+        tokens, place = key & np.uint64((1 << BITS) - 1), np.arange(len(key))
+        repeat = place - np.maximum.accumulate(np.where(np.append(True, key[1:] != key[:-1]), place, 0))
+        again = np.flatnonzero(repeat)
+        tokens[again] = _mixed(tokens[again] + repeat[again].astype(np.uint64) * np.uint64(_BASE)) >> np.uint64(64 - BITS)
+    return line, tokens, first, n, sid
 
 
 def _marks(tokens: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
-    """64 of the 128 cells in which the tokens of a line are counted modulo two, by other bits than the posted ones.
+    """64 of the 128 cells in which the tokens of a line are counted modulo two.
 
     Two lines differ in no more cells than tokens.
     """
-    here = (tokens >> np.uint64(46)) & np.uint64(1) == k
-    return np.bitwise_xor.reduceat(np.where(here, np.uint64(1) << ((tokens >> np.uint64(40)) & np.uint64(63)), np.uint64(0)), first)
+    here = (tokens >> np.uint64(26)) & np.uint64(1) == k
+    return np.bitwise_xor.reduceat(np.where(here, np.uint64(1) << ((tokens >> np.uint64(32)) & np.uint64(63)), np.uint64(0)), first)
 
 
 def _scanned(docs: DataFrame, width: int) -> DataFrame:
-    """(doc, line, sid) of every line that has a word, and (token, seen): tokens and how often blocks of lines have them."""
-    names = ["doc", "line", "sid", "token", "seen"]
+    """(doc, line, sid) of every line that has a word, and (bucket, counts): short tokens and how often blocks of lines have them."""
+    names = ["doc", "line", "sid", "bucket", "counts"]
 
     def run(batches):
         pending, size = [], 0
@@ -145,23 +164,21 @@ def _scanned(docs: DataFrame, width: int) -> DataFrame:
         def counted() -> pa.RecordBatch:
             token, seen = np.unique(np.concatenate(pending), return_counts=True)
             pending.clear()
-            none = pa.nulls(len(token))
-            return pa.record_batch([none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.int64()), pa.array(token.view(np.int64)),
-                                    pa.array(seen.astype(np.int64))], names=names)
+            rows = np.zeros(len(token), COUNT)
+            rows["token"], rows["seen"] = token, seen
+            dealt = _dealt(token.astype(np.int64) % CELLS // (CELLS // 64), ["counts"], lambda some: (_packed(rows[some]),))
+            none = pa.nulls(dealt.num_rows)
+            return pa.record_batch([none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.int64()), *dealt.columns], names=names)
 
         for batch in batches:
             doc = batch["doc"].to_numpy(zero_copy_only=False)
             for row, number, start, data in _chunks(batch["text"]):
-                line, tokens = _tokens(start, data, width)
-                if not len(line):
-                    continue
-                first = _firsts(line)
-                n = np.diff(np.append(first, len(line)))
+                line, tokens, first, n, sid = _sets(start, data, width)
                 at = line[first]
-                none = pa.nulls(len(at), pa.int64())
-                yield pa.record_batch([pa.array(doc[row[at]]), pa.array(number[at].astype(np.int32)), pa.array(_sids(tokens, first, n).view(np.int64)),
-                                       none, none], names=names)
-                pending.append(tokens)
+                none = pa.nulls(len(at))
+                yield pa.record_batch([pa.array(doc[row[at]]), pa.array(number[at].astype(np.int32)), pa.array(sid.view(np.int64)),
+                                       none.cast(pa.int64()), none.cast(pa.binary())], names=names)
+                pending.append(tokens.astype(np.uint32))
                 size += len(tokens)
                 if size >= BLOCK:
                     yield counted()
@@ -170,28 +187,37 @@ def _scanned(docs: DataFrame, width: int) -> DataFrame:
             yield counted()
 
     with small_batches(docs.sparkSession):
-        return staged(docs.mapInArrow(run, "doc long, line int, sid long, token long, seen long"))
+        return staged(docs.mapInArrow(run, "doc long, line int, sid long, bucket long, counts binary"))
 
 
-def _rarity(seen: DataFrame) -> np.ndarray:
+def _most(group: pa.Table) -> pa.Table:
+    """For each cell of a bucket with a token that occurs twice, the power of two of the most frequent one's occurrences."""
+    rows = _unpacked(group["counts"], COUNT)
+    rows = rows[np.argsort(rows["token"], kind="stable")]
+    first = _firsts(rows["token"])
+    seen = np.add.reduceat(rows["seen"], first, dtype=np.int64)
+    most = np.zeros(CELLS, np.uint8)
+    np.maximum.at(most, rows["token"][first].astype(np.int64) % CELLS, np.floor(np.log2(seen)).astype(np.uint8))
+    c = np.flatnonzero(most)
+    return pa.table({"c": c.astype(np.int32), "p": most[c].astype(np.int32)})
+
+
+def _rarity(counts: DataFrame) -> np.ndarray:
     """For each cell, the power of two of the occurrences of its most frequent token; 0 where none occurs twice."""
-    counts = seen.groupBy("token").agg(F.sum("seen").alias("k")).where("k > 1")
-    cells = counts.groupBy(F.col("token").bitwiseAND(F.lit(CELLS - 1)).alias("c")).agg(F.max(F.floor(F.log2("k"))).cast("int").alias("p"))
-    rows = cells.toArrow()  # at most CELLS rows
+    rows = counts.groupBy("bucket").applyInArrow(_most, "c int, p int").toArrow()  # at most CELLS rows
     powers = np.zeros(CELLS, np.uint8)
     powers[rows["c"].to_numpy()] = rows["p"].to_numpy()
     return powers
 
 
 def _by_rarity(line: np.ndarray, tokens: np.ndarray, powers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(short token, power) of each line's tokens, the rarest first: by the power of the cell, then by 32 bits.
+    """(short token, power) of each line's tokens, the rarest first: by the power of the cell, then by the token.
 
     Any order gives the same result; a rare token that shares the cell of a frequent one only comes later.
     """
-    power = powers[(tokens & np.uint64(CELLS - 1)).astype(np.int64)]
-    short = tokens & np.uint64(0xFFFFFFFF)
-    order = np.lexsort((tokens, power.astype(np.uint64) << np.uint64(32) | short, line))
-    return short[order].astype(np.uint32), power[order]
+    power = powers[(tokens & np.uint64(CELLS - 1)).astype(np.int64)].astype(np.uint64)
+    key = np.sort(line.astype(np.uint64) << np.uint64(BITS + 6) | power << np.uint64(BITS) | tokens)
+    return key.astype(np.uint32), (key >> np.uint64(BITS)).astype(np.uint8) & 63
 
 
 def _packed(rows: np.ndarray) -> bytes:
@@ -240,17 +266,15 @@ def _prefixes(docs: DataFrame, width: int, powers: np.ndarray, buckets: int) ->
         for batch in batches:
             doc = batch["doc"].to_numpy(zero_copy_only=False)
             for row, number, start, data in _chunks(batch["text"]):
-                line, tokens = _tokens(start, data, width)
+                line, tokens, first, n, sid = _sets(start, data, width)
                 if not len(line):
                     continue
-                first = _firsts(line)
-                n = np.diff(np.append(first, len(line)))
                 short, power = _by_rarity(line, tokens, powers)
                 p, own = np.arange(len(line)) - np.repeat(first, n), np.repeat(n, n)
                 # similar sets share a token of their prefixes; sets too small are similar to equal ones only, tokens that occur once are not shared
                 posted = (p < own + (-PERCENT * own // 100) + 1) & (power > 0) & (100 * own >= PERCENT * (own + 1))
                 sets, keys = np.zeros(len(first), SET), np.zeros(int(posted.sum()), KEY)
-                for name, values in (("sid", _sids(tokens, first, n)), ("doc", doc[row[line[first]]]), ("line", number[line[first]]), ("n", n),
+                for name, values in (("sid", sid), ("doc", doc[row[line[first]]]), ("line", number[line[first]]), ("n", n),
                                      ("m0", _marks(tokens, first, 0)), ("m1", _marks(tokens, first, 1)), ("posts", np.add.reduceat(posted, first, dtype=np.int64))):
                     sets[name] = values
                 keys["token"], keys["p"], keys["power"] = short[posted], p[posted], power[posted]
@@ -368,9 +392,11 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
     """
     spark = docs.sparkSession
     given, ids = _numbers(docs.where(F.col(id).isNotNull()).select(F.col(id).alias("id"), text_of(text).alias("text")))
+    if not given.groupBy("doc").count().where("count > 1").isEmpty():
+        given = staged(given.dropDuplicates(["doc"]))
     scanned = _scanned(given, width)
-    heads = scanned.where("token IS NULL").select("doc", "line", "sid")
-    powers = _rarity(scanned.where("token IS NOT NULL"))
+    heads = scanned.where("bucket IS NULL").select("doc", "line", "sid")
+    powers = _rarity(scanned.where("bucket IS NOT NULL").select("bucket", "counts"))
     buckets = max(8, heads.count() // LINES + 1)
     firsts = staged(heads.groupBy("sid").agg(F.min(F.struct("doc", "line")).alias("first")).select("sid", "first.*"))
 
@@ -400,36 +426,33 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
     return out.withColumnRenamed("doc", "id") if ids is None else out.join(ids, "doc").select("id", "line")
 
 
-def _read(asked: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """(doc, line, tokens) of the lines (doc, line) that are asked for."""
-    lists = asked.groupBy("doc").agg(F.sort_array(F.collect_set("line")).alias("lines"))
-    pick = let(F.split("text", "\n", -1), lambda all: F.array_join(F.transform("lines", lambda i: F.get(all, i)), "\n"))
+def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(doc, line) of the pairs whose lines are similar, once each; their words are read from the texts."""
+    asked = pairs.select("doc", "line").union(pairs.select("doc_", "line_")).groupBy("doc").agg(F.collect_set("line").alias("lines"))
+    read = let(F.split("text", "\n", -1), lambda all: F.transform("lines", lambda i: F.struct(i.alias("line"), F.get(all, i).alias("words"))))
+    read = staged(docs.join(asked.hint("merge"), "doc").select("doc", F.inline(read)))
+    both = pairs.join(read, ["doc", "line"]).join(read.toDF("doc_", "line_", "words_"), ["doc_", "line_"])
+
+    def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        parts = [(row, *_tokens(start, data, width)) for row, _, start, data in _chunks(texts)]
+        return np.concatenate([row[line] for row, line, _ in parts]), np.concatenate([t for _, _, t in parts])
 
     def run(batches):
         for batch in batches:
-            doc = batch["doc"].to_numpy(zero_copy_only=False)
-            numbers, place = batch["lines"].flatten().to_numpy(zero_copy_only=False), np.append(0, np.cumsum(batch["lines"].value_lengths().to_numpy()))
-            for row, number, start, data in _chunks(batch["text"]):
-                line, tokens = _tokens(start, data, width)
-                first = _firsts(line)
-                at = line[first]
-                yield pa.record_batch([pa.array(doc[row[at]]), pa.array(numbers[place[row[at]] + number[at]].astype(np.int32)),
-                                       pa.ListArray.from_arrays(pa.array(np.append(first, len(line)).astype(np.int32)), pa.array(tokens.view(np.int64)))],
-                                      names=["doc", "line", "tokens"])
+            if not batch.num_rows:
+                continue
+            (row, a), (row_, b) = tokens(batch["words"]), tokens(batch["words_"])
+            rows, values = np.concatenate([row, row_]), np.concatenate([a, b])
+            order = np.lexsort((values, rows))
+            rows, values = rows[order], values[order]
+            equal = (rows[1:] == rows[:-1]) & (values[1:] == values[:-1])
+            shared, total = np.bincount(rows[1:][equal], minlength=batch.num_rows), np.bincount(rows, minlength=batch.num_rows)
+            yield batch.select(["doc", "line"]).filter(pa.array(100 * shared >= PERCENT * (total - shared)))
 
     with small_batches(docs.sparkSession):
-        return staged(docs.join(lists, "doc").select("doc", "lines", pick.alias("text"))
-                      .mapInArrow(run, "doc long, line int, tokens array<long>").dropDuplicates(["doc", "line"]))
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """(doc, line) of the pairs whose lines are similar, once each."""
-    tokens = _read(pairs.select("doc", "line").union(pairs.select("doc_", "line_")), docs, width)
-    both = F.size(F.array_intersect("tokens", "tokens_"))
-    met = pairs.join(tokens, ["doc", "line"]).join(tokens.toDF("doc_", "line_", "tokens_"), ["doc_", "line_"])
-    similar = 100 * both >= PERCENT * (F.size("tokens") + F.size("tokens_") - both)
-    out = staged(met.where(similar).select("doc", "line").distinct())
-    released(docs.sparkSession, tokens)
+        similar = both.select("doc", "line", "words", "words_").mapInArrow(run, "doc long, line int")
+        out = staged(similar.distinct())
+    released(docs.sparkSession, read)
     return out
 
 

@@ -214,10 +214,10 @@ def test_lines_rank_rare_words_by_their_own_count(spark):
     """Many rare words do not make each other frequent."""
     rows = [(i, " ".join(f"r{i * 50 + j}" for j in range(50))) for i in range(4000)] + [(i, "often") for i in range(4000, 5000)]
     frame = spark.createDataFrame(rows, "doc long, text string")
-    powers = lines._rarity(lines._scanned(frame, 1).where("token IS NOT NULL"))
+    powers = lines._rarity(lines._scanned(frame, 1).where("bucket IS NOT NULL").select("bucket", "counts"))
     found = collections.Counter()
     for row, line, start, data in lines._chunks(pa.array([t for i, t in rows])):
-        of, tokens = lines._tokens(start, data, 1)
+        of, tokens, *_ = lines._sets(start, data, 1)
         found.update(zip((row[of] < 4000).tolist(), lines._by_rarity(of, tokens, powers)[1].tolist()))
     assert found[False, 9] == 1000 and found[True, 0] > 199_990  # all but those of the cell of the frequent word
 
@@ -254,14 +254,14 @@ def test_lines_with_a_hot_word(spark, monkeypatch):
     rnd = random.Random(3)
     rows = list(enumerate(" ".join(rnd.choices("abcdefgh", k=rnd.randint(4, 9))) for _ in range(300)))
     frame = spark.createDataFrame(rows, "doc long, text string")
-    powers = lines._rarity(lines._scanned(frame, 1).where("token IS NOT NULL"))
+    powers = lines._rarity(lines._scanned(frame, 1).where("bucket IS NOT NULL").select("bucket", "counts"))
     prefixes = lines._prefixes(frame, 1, powers, 1).select("sets", "keys").toArrow()
     pairs = []
     for hot in (1 << 20, 16):
         monkeypatch.setattr(lines, "HOT", hot)
         found = [lines._met(lines._posted(prefixes, None, 4).slice(k, 1), True).drop_columns("more").to_pylist() for k in range(4)]
         pairs.append({tuple(r.values()) for some in found for r in some})
-    assert pairs[0] == pairs[1] and len(pairs[0]) > 100
+    assert pairs[0] == pairs[1] and len(pairs[0]) > 50
 
 
 @pytest.mark.parametrize("size", [1, 40, 1 << 20])
