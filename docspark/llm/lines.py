@@ -18,14 +18,16 @@ CELLS = 1 << 20
 #: Bytes of text that are split into tokens at a time (a longer line is taken whole), and tokens counted at a time.
 CHUNK, BLOCK = 1 << 20, 1 << 22
 #: Lines in a bucket of sets, buckets of posts for each of those, and bytes a task holds before it sends them on.
-LINES, SPREAD, HELD = 1 << 17, 4, 32 << 20
+LINES, SPREAD, HELD = 1 << 16, 4, 16 << 20
 #: Bits of a token by which lines are looked for: a line of a chunk, a power and a token are one whole number.
 BITS = 38
 #: Occurrences from which the posts of a token are dealt over several groups.
 HOT = 1 << 20
+#: Tokens from which a line has 512 marks instead of 128, and partners under a token that a line keeps all of.
+LONG, PARTNERS = 224, 4
 
 #: A set of tokens, known by its first line, with the number of its posts; and a post.
-SET = np.dtype([("sid", "u8"), ("doc", "i8"), ("line", "u4"), ("n", "u4"), ("m0", "u8"), ("m1", "u8"), ("posts", "u4")])
+SET = np.dtype([("sid", "u8"), ("doc", "i8"), ("line", "u4"), ("n", "u4"), ("m0", "u8"), ("m1", "u8"), ("wide", "u8", 6), ("posts", "u4")])
 COUNT = np.dtype([("token", "u4"), ("seen", "u4")])
 KEY = np.dtype([("token", "u4"), ("p", "u4"), ("power", "u1")])
 POST = np.dtype([("token", "u4"), ("cell", "u8"), ("group", "u4"), ("home", "u1"), ("doc", "i8"), ("line", "u4"), ("n", "u4"), ("p", "u4"), ("m0", "u8"), ("m1", "u8"),
@@ -145,13 +147,32 @@ def _sets(start: np.ndarray, data: np.ndarray, width: int) -> tuple[np.ndarray,
     return line, tokens, first, n, sid
 
 
-def _marks(tokens: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
-    """64 of the 128 cells in which the tokens of a line are counted modulo two.
+def _marks(tokens: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """128 cells, in two words, in which the tokens of a line are counted modulo two, and six of the eight words of 512 for long lines.
 
-    Two lines differ in no more cells than tokens.
+    Two lines differ in no more cells than tokens. The first two words are the eight ones folded, so the other two follow.
     """
-    here = (tokens >> np.uint64(26)) & np.uint64(1) == k
-    return np.bitwise_xor.reduceat(np.where(here, np.uint64(1) << ((tokens >> np.uint64(32)) & np.uint64(63)), np.uint64(0)), first)
+    bit = np.uint64(1) << ((tokens >> np.uint64(32)) & np.uint64(63))
+    word = ((tokens >> np.uint64(26)) & np.uint64(7)).astype(np.int64)
+    m0, m1 = (np.bitwise_xor.reduceat(np.where(word % 2 == k, bit, np.uint64(0)), first) for k in (0, 1))
+    wide, large = np.zeros((len(first), 6), np.uint64), np.flatnonzero(n >= LONG)
+    if len(large):
+        own = np.repeat(n >= LONG, n)
+        begin = np.append(0, np.cumsum(n[large]))[:-1]
+        for k in range(6):
+            wide[large, k] = np.bitwise_xor.reduceat(np.where(word[own] == k + 2, bit[own], np.uint64(0)), begin)
+    return m0, m1, wide
+
+
+def _differ(posts: np.ndarray, wide: np.ndarray, at: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many cells of their marks the lines of posts a and b differ, of 512 if both are long: those have rows `at` of `wide`."""
+    m0, m1 = (posts[m][a] ^ posts[m][b] for m in ("m0", "m1"))
+    out = np.bitwise_count(m0).astype(np.int64) + np.bitwise_count(m1)
+    large = np.flatnonzero((posts["n"][a] >= LONG) & (posts["n"][b] >= LONG))
+    wide = wide[at[a[large]]] ^ wide[at[b[large]]]
+    rest = [m[large] ^ wide[:, k] ^ wide[:, k + 2] ^ wide[:, k + 4] for k, m in ((0, m0), (1, m1))]
+    out[large] = np.bitwise_count(wide).sum(axis=1, dtype=np.int64) + sum(np.bitwise_count(r).astype(np.int64) for r in rest)
+    return out
 
 
 def _scanned(docs: DataFrame, width: int) -> DataFrame:
@@ -222,7 +243,7 @@ def _by_rarity(line: np.ndarray, tokens: np.ndarray, powers: np.ndarray) -> tupl
 
 def _packed(rows: np.ndarray) -> bytes:
     """The rows' first bytes, then their second ones, and so on, which compress well."""
-    return np.ascontiguousarray(rows.view(np.uint8).reshape(-1, rows.dtype.itemsize).T).tobytes()
+    return np.ascontiguousarray(np.ascontiguousarray(rows).reshape(-1).view(np.uint8).reshape(-1, rows.dtype.itemsize).T).tobytes()
 
 
 def _unpacked(column: pa.ChunkedArray, kind: np.dtype) -> np.ndarray:
@@ -274,8 +295,9 @@ def _prefixes(docs: DataFrame, width: int, powers: np.ndarray, buckets: int) ->
                 # similar sets share a token of their prefixes; sets too small are similar to equal ones only, tokens that occur once are not shared
                 posted = (p < own + (-PERCENT * own // 100) + 1) & (power > 0) & (100 * own >= PERCENT * (own + 1))
                 sets, keys = np.zeros(len(first), SET), np.zeros(int(posted.sum()), KEY)
+                m0, m1, wide = _marks(tokens, first, n)
                 for name, values in (("sid", sid), ("doc", doc[row[line[first]]]), ("line", number[line[first]]), ("n", n),
-                                     ("m0", _marks(tokens, first, 0)), ("m1", _marks(tokens, first, 1)), ("posts", np.add.reduceat(posted, first, dtype=np.int64))):
+                                     ("m0", m0), ("m1", m1), ("wide", wide), ("posts", np.add.reduceat(posted, first, dtype=np.int64))):
                     sets[name] = values
                 keys["token"], keys["p"], keys["power"] = short[posted], p[posted], power[posted]
                 held.append((sets, keys))
@@ -290,7 +312,7 @@ def _prefixes(docs: DataFrame, width: int, powers: np.ndarray, buckets: int) ->
 
 
 def _posted(group: pa.Table, again: np.ndarray | None, buckets: int) -> pa.Table:
-    """(bucket, posts): the posts of a bucket's sets, each under its first line, dealt by token; `again` are the open ones, if not all.
+    """(bucket, posts, wide): the posts of a bucket's sets, and the further marks of the long ones, each under its first line, dealt by token; `again` are the open ones, if not all.
 
     Posts of a token that is hot go to a group each, and once to every pair of it with another.
     """
@@ -310,21 +332,28 @@ def _posted(group: pa.Table, again: np.ndarray | None, buckets: int) -> pa.Table
     posts["group"] = _mixed(posts["doc"].astype(np.uint64) * np.uint64(_BASE) + posts["line"]) % groups.astype(np.uint64)
     copies = np.repeat(np.arange(len(posts)), groups)
     other = np.arange(len(copies)) - np.repeat(np.append(0, np.cumsum(groups))[:-1], groups)
-    posts = posts[copies]
+    posts, wide = posts[copies], sets["wide"][of[copies]]
     low, high = np.minimum(posts["group"], other), np.maximum(posts["group"], other)
     posts["cell"], posts["home"] = low * groups[copies] + high, low == high  # a pair of groups; the pairs within one meet at home
     bucket = _mixed(posts["token"].astype(np.uint64) << np.uint64(32) | posts["cell"]) % np.uint64(buckets)
-    return pa.Table.from_batches([_dealt(bucket, ["posts"], lambda some: (_packed(posts[some[np.argsort(posts["token"][some], kind="stable")]]),))])
+
+    def columns(some):
+        some = some[np.argsort(posts["token"][some], kind="stable")]
+        return _packed(posts[some]), _packed(wide[some[posts["n"][some] >= LONG]])
+
+    return pa.Table.from_batches([_dealt(bucket, ["posts", "wide"], columns)])
 
 
 def _met(group: pa.Table, all_of_them: bool) -> pa.Table:
     """Pairs (doc, line), (doc_, line_) of later open lines and earlier ones that share a token here and may be similar.
 
-    Lengths, the places of the token and marks rule pairs out. Of the pairs of a line under a token there is the one with the earliest,
-    and in `more` whether there were others; or there are all of them.
+    Lengths, the places of the token and marks rule pairs out. Of the pairs of a line under a token there are all, if they are no more than
+    PARTNERS, or the one with the earliest, and `more` says that there were others; or there are all of them in any case.
     """
-    posts = _unpacked(group["posts"], POST)
-    posts = posts[np.lexsort((posts["n"], posts["cell"], posts["token"]))]
+    posts, wide = _unpacked(group["posts"], POST), _unpacked(group["wide"], np.dtype("u8")).reshape(-1, 6)
+    place = np.cumsum(posts["n"] >= LONG) - 1
+    order = np.lexsort((posts["n"], posts["cell"], posts["token"]))
+    posts, place = posts[order], place[order]
     k = len(posts)
     n, p = posts["n"].astype(np.int64), posts["p"].astype(np.int64)
     block = np.cumsum(np.append(True, (posts["token"][1:] != posts["token"][:-1]) | (posts["cell"][1:] != posts["cell"][:-1]))[:k])
@@ -333,7 +362,7 @@ def _met(group: pa.Table, all_of_them: bool) -> pa.Table:
     time[by_time] = np.cumsum(np.append(False, (np.diff(posts["doc"][by_time]) != 0) | (np.diff(posts["line"][by_time].astype(np.int64)) != 0))[:k])
     at = np.empty(k, np.int64)
     at[time] = np.arange(k)  # a post of the line of each time
-    best, fits, found = np.full(k, k, np.int64), np.zeros(k, np.int64), []
+    best, fits, some, found = np.full(k, k, np.int64), np.zeros(k, np.int64), np.zeros((k, PARTNERS), np.int64), []
     i, d = np.arange(k - 1), 1
     while len(i):
         i = i[i + d < k]
@@ -344,8 +373,7 @@ def _met(group: pa.Table, all_of_them: bool) -> pa.Table:
         ok = (p[i] - p[j] <= n[i] - needed) & (p[j] - p[i] <= n[j] - needed) & (time[i] != time[j])
         ok &= (posts["home"][i] > 0) | (posts["group"][i] != posts["group"][j])
         a, b, needed = i[ok], j[ok], needed[ok]
-        differ = sum(np.bitwise_count(posts[m][a] ^ posts[m][b]).astype(np.int64) for m in ("m0", "m1"))
-        ok = differ <= n[a] + n[b] - 2 * needed
+        ok = _differ(posts, wide, place, a, b) <= n[a] + n[b] - 2 * needed
         a, b = a[ok], b[ok]
         late, early = np.where(time[a] > time[b], a, b), np.where(time[a] > time[b], b, a)
         ok = posts["open"][late] > 0
@@ -356,16 +384,17 @@ def _met(group: pa.Table, all_of_them: bool) -> pa.Table:
             for side in (late == a[ok], late == b[ok]):  # a post comes once on each side
                 x, y = late[side], early[side]
                 best[x] = np.minimum(best[x], time[y])
+                room = fits[x] < PARTNERS
+                some[x[room], fits[x[room]]] = time[y[room]]
                 fits[x] += 1
         d += 1
-    if all_of_them:
-        pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.empty((2, 0), np.int64)
-        more = np.zeros(pairs.shape[1], bool)
-    else:
-        x = np.flatnonzero(fits)
-        pairs, own = np.unique(np.stack([time[x], best[x]]), axis=1, return_inverse=True) if len(x) else (np.empty((2, 0), np.int64), x)
-        more = np.zeros(pairs.shape[1], bool)
-        np.logical_or.at(more, np.ravel(own), fits[x] > 1)
+    if not all_of_them:
+        x, many = np.flatnonzero((fits > 0) & (fits <= PARTNERS)), np.flatnonzero(fits > PARTNERS)
+        found = [np.stack([time[x[fits[x] > q]], some[x[fits[x] > q], q]]) for q in range(PARTNERS)] + [np.stack([time[many], best[many]])]
+        more = np.zeros(k, bool)
+        more[time[many]] = True
+    pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.empty((2, 0), np.int64)
+    more = np.zeros(pairs.shape[1], bool) if all_of_them else more[pairs[0]]
     late, early = at[pairs[0]], at[pairs[1]]
     return pa.table({"doc": posts["doc"][late], "line": posts["line"][late].astype(np.int32), "doc_": posts["doc"][early],
                      "line_": posts["line"][early].astype(np.int32), "more": more})
@@ -387,8 +416,8 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
     with B even if it is not similar to A. A line's tokens are its runs of `width` words; of one word, a repeat is a token of its own. Lines of
     equal tokens (by a hash of 64 bits) are one set, known by its first line. Tokens are counted; each task sends the prefixes of its sets,
     each set once, to be dealt by the sets' hash, and from there a post per token of the prefix, to be dealt by token. There posts meet in
-    arrays, which makes no rows: a line keeps the earliest under each token that length, place and marks allow. These pairs are verified on all
-    tokens, read from the texts again. Lines whose earliest are not similar, and that had others, meet all of theirs in a second round.
+    arrays, which makes no rows: a line keeps those earlier ones under each token that length, place and marks allow, or the earliest of many. These pairs are verified on all
+    tokens, read from the texts again. Lines of which none is similar, and that had others, meet all of theirs in a second round.
     """
     spark = docs.sparkSession
     given, ids = _numbers(docs.where(F.col(id).isNotNull()).select(F.col(id).alias("id"), text_of(text).alias("text")))
@@ -402,7 +431,7 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
 
     def met(open: DataFrame | None) -> DataFrame:
         prefixes = _prefixes(given, width, powers, buckets).groupBy("bucket")
-        kind, again = "bucket long, posts binary", open is not None
+        kind, again = "bucket long, posts binary, wide binary", open is not None
         if not again:
             posts = prefixes.applyInArrow(lambda some: _posted(some, None, buckets * SPREAD), kind)
         else:
