@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docspark.llm.common import picked, released, small_batches, staged, text_of
+from docspark.llm.common import FEW, picked, released, small_batches, staged, text_of
 from docspark.llm.components import components
 
 #: Shingles whose frequency is known when they are put in order; the most frequent ones. It bounds what
@@ -230,6 +230,18 @@ def _early(percent: int) -> Column:
     return (F.col("pos_a") < posted(F.col("n_a")) - passed) & (F.col("pos_b") < posted(F.col("n_b")) - passed)
 
 
+def _maybe_early(percent: int) -> Column:
+    """The posting at `pos` is an early one beside some set of a size from `_n_least` to `_n_most`, as far as sizes tell.
+
+    `_fewest` grows with the lesser size and falls with the greater, so that the two extremes bound it.
+    """
+    n, share = F.col("n"), percent / (100 + percent)
+    lesser, greater = F.greatest(F.col("_n_least"), n * (percent / 100)), F.least(F.col("_n_most"), n / (percent / 100))
+    fewest = F.least((lesser + n) * share - n * (percent / 100), (n + greater) * share - greater * (percent / 100))
+    passed = F.floor(F.greatest(fewest - 1e-6, F.lit(0.0)) * 0.75)
+    return F.col("pos") < n - F.ceil((percent * n) / 100 - 1e-9) + 1 - passed
+
+
 def _alike(percent: int) -> Column:
     """The marks do not rule out that the sets are similar."""
     apart = [F.bit_count(F.get("marks_a", F.lit(i)).bitwiseXOR(F.get("marks_b", F.lit(i)))) for i in range(MARKS)]
@@ -258,6 +270,30 @@ def _linked(percent: int) -> Column:
     return 100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both"))
 
 
+def _ends(*more: Column) -> list[Column]:
+    """Aggregates of postings with `n` and `pos`: how many, and the least and the greatest of them."""
+    at = F.shiftleft(F.col("n"), 32) + F.col("pos")
+    return [F.count(F.lit(1)).alias("_all"), F.min(at).alias("_least"), F.max(at).alias("_most"), *more]
+
+
+def _two(groups: DataFrame) -> DataFrame:
+    """The groups of `_ends` with n_a, pos_a, n_b and pos_b: both postings, where there are two."""
+    pair = {f"{c}_{x}": f(F.col(of)) for of, x in (("_least", "a"), ("_most", "b"))
+            for c, f in (("n", lambda v: F.shiftright(v, 32)), ("pos", lambda v: v.bitwiseAND(F.lit((1 << 32) - 1))))}
+    return groups.withColumns(pair)
+
+
+def met_lists(posted: DataFrame, percent: int) -> DataFrame:
+    """The postings of shingles that two sets have, each once, without those of two sets that cannot be similar by size and position.
+
+    Both uses of the postings read one shuffle; a shingle's postings are in one task, as a stream.
+    """
+    dealt = posted.repartition("token")
+    groups = dealt.groupBy("token").agg(*_ends(F.min("sid").alias("_a"), F.max("sid").alias("_b"))).where("_a < _b")
+    shared = _two(groups).where((F.col("_all") > 2) | _in_reach(percent)).select("token")
+    return dealt.join(shared, "token").select("token", "sid", "n", "pos").distinct()
+
+
 def linked_sets(docs: DataFrame, ids: DataFrame, lists: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, component) of the sets that have a similar one; `lists` has the postings of shared shingles.
 
@@ -274,7 +310,9 @@ def linked_sets(docs: DataFrame, ids: DataFrame, lists: DataFrame, width: int, p
     keyed = lists.withColumn("block", F.explode(F.array(block, block + 1)))
     lead = [F.min(F.struct(F.xxhash64("sid", F.lit(i)).alias("h"), F.col("sid").alias("sid"), F.col("n").alias("n"),
                            F.col("pos").alias("pos"))) for i in range(LEADERS)]
-    leaders = keyed.groupBy("token", "block").agg(F.count(F.lit(1)).alias("_all"), F.array(*lead).alias("_lead")).where("_all > 1")
+    own = F.max(F.col("block") == block).alias("_own")  # pairs without such a set meet in the block before
+    leaders = keyed.groupBy("token", "block").agg(F.count(F.lit(1)).alias("_all"), own, F.array(*lead).alias("_lead"))
+    leaders = leaders.where("_own and _all > 1").drop("_own")
     stars = keyed.join(leaders, ["token", "block"]).withColumn("_lead", F.explode(
         F.array_distinct(F.transform("_lead", lambda x: x.dropFields("h")))))
     stars = stars.select("block", F.col("sid").alias("a"), F.col("_lead.sid").alias("b"), F.col("n").alias("n_a"),
@@ -295,9 +333,15 @@ def linked_sets(docs: DataFrame, ids: DataFrame, lists: DataFrame, width: int, p
     part = components(first.where(_linked(percent)).select("a", "b"))
 
     placed = keyed.join(part.toDF("sid", "c"), "sid", "left").withColumn("c", F.coalesce("c", "sid"))
-    share = placed.groupBy("token", "block", "c").agg(F.count(F.lit(1)).alias("_n"))
-    largest = share.groupBy("token", "block").agg(F.count(F.lit(1)).alias("_cs"), F.max(F.struct("_n", "c"))["c"].alias("_main"))
-    placed = staged(placed.join(largest.where("_cs > 1"), ["token", "block"]).join(cells, "sid"))
+    # before marks are joined: groups of two that cannot be similar go, by sizes, positions and block, as below
+    share = placed.groupBy("token", "block", "c").agg(*_ends(own))
+    largest = share.groupBy("token", "block").agg(
+        F.count(F.lit(1)).alias("_cs"), F.max(F.struct("_all", "c"))["c"].alias("_main"), F.sum("_all").alias("_all"),
+        F.max("_own").alias("_own"), F.min("_least").alias("_least"), F.max("_most").alias("_most"))
+    largest = _two(largest.where("_own and _cs > 1")).where((F.col("_all") > 2) | (once & _in_reach(percent) & _early(percent)))
+    largest = largest.select("token", "block", "_main", F.col("n_a").alias("_n_least"), F.col("n_b").alias("_n_most"))
+    placed = placed.join(largest, ["token", "block"]).where(_maybe_early(percent)).drop("_n_least", "_n_most")
+    placed = staged(placed.join(cells, "sid"))
     odd = placed.where("c != _main").select("token", "block", F.col("sid").alias("a"), F.col("n").alias("n_a"),
                                             F.col("pos").alias("pos_a"), "c", F.col("marks").alias("marks_a"))
     rest = placed.select("token", "block", F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"),
@@ -345,8 +389,7 @@ def similar(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
     with small_batches(spark):
         ids, seen = scanned(given, width)
         posted = staged(postings(given, width, percent, ranked(seen)))
-        shared = posted.groupBy("token").agg(F.min("sid").alias("_a"), F.max("sid").alias("_b")).where("_a < _b")
-        lists = staged(posted.join(shared.select("token"), "token", "left_semi").distinct())
+        lists = staged(met_lists(posted, percent))
         released(spark, posted)
         nodes = linked_sets(given, ids, lists, width, percent)
     sets = ids.where("n > 0").groupBy("sid").agg(F.min("id").alias("_id"))
@@ -360,6 +403,8 @@ def similar(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
 
 def drop_similar(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component of similar ones, the one of the smallest id, with its columns."""
-    keep = similar(docs, id, text, width, percent).where("id <=> component").select("id").distinct()
+    found = similar(docs, id, text, width, percent).groupBy("id").agg(F.max(F.col("id").eqNullSafe(F.col("component"))).alias("_kept"))
+    gone = staged(found.where("not _kept").select("id"))  # fewer than those that stay, so that texts need not move
     given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id).alias("_id"))
-    return given.join(keep, given["_id"].eqNullSafe(keep["id"]), "left_semi").select("_row.*")
+    gone = F.broadcast(gone) if gone.count() <= FEW else gone
+    return given.join(gone, given["_id"].eqNullSafe(gone["id"]), "left_anti").select("_row.*")

@@ -14,6 +14,11 @@ STEPS = 4096
 _DEAL = 3  # hex digits of the shuffle key that deal a source's documents into slices
 
 
+def _shuffled(id):
+    """The shuffle key of a document."""
+    return F.md5(F.coalesce(id.cast("string"), F.lit("")))
+
+
 def _step(at):
     """The range of virtual time: equal steps up to the level, then logarithmic ones."""
     now = at / F.col("level")
@@ -65,7 +70,7 @@ def mixed(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str
         docs.select(F.col(id).alias("doc_id"), given.alias("source"),
                     F.when(given.isNull(), "-").otherwise(F.concat(F.lit("+"), given)).alias("_s"),
                     F.regexp_count(text_of(text), F.lit(WORD)).cast("long").alias("size"),
-                    F.md5(F.coalesce(F.col(id).cast("string"), F.lit(""))).alias("_key"))
+                    _shuffled(F.col(id)).alias("_key"))
         .withColumn("_slice", F.substring("_key", 1, _DEAL))
     )
     slices = rows.groupBy("_s", "source", "_slice").agg(F.sum("size").alias("_words"))
@@ -125,20 +130,27 @@ def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str =
     many, and where some are left over, the contents that come first by hash get one more. Null texts have no
     words; documents without words cost nothing and come twice. Null ids and sources are values like others, columns of any name are kept; an empty table gives no rows.
     """
-    # written, so that the join below has a shuffle of its own on both sides, which Spark can split
     offered = staged(mixed(docs, id, source, text, weights).groupBy(F.struct("doc_id", "source", "size").alias("_at")).agg(
         F.sum("times").alias("_times"), F.count("*").alias("_rows")).where("_times > 0"))
+
+    def place(of):
+        return F.struct(_shuffled(of["doc_id"]).alias("key"), of["doc_id"].alias("doc_id"), of["size"].alias("size"))
+
+    # a source's documents are taken in the order of their places, so its last ones tell of all others, and no text moves
+    upto = [F.max(F.when(F.col("_times") >= n * F.col("_rows"), place(F.col("_at")))).alias(f"_upto{n}") for n in (1, 2)]
+    bounds = staged(offered.groupBy(F.struct(F.col("_at.source").alias("source")).alias("_of")).agg(*upto))
     at = F.struct(F.col(id).alias("doc_id"), F.col(source).cast("string").alias("source"),
                   F.regexp_count(text_of(text), F.lit(WORD)).cast("long").alias("size"))
     given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), at.alias("_at"))
-    even = given.join(offered.where("_times % _rows = 0"), "_at").select("_row", (F.col("_times") / F.col("_rows")).alias("_n"))
-    left = offered.where("_times % _rows <> 0")
-    if not left.isEmpty():  # equal rows on both sides of the budget's end
+    in_order = [F.coalesce(place(F.col("_at")) <= F.col(f"_upto{n}"), F.lit(False)).cast("int") for n in (1, 2)]
+    taken = given.withColumn("_of", F.struct(F.col("_at.source").alias("source"))).join(bounds, "_of")
+    taken = taken.select("_row", (in_order[0] + in_order[1]).alias("_n"))
+    left = staged(offered.where("_times % _rows <> 0"))  # equal rows on both sides of the budget's end, two of a source at most
+    if not left.isEmpty():
         kinds = staged(given.join(left, "_at").groupBy("_at", "_times", "_rows", F.xxhash64("_row").alias("_hash")).agg(
             F.any_value("_row").alias("_row"), F.count("*").alias("_same")))
         so_far = Window.partitionBy("_at").orderBy("_hash").rowsBetween(Window.unboundedPreceding, -1)
         before = kinds.select("_at", "_hash", F.coalesce(F.sum("_same").over(so_far), F.lit(0)).alias("_before"))
         more = F.greatest(F.least(F.col("_times") % F.col("_rows") - F.col("_before"), F.col("_same")), F.lit(0))
-        times = F.floor(F.col("_times") / F.col("_rows")) * F.col("_same") + more
-        even = even.unionByName(kinds.join(before, ["_at", "_hash"]).select("_row", times.cast("double").alias("_n")))
-    return even.where("_n > 0").withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select("_row.*")
+        taken = taken.unionByName(kinds.join(before, ["_at", "_hash"]).select("_row", more.cast("int").alias("_n")))
+    return taken.where("_n > 0").withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("_row.*")

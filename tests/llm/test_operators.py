@@ -430,3 +430,36 @@ def test_marks_never_exceed_the_difference():
         b = set(rnd.sample(sorted(a), rnd.randint(0, len(a)))) | {rnd.getrandbits(64) for _ in range(rnd.randint(0, 50))}
         x, y = (jaccard.marks(jaccard.np.array(sorted(v), jaccard.np.uint64)) for v in (a, b))
         assert sum((int(p) ^ int(q)).bit_count() if (int(p) ^ int(q)) >= 0 else ((int(p) ^ int(q)) & (1 << 64) - 1).bit_count() for p, q in zip(x, y)) <= len(a ^ b)
+
+
+def test_texts_stay_where_they_are(spark, monkeypatch):
+    """Neither the mix nor the removal of near copies shuffles texts, also where the table has many documents."""
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    rows = [(i, " ".join(rnd.choices(words, k=rnd.randint(5, 12))), rnd.choice("abc")) for i in range(4000)]
+    rows += [(5000 + i, t + " end", s) for i, (_, t, s) in enumerate(rows[:40])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        mix, kept = mixing.mix(docs), jaccard.drop_similar(docs, width=1, percent=80)
+        for frame in (mix, kept):
+            assert "Exchange hashpartitioning" not in frame._jdf.queryExecution().executedPlan().toString()
+        times = collections.Counter(r.doc_id for r in mix.collect())
+        assert times == {r.doc_id: r.times for r in mixing.mixed(docs).collect() if r.times}
+        ids = sorted(r.doc_id for r in kept.collect())
+        assert ids == sorted(r.id for r in jaccard.similar(docs, width=1, percent=80).collect() if r.id == r.component)
+        monkeypatch.setattr(jaccard, "FEW", -1)
+        assert sorted(r.doc_id for r in jaccard.drop_similar(docs, width=1, percent=80).collect()) == ids and len(ids) < 4030
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_postings_of_two_sets_that_cannot_be_similar_go(spark):
+    rows = [(1, 1, 100, 0), (1, 2, 300, 0),  # by size
+            (2, 1, 100, 9), (2, 3, 101, 0),  # by position
+            (3, 1, 100, 1), (3, 3, 101, 2), (3, 3, 101, 2),
+            (4, 1, 100, 3), (4, 1, 100, 3),
+            (5, 3, 100, 4), (5, 4, 100, 4),
+            (6, 1, 100, 5), (6, 2, 300, 5), (6, 3, 101, 5)]
+    got = jaccard.met_lists(spark.createDataFrame(rows, "token long, sid long, n long, pos long"), 90).collect()
+    assert sorted(map(tuple, got)) == sorted({r for r in rows if r[0] in (3, 5, 6)})
