@@ -284,44 +284,48 @@ def _two(groups: DataFrame) -> DataFrame:
 
 
 def met_lists(posted: DataFrame, percent: int) -> DataFrame:
-    """The postings of shingles that two sets have, each once, without those of two sets that cannot be similar by size and position.
+    """(token, block, sid, n, pos): each posting once in each block of its shingle where it can meet a similar set.
 
-    Both uses of the postings read one shuffle; a shingle's postings are in one task, as a stream.
+    A block has two sets at least and one of its own size, as pairs without such a one meet in the block before; of a
+    block of two, sizes and positions are to be those of similar sets. All uses of the postings read one shuffle; a
+    shingle's postings are in one task, as a stream.
     """
-    dealt = posted.repartition("token")
-    groups = dealt.groupBy("token").agg(*_ends(F.min("sid").alias("_a"), F.max("sid").alias("_b"))).where("_a < _b")
-    shared = _two(groups).where((F.col("_all") > 2) | _in_reach(percent)).select("token")
-    return dealt.join(shared, "token").select("token", "sid", "n", "pos").distinct()
+    dealt, block = posted.repartition("token"), _block(F.col("n"), percent)
+    own = F.max(F.col("block") == block).alias("_own")
+    groups = dealt.withColumn("block", F.explode(F.array(block, block + 1))).groupBy("token", "block").agg(
+        *_ends(F.min("sid").alias("_a"), F.max("sid").alias("_b"), own)).where("_own and _a < _b")
+    once = F.col("block") == _block(F.greatest("n_a", "n_b"), percent)
+    open_ = _two(groups).where((F.col("_all") > 2) | (once & _in_reach(percent)))
+    open_ = open_.groupBy("token").agg(F.collect_list("block").alias("_blocks"))
+    lists = dealt.join(open_, "token").select("token", "sid", "n", "pos", "_blocks").distinct()
+    return lists.select("token", F.explode(F.array_intersect(F.array(block, block + 1), "_blocks")).alias("block"), "sid", "n", "pos")
 
 
 def linked_sets(docs: DataFrame, ids: DataFrame, lists: DataFrame, width: int, percent: int) -> DataFrame:
-    """(node, component) of the sets that have a similar one; `lists` has the postings of shared shingles.
+    """(node, component) of the sets that have a similar one; `lists` has the postings of shared shingles by block.
 
     Index blocks: the postings of a shingle, cut by set size so that similar sets meet in a block.
     1. The sets of a block are compared with its leaders only, those with the least hash of their id,
-       where sizes, positions and the number of blocks they meet in allow it. A set that is linked to a leader shares its component, so no
+       where sizes, positions, the number of blocks they meet in and their marks allow it. A set that is linked to a leader shares its component, so no
        more answers among them are needed.
     2. Of the sets of a block that are still apart, those outside its largest component are compared with
        the others, where their marks allow it. A pair is skipped where what both share with a leader already tells that they cannot be
        similar: they share at most both(x, leader) + |y| - both(y, leader).
     """
     spark = lists.sparkSession
-    block = _block(F.col("n"), percent)
-    keyed = lists.withColumn("block", F.explode(F.array(block, block + 1)))
     lead = [F.min(F.struct(F.xxhash64("sid", F.lit(i)).alias("h"), F.col("sid").alias("sid"), F.col("n").alias("n"),
                            F.col("pos").alias("pos"))) for i in range(LEADERS)]
-    own = F.max(F.col("block") == block).alias("_own")  # pairs without such a set meet in the block before
-    leaders = keyed.groupBy("token", "block").agg(F.count(F.lit(1)).alias("_all"), own, F.array(*lead).alias("_lead"))
-    leaders = leaders.where("_own and _all > 1").drop("_own")
-    stars = keyed.join(leaders, ["token", "block"]).withColumn("_lead", F.explode(
+    leaders = lists.groupBy("token", "block").agg(F.array(*lead).alias("_lead"))
+    stars = lists.join(leaders, ["token", "block"]).withColumn("_lead", F.explode(
         F.array_distinct(F.transform("_lead", lambda x: x.dropFields("h")))))
     stars = stars.select("block", F.col("sid").alias("a"), F.col("_lead.sid").alias("b"), F.col("n").alias("n_a"),
                          F.col("_lead.n").alias("n_b"), F.col("pos").alias("pos_a"), F.col("_lead.pos").alias("pos_b"))
     once = F.col("block") == _block(F.greatest("n_a", "n_b"), percent)  # sets of one block meet in two
     stars = _often(stars.where((F.col("a") != F.col("b")) & once & _in_reach(percent)), percent)
-    stars = staged(stars)
     owners = ids.groupBy("sid").agg(F.min("id").alias("id"))
     cells = staged(ids.groupBy("sid").agg(F.any_value("marks").alias("marks")))
+    stars = stars.join(cells.toDF("a", "marks_a"), "a").join(cells.toDF("b", "marks_b"), "b").where(_alike(percent))
+    stars = staged(stars.select("a", "b", "n_a", "n_b"))
 
     def fetched(sids: DataFrame) -> DataFrame:
         wanted = staged(sids.join(owners, "sid"))
@@ -332,13 +336,13 @@ def linked_sets(docs: DataFrame, ids: DataFrame, lists: DataFrame, width: int, p
     first = staged(verified(stars, sets))
     part = components(first.where(_linked(percent)).select("a", "b"))
 
-    placed = keyed.join(part.toDF("sid", "c"), "sid", "left").withColumn("c", F.coalesce("c", "sid"))
+    placed = lists.join(part.toDF("sid", "c"), "sid", "left").withColumn("c", F.coalesce("c", "sid"))
     # before marks are joined: groups of two that cannot be similar go, by sizes, positions and block, as below
-    share = placed.groupBy("token", "block", "c").agg(*_ends(own))
+    share = placed.groupBy("token", "block", "c").agg(*_ends())
     largest = share.groupBy("token", "block").agg(
         F.count(F.lit(1)).alias("_cs"), F.max(F.struct("_all", "c"))["c"].alias("_main"), F.sum("_all").alias("_all"),
-        F.max("_own").alias("_own"), F.min("_least").alias("_least"), F.max("_most").alias("_most"))
-    largest = _two(largest.where("_own and _cs > 1")).where((F.col("_all") > 2) | (once & _in_reach(percent) & _early(percent)))
+        F.min("_least").alias("_least"), F.max("_most").alias("_most"))
+    largest = _two(largest.where("_cs > 1")).where((F.col("_all") > 2) | (once & _in_reach(percent) & _early(percent)))
     largest = largest.select("token", "block", "_main", F.col("n_a").alias("_n_least"), F.col("n_b").alias("_n_most"))
     placed = placed.join(largest, ["token", "block"]).where(_maybe_early(percent)).drop("_n_least", "_n_most")
     placed = staged(placed.join(cells, "sid"))
