@@ -76,3 +76,15 @@ def test_group_stems_against_plain_python(spark):
         expected.update({stem_word(w) for w in words})
     groups = aggregate(documents, by_field("text", analyzer="english"), total=True)
     assert {r.k0: r.total for r in groups.collect()} == dict(expected)
+
+
+def test_stems_of_a_long_batch_are_made_in_slices():
+    import pyarrow as pa
+
+    from docspark.functions.stemming import ROWS, stem
+
+    tokens = [None if i % 7 == 0 else [f"running{i}", "houses", None][: i % 4] for i in range(3 * ROWS + 11)]
+    made = list(stem.func(iter([pa.array(tokens, pa.list_(pa.string()))])))
+    assert max(map(len, made)) <= ROWS
+    assert [v for m in made for v in m.to_pylist()] == [
+        None if t is None else [None if w is None else stem_word(w) for w in t] for t in tokens]
