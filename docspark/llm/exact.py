@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docspark.llm.common import staged, text_of, without_white
+from docspark.llm.common import small_batches, staged, text_of, without_white
 
 #: Code points of a text that splitters carry; the digest behind them tells longer common heads apart.
 HEAD = 32
@@ -89,16 +89,20 @@ def equal_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", carry:
     counts as empty. Exactly one row of a group is kept, also where rows or ids repeat. An empty table
     gives no rows.
     """
-    payload = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else F.lit(None).cast("boolean")
     norm = without_white(text_of(text))
+    # a text moves once: where the row goes along, its normalised text is made again on the other side
+    moved = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row") if carry else norm.alias("_norm")
     keyed = docs.select(
-        F.col(id).alias("_id"), F.length(text_of(text)).alias("_chars"), payload.alias("_row"), norm.alias("_norm")
-    ).select("*", F.sha2(F.encode("_norm", "UTF-8"), 256).alias("_digest"))
-    order = [F.substring("_norm", 1, HEAD), F.col("_digest"), F.col("_chars").desc(), F.col("_id").asc_nulls_last()]
-    ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order[:2], F.col("_norm"), *order[2:])
-    kinds = dict(keyed.select("_id").dtypes)
-    schema = _RUNS.format(id=kinds["_id"], row=keyed.schema["_row"].dataType.simpleString())
-    runs = staged(ranged.mapInArrow(_runs, schema))
+        F.col(id).alias("_id"), F.length(text_of(text)).alias("_chars"), F.substring(norm, 1, HEAD).alias("_start"),
+        F.sha2(F.encode(norm, "UTF-8"), 256).alias("_digest"), moved)
+    content = without_white(text_of(f"_row.{text}")) if carry else F.col("_norm")
+    order = [F.col("_start"), F.col("_digest"), F.col("_chars").desc(), F.col("_id").asc_nulls_last()]
+    ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order[:2], content, *order[2:])
+    ranged = ranged.select("_id", "_chars", F.col("_row") if carry else F.lit(None).cast("boolean").alias("_row"), content.alias("_norm"), "_digest")
+    kinds = dict(ranged.select("_id").dtypes)
+    schema = _RUNS.format(id=kinds["_id"], row=ranged.schema["_row"].dataType.simpleString())
+    with small_batches(docs.sparkSession):
+        runs = staged(ranged.mapInArrow(_runs, schema))
 
     best = F.min(F.struct(-F.col("_chars"), F.col("_id").isNull(), F.col("_id").alias("id"), F.col("_part").alias("part")))
     edges = runs.where("_edge and _head").groupBy("_digest").agg(F.sum("_size").alias("_all"), best.alias("_best"))

@@ -20,8 +20,9 @@ from docspark.llm.components import components
 RANKED = 1 << 22
 #: Frequencies are counted in blocks of so many shingles; one that a block has less often is left out.
 BLOCK, SEEN = 4 << 20, 2
-#: Leaders of each index block that its sets are compared with first.
-LEADERS = 3
+#: Leaders of each index block that its sets are compared with first; any number gives the same result. With few, many sets
+#: of a large group of near copies have no link yet and meet all of the group.
+LEADERS = 8
 #: 64-bit words of the marks that tell sets apart before their shingles are fetched.
 MARKS = 8
 #: Words whose hash a worker remembers.
@@ -284,11 +285,16 @@ def _two(groups: DataFrame) -> DataFrame:
 
 
 def met_lists(posted: DataFrame, percent: int) -> DataFrame:
-    """(token, block, sid, n, pos): each posting once in each block of its shingle where it can meet a similar set.
+    """(token, block, sid, n, pos) of `met_groups`."""
+    return met_groups(posted, percent).drop("pair")
+
+
+def met_groups(posted: DataFrame, percent: int) -> DataFrame:
+    """(token, block, sid, n, pos, pair): each posting once in each block of its shingle where it can meet a similar set.
 
     A block has two sets at least and one of its own size, as pairs without such a one meet in the block before; of a
-    block of two, sizes and positions are to be those of similar sets. All uses of the postings read one shuffle; a
-    shingle's postings are in one task, as a stream.
+    block of two, sizes and positions are to be those of similar sets, and `pair` has both sets and sizes. All uses of the
+    postings read one shuffle; a shingle's postings are in one task, as a stream.
     """
     dealt, block = posted.repartition("token"), _block(F.col("n"), percent)
     own = F.max(F.col("block") == block).alias("_own")
@@ -296,18 +302,36 @@ def met_lists(posted: DataFrame, percent: int) -> DataFrame:
         *_ends(F.min("sid").alias("_a"), F.max("sid").alias("_b"), own)).where("_own and _a < _b")
     once = F.col("block") == _block(F.greatest("n_a", "n_b"), percent)
     open_ = _two(groups).where((F.col("_all") > 2) | (once & _in_reach(percent)))
-    open_ = open_.groupBy("token").agg(F.collect_list("block").alias("_blocks"))
+    pair = F.when(F.col("_all") == 2, F.struct(F.col("_a").alias("a"), F.col("_b").alias("b"), "n_a", "n_b")).alias("pair")
+    open_ = open_.groupBy("token").agg(F.collect_list(F.struct("block", pair)).alias("_blocks"))
     lists = dealt.join(open_, "token").select("token", "sid", "n", "pos", "_blocks").distinct()
-    return lists.select("token", F.explode(F.array_intersect(F.array(block, block + 1), "_blocks")).alias("block"), "sid", "n", "pos")
+    own_blocks = F.filter("_blocks", lambda x: x["block"].isin(block, block + 1))
+    return lists.withColumn("_in", F.explode(own_blocks)).select("token", "_in.block", "sid", "n", "pos", "_in.pair")
+
+
+def parted(lists: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The lists of larger groups, and of the groups of two the pairs (a, b, n_a, n_b) that may be similar, each once.
+
+    Groups of two grow in number faster than the input, so none goes on as postings: a pair of one is compared, unless it
+    meets too seldom to be similar even if in all larger groups of either set.
+    """
+    larger = lists.where("pair IS NULL").groupBy("sid", "block").agg(F.count(F.lit(1)).alias("_larger"))
+    twos = lists.where("sid = pair.a").withColumn("n_b", F.col("pair.n_a") + F.col("pair.n_b") - F.col("n"))
+    pairs = twos.groupBy("pair.a", "pair.b", F.col("n").alias("n_a"), "n_b", "block").agg(F.count(F.lit(1)).alias("_met"))
+    for x in ("a", "b"):
+        pairs = pairs.join(larger.toDF(x, "block", f"_larger_{x}"), [x, "block"], "left")
+    most = F.col("_met") + F.least(*[F.coalesce(f"_larger_{x}", F.lit(0)) for x in ("a", "b")])
+    pairs = staged(pairs.where(most >= _fewest(percent)).select("a", "b", "n_a", "n_b"))
+    return lists.where("pair IS NULL").drop("pair"), pairs
 
 
-def linked_sets(docs: DataFrame, ids: DataFrame, lists: DataFrame, width: int, percent: int) -> DataFrame:
-    """(node, component) of the sets that have a similar one; `lists` has the postings of shared shingles by block.
+def linked_sets(docs: DataFrame, ids: DataFrame, lists: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(node, component) of the sets that have a similar one; `lists` and `pairs` are those of `parted`.
 
     Index blocks: the postings of a shingle, cut by set size so that similar sets meet in a block.
     1. The sets of a block are compared with its leaders only, those with the least hash of their id,
-       where sizes, positions, the number of blocks they meet in and their marks allow it. A set that is linked to a leader shares its component, so no
-       more answers among them are needed.
+       where sizes, positions, the number of blocks they meet in and their marks allow it, and the pairs of groups of two. A set that is
+       linked to a leader shares its component, so no more answers among them are needed.
     2. Of the sets of a block that are still apart, those outside its largest component are compared with
        the others, where their marks allow it. A pair is skipped where what both share with a leader already tells that they cannot be
        similar: they share at most both(x, leader) + |y| - both(y, leader).
@@ -321,7 +345,7 @@ def linked_sets(docs: DataFrame, ids: DataFrame, lists: DataFrame, width: int, p
     stars = stars.select("block", F.col("sid").alias("a"), F.col("_lead.sid").alias("b"), F.col("n").alias("n_a"),
                          F.col("_lead.n").alias("n_b"), F.col("pos").alias("pos_a"), F.col("_lead.pos").alias("pos_b"))
     once = F.col("block") == _block(F.greatest("n_a", "n_b"), percent)  # sets of one block meet in two
-    stars = _often(stars.where((F.col("a") != F.col("b")) & once & _in_reach(percent)), percent)
+    stars = _often(stars.where((F.col("a") != F.col("b")) & once & _in_reach(percent)), percent).unionByName(pairs).distinct()
     owners = ids.groupBy("sid").agg(F.min("id").alias("id"))
     cells = staged(ids.groupBy("sid").agg(F.any_value("marks").alias("marks")))
     stars = stars.join(cells.toDF("a", "marks_a"), "a").join(cells.toDF("b", "marks_b"), "b").where(_alike(percent))
@@ -393,14 +417,15 @@ def similar(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
     with small_batches(spark):
         ids, seen = scanned(given, width)
         posted = staged(postings(given, width, percent, ranked(seen)))
-        lists = staged(met_lists(posted, percent))
+        met = staged(met_groups(posted, percent))
         released(spark, posted)
-        nodes = linked_sets(given, ids, lists, width, percent)
+        lists, pairs = parted(met, percent)
+        nodes = linked_sets(given, ids, lists, pairs, width, percent)
     sets = ids.where("n > 0").groupBy("sid").agg(F.min("id").alias("_id"))
     sets = sets.join(nodes.toDF("sid", "_c"), "sid", "left").withColumn("_c", F.coalesce("_c", "sid"))
     reach = sets.groupBy("_c").agg(F.min("_id").alias("_first"))
     named = staged(sets.join(reach, "_c").select("sid", "_first"))
-    released(spark, lists, nodes)
+    released(spark, met, pairs, nodes)
     out = ids.join(named, "sid", "left")
     return out.select("id", "n", F.when(F.col("n") > 0, F.col("_first")).otherwise(F.col("id")).alias("component"))
 

@@ -463,3 +463,25 @@ def test_postings_of_two_sets_that_cannot_be_similar_go(spark):
             (6, 1, 100, 5), (6, 2, 300, 5), (6, 3, 101, 5)]
     got = jaccard.met_lists(spark.createDataFrame(rows, "token long, sid long, n long, pos long"), 90).collect()
     assert sorted(map(tuple, got)) == sorted({(t, 39, s, n, p) for t, s, n, p in rows if t in (3, 5, 6) and n < 300})
+
+
+def test_groups_of_two_go_on_as_pairs(spark):
+    """A pair of groups of two is compared if it meets often enough, larger groups included, and is never posted again."""
+    rows = [(1, 1, 100, 0), (1, 2, 100, 0)]  # by chance: 10 are needed
+    rows += [(t, s, n, t) for t in range(10, 20) for s, n in ((3, 100), (4, 101))]
+    rows += [(t, s, 100, t) for t in range(10, 19) for s in (5, 6)]
+    rows = [(100 * s + t if s > 4 else t, s, n, p) for t, s, n, p in rows]
+    rows = [(t % 100 + 500 if s > 4 else t, s, n, p) for t, s, n, p in rows]
+    rows += [(900, s, 100, 19) for s in (5, 6, 7)]
+    met = jaccard.met_groups(spark.createDataFrame(rows, "token long, sid long, n long, pos long"), 80)
+    lists, pairs = jaccard.parted(met, 80)
+    assert {tuple(r) for r in pairs.collect()} == {(3, 4, 100, 101), (5, 6, 100, 100)}
+    assert {r.token for r in lists.collect()} == {900}
+
+
+def test_a_text_moves_once_with_its_row(spark, docs, monkeypatch):
+    plans = []
+    monkeypatch.setattr(exact, "staged", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or df)
+    exact.equal_groups(docs, carry=True)
+    below = plans[0][plans[0].index("RepartitionByExpression"):]
+    assert "AS _row" in below and "AS _norm" not in below
