@@ -21,24 +21,27 @@ def reach(gram: int = GRAM, doublings: int = DOUBLINGS) -> int:
 
 def _lesser(step: int):
     """Of an array, the lesser of each element and the one `step` places on."""
-    return lambda a: F.transform(a, lambda x, i: F.least(x, F.get(a, i + step)))
+    return lambda a: F.zip_with(a, F.slice(a, F.lit(step + 1), F.size(a)), lambda x, y: F.least(x, y))
 
 
-def _selected(data: Column, offset: Column, gram: int, doublings: int) -> Column:
-    """Marks of the windows of these bytes, which start `offset` bytes into the text."""
+def _selected(data: Column, offset: Column | None, gram: int, doublings: int) -> Column:
+    """Marks of the windows of these bytes, which start `offset` bytes (none: 0) into the text."""
     window = 1 << doublings
 
     def of_piece(start: Column) -> Column:
         def of_bytes(piece: Column) -> Column:
             grams = F.greatest(F.octet_length(piece) - (gram - 1), F.lit(1))
-            # the hash above, the place below it and negative: of equal hashes the rightmost is least
+            # the hash above, the place in the piece below it and negative: of equal hashes the rightmost is least
             least = F.transform(F.sequence(F.lit(1), grams), lambda i: F.shiftleft(
-                F.xxhash64(F.substring(piece, i, F.lit(gram))), _LOW) - (offset + start + i - 1).cast("long"))
+                F.xxhash64(F.substring(piece, i, F.lit(gram))), _LOW) - i)
             for j in range(doublings):  # the least of 2, 4, 8 ... grams from each place
                 least = let(least, _lesser(1 << j))
             return F.array_distinct(F.slice(least, F.lit(1), F.greatest(grams - (window - 1), F.lit(1))))
 
-        return let(F.substring(data, start + 1, F.lit(PIECE + window + gram - 2)), of_bytes)
+        # places in the text are for the marks that are left, a few of the grams
+        marks = let(F.substring(data, start + 1, F.lit(PIECE + window + gram - 2)), of_bytes)
+        before = start - 1 if offset is None else start + offset - 1
+        return let(before, lambda b: F.transform(marks, lambda m: m - b))
 
     windows = F.greatest(F.octet_length(data) - (gram - 1) - (window - 1), F.lit(1))
     pieces = F.transform(F.sequence(F.lit(0), windows - 1, F.lit(PIECE)), of_piece)
@@ -52,7 +55,7 @@ def fingerprint(text: Column, gram: int = GRAM, doublings: int = DOUBLINGS) -> C
     2 ** doublings runs the one of least hash is kept, the rightmost of equals, with its place in bytes. A
     text of fewer runs is one window; one of fewer bytes than a run is one run; an empty or null text has no marks.
     """
-    return let(F.encode(F.coalesce(text, F.lit("")), "UTF-8"), lambda b: _selected(b, F.lit(0), gram, doublings))
+    return let(F.encode(F.coalesce(text, F.lit("")), "UTF-8"), lambda b: _selected(b, None, gram, doublings))
 
 
 def continued(marks: Column, text: Column, kept: Column, gram: int = GRAM, doublings: int = DOUBLINGS) -> Column:

@@ -83,3 +83,11 @@ def test_empty_table(docs):
 def test_texts_move_once(spark, docs):
     plan = winnowing.with_next(docs)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(range") == 1 and "Python" not in plan and "Arrow" not in plan
+
+
+def test_work_for_each_gram(docs):
+    """A gram's place in the text is made for marks only, and lesser grams are found without an index for each."""
+    column = winnowing.continued(F.col("m"), F.col("text"), F.octet_length("text"))
+    plan = docs.select("text", F.array().cast("array<bigint>").alias("m")).select(column)._jdf.queryExecution().analyzed().toString()
+    hashed = plan[plan.index("xxhash64"):]
+    assert "octet_length" not in hashed[:hashed.index("lambdafunction")] and "zip_with" in plan
