@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docspark.llm.common import WHITE, WORD, let, released, small_batches, staged, text_of
+from docspark.llm.common import WHITE, WORD, let, picked, released, small_batches, staged, text_of
 
 #: Words in a token of a line, if not given, and least similarity in percent.
 WIDTH, PERCENT = 5, 80
@@ -262,8 +262,8 @@ def _dealt(bucket: np.ndarray, names: list[str], columns: Callable[[np.ndarray],
     return pa.record_batch([pa.array(bucket[order][first].astype(np.int64)), *packed], names=["bucket", *names])
 
 
-def _prefixes(docs: DataFrame, width: int, powers: np.ndarray, buckets: int) -> DataFrame:
-    """(bucket, sets, keys): the sets of a task, each once, with the tokens of their prefixes, dealt by their hash."""
+def _prefixes(docs: DataFrame, width: int, powers: np.ndarray, buckets: int, wanted: np.ndarray | None = None) -> DataFrame:
+    """(bucket, sets, keys): the sets of a task, each once, with the tokens of their prefixes, dealt by their hash; of tokens in `wanted` cells, if given."""
 
     def run(batches):
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -288,12 +288,19 @@ def _prefixes(docs: DataFrame, width: int, powers: np.ndarray, buckets: int) ->
             doc = batch["doc"].to_numpy(zero_copy_only=False)
             for row, number, start, data in _chunks(batch["text"]):
                 line, tokens, first, n, sid = _sets(start, data, width)
+                if wanted is not None and len(line):
+                    some = np.logical_or.reduceat(wanted[(tokens & np.uint64(CELLS - 1)).astype(np.int64)], first)
+                    own = np.repeat(some, n)
+                    line, tokens, n, sid = line[own], tokens[own], n[some], sid[some]
+                    first = _firsts(line)
                 if not len(line):
                     continue
                 short, power = _by_rarity(line, tokens, powers)
                 p, own = np.arange(len(line)) - np.repeat(first, n), np.repeat(n, n)
                 # similar sets share a token of their prefixes; sets too small are similar to equal ones only, tokens that occur once are not shared
                 posted = (p < own + (-PERCENT * own // 100) + 1) & (power > 0) & (100 * own >= PERCENT * (own + 1))
+                if wanted is not None:
+                    posted &= wanted[short % CELLS]
                 sets, keys = np.zeros(len(first), SET), np.zeros(int(posted.sum()), KEY)
                 m0, m1, wide = _marks(tokens, first, n)
                 for name, values in (("sid", sid), ("doc", doc[row[line[first]]]), ("line", number[line[first]]), ("n", n),
@@ -348,7 +355,7 @@ def _met(group: pa.Table, all_of_them: bool) -> pa.Table:
     """Pairs (doc, line), (doc_, line_) of later open lines and earlier ones that share a token here and may be similar.
 
     Lengths, the places of the token and marks rule pairs out. Of the pairs of a line under a token there are all, if they are no more than
-    PARTNERS, or the one with the earliest, and `more` says that there were others; or there are all of them in any case.
+    PARTNERS, or the one with the earliest, and `more` is the token under which there were others; or there are all of them in any case.
     """
     posts, wide = _unpacked(group["posts"], POST), _unpacked(group["wide"], np.dtype("u8")).reshape(-1, 6)
     place = np.cumsum(posts["n"] >= LONG) - 1
@@ -379,7 +386,7 @@ def _met(group: pa.Table, all_of_them: bool) -> pa.Table:
         ok = posts["open"][late] > 0
         late, early = late[ok], early[ok]
         if all_of_them:
-            found.append(np.unique(np.stack([time[late], time[early]]), axis=1))
+            found.append(np.unique(np.stack([time[late], time[early], np.full(len(late), -1)]), axis=1))
         else:
             for side in (late == a[ok], late == b[ok]):  # a post comes once on each side
                 x, y = late[side], early[side]
@@ -390,12 +397,10 @@ def _met(group: pa.Table, all_of_them: bool) -> pa.Table:
         d += 1
     if not all_of_them:
         x, many = np.flatnonzero((fits > 0) & (fits <= PARTNERS)), np.flatnonzero(fits > PARTNERS)
-        found = [np.stack([time[x[fits[x] > q]], some[x[fits[x] > q], q]]) for q in range(PARTNERS)] + [np.stack([time[many], best[many]])]
-        more = np.zeros(k, bool)
-        more[time[many]] = True
-    pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.empty((2, 0), np.int64)
-    more = np.zeros(pairs.shape[1], bool) if all_of_them else more[pairs[0]]
-    late, early = at[pairs[0]], at[pairs[1]]
+        found = [np.stack([time[y], some[y, q], np.full(len(y), -1)]) for q in range(PARTNERS) for y in [x[fits[x] > q]]]
+        found.append(np.stack([time[many], best[many], posts["token"][many].astype(np.int64)]))
+    pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.empty((3, 0), np.int64)
+    late, early, more = at[pairs[0]], at[pairs[1]], pa.array(pairs[2], mask=pairs[2] < 0)
     return pa.table({"doc": posts["doc"][late], "line": posts["line"][late].astype(np.int32), "doc_": posts["doc"][early],
                      "line_": posts["line"][early].astype(np.int32), "more": more})
 
@@ -417,7 +422,8 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
     equal tokens (by a hash of 64 bits) are one set, known by its first line. Tokens are counted; each task sends the prefixes of its sets,
     each set once, to be dealt by the sets' hash, and from there a post per token of the prefix, to be dealt by token. There posts meet in
     arrays, which makes no rows: a line keeps those earlier ones under each token that length, place and marks allow, or the earliest of many. These pairs are verified on all
-    tokens, read from the texts again. Lines of which none is similar, and that had others, meet all of theirs in a second round.
+    tokens, read from the texts again. Lines of which none is similar, and that had others, meet all of theirs in a second round, in which
+    only the tokens under which they had others are posted: under the rest there were no others.
     """
     spark = docs.sparkSession
     given, ids = _numbers(docs.where(F.col(id).isNotNull()).select(F.col(id).alias("id"), text_of(text).alias("text")))
@@ -429,8 +435,8 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
     buckets = max(8, heads.count() // LINES + 1)
     firsts = staged(heads.groupBy("sid").agg(F.min(F.struct("doc", "line")).alias("first")).select("sid", "first.*"))
 
-    def met(open: DataFrame | None) -> DataFrame:
-        prefixes = _prefixes(given, width, powers, buckets).groupBy("bucket")
+    def met(open: DataFrame | None, wanted: np.ndarray | None = None) -> DataFrame:
+        prefixes = _prefixes(given, width, powers, buckets, wanted).groupBy("bucket")
         kind, again = "bucket long, posts binary, wide binary", open is not None
         if not again:
             posts = prefixes.applyInArrow(lambda some: _posted(some, None, buckets * SPREAD), kind)
@@ -439,16 +445,19 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
             posts = prefixes.cogroup(dealt).applyInArrow(
                 lambda some, sids: _posted(some, sids["sid"].to_numpy().view(np.uint64), buckets * SPREAD), kind)
         pairs = posts.groupBy("bucket").applyInArrow(
-            lambda some: _met(some, again), "doc long, line int, doc_ long, line_ int, more boolean")
+            lambda some: _met(some, again), "doc long, line int, doc_ long, line_ int, more long")
         with small_batches(spark):
-            return staged(pairs.groupBy("doc", "line", "doc_", "line_").agg(F.max("more").alias("more")))
+            return staged(pairs.groupBy("doc", "line", "doc_", "line_").agg(F.collect_set("more").alias("more")))
 
     pairs = met(None)
     similar = _verified(pairs, given, width)
-    open = pairs.where("more").select("doc", "line").distinct().join(similar, ["doc", "line"], "left_anti")
-    open = staged(open.join(firsts, ["doc", "line"]).select("sid"))
-    if not open.isEmpty():
-        similar = similar.union(_verified(met(open), given, width)).distinct()
+    open = pairs.select("doc", "line", F.explode("more").alias("token")).distinct().join(similar, ["doc", "line"], "left_anti")
+    open = staged(open.join(firsts, ["doc", "line"]).select("sid", "token"))
+    cells = open.select((F.col("token") % CELLS).alias("c")).distinct().toArrow()["c"].to_numpy()  # at most CELLS
+    if len(cells):
+        wanted = np.zeros(CELLS, bool)
+        wanted[cells] = True
+        similar = similar.union(_verified(met(open.select("sid").distinct(), wanted), given, width)).distinct()
     gone = firsts.join(similar.withColumn("similar", F.lit(True)), ["doc", "line"], "left").select(
         "sid", F.struct("doc", "line").alias("first"), F.col("similar").isNotNull().alias("similar"))
     out = heads.join(gone, "sid").where(F.col("similar") | (F.struct("doc", "line") != F.col("first"))).select("doc", "line").distinct()
@@ -459,7 +468,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """(doc, line) of the pairs whose lines are similar, once each; their words are read from the texts."""
     asked = pairs.select("doc", "line").union(pairs.select("doc_", "line_")).groupBy("doc").agg(F.collect_set("line").alias("lines"))
     read = let(F.split("text", "\n", -1), lambda all: F.transform("lines", lambda i: F.struct(i.alias("line"), F.get(all, i).alias("words"))))
-    read = staged(docs.join(asked.hint("merge"), "doc").select("doc", F.inline(read)))
+    asked = staged(asked)
+    read = staged(picked(docs, asked, "doc").select("doc", F.inline(read)))
     both = pairs.join(read, ["doc", "line"]).join(read.toDF("doc_", "line_", "words_"), ["doc_", "line_"])
 
     def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -481,7 +491,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     with small_batches(docs.sparkSession):
         similar = both.select("doc", "line", "words", "words_").mapInArrow(run, "doc long, line int")
         out = staged(similar.distinct())
-    released(docs.sparkSession, read)
+    released(docs.sparkSession, read, asked)
     return out
 
 

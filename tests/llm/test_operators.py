@@ -249,6 +249,20 @@ def test_lines_whose_earliest_is_not_similar(spark, monkeypatch):
     assert (27, 0) in want and (26, 0) not in want
 
 
+def test_lines_of_other_words_do_not_move_again(spark, monkeypatch):
+    """The second round posts only tokens under which lines had more partners, and moves only texts that hold asked lines."""
+    rare, x, y = ([f"{c}{i}" for i in range(k)] for c, k in (("rare", 401), ("x", 1600), ("y", 1600)))
+    often = ["\n".join(" ".join(part) for part in (x[:800], x[800:], y[:800], y[800:]))] * 20
+    others = ["\n".join(" ".join(f"o{i + k + j}" for j in range(9)) for k in range(9)) for i in range(60)]
+    rows = list(enumerate([*others, *often, *(" ".join([*rare, *x, f"z{i}"]) for i in range(6)), " ".join(rare + y), " ".join([*rare, *y[:-5], "other"])]))
+    made, prefixes = [], lines._prefixes
+    monkeypatch.setattr(lines, "_prefixes", lambda *a: (made.append(prefixes(*a)), made[-1])[1])
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {tuple(r) for r in lines.repeated(frame, width=1).collect()} == _similar_lines(rows)
+    first, second = (sum(len(r.keys) for r in frame.select("keys").collect()) for frame in made)
+    assert 0 < second < 0.7 * first  # those of the rare words
+
+
 def test_lines_with_a_hot_word(spark, monkeypatch):
     """Posts of a hot word are dealt over groups, and every pair of them still meets."""
     rnd = random.Random(3)
