@@ -12,6 +12,7 @@ GRAM, DOUBLINGS = 24, 4
 #: Windows worked on at once: intermediate arrays are of this length, however long the text.
 PIECE = 4096
 _LOW = 32  # bits below the hash that hold the place
+_PLACES = (1 << _LOW) - 1
 
 
 def reach(gram: int = GRAM, doublings: int = DOUBLINGS) -> int:
@@ -30,18 +31,20 @@ def _selected(data: Column, offset: Column | None, gram: int, doublings: int) ->
 
     def of_piece(start: Column) -> Column:
         def of_bytes(piece: Column) -> Column:
-            grams = F.greatest(F.octet_length(piece) - (gram - 1), F.lit(1))
-            # the hash above, the place in the piece below it and negative: of equal hashes the rightmost is least
-            least = F.transform(F.sequence(F.lit(1), grams), lambda i: F.shiftleft(
+            size = F.octet_length(piece)
+            grams = F.greatest(size - (gram - 1), F.lit(1))
+            # the hash above, the bytes from the gram to the piece's end below it: of equal hashes the rightmost is least.
+            # Grams are counted from the end, by i < 0, so what is added is positive: the least hash of all has no room below it
+            least = F.transform(F.sequence(-size, grams - 1 - size), lambda i: F.shiftleft(
                 F.xxhash64(F.substring(piece, i, F.lit(gram))), _LOW) - i)
             for j in range(doublings):  # the least of 2, 4, 8 ... grams from each place
                 least = let(least, _lesser(1 << j))
-            return F.array_distinct(F.slice(least, F.lit(1), F.greatest(grams - (window - 1), F.lit(1))))
+            marks = F.array_distinct(F.slice(least, F.lit(1), F.greatest(grams - (window - 1), F.lit(1))))
+            # places in the text are for the marks that are left, a few of the grams
+            end = size + (start if offset is None else start + offset)
+            return let(F.lit(_PLACES) - end, lambda rest: F.transform(marks, lambda m: m + rest))
 
-        # places in the text are for the marks that are left, a few of the grams
-        marks = let(F.substring(data, start + 1, F.lit(PIECE + window + gram - 2)), of_bytes)
-        before = start - 1 if offset is None else start + offset - 1
-        return let(before, lambda b: F.transform(marks, lambda m: m - b))
+        return let(F.substring(data, start + 1, F.lit(PIECE + window + gram - 2)), of_bytes)
 
     windows = F.greatest(F.octet_length(data) - (gram - 1) - (window - 1), F.lit(1))
     pieces = F.transform(F.sequence(F.lit(0), windows - 1, F.lit(PIECE)), of_piece)
@@ -75,12 +78,12 @@ def continued(marks: Column, text: Column, kept: Column, gram: int = GRAM, doubl
 
 def place_of(mark: Column) -> Column:
     """Where the run of bytes starts."""
-    return (-mark).bitwiseAND(F.lit((1 << _LOW) - 1))
+    return F.lit(_PLACES) - mark.bitwiseAND(F.lit(_PLACES))
 
 
 def hash_of(mark: Column) -> Column:
     """Hash of the run of bytes, as 32 bits."""
-    return F.shiftright(mark + place_of(mark), _LOW)
+    return F.shiftright(mark, _LOW)
 
 
 def likeness(a: Column, b: Column) -> Column:

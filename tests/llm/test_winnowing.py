@@ -38,6 +38,24 @@ def test_fingerprint(docs):
     assert {r.doc_id: r.f for r in got} == {i: " ".join(f"{h:x}@{p}" for h, p in plain(t or "")) for i, t in enumerate(texts())}
 
 
+#: Grams whose hash is the least and the greatest of 32 bits: one of some 4.3 billion is, so a few in 6 GB of documents.
+LEAST, LEAST_SHORT, GREATEST = "abcdefgh1234567802,cU-B&", "Ljt;h.'Q", "abcdefgh12345678L+Sf|)W\\"
+
+
+def test_hashes_at_the_bounds(spark, tmp_path):
+    assert [xxhash.xxh64_intdigest(g.encode(), 42) & 0xFFFFFFFF for g in (LEAST, LEAST_SHORT, GREATEST)] == [1 << 31, 1 << 31, (1 << 31) - 1]
+    long = " ".join(f"word{i}" for i in range(900))
+    hard = [LEAST, LEAST_SHORT, GREATEST, LEAST + " and some words behind it, enough for windows", GREATEST + LEAST, LEAST * 3, "before " + LEAST + "..." + LEAST + " after",
+            long + LEAST, LEAST + long + LEAST + long, long[:winnowing.PIECE - 5] + LEAST + long, "é" * 40 + GREATEST + "日" * 40 + LEAST]
+    got = spark.createDataFrame(list(enumerate(hard)), "doc_id long, text string").select(
+        "doc_id", winnowing.written(winnowing.fingerprint(F.col("text"))).alias("f")).collect()
+    assert {r.doc_id: r.f for r in got} == {i: " ".join(f"{h:x}@{p}" for h, p in plain(t)) for i, t in enumerate(hard)}
+    rows = list(enumerate(hard + hard[::-1]))
+    spark.createDataFrame([(*r, "m", "r", "o") for r in rows], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["op13_fingerprints"](spark, str(tmp_path)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == whole(rows)
+
+
 def test_equal_strings_have_an_equal_mark(spark):
     rnd = random.Random(2)
     make = lambda n: "".join(rnd.choices("abcdefgh ", k=n))
